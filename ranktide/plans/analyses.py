@@ -123,7 +123,12 @@ def cannibalization(star: Star, min_pages: int = 2, urls_per_row: int = URLS_PER
     with a share of its URLs: the list is whole, but no task ever holds all of a hot keyword. Every
     other keyword has the one row with ``parte`` 0.
     """
-    ranking = latest_global(star).filter("position > 0").select("keyword_id", "page_id").distinct()
+    # Stated once for both uses below, so that the fact is read and shuffled once.
+    ranking = (
+        latest_global(star)
+        .filter("position > 0 AND keyword_id IS NOT NULL AND page_id IS NOT NULL")
+        .select("keyword_id", "page_id")
+    )
     competing = (
         ranking.groupBy("keyword_id")
         .agg(F.count(F.lit(1)).alias("n_paginas_compitiendo"))

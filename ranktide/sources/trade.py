@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 FIRST_DATE, CUT_DATE, OVERLAP_DATE = "1995-07-01", "1999-12-31", "1998-12-31"
 POSITION_ORDER = ("src_order", "src_line", "src_part", "src_supplier", "src_price")
@@ -53,161 +52,127 @@ class Derived(Mapping):
         return name in self._makers
 
 
-def _snapshot_date() -> Column:
-    return F.concat(F.year("l_shipdate"), F.lit("-12-31"))
+# SQL expressions over the trade tables. Doubles are written with an exponent: 100.0 would be a decimal.
+SNAPSHOT_DATE = "concat(year(l_shipdate), '-12-31')"
+SHOP_URL = "concat('https://nation_', s_nationkey, '.example/p/', s_suppkey)"
+SECTION_URL = "concat('nation_', c_nationkey, '.example/s/', lower(c_mktsegment))"
+KEYWORD = "concat(lower(p_type), ' ', lower(p_name), ' ', p_partkey)"
+CATEGORY = (
+    "CASE WHEN p_type IN ('PROMO', 'ECONOMY') THEN 'transaccional'"
+    " WHEN p_type IN ('MEDIUM', 'STANDARD') THEN 'comercial' ELSE 'informativo' END"
+)
+INTENT = (
+    "CASE WHEN p_type IN ('PROMO', 'ECONOMY') THEN 'transactional'"
+    " WHEN p_type IN ('MEDIUM', 'STANDARD') THEN 'commercial' ELSE 'informational' END"
+)
+# Searches a month: none to some thirty thousand, by price.
+VOLUME = "greatest(cast(round((p_retailprice - 9e2) * 3e2) AS bigint), 0L)"
+CLICKS = "cast(floor(l_extendedprice * l_discount / 1e1) AS bigint)"
+IMPRESSIONS = "cast(floor(l_extendedprice / 1e1) AS bigint)"
+WORDS = r"regexp_count(regexp_replace(html, '<[^>]*>', ' '), r'[^ \t\r\n]+')"
+TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
+HEADING = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
 
 
-def _as_long(value: Column) -> Column:
-    return F.floor(value).cast("bigint")
-
-
-def _as_int(value: Column) -> Column:
-    return F.floor(value).cast("int")
-
-
-def _supplier_url() -> Column:
-    return F.concat(F.lit("https://nation_"), "s_nationkey", F.lit(".example/p/"), "s_suppkey")
-
-
-def _category(kind: Column) -> Column:
-    return (
-        F.when(kind.isin("PROMO", "ECONOMY"), "transaccional")
-        .when(kind.isin("MEDIUM", "STANDARD"), "comercial")
-        .otherwise("informativo")
-    )
-
-
-def _intent(kind: Column) -> Column:
-    return (
-        F.when(kind.isin("PROMO", "ECONOMY"), "transactional")
-        .when(kind.isin("MEDIUM", "STANDARD"), "commercial")
-        .otherwise("informational")
-    )
-
-
-def _keyword_text() -> Column:
-    return F.concat(F.lower("p_type"), F.lit(" "), F.lower("p_name"), F.lit(" "), "p_partkey")
-
-
-def _volume() -> Column:
-    """Searches a month: nothing to some thirty thousand, by price."""
-    return F.greatest(F.round((F.col("p_retailprice") - 900.0) * 300.0).cast("bigint"), F.lit(0))
+# --- The star schema -------------------------------------------------------------------------------
 
 
 def sites(t: Trade) -> DataFrame:
-    return t.nation.select(
-        F.col("n_nationkey").cast("bigint").alias("site_id"),
-        F.concat(F.lower("n_name"), F.lit(".example")).alias("domain"),
-        F.col("n_name").alias("site_name"),
-        F.lit("es").alias("language"),
-        F.concat(F.lit("R"), "n_regionkey").alias("country"),
-        F.lit(1).alias("is_active"),
+    return t.nation.selectExpr(
+        "cast(n_nationkey AS bigint) AS site_id",
+        "concat(lower(n_name), '.example') AS domain",
+        "n_name AS site_name",
+        "'es' AS language",
+        "concat('R', n_regionkey) AS country",
+        "1 AS is_active",
     )
 
 
 def keywords(t: Trade) -> DataFrame:
-    return t.part.select(
-        F.col("p_partkey").alias("keyword_id"),
-        _keyword_text().alias("keyword"),
-        _category(F.col("p_type")).alias("category"),
-        _intent(F.col("p_type")).alias("search_intent"),
-        _volume().alias("monthly_search_volume"),
-        (F.col("p_size") * 2).alias("keyword_difficulty"),
-        F.lit(None).cast("string").alias("current_url_target"),
+    return t.part.selectExpr(
+        "p_partkey AS keyword_id",
+        f"{KEYWORD} AS keyword",
+        f"{CATEGORY} AS category",
+        f"{INTENT} AS search_intent",
+        f"{VOLUME} AS monthly_search_volume",
+        "p_size * 2 AS keyword_difficulty",
+        "cast(NULL AS string) AS current_url_target",
     )
 
 
 def pages(t: Trade) -> DataFrame:
-    balance = F.col("s_acctbal")
-    return t.supplier.select(
-        F.col("s_suppkey").alias("page_id"),
-        F.col("s_nationkey").cast("bigint").alias("site_id"),
-        _supplier_url().alias("url"),
-        F.col("s_name").alias("title"),
-        F.lit(None).cast("string").alias("meta_description"),
-        F.lower("s_name").alias("h1"),
-        _as_int(F.abs(balance)).alias("word_count"),
-        F.when(balance < 1000, 0).otherwise(1).alias("indexable"),
-        F.when(balance <= 9500, _as_int(F.abs(balance) / 100.0)).alias("page_speed_score"),
-        F.lit("2001-12-31").alias("last_crawled_at"),
+    return t.supplier.selectExpr(
+        "s_suppkey AS page_id",
+        "cast(s_nationkey AS bigint) AS site_id",
+        f"{SHOP_URL} AS url",
+        "s_name AS title",
+        "cast(NULL AS string) AS meta_description",
+        "lower(s_name) AS h1",
+        "cast(floor(abs(s_acctbal)) AS int) AS word_count",
+        "if(s_acctbal < 1000, 0, 1) AS indexable",
+        "CASE WHEN s_acctbal <= 9500 THEN cast(floor(abs(s_acctbal) / 1e2) AS int) END AS page_speed_score",
+        "'2001-12-31' AS last_crawled_at",
     )
 
 
-def _shipments(t: Trade) -> DataFrame:
-    price, discount = F.col("l_extendedprice"), F.col("l_discount")
-    return t.lineitem.select(
-        F.col("l_partkey").alias("keyword_id"),
-        F.col("l_suppkey").alias("page_id"),
-        _snapshot_date().alias("snapshot_date"),
-        F.col("l_quantity").alias("quantity"),
-        _as_long(price * discount / 10.0).alias("clicks"),
-        _as_long(price / 10.0).alias("impressions"),
-    )
-
-
-def _position() -> Column:
-    best = F.min("quantity")
-    return F.when(best >= 46, 0).otherwise(best.cast("int"))
-
-
 def positions(t: Trade) -> DataFrame:
     """One row per keyword, page and year; the position before it is that of the pair's last year."""
     yearly = (
-        _shipments(t)
+        t.lineitem.selectExpr(
+            "l_partkey AS keyword_id",
+            "l_suppkey AS page_id",
+            f"{SNAPSHOT_DATE} AS snapshot_date",
+            "l_quantity",
+            f"{CLICKS} AS clicks",
+            f"{IMPRESSIONS} AS impressions",
+        )
         .groupBy("keyword_id", "page_id", "snapshot_date")
-        .agg(
-            _position().alias("position"),
-            F.sum("clicks").alias("clicks_30d"),
-            F.sum("impressions").alias("impressions_30d"),
+        .agg({"l_quantity": "min", "clicks": "sum", "impressions": "sum"})
+        .withColumnsRenamed(
+            {"min(l_quantity)": "best", "sum(clicks)": "clicks_30d", "sum(impressions)": "impressions_30d"}
         )
     )
-    by_date = Window.partitionBy("keyword_id", "page_id").orderBy("snapshot_date")
-    year = F.substring("snapshot_date", 1, 4).cast("bigint")
-    return yearly.select(
-        ((F.col("keyword_id") * 10_000_000 + F.col("page_id")) * 10 + (year - 1995)).alias("position_id"),
+    position = "if(best >= 46, 0, cast(best AS int))"
+    return yearly.selectExpr(
+        "(keyword_id * 10000000 + page_id) * 10 + (cast(substr(snapshot_date, 1, 4) AS bigint) - 1995) AS position_id",
         "keyword_id",
         "page_id",
         "snapshot_date",
-        "position",
-        F.lag("position").over(by_date).alias("previous_position"),
+        f"{position} AS position",
+        f"lag({position}) OVER (PARTITION BY keyword_id, page_id ORDER BY snapshot_date) AS previous_position",
         "clicks_30d",
         "impressions_30d",
-        F.when(F.col("impressions_30d") != 0, F.col("clicks_30d") / F.col("impressions_30d")).alias("ctr_30d"),
+        "CASE WHEN impressions_30d <> 0 THEN clicks_30d / impressions_30d END AS ctr_30d",
     )
 
 
 def snapshot_calendar(t: Trade) -> DataFrame:
     """Dates of the snapshots, one row per shipment; good for a maximum without grouping the fact."""
-    return t.lineitem.select(_snapshot_date().alias("snapshot_date"))
+    return t.lineitem.selectExpr(f"{SNAPSHOT_DATE} AS snapshot_date")
 
 
 def issues(t: Trade) -> DataFrame:
     """One issue per error event; an event of no page concerns the whole site."""
-    code = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    detected = F.date_format("ts", "yyyy-MM-dd")
-    errors = t.events.filter("event_type = 'error'").withColumn("code", code)
-    owners = t.supplier.select("s_suppkey", F.col("s_nationkey").cast("bigint").alias("s_nationkey"))
-    return errors.join(owners, F.col("user_id") == F.col("s_suppkey"), "left").select(
-        F.col("event_id").alias("issue_id"),
-        F.coalesce("s_nationkey", F.pmod("code", F.lit(25)).cast("bigint")).alias("site_id"),
-        F.col("s_suppkey").alias("page_id"),
-        F.when(F.col("code") < 20, "noindex")
-        .when(F.col("code") < 40, "content_decay")
-        .when(F.col("code") < 60, "slow_lcp")
-        .when(F.col("code") < 80, "title_too_long")
-        .otherwise("canonical_conflict")
-        .alias("issue_type"),
-        F.when(F.col("value") >= 100, "critical")
-        .when(F.col("value") >= 50, "high")
-        .when(F.col("value") >= 20, "medium")
-        .otherwise("low")
-        .alias("severity"),
-        _as_long(F.col("value")).alias("traffic_at_risk"),
-        detected.alias("detected_at"),
-        F.when(F.col("value") >= 30, detected).alias("resolved_at"),
-        F.when(F.col("value") < 10, "open").when(F.col("value") < 30, "in_progress").otherwise("resolved").alias(
-            "status"
-        ),
+    errors = t.events.filter("event_type = 'error'").selectExpr(
+        "event_id",
+        "user_id",
+        "value",
+        "cast(regexp_extract(props, '([0-9]+)', 1) AS int) AS code",
+        "date_format(ts, 'yyyy-MM-dd') AS day",
+    )
+    owners = t.supplier.selectExpr("s_suppkey", "cast(s_nationkey AS bigint) AS s_nationkey")
+    return errors.join(owners, errors.user_id == owners.s_suppkey, "left").selectExpr(
+        "event_id AS issue_id",
+        "coalesce(s_nationkey, cast(code % 25 AS bigint)) AS site_id",
+        "s_suppkey AS page_id",
+        "CASE WHEN code < 20 THEN 'noindex' WHEN code < 40 THEN 'content_decay' WHEN code < 60 THEN 'slow_lcp'"
+        " WHEN code < 80 THEN 'title_too_long' ELSE 'canonical_conflict' END AS issue_type",
+        "CASE WHEN value >= 100 THEN 'critical' WHEN value >= 50 THEN 'high' WHEN value >= 20 THEN 'medium'"
+        " ELSE 'low' END AS severity",
+        "cast(floor(value) AS bigint) AS traffic_at_risk",
+        "day AS detected_at",
+        "CASE WHEN value >= 30 THEN day END AS resolved_at",
+        "CASE WHEN value < 10 THEN 'open' WHEN value < 30 THEN 'in_progress' ELSE 'resolved' END AS status",
     )
 
 
@@ -215,72 +180,71 @@ def backlinks(t: Trade) -> DataFrame:
     """A customer links to a page of its own nation from which an urgent order was returned."""
     returned = t.lineitem.filter("l_returnflag = 'R'").select("l_orderkey", "l_suppkey")
     urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    suppliers = t.supplier.select("s_suppkey", "s_nationkey")
+    customers = t.customer.selectExpr("c_custkey AS o_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    suppliers = t.supplier.selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS c_nationkey")
     local = (
-        returned.join(urgent, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(
-            suppliers,
-            (F.col("l_suppkey") == F.col("s_suppkey")) & (F.col("c_nationkey") == F.col("s_nationkey")),
-        )
+        returned.join(urgent.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
+        .join(customers, "o_custkey")
+        .join(suppliers, ["l_suppkey", "c_nationkey"])
+        .groupBy("l_suppkey", "o_custkey", "c_acctbal", "c_mktsegment")
+        .agg({"o_orderdate": "min"})
     )
-    authority = F.least(F.greatest(_as_int((F.col("c_acctbal") + 1000.0) / 110.0), F.lit(0)), F.lit(100))
-    return local.groupBy("s_suppkey", "c_custkey", "c_acctbal", "c_mktsegment").agg(
-        F.date_format(F.min("o_orderdate"), "yyyy-MM-dd").alias("first_seen_at")
-    ).select(
-        (F.col("c_custkey") * 10_000_000 + F.col("s_suppkey")).alias("backlink_id"),
-        F.col("s_suppkey").alias("page_id"),
-        F.concat(F.lit("ref"), "c_custkey", F.lit(".example")).alias("referring_domain"),
-        authority.alias("domain_authority"),
-        F.lower("c_mktsegment").alias("link_type"),
-        "first_seen_at",
+    return local.selectExpr(
+        "o_custkey * 10000000 + l_suppkey AS backlink_id",
+        "l_suppkey AS page_id",
+        "concat('ref', o_custkey, '.example') AS referring_domain",
+        "least(greatest(cast(floor((c_acctbal + 1e3) / 1.1e2) AS int), 0), 100) AS domain_authority",
+        "lower(c_mktsegment) AS link_type",
+        "date_format(`min(o_orderdate)`, 'yyyy-MM-dd') AS first_seen_at",
     )
 
 
 def run_log(t: Trade) -> DataFrame:
     """A run per month, which extracted that month's orders; it failed when none of them was urgent
     and open."""
-    month = F.date_format("o_orderdate", "yyyy-MM")
-    urgent_open = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")
-    monthly = t.orders.groupBy(month.alias("month")).agg(
-        F.count(F.lit(1)).alias("rows_extracted"), F.count_if(urgent_open).alias("marked")
+    monthly = (
+        t.orders.selectExpr(
+            "date_format(o_orderdate, 'yyyy-MM') AS month",
+            "1L AS one",
+            "if(o_orderpriority = '1-URGENT' AND o_orderstatus = 'O', 1L, 0L) AS marked",
+        )
+        .groupBy("month")
+        .agg({"one": "sum", "marked": "sum"})
     )
-    year, number = F.substring("month", 1, 4).cast("bigint"), F.substring("month", 6, 2).cast("bigint")
-    return monthly.select(
-        (year * 12 + number).alias("run_id"),
-        F.concat("month", F.lit("-01T00:00:00Z")).alias("started_at"),
-        F.concat("month", F.lit("-01T00:01:00Z")).alias("finished_at"),
-        F.when(F.col("marked") == 0, "failed").otherwise("success").alias("status"),
-        "rows_extracted",
-        F.col("rows_extracted").alias("rows_loaded"),
-        F.lit(None).cast("string").alias("message"),
+    return monthly.selectExpr(
+        "cast(substr(month, 1, 4) AS bigint) * 12 + cast(substr(month, 6, 2) AS bigint) AS run_id",
+        "concat(month, '-01T00:00:00Z') AS started_at",
+        "concat(month, '-01T00:01:00Z') AS finished_at",
+        "if(`sum(marked)` = 0, 'failed', 'success') AS status",
+        "`sum(one)` AS rows_extracted",
+        "`sum(one)` AS rows_loaded",
+        "cast(NULL AS string) AS message",
     )
 
 
 def performance_facts(t: Trade) -> DataFrame:
     """One row per keyword and year, the fact the mart is built on."""
-    parts = t.part.select("p_partkey", _volume().alias("search_volume"), (F.col("p_size") * 2).alias("difficulty"))
     yearly = (
-        _shipments(t)
-        .groupBy("keyword_id", "snapshot_date")
-        .agg(
-            F.min("quantity").cast("int").alias("current_position"),
-            F.sum("clicks").alias("clicks"),
-            F.sum("impressions").alias("impressions"),
+        t.lineitem.selectExpr(
+            "l_partkey AS keyword_id",
+            "year(l_shipdate) AS year",
+            "l_quantity",
+            f"{CLICKS} AS clicks",
+            f"{IMPRESSIONS} AS impressions",
         )
-        .join(parts, F.col("keyword_id") == F.col("p_partkey"))
+        .groupBy("keyword_id", "year")
+        .agg({"l_quantity": "min", "clicks": "sum", "impressions": "sum"})
     )
-    year = F.substring("snapshot_date", 1, 4).cast("bigint")
-    return yearly.select(
-        (F.col("keyword_id") * 10_000 + year).alias("fact_id"),
-        (year * 10_000 + 1231).alias("date_id"),
+    parts = t.part.selectExpr("p_partkey AS keyword_id", f"{VOLUME} AS volume", "p_size * 2 AS difficulty")
+    return yearly.join(parts, "keyword_id").selectExpr(
+        "keyword_id * 10000 + year AS fact_id",
+        "cast(year AS bigint) * 10000 + 1231 AS date_id",
         "keyword_id",
-        "search_volume",
-        F.col("difficulty").alias("keyword_difficulty"),
-        "current_position",
-        F.when(F.col("impressions") != 0, F.col("clicks") / F.col("impressions")).alias("estimated_ctr"),
-        F.col("clicks").alias("estimated_traffic"),
+        "volume AS search_volume",
+        "difficulty AS keyword_difficulty",
+        "cast(`min(l_quantity)` AS int) AS current_position",
+        "CASE WHEN `sum(impressions)` <> 0 THEN `sum(clicks)` / `sum(impressions)` END AS estimated_ctr",
+        "`sum(clicks)` AS estimated_traffic",
     )
 
 
@@ -303,11 +267,11 @@ def star(spark: SparkSession, folder: str) -> Derived:
 def performance(spark: SparkSession, folder: str) -> Derived:
     """The older star: its fact and its keyword dimension."""
     t = Trade(spark, folder)
-    texts = ("keyword_id", F.col("keyword").alias("keyword_text"), "search_intent", "category")
+    texts = ("keyword_id", "keyword AS keyword_text", "search_intent", "category")
     return Derived(
         {
             "fact_keyword_performance": partial(performance_facts, t),
-            "dim_keyword": lambda: keywords(t).select(*texts),
+            "dim_keyword": lambda: keywords(t).selectExpr(*texts),
         }
     )
 
@@ -317,106 +281,81 @@ def performance(spark: SparkSession, folder: str) -> Derived:
 
 def raw_keywords(t: Trade) -> DataFrame:
     """A row per part: few distinct keywords with many copies, odd spacing and case, bad numbers."""
-    kind, size, price = F.col("p_type"), F.col("p_size"), F.col("p_retailprice")
-    shifted = F.round((price - 905.0) * 300.0).cast("bigint")
-    return t.part.select(
-        F.when(size == 50, "   ")
-        .otherwise(F.concat(F.lit("  "), kind, F.lit(" "), F.lower("p_name"), F.lit(" ")))
-        .alias("keyword"),
-        F.when(kind != "SMALL", _category(kind)).when(size < 10, "").otherwise("otros").alias("category"),
-        F.concat(F.lit(" "), _intent(kind)).alias("search_intent"),
-        F.when(price < 902, "n/a").when(price >= 999, "").otherwise(shifted.cast("string")).alias(
-            "monthly_search_volume"
-        ),
-        (size * 2 + 3).cast("string").alias("keyword_difficulty"),
-        F.lit("part").alias("src_feed"),
-        F.col("p_partkey").alias("src_key"),
+    return t.part.selectExpr(
+        "if(p_size = 50, '   ', concat('  ', p_type, ' ', lower(p_name), ' ')) AS keyword",
+        f"CASE WHEN p_type <> 'SMALL' THEN {CATEGORY} WHEN p_size < 10 THEN '' ELSE 'otros' END AS category",
+        f"concat(' ', {INTENT}) AS search_intent",
+        "CASE WHEN p_retailprice < 902 THEN 'n/a' WHEN p_retailprice >= 999 THEN ''"
+        " ELSE cast(cast(round((p_retailprice - 9.05e2) * 3e2) AS bigint) AS string) END AS monthly_search_volume",
+        "cast(p_size * 2 + 3 AS string) AS keyword_difficulty",
+        "'part' AS src_feed",
+        "p_partkey AS src_key",
     )
 
 
-_WORD = r"[^ \t\r\n]+"
-
-
-def _crawled(t: Trade) -> DataFrame:
-    """Web pages with title, first heading and number of words outside tags."""
-    text = F.regexp_replace("html", "<[^>]*>", " ")
-    return t.pages.select(
-        "page_id",
+def raw_pages(t: Trade) -> DataFrame:
+    """Pages of three crawls: shop pages, section pages with many copies, and web pages, of which those
+    of plain http have no proper speed score."""
+    shop = t.supplier.selectExpr(
+        f"concat(' ', {SHOP_URL}, '  ') AS url",
+        "s_name AS title",
+        "lower(s_name) AS h1",
+        "cast(cast(floor(s_acctbal) AS bigint) AS string) AS word_count",
+        "if(s_acctbal < 1000, '', '1') AS indexable",
+        "cast(cast(floor(abs(s_acctbal) / 9e1) AS bigint) AS string) AS page_speed_score",
+        "'a shop' AS src_feed",
+        "s_suppkey AS src_key",
+    )
+    section = t.customer.selectExpr(
+        f"concat(if(c_mktsegment = 'FURNITURE', 'ftp://', 'https://'), {SECTION_URL}) AS url",
+        "c_mktsegment AS title",
+        "cast(NULL AS string) AS h1",
+        "cast(cast(floor(c_acctbal) AS bigint) AS string) AS word_count",
+        "'1' AS indexable",
+        "'' AS page_speed_score",
+        "'b section' AS src_feed",
+        "c_custkey AS src_key",
+    )
+    web = t.pages.selectExpr(
         "url",
-        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
-        F.regexp_extract("html", "<h1>([^<]*)</h1>", 1).alias("h1"),
-        F.regexp_count(text, F.lit(_WORD)).alias("word_count"),
+        f"{TITLE} AS title",
+        f"{HEADING} AS h1",
+        f"cast({WORDS} AS string) AS word_count",
+        "'0' AS indexable",
+        "if(startswith(url, 'https'), '', 'many') AS page_speed_score",
+        "'c web' AS src_feed",
+        "page_id AS src_key",
     )
+    return shop.union(section).union(web)
 
 
-def _section_url() -> Column:
-    return F.concat(F.lit("nation_"), "c_nationkey", F.lit(".example/s/"), F.lower("c_mktsegment"))
+def _named_shipments(t: Trade, keyword: str) -> DataFrame:
+    """Shipments with keyword text and URL in place of the keys."""
+    parts = t.part.selectExpr("p_partkey AS l_partkey", f"{keyword} AS keyword")
+    suppliers = t.supplier.selectExpr("s_suppkey AS l_suppkey", f"concat({SHOP_URL}, ' ') AS url")
+    return t.lineitem.join(parts, "l_partkey").join(suppliers, "l_suppkey")
 
 
-def raw_pages(t: Trade) -> DataFrame:
-    """Pages of three crawls: shop pages, section pages with many copies, and web pages."""
-    balance = F.col("s_acctbal")
-    shop = t.supplier.select(
-        F.concat(F.lit(" "), _supplier_url(), F.lit("  ")).alias("url"),
-        F.col("s_name").alias("title"),
-        F.lower("s_name").alias("h1"),
-        _as_long(balance).cast("string").alias("word_count"),
-        F.when(balance < 1000, "").otherwise("1").alias("indexable"),
-        _as_long(F.abs(balance) / 90.0).cast("string").alias("page_speed_score"),
-        F.lit("a shop").alias("src_feed"),
-        F.col("s_suppkey").alias("src_key"),
-    )
-    scheme = F.when(F.col("c_mktsegment") == "FURNITURE", "ftp://").otherwise("https://")
-    section = t.customer.select(
-        F.concat(scheme, _section_url()).alias("url"),
-        F.col("c_mktsegment").alias("title"),
-        F.lit(None).cast("string").alias("h1"),
-        _as_long(F.col("c_acctbal")).cast("string").alias("word_count"),
-        F.lit("1").alias("indexable"),
-        F.lit("").alias("page_speed_score"),
-        F.lit("b section").alias("src_feed"),
-        F.col("c_custkey").alias("src_key"),
-    )
-    web = _crawled(t).select(
-        "url",
-        "title",
-        "h1",
-        F.col("word_count").cast("string").alias("word_count"),
-        F.lit("0").alias("indexable"),
-        F.lit("many").alias("page_speed_score"),
-        F.lit("c web").alias("src_feed"),
-        F.col("page_id").alias("src_key"),
-    )
-    # Half of the speed scores of web pages are no numbers: those of plain http.
-    speed = F.when(F.col("url").startswith("https"), "").otherwise(F.col("page_speed_score"))
-    return shop.unionByName(section).unionByName(web.withColumn("page_speed_score", speed))
+_SHIPMENT_ORDER = (
+    "l_orderkey AS src_order",
+    "l_linenumber AS src_line",
+    "l_partkey AS src_part",
+    "l_suppkey AS src_supplier",
+    "l_extendedprice AS src_price",
+)
 
 
 def raw_positions(t: Trade) -> DataFrame:
     """A row per shipment, named by keyword text and URL."""
-    quantity, price = F.col("l_quantity").cast("int"), F.col("l_extendedprice")
-    undated = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "N")
-    parts = t.part.select("p_partkey", "p_type", "p_name")
-    suppliers = t.supplier.select("s_suppkey", _supplier_url().alias("s_url"))
-    return (
-        t.lineitem.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
-            F.concat("p_type", F.lit(" "), F.upper("p_name"), F.lit(" ")).alias("keyword"),
-            F.concat("s_url", F.lit(" ")).alias("url"),
-            F.when(undated, " ").otherwise(_snapshot_date()).alias("snapshot_date"),
-            F.when(quantity == 50, "x").otherwise((quantity - 2).cast("string")).alias("position"),
-            F.when(F.col("l_linenumber") == 1, "")
-            .otherwise((F.col("l_linenumber") * 5).cast("string"))
-            .alias("previous_position"),
-            (_as_long(price * F.col("l_discount") / 10.0) - 20).cast("string").alias("clicks_30d"),
-            _as_long(price / 200.0).cast("string").alias("impressions_30d"),
-            F.col("l_orderkey").alias("src_order"),
-            F.col("l_linenumber").alias("src_line"),
-            F.col("l_partkey").alias("src_part"),
-            F.col("l_suppkey").alias("src_supplier"),
-            price.alias("src_price"),
-        )
+    return _named_shipments(t, "concat(p_type, ' ', upper(p_name), ' ')").selectExpr(
+        "keyword",
+        "url",
+        f"if(l_linenumber = 7 AND l_returnflag = 'N', ' ', {SNAPSHOT_DATE}) AS snapshot_date",
+        "if(l_quantity = 50, 'x', cast(cast(l_quantity AS int) - 2 AS string)) AS position",
+        "if(l_linenumber = 1, '', cast(l_linenumber * 5 AS string)) AS previous_position",
+        f"cast({CLICKS} - 20 AS string) AS clicks_30d",
+        "cast(cast(floor(l_extendedprice / 2e2) AS bigint) AS string) AS impressions_30d",
+        *_SHIPMENT_ORDER,
     )
 
 
@@ -425,87 +364,75 @@ def raw_positions(t: Trade) -> DataFrame:
 
 def stored_keywords(t: Trade) -> DataFrame:
     """Keywords already known: those shipped before the first date."""
-    early = t.lineitem.filter(F.col("l_shipdate") < F.lit(FIRST_DATE).cast("timestamp_ntz")).select("l_partkey")
-    return keywords(t).join(early.distinct(), F.col("keyword_id") == F.col("l_partkey"), "left_semi")
+    early = t.lineitem.filter(f"l_shipdate < timestamp_ntz'{FIRST_DATE}'").selectExpr("l_partkey AS keyword_id")
+    return keywords(t).join(early.distinct(), "keyword_id", "left_semi")
 
 
 def staging_keywords(t: Trade) -> DataFrame:
     """All keywords in upper case, some without category, intent or numbers."""
-    kind, size = F.col("p_type"), F.col("p_size")
-    return t.part.select(
-        F.concat(F.lit(" "), F.upper(_keyword_text())).alias("keyword"),
-        F.when(kind == "SMALL", "  ").when(kind != "LARGE", _category(kind)).alias("category"),
-        F.when(kind != "LARGE", _intent(kind)).alias("search_intent"),
-        F.when(size > 5, _volume()).alias("monthly_search_volume"),
-        F.when(size < 45, size * 2).alias("keyword_difficulty"),
-        F.col("p_partkey").alias("src_key"),
+    return t.part.selectExpr(
+        f"concat(' ', upper({KEYWORD})) AS keyword",
+        f"CASE WHEN p_type = 'SMALL' THEN '  ' WHEN p_type <> 'LARGE' THEN {CATEGORY} END AS category",
+        f"CASE WHEN p_type <> 'LARGE' THEN {INTENT} END AS search_intent",
+        f"CASE WHEN p_size > 5 THEN {VOLUME} END AS monthly_search_volume",
+        "CASE WHEN p_size < 45 THEN p_size * 2 END AS keyword_difficulty",
+        "p_partkey AS src_key",
     )
 
 
 def staging_pages(t: Trade) -> DataFrame:
     """A later crawl: known shop pages with gaps, section pages and web pages that are new."""
-    balance = F.col("s_acctbal")
-    shop = t.supplier.select(
-        F.concat(_supplier_url(), F.lit(" ")).alias("url"),
-        F.when(balance >= 2000, F.concat(F.lit("New "), "s_name")).alias("title"),
-        F.when(balance >= 4000, F.col("s_name")).alias("h1"),
-        F.when(balance >= 3000, _as_int(balance / 2.0)).alias("word_count"),
-        F.when(balance >= 6000, 0).alias("indexable"),
-        F.when(balance >= 5000, _as_int(balance / 100.0)).alias("page_speed_score"),
-        F.when(balance >= 1000, "2002-01-07T08:00:00Z").alias("loaded_at"),
-        F.lit("a shop").alias("src_feed"),
-        F.col("s_suppkey").alias("src_key"),
+    shop = t.supplier.selectExpr(
+        f"concat({SHOP_URL}, ' ') AS url",
+        "CASE WHEN s_acctbal >= 2000 THEN concat('New ', s_name) END AS title",
+        "CASE WHEN s_acctbal >= 4000 THEN s_name END AS h1",
+        "CASE WHEN s_acctbal >= 3000 THEN cast(floor(s_acctbal / 2e0) AS int) END AS word_count",
+        "CASE WHEN s_acctbal >= 6000 THEN 0 END AS indexable",
+        "CASE WHEN s_acctbal >= 5000 THEN cast(floor(s_acctbal / 1e2) AS int) END AS page_speed_score",
+        "CASE WHEN s_acctbal >= 1000 THEN '2002-01-07T08:00:00Z' END AS loaded_at",
+        "'a shop' AS src_feed",
+        "s_suppkey AS src_key",
     )
-    worth = F.col("c_acctbal")
-    section = t.customer.select(
-        F.concat(F.lit("https://"), _section_url()).alias("url"),
-        F.concat(F.lit(" "), F.col("c_mktsegment")).alias("title"),
-        F.lit(None).cast("string").alias("h1"),
-        F.when(worth >= 0, _as_int(worth)).alias("word_count"),
-        F.lit(None).cast("int").alias("indexable"),
-        F.lit(None).cast("int").alias("page_speed_score"),
-        F.when(worth >= 5000, "2002-01-08T08:00:00Z").when(worth >= 0, "2002-01-07T08:00:00Z").alias("loaded_at"),
-        F.lit("b section").alias("src_feed"),
-        F.col("c_custkey").alias("src_key"),
+    section = t.customer.selectExpr(
+        f"concat('https://', {SECTION_URL}) AS url",
+        "concat(' ', c_mktsegment) AS title",
+        "cast(NULL AS string) AS h1",
+        "CASE WHEN c_acctbal >= 0 THEN cast(floor(c_acctbal) AS int) END AS word_count",
+        "cast(NULL AS int) AS indexable",
+        "cast(NULL AS int) AS page_speed_score",
+        "CASE WHEN c_acctbal >= 5000 THEN '2002-01-08T08:00:00Z'"
+        " WHEN c_acctbal >= 0 THEN '2002-01-07T08:00:00Z' END AS loaded_at",
+        "'b section' AS src_feed",
+        "c_custkey AS src_key",
     )
-    web = _crawled(t).select(
+    web = t.pages.selectExpr(
         "url",
-        "title",
-        "h1",
-        F.col("word_count").cast("int").alias("word_count"),
-        F.lit(1).alias("indexable"),
-        F.lit(None).cast("int").alias("page_speed_score"),
-        F.lit("2002-01-07T09:00:00Z").alias("loaded_at"),
-        F.lit("c web").alias("src_feed"),
-        F.col("page_id").alias("src_key"),
+        f"{TITLE} AS title",
+        f"{HEADING} AS h1",
+        f"{WORDS} AS word_count",
+        "1 AS indexable",
+        "cast(NULL AS int) AS page_speed_score",
+        "'2002-01-07T09:00:00Z' AS loaded_at",
+        "'c web' AS src_feed",
+        "page_id AS src_key",
     )
-    return shop.unionByName(section).unionByName(web)
+    return shop.union(section).union(web)
 
 
 def stored_positions(t: Trade) -> DataFrame:
-    return positions(t).filter(F.col("snapshot_date") <= CUT_DATE)
+    return positions(t).filter(f"snapshot_date <= '{CUT_DATE}'")
 
 
 def staging_positions(t: Trade) -> DataFrame:
     """Shipments since the overlap date by keyword text and URL, many of them copies of a key."""
-    parts = t.part.select("p_partkey", F.upper(_keyword_text()).alias("keyword"))
-    suppliers = t.supplier.select("s_suppkey", F.concat(_supplier_url(), F.lit(" ")).alias("url"))
     return (
-        t.lineitem.withColumn("snapshot_date", _snapshot_date())
-        .filter(F.col("snapshot_date") >= OVERLAP_DATE)
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .select(
+        _named_shipments(t, f"upper({KEYWORD})")
+        .filter(f"{SNAPSHOT_DATE} >= '{OVERLAP_DATE}'")
+        .selectExpr(
             "keyword",
             "url",
-            "snapshot_date",
-            F.when(F.col("l_quantity") < 46, F.col("l_quantity").cast("int")).alias("position"),
-            F.col("l_orderkey").alias("src_order"),
-            F.col("l_linenumber").alias("src_line"),
-            F.col("l_partkey").alias("src_part"),
-            F.col("l_suppkey").alias("src_supplier"),
-            F.col("l_extendedprice").alias("src_price"),
+            f"{SNAPSHOT_DATE} AS snapshot_date",
+            "CASE WHEN l_quantity < 46 THEN cast(l_quantity AS int) END AS position",
+            *_SHIPMENT_ORDER,
         )
     )
-
-
