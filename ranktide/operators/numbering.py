@@ -23,7 +23,6 @@ def number_rows(
     """``start`` + 1, 2, 3, … in ``order_by`` order, counted anew for each value of ``within``.
 
     ``order_by`` should be unique, which also lets a run of equal leading values spread over tasks.
-    The table of counts has one row per task and ``within`` value met there.
     """
     order = [*[F.asc(c) for c in within], *order_by]
     placed = (
@@ -36,14 +35,14 @@ def number_rows(
         F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
     )
     earlier = Window.partitionBy(*within).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    # Frozen, so that the planner sees how small it is and broadcasts it only then.
-    shifts = freeze(
-        stretches.select(
-            F.col("_task").alias("_of_task"),
-            *[F.col(c).alias(f"_of_{c}") for c in within],
-            (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-        )
+    shifts = stretches.select(
+        F.col("_task").alias("_of_task"),
+        *[F.col(c).alias(f"_of_{c}") for c in within],
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
+    # Without groups there is one row per task that wrote, so the broadcast is bounded by the number of
+    # shuffle partitions. With groups it is frozen: the planner sees its size and broadcasts it if small.
+    shifts = freeze(shifts) if within else F.broadcast(shifts)
     same = F.col("_task") == F.col("_of_task")
     for c in within:
         same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))

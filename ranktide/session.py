@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Recording a Python call site for every column costs more than building the column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 
