@@ -354,6 +354,18 @@ FROM yearly""",
     "rule_noindex": NOINDEX,
     "rule_decay": decay_rule("i.status IN ('open', 'in_progress')"),
     "rule_decay_today": decay_rule(f"i.detected_at = '{RUN_DAY}'"),
+    "batch_load": """
+SELECT 'dim_keyword' AS tabla, count(*) AS filas FROM valid_keywords
+UNION ALL
+SELECT 'dim_page', count(*) FROM valid_pages
+UNION ALL
+SELECT 'fact_keyword_position', count(*) FROM valid_positions
+UNION ALL
+SELECT 'fact_technical_issue', (SELECT count(DISTINCT url) FROM valid_positions JOIN valid_pages USING (url)
+                                WHERE indexable = 0 AND position > 0)
+  + (SELECT count(*) FROM valid_positions WHERE position > 0 AND position - previous_position >= 5)
+UNION ALL
+SELECT 'etl_run_log', 1""",
     "quality_report": LOAD_CHECKS,
     "constraint_report": CONSTRAINT_CHECKS,
     "mart_report": union(

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# All white space at either end, Unicode included, plus the four ASCII separators.
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_INTEGER = r"^[+-]?[0-9]+$"
+# All white space, Unicode included, and the four ASCII separators.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)"
 
 
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, _EDGES, "")
+    """Without white space at either end; a plain trim, which is far cheaper than a pattern."""
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def keyword_key(value: Column) -> Column:
@@ -36,8 +39,8 @@ def url_host(url: Column) -> Column:
 
 def parse_int(value: Column, type_name: str = "bigint") -> Column:
     """Whole number from text; NULL when the text is not one or does not fit."""
-    text = strip(value)
-    return F.when(text.rlike(_INTEGER), text.try_cast(type_name))
+    # The cast takes ordinary white space by itself; other kinds are stripped only if it fails.
+    return F.coalesce(value.try_cast(type_name), strip(value).try_cast(type_name))
 
 
 def is_malformed_int(value: Column, type_name: str = "bigint") -> Column:

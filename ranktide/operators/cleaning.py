@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +36,14 @@ class Cleaned:
 
 
 def reasons(*tests: tuple[Column, Column]) -> Column:
-    """The messages of all tests that hold, in order."""
-    return F.array_compact(F.array(*[F.when(failed, message) for failed, message in tests]))
+    """The messages of all tests that hold, in order. Good rows skip the messages."""
+    any_failed = reduce(or_, [F.coalesce(failed, F.lit(False)) for failed, _ in tests])
+    messages = F.array_compact(F.array(*[F.when(failed, message) for failed, message in tests]))
+    return F.when(any_failed, messages).otherwise(F.array().cast("array<string>"))
+
+
+def _empty(column: str) -> Column:
+    return F.coalesce(F.col(column) == "", F.lit(True))
 
 
 def _with_value(text: str, value: Column) -> Column:
@@ -84,7 +92,7 @@ def check_keywords(raw: DataFrame) -> DataFrame:
     return parsed.withColumn(
         "errors",
         reasons(
-            (is_blank(F.col("keyword")), F.lit("blank keyword")),
+            (_empty("keyword"), F.lit("blank keyword")),
             _malformed("monthly_search_volume", "bigint"),
             (volume < 0, _with_value("negative volume", volume)),
             _malformed("keyword_difficulty"),
@@ -147,7 +155,7 @@ def check_positions(raw: DataFrame) -> DataFrame:
             (position < 0, _with_value("negative position", position)),
             _malformed("previous_position"),
             *[_malformed(c, "bigint") for c in longs],
-            (is_blank(F.col("snapshot_date")), F.lit("empty snapshot date")),
+            (_empty("snapshot_date"), F.lit("empty snapshot date")),
         ),
     ).drop("_raw_position", "_raw_previous_position", *[f"_raw_{c}" for c in longs])
 

@@ -13,11 +13,13 @@ from ranktide.operators import cleaning, loading, quality, rules
 from ranktide.operators.numbering import number_rows
 from ranktide.operators.snapshots import PAIR, stage_against_history
 from ranktide.plans import analyses, mart, views
+from ranktide.plans.batch import load_exports
 from ranktide.schemas import EXPORT_COLUMNS
 from ranktide.session import shared_folder
 from ranktide.sources import trade
 from ranktide.sources.exports import read_export, tag_batch
 from ranktide.sources.legacy import copy_tables
+from ranktide.sources.store import Store
 from ranktide.sources.trade import FEED_ORDER, POSITION_ORDER, Trade
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,13 +84,29 @@ def dedupe_positions(spark: SparkSession, folder: str) -> DataFrame:
     return first.select("keyword", "url", "snapshot_date", "position", "clicks_30d", "impressions_30d")
 
 
+def write_export(df: DataFrame, folder: str, entity: str) -> None:
+    """An export as CSV, its rows in the order of ``df``."""
+    columns = df.select(*EXPORT_COLUMNS[entity])
+    columns.write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(f"{folder}/{entity}.csv")
+
+
+def batch_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole run: the raw exports as CSV, loaded into a new store; its tables are counted."""
+    t, where = Trade(spark, folder), _scratch(spark)
+    write_export(trade.raw_keywords(t).orderBy(*FEED_ORDER), where, "keywords")
+    write_export(trade.raw_pages(t).orderBy(*FEED_ORDER), where, "pages")
+    write_export(trade.raw_positions(t).orderBy(*POSITION_ORDER), where, "positions")
+    store = Store(spark, f"{where}/store")
+    load_exports(store, where, LATE_RUN_DAY, "batch-1")
+    return analyses.table_counts(store.tables())
+
+
 def read_positions_export(spark: SparkSession, folder: str) -> DataFrame:
     """The raw positions written as CSV, read back as an export and tagged with a batch."""
     where = _scratch(spark)
-    raw = trade.raw_positions(Trade(spark, folder)).select(*EXPORT_COLUMNS["positions"])
-    raw.write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).option(
-        "ignoreLeadingWhiteSpace", False
-    ).csv(f"{where}/positions.csv")
+    write_export(trade.raw_positions(Trade(spark, folder)), where, "positions")
     staged = tag_batch(read_export(spark, where, "positions"), "batch-1", "2002-01-07T08:00:00Z")
     return staged.select(*EXPORT_COLUMNS["positions"], "load_id")
 
@@ -197,6 +215,7 @@ QUERIES: dict[str, Query] = {
     "rule_noindex": rule_noindex,
     "rule_decay": _rule_decay("open"),
     "rule_decay_today": _rule_decay("today"),
+    "batch_load": batch_load,
     # quality and monitoring
     "quality_report": _over_star(quality.load_checks),
     "constraint_report": _over_star(quality.constraint_checks),
