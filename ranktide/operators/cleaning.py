@@ -234,7 +234,12 @@ def clean_positions(
     raw: DataFrame, keywords: DataFrame, pages: DataFrame, order: Sequence[str] = SOURCE_ORDER
 ) -> Cleaned:
     """Valid positions of known keywords and URLs, with coherent metrics."""
-    cleaned = _split(mark_orphans(check_positions(raw), keywords, pages), "positions", order)
+    return split_positions(mark_orphans(check_positions(raw), keywords, pages), order)
+
+
+def split_positions(marked: DataFrame, order: Sequence[str] = SOURCE_ORDER) -> Cleaned:
+    """Checked and marked positions parted into valid and rejected ones."""
+    cleaned = _split(marked, "positions", order)
     return Cleaned(cohere_metrics(cleaned.valid), cleaned.quarantine)
 
 

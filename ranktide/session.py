@@ -8,8 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a run needs to behave well on a large cluster. All are runtime SQL settings except the
-# first two; none depends on the size of the machine.
+# Settings a run needs to behave well on a large cluster; none depends on the size of the machine.
 SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -27,6 +26,17 @@ SETTINGS = {
 }
 
 
+# The part of them that a session made elsewhere can still take on.
+ADAPTIVE = tuple(key for key in SETTINGS if key.startswith("spark.sql.adaptive."))
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Turns on adaptive execution with splitting of hot join keys in a session made elsewhere."""
+    for key in ADAPTIVE:
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def build_session(master: str | None = None, app_name: str = "ranktide", **overrides: str) -> SparkSession:
     """A session with ``SETTINGS``; ``overrides`` uses ``__`` for the dots of a setting name."""
     builder = SparkSession.builder.appName(app_name)
