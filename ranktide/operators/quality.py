@@ -132,6 +132,13 @@ def failed(report: DataFrame) -> DataFrame:
     return report.filter("status = 'FAIL'")
 
 
+def require(report: DataFrame) -> None:
+    """Raises when a check failed, naming the failed ones. A report has a row per check."""
+    broken = [f"{row['check']}: {row['violations']}" for row in failed(report).collect()]
+    if broken:
+        raise ValueError("failed checks: " + "; ".join(broken))
+
+
 # --- Monitoring ------------------------------------------------------------------------------------
 
 

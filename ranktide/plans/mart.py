@@ -85,6 +85,17 @@ def quick_wins_mart(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def build(tables: Mapping[str, DataFrame], target: str) -> DataFrame:
+    """The mart as a table under ``target``, replacing an earlier one; the staging step is only a view.
+
+    Returns the table read back. ``tables`` must not be read from ``target``.
+    """
+    stage_performance(tables["fact_keyword_performance"]).createOrReplaceTempView("stg_fact_keyword_performance")
+    mart = quick_wins_mart(tables)
+    mart.write.mode("overwrite").parquet(target)
+    return mart.sparkSession.read.schema(mart.schema).parquet(target)
+
+
 def class_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and total priority per class. The rankings play no part in it and are not computed."""
     keywords = tables["dim_keyword"].select("keyword_id")
