@@ -33,17 +33,18 @@ FROM fact_keyword_position JOIN dim_keyword USING (keyword_id) JOIN dim_page USI
 JOIN dim_site USING (site_id)"""
 
 EXECUTIVE_SUMMARY = """
-SELECT domain, count(DISTINCT p.page_id) AS n_pages, count(DISTINCT k.keyword_id) AS n_keywords,
-  count(*) FILTER (WHERE position BETWEEN 1 AND 3) AS keywords_top3,
-  count(*) FILTER (WHERE position BETWEEN 4 AND 10) AS keywords_top10,
-  CAST(sum(clicks_30d) AS bigint) AS total_clicks_30d, CAST(sum(impressions_30d) AS bigint) AS total_impressions_30d,
-  (SELECT count(*) FROM active_issue i WHERE i.site_id = s.site_id) AS open_issues,
-  (SELECT CAST(coalesce(sum(traffic_at_risk), 0) AS bigint) FROM active_issue i WHERE i.site_id = s.site_id)
-    AS traffic_at_risk
-FROM dim_site s LEFT JOIN dim_page p ON p.site_id = s.site_id
-LEFT JOIN fact_keyword_position f ON f.page_id = p.page_id
-LEFT JOIN dim_keyword k ON k.keyword_id = f.keyword_id
-GROUP BY s.site_id, domain"""
+SELECT domain, coalesce(n_pages, 0) AS n_pages, coalesce(n_keywords, 0) AS n_keywords,
+  coalesce(top3, 0) AS keywords_top3, coalesce(top10, 0) AS keywords_top10, clicks AS total_clicks_30d,
+  impressions AS total_impressions_30d, coalesce(n_issues, 0) AS open_issues, coalesce(risk, 0) AS traffic_at_risk
+FROM dim_site
+LEFT JOIN (SELECT site_id, count(*) AS n_pages FROM dim_page GROUP BY site_id) USING (site_id)
+LEFT JOIN (SELECT site_id, len(list_distinct(list(keyword_id))) AS n_keywords,
+             count_if(position IN (1, 2, 3)) AS top3, count_if(position > 3 AND position < 11) AS top10,
+             CAST(sum(clicks_30d) AS bigint) AS clicks, CAST(sum(impressions_30d) AS bigint) AS impressions
+           FROM fact_keyword_position SEMI JOIN dim_keyword USING (keyword_id) JOIN dim_page USING (page_id)
+           GROUP BY site_id) USING (site_id)
+LEFT JOIN (SELECT site_id, count(*) AS n_issues, CAST(sum(traffic_at_risk) AS bigint) AS risk
+           FROM active_issue GROUP BY site_id) USING (site_id)"""
 
 NEW_PAGES = f"""
 SELECT (SELECT max(page_id) FROM dim_page) + row_number() OVER (ORDER BY url) AS page_id,
@@ -58,10 +59,10 @@ NOINDEX = """
 SELECT (SELECT max(issue_id) FROM fact_technical_issue) + row_number() OVER (ORDER BY page_id) AS issue_id, site_id,
   page_id, 'noindex' AS issue_type, 'critical' AS severity, CAST(0 AS bigint) AS traffic_at_risk,
   '2002-01-31' AS detected_at, CAST(NULL AS varchar) AS resolved_at, 'open' AS status
-FROM dim_page p
-WHERE indexable = 0
-  AND EXISTS (SELECT 1 FROM fact_keyword_position f WHERE f.page_id = p.page_id AND f.position > 0)
-  AND NOT EXISTS (SELECT 1 FROM active_issue i WHERE i.page_id = p.page_id AND i.issue_type = 'noindex')"""
+FROM (SELECT page_id FROM dim_page WHERE indexable = 0
+      INTERSECT SELECT page_id FROM fact_keyword_position WHERE position > 0
+      EXCEPT SELECT page_id FROM active_issue WHERE issue_type = 'noindex')
+JOIN dim_page USING (page_id)"""
 
 
 def decay_rule(silenced_by: str) -> str:
@@ -72,10 +73,9 @@ SELECT (SELECT max(issue_id) FROM fact_technical_issue)
   CASE WHEN position - previous_position >= 8 THEN 'high' ELSE 'medium' END AS severity,
   CAST(0 AS bigint) AS traffic_at_risk, '{RUN_DAY}' AS detected_at, CAST(NULL AS varchar) AS resolved_at,
   'open' AS status
-FROM fact_keyword_position f JOIN dim_page p USING (page_id)
-WHERE position > 0 AND position - previous_position >= 5
-  AND NOT EXISTS (SELECT 1 FROM fact_technical_issue i
-                  WHERE i.page_id = f.page_id AND i.issue_type = 'content_decay' AND {silenced_by})"""
+FROM (SELECT * FROM fact_keyword_position WHERE position BETWEEN 1 AND 50 AND position >= previous_position + 5)
+JOIN dim_page USING (page_id)
+ANTI JOIN (SELECT * FROM fact_technical_issue WHERE issue_type = 'content_decay' AND {silenced_by}) USING (page_id)"""
 
 
 # An error day of the events, so that the "detected today" suppression finds something.
@@ -203,19 +203,20 @@ SELECT domain, category, count(DISTINCT keyword_id) AS n_keywords,
 FROM latest JOIN dim_keyword USING (keyword_id) JOIN dim_page USING (page_id) JOIN dim_site USING (site_id)
 GROUP BY domain, category""",
     "indexation_health": """
-SELECT domain, p.page_id, url, indexable, page_speed_score, count(issue_id) AS open_issues,
-  CAST(coalesce(sum(traffic_at_risk), 0) AS bigint) AS traffic_at_risk
-FROM dim_page p JOIN dim_site s ON s.site_id = p.site_id LEFT JOIN active_issue i ON i.page_id = p.page_id
-GROUP BY domain, p.page_id, url, indexable, page_speed_score""",
+SELECT domain, page_id, url, indexable, page_speed_score, coalesce(n, 0) AS open_issues,
+  coalesce(risk, 0) AS traffic_at_risk
+FROM dim_page JOIN dim_site USING (site_id)
+LEFT JOIN (SELECT page_id, count(*) AS n, CAST(sum(traffic_at_risk) AS bigint) AS risk FROM active_issue
+           GROUP BY page_id) USING (page_id)""",
     "backlink_gaps": f"""
-SELECT p.page_id, domain, url, count(DISTINCT k.keyword_id) AS n_keywords_ranking,
-  count(DISTINCT referring_domain) AS n_referring_domains, {half_up('avg(position)')} AS avg_position,
-  coalesce({half_up('avg(domain_authority)', 1)}, 0) AS avg_domain_authority
-FROM dim_page p JOIN dim_site USING (site_id)
-LEFT JOIN fact_keyword_position f ON f.page_id = p.page_id AND f.position > 0
-LEFT JOIN dim_keyword k ON k.keyword_id = f.keyword_id
-LEFT JOIN fact_backlink b ON b.page_id = p.page_id
-GROUP BY p.page_id, domain, url HAVING count(DISTINCT k.keyword_id) > 0""",
+SELECT page_id, domain, url, n_keywords AS n_keywords_ranking, coalesce(n_domains, 0) AS n_referring_domains,
+  {half_up('mean_position')} AS avg_position, coalesce({half_up('mean_authority', 1)}, 0) AS avg_domain_authority
+FROM dim_page JOIN dim_site USING (site_id)
+JOIN (SELECT page_id, count(DISTINCT keyword_id) AS n_keywords, avg(position) AS mean_position
+      FROM fact_keyword_position SEMI JOIN dim_keyword USING (keyword_id) WHERE position > 0
+      GROUP BY page_id) USING (page_id)
+LEFT JOIN (SELECT page_id, count(DISTINCT referring_domain) AS n_domains, avg(domain_authority) AS mean_authority
+           FROM fact_backlink GROUP BY page_id) USING (page_id)""",
     "executive_summary": EXECUTIVE_SUMMARY,
     "almost_winning": """
 SELECT keyword, url, position, monthly_search_volume, clicks_30d, impressions_30d
@@ -230,11 +231,12 @@ WHERE position - previous_position >= 3""",
 SELECT issue_type, severity, count(*) AS n_issues, CAST(sum(traffic_at_risk) AS bigint) AS trafico_en_riesgo
 FROM active_issue GROUP BY issue_type, severity""",
     "noindex_impressions": """
-SELECT url, indexable, CAST(sum(impressions_30d) AS bigint) AS impresiones_30d,
-  CAST(sum(clicks_30d) AS bigint) AS clicks_30d, count(DISTINCT k.keyword_id) AS keywords_asociadas
-FROM dim_page p LEFT JOIN fact_keyword_position f ON f.page_id = p.page_id
-LEFT JOIN dim_keyword k ON k.keyword_id = f.keyword_id
-WHERE indexable = 0 GROUP BY p.page_id, url, indexable HAVING sum(impressions_30d) > 0""",
+SELECT url, indexable, impresiones_30d, clicks_30d, keywords_asociadas
+FROM (SELECT page_id, CAST(sum(impressions_30d) AS bigint) AS impresiones_30d,
+        CAST(sum(clicks_30d) AS bigint) AS clicks_30d, len(list_distinct(list(keyword_id))) AS keywords_asociadas
+      FROM fact_keyword_position SEMI JOIN dim_keyword USING (keyword_id) GROUP BY page_id)
+JOIN dim_page USING (page_id)
+WHERE indexable = 0 AND impresiones_30d > 0""",
     "cannibalization": """
 SELECT keyword, count(DISTINCT page_id) AS n_paginas_compitiendo, CAST(0 AS bigint) AS parte,
   string_agg(url, ' | ' ORDER BY url) AS urls
@@ -246,10 +248,9 @@ SELECT keyword, url, position, impressions_30d, {half_up('ctr_30d * 100')} AS ct
 FROM latest JOIN dim_keyword USING (keyword_id) JOIN dim_page USING (page_id)
 WHERE impressions_30d > 500 AND ctr_30d * 100 < {BENCHMARK}""",
     "ranking_without_backlinks": """
-SELECT keyword, url, position, keyword_difficulty,
-  (SELECT count(*) FROM fact_backlink b WHERE b.page_id = p.page_id) AS backlinks
-FROM latest f JOIN dim_keyword USING (keyword_id) JOIN dim_page p ON p.page_id = f.page_id
-WHERE position BETWEEN 5 AND 20 AND NOT EXISTS (SELECT 1 FROM fact_backlink b WHERE b.page_id = p.page_id)""",
+SELECT keyword, url, position, keyword_difficulty, CAST(0 AS bigint) AS backlinks
+FROM latest ANTI JOIN fact_backlink USING (page_id) JOIN dim_keyword USING (keyword_id) JOIN dim_page USING (page_id)
+WHERE position >= 5 AND position <= 20""",
     "clicks_trend": f"""
 SELECT domain, snapshot_date, CAST(sum(clicks_30d) AS bigint) AS clicks_30d,
   CAST(sum(impressions_30d) AS bigint) AS impressions_30d,
@@ -259,15 +260,14 @@ FROM fact_keyword_position JOIN dim_page USING (page_id) JOIN dim_site USING (si
 GROUP BY domain, snapshot_date""",
     "executive_report": EXECUTIVE_SUMMARY,
     "page_health": f"""
-SELECT url, page_speed_score, keywords_posicionadas, {half_up('score', 1)} AS score_posiciones,
-  {half_up('score * 5e-1 + coalesce(page_speed_score, 0) * 3e-1 + (100 - least(penalty, 100)) * 2e-1', 1)}
+SELECT url, page_speed_score, coalesce(n, 0) AS keywords_posicionadas, {half_up('score', 1)} AS score_posiciones,
+  {half_up('score * 5e-1 + coalesce(page_speed_score, 0) * 3e-1 + (100 - least(coalesce(penalty, 0), 100)) * 2e-1', 1)}
     AS health_score
-FROM (SELECT p.page_id, url, page_speed_score, count(DISTINCT k.keyword_id) AS keywords_posicionadas,
-        avg(CASE WHEN position > 0 THEN (11 - least(position, 10)) * 1e1 END) AS score,
-        (SELECT 20 * count(*) FROM active_issue i WHERE i.page_id = p.page_id) AS penalty
-      FROM dim_page p LEFT JOIN fact_keyword_position f ON f.page_id = p.page_id
-      LEFT JOIN dim_keyword k ON k.keyword_id = f.keyword_id
-      GROUP BY p.page_id, url, page_speed_score) h""",
+FROM dim_page
+LEFT JOIN (SELECT page_id, count(DISTINCT keyword_id) AS n,
+             avg(1e2 - 1e1 * (least(position, 10) - 1)) FILTER (WHERE position <> 0) AS score
+           FROM fact_keyword_position SEMI JOIN dim_keyword USING (keyword_id) GROUP BY page_id) USING (page_id)
+LEFT JOIN (SELECT page_id, 20 * count(*) AS penalty FROM active_issue GROUP BY page_id) USING (page_id)""",
     "table_counts": union(
         [
             f"SELECT '{t}' AS tabla, count(*) AS filas FROM {t}"
@@ -352,8 +352,8 @@ FROM fresh_positions JOIN dim_keyword USING (keyword_id) JOIN dim_page USING (pa
 SELECT row_number() OVER (ORDER BY snapshot_date, keyword_id, page_id) AS row_id, snapshot_date, keyword_id, page_id
 FROM yearly""",
     "rule_noindex": NOINDEX,
-    "rule_decay": decay_rule("i.status IN ('open', 'in_progress')"),
-    "rule_decay_today": decay_rule(f"i.detected_at = '{RUN_DAY}'"),
+    "rule_decay": decay_rule("status IN ('open', 'in_progress')"),
+    "rule_decay_today": decay_rule(f"detected_at = '{RUN_DAY}'"),
     "batch_load": """
 SELECT 'dim_keyword' AS tabla, count(*) AS filas FROM valid_keywords
 UNION ALL

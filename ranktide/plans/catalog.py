@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +13,7 @@ from ranktide.operators.snapshots import PAIR, stage_against_history
 from ranktide.plans import analyses, mart, views
 from ranktide.plans.batch import load_exports
 from ranktide.schemas import EXPORT_COLUMNS
-from ranktide.session import shared_folder
+from ranktide.session import application_folder
 from ranktide.sources import trade
 from ranktide.sources.exports import read_export, tag_batch
 from ranktide.sources.legacy import copy_tables
@@ -36,7 +34,7 @@ def _over_performance(plan: Callable[..., DataFrame]) -> Query:
 
 
 def _scratch(spark: SparkSession) -> str:
-    return os.path.join(shared_folder(spark), "scratch", uuid.uuid4().hex)
+    return application_folder(spark, "scratch")
 
 
 def _clean(t: Trade) -> tuple[cleaning.Cleaned, cleaning.Cleaned, cleaning.Cleaned]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,12 +63,17 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def application_folder(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder, under the application's own, which may go when it has ended."""
+    return "/".join([shared_folder(spark).rstrip("/"), spark.sparkContext.applicationId, kind, uuid.uuid4().hex])
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a value must not change when a task is run again (row numbers), or where the size of
     an intermediate result should be known to the planner. Losing executors afterwards loses nothing.
     """
-    path = os.path.join(shared_folder(df.sparkSession), "frozen", uuid.uuid4().hex)
+    path = application_folder(df.sparkSession, "frozen")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
