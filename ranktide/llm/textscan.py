@@ -89,9 +89,10 @@ class Words:
     bounds: np.ndarray  # first word of each text, and the end of the last
 
 
-def find_words(data: np.ndarray, bounds: np.ndarray) -> Words:
+def find_words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = SPACE) -> Words:
+    """Maximal runs of bytes for which ``between`` is false; none crosses texts."""
     inside = np.zeros(len(data) + 2, dtype=bool)
-    np.logical_not(SPACE[data], out=inside[1:-1])
+    np.logical_not(between[data], out=inside[1:-1])
     opens = inside[1:-1] & ~inside[:-2]
     closes = inside[1:-1] & ~inside[2:]
     cuts = bounds[(bounds > 0) & (bounds < len(data))]
