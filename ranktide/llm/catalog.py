@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ranktide.llm.language import op4_language_id
 from ranktide.llm.quality import op9_weak_supervision
+from ranktide.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language_id": op4_language_id,
+    "op8_toxicity": op8_toxicity,
     "op9_weak_supervision": op9_weak_supervision,
 }
 

@@ -10,14 +10,17 @@ Example = tuple[np.ndarray, np.ndarray]  # distinct feature indices and their va
 class Leader:
     """Per-coordinate FTRL-proximal with elastic-net penalties; one weight column per output.
 
-    The last feature row is the intercept, which carries no penalty.
+    The last feature row is the intercept, which carries no penalty. With ``rising`` no feature weight is negative:
+    a feature can only raise the score.
     """
 
-    def __init__(self, features: int, outputs: int, rate: float, smooth: float, l1: float, l2: float) -> None:
+    def __init__(
+        self, features: int, outputs: int, rate: float, smooth: float, l1: float, l2: float, rising: bool = False
+    ) -> None:
         self.pull = np.zeros((features + 1, outputs))
         self.squares = np.zeros((features + 1, outputs))
         self.rate, self.smooth, self.l1, self.l2 = rate, smooth, l1, l2
-        self.bias = features
+        self.bias, self.rising = features, rising
 
     def rows(self, index: np.ndarray) -> np.ndarray:
         """Current weights of some feature rows."""
@@ -25,7 +28,8 @@ class Leader:
         free = (index == self.bias)[:, None]
         l1, l2 = np.where(free, 0.0, self.l1), np.where(free, 0.0, self.l2)
         shrunk = np.sign(pull) * np.maximum(np.abs(pull) - l1, 0)
-        return -shrunk / ((self.smooth + np.sqrt(squares)) / self.rate + l2)
+        weights = -shrunk / ((self.smooth + np.sqrt(squares)) / self.rate + l2)
+        return np.where(free, weights, np.maximum(weights, 0)) if self.rising else weights
 
     def step(self, index: np.ndarray, weights: np.ndarray, gradient: np.ndarray) -> None:
         before = self.squares[index]
