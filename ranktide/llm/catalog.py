@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ranktide.llm.language import op4_language_id
+from ranktide.llm.maintext import op6_main_text
 from ranktide.llm.quality import op9_weak_supervision
+from ranktide.llm.tokenfile import op10_token_files
 from ranktide.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
+    "op6_main_text": op6_main_text,
     "op8_toxicity": op8_toxicity,
     "op9_weak_supervision": op9_weak_supervision,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE: dict[str, str] = {}
