@@ -1,14 +1,18 @@
 """Operator 5: byte-level BPE encoding and decoding.
 
 Within each task the texts are cut into pieces (``pretokens``), and every distinct piece that is no token of its own goes
-once through the merges: a fold of Spark's higher-order functions over the ids of its bytes, which in each step
-joins the leftmost pair of the lowest rank. The ranks are a literal: a hash table in one array, in which the
-ranks of all pairs of tokens that join to a token are found by position, so that a lookup does not search. The
-documents' ids are put together from the pieces' ids, and decoding concatenates the tokens' bytes.
+once through the merges, which in each step join the leftmost pair of the lowest rank. The documents' ids are put
+together from the pieces' ids, and decoding concatenates the tokens' bytes. Nothing is shuffled; a task's word table is
+cleared at ``MOST_WORDS``.
 
-Nothing is shuffled: cutting, folding and assembling run one after the other in the same task, on slices of about a
-MB of text; a task's word table is cleared at ``MOST_WORDS``. Pieces over FOLD_BYTES, for which the fold's work
-would grow with the square of their length, are merged by the same rule with a heap.
+Two forms of the merges give the same ids. ``merges="fold"`` is a fold of Spark's higher-order functions over the ids of
+a word's bytes; the ranks are a literal, a hash table in one array, in which the ranks of all pairs of tokens that
+join to a token are found by position, so that a lookup does not search. ``merges="task"``, the default, does the same
+steps in the Python worker that cuts the texts: interpreted expressions need some 25 times the processor time, and no
+processor budget holds them (figures in the README).
+
+Pieces over FOLD_BYTES, for which the work of these forms would grow with the square of their length, are merged by the
+same rule with a heap.
 
 Defined results: null and empty texts have no ids; special tokens are not recognised; repeated rows and ids get a row
 each; an empty table gives an empty result; columns besides doc_id and text are ignored.
@@ -27,11 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranktide.llm.pretokens import Pretokenizer, gather
+from ranktide.llm.pretokens import Pretokenizer, Vocabulary, gather
 from ranktide.llm.runtime import documents, ready, slices, table, to_batches
 
 FOLD_BYTES = 48
-MOST_WORDS = 400_000
+MOST_WORDS = 1_000_000
 BATCH_ROWS = 32  # rows of the assembled slices are large
 NO_RANK = 0xFFFF
 FINISHED = -1  # the last element of a word that has no pair left to join
@@ -125,6 +129,24 @@ def folded(word: Column, table: list[int]) -> Column:
     return F.filter(merged, lambda i: i != FINISHED)
 
 
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word of at least two bytes."""
+    if len(word) > FOLD_BYTES:
+        return merge_long(word, ranks)
+    parts = [word[i : i + 1] for i in range(len(word))]
+    rank = ranks.get
+    pairs = [rank(word[i : i + 2], NO_RANK) for i in range(len(word) - 1)]
+    while pairs and (low := min(pairs)) != NO_RANK:
+        i = pairs.index(low)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], NO_RANK)
+        if i < len(pairs):
+            pairs[i] = rank(parts[i] + parts[i + 1], NO_RANK)
+    return [ranks[p] for p in parts]
+
+
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same merges with a heap of pairs, for long words."""
     parts = [word[i : i + 1] for i in range(len(word))]
@@ -297,8 +319,36 @@ def _documents(doc_ids: list, ids: np.ndarray, cuts: np.ndarray, pieces: Pieces,
     return to_batches(columns, DIGESTS)
 
 
-def _encoded(df: DataFrame, path: str | None, digests: bool, schema: str) -> DataFrame:
+def _encoder(path: str, digests: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Cutting, merging, assembling and decoding in one worker."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = None
+        for batch in _gathered(batches):
+            if words is None:
+                ranks = read_ranks(path)
+                words, cutter, pieces = Vocabulary(lambda new: _merged(new, ranks), MOST_WORDS), Pretokenizer(), Pieces(ranks)
+            ids, cuts = words.ids([t or "" for t in batch.column("text").to_pylist()], cutter)
+            yield _documents(batch.column("doc_id").to_pylist(), ids.astype("<u4"), cuts, pieces, digests)
+
+    return encode
+
+
+def _merged(words: list[str], ranks: dict[bytes, int]) -> list[np.ndarray]:
+    found = []
+    for word in words:
+        content = word.encode("utf-8", "surrogatepass")
+        whole = ranks.get(content)
+        found.append(np.array([whole] if whole is not None else merge(content, ranks), dtype=np.uint32))
+    return found
+
+
+def _encoded(df: DataFrame, path: str | None, merges: str, digests: bool, schema: str) -> DataFrame:
     spark = ready(df.sparkSession)
+    if merges == "task":
+        return documents(df).mapInArrow(_encoder(path or vocabulary_path(), digests), schema=schema)
+    if merges != "fold":
+        raise ValueError(f"unknown form of merges: {merges}")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     path = path or vocabulary_path()
     cut_schema = (
@@ -310,14 +360,14 @@ def _encoded(df: DataFrame, path: str | None, digests: bool, schema: str) -> Dat
     return words.mapInArrow(_assembler(path, digests), schema=schema)
 
 
-def encode(df: DataFrame, path: str | None = None) -> DataFrame:
+def encode(df: DataFrame, path: str | None = None, merges: str = "task") -> DataFrame:
     """``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and the ``decoded`` bytes of every row."""
-    return _encoded(df, path, False, ENCODED)
+    return _encoded(df, path, merges, False, ENCODED)
 
 
-def digest(df: DataFrame, path: str | None = None) -> DataFrame:
+def digest(df: DataFrame, path: str | None = None, merges: str = "task") -> DataFrame:
     """``doc_id``, ``n_tokens`` and the digests of ids and of decoded bytes of every row."""
-    return _encoded(df, path, True, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _encoded(df, path, merges, True, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

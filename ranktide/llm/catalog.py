@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ranktide.llm.bpe import op5_byte_bpe
 from ranktide.llm.language import op4_language_id
 from ranktide.llm.maintext import op6_main_text
 from ranktide.llm.quality import op9_weak_supervision
@@ -14,6 +15,7 @@ from ranktide.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_main_text": op6_main_text,
     "op8_toxicity": op8_toxicity,
     "op9_weak_supervision": op9_weak_supervision,
