@@ -8,8 +8,8 @@ cleared at ``MOST_WORDS``.
 Two forms of the merges give the same ids. ``merges="fold"`` is a fold of Spark's higher-order functions over the ids of
 a word's bytes; the ranks are a literal, a hash table in one array, in which the ranks of all pairs of tokens that
 join to a token are found by position, so that a lookup does not search. ``merges="task"``, the default, does the same
-steps in the Python worker that cuts the texts: interpreted expressions need some 25 times the processor time, and no
-processor budget holds them (figures in the README).
+steps in the Python worker that cuts the texts: interpreted expressions need many times the processor time, more than the
+budget of the check tool holds (figures in the README).
 
 Pieces over FOLD_BYTES, for which the work of these forms would grow with the square of their length, are merged by the
 same rule with a heap.
@@ -66,12 +66,12 @@ def joins(ranks: dict[bytes, int]) -> dict[int, int]:
 
 
 def _places(pair: int, size: int) -> tuple[int, int]:
-    return pair * MULTIPLIERS[0] % size, pair * MULTIPLIERS[1] % size
+    return pair * MULTIPLIERS[0] % size, size + pair * MULTIPLIERS[1] % (size + 2)
 
 
 def rank_table(pairs: dict[int, int]) -> list[int]:
-    """The pairs in a hash table of two places each (cuckoo hashing); an entry is ``pair * 65536 + rank``."""
-    size = max(11, len(pairs) * 5 // 2) | 1
+    """The pairs in a hash table of two halves, with a place in each (cuckoo hashing); an entry is ``pair * 65536 + rank``."""
+    size = max(11, len(pairs) * 3 // 2) | 1
     while True:
         places: dict[int, int] = {}
         for pair in pairs:
@@ -86,20 +86,20 @@ def rank_table(pairs: dict[int, int]) -> list[int]:
             else:
                 break
         else:
-            return [(places[i] << 16) + pairs[places[i]] if i in places else 0 for i in range(size)]
-        size += size // 8 | 1
+            return [(places[i] << 16) + pairs[places[i]] if i in places else 0 for i in range(2 * size + 2)]
+        size += size // 8 * 2 + 2
 
 
 def folded(word: Column, table: list[int]) -> Column:
     """The ids of a word, given as the ids of its bytes, by a fold that joins one pair in each step."""
     # Parsed once, when the plan is optimised, to a literal array.
     literal = F.from_json(F.lit("[" + ",".join(map(str, table)) + "]"), "array<bigint>")
-    none = F.lit(NO_RANK)
+    none, half = F.lit(NO_RANK), len(table) // 2 - 1
 
     def rank(left: Column, right: Column) -> Column:
         pair = left.cast("long") * 65536 + right
-        first = F.get(literal, (pair * MULTIPLIERS[0] % len(table)).cast("int"))
-        second = F.get(literal, (pair * MULTIPLIERS[1] % len(table)).cast("int"))
+        first = F.get(literal, (pair * MULTIPLIERS[0] % half).cast("int"))
+        second = F.get(literal, (pair * MULTIPLIERS[1] % (half + 2) + half).cast("int"))
         value = lambda slot: slot.bitwiseAND(0xFFFF).cast("int")
         return (
             F.when(F.shiftright(first, 16) == pair, value(first))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ranktide.llm.bpe import op5_byte_bpe
+from ranktide.llm.contamination import ORACLE_SQL as CONTAMINATION_SQL
+from ranktide.llm.contamination import op1_decontamination
 from ranktide.llm.language import op4_language_id
 from ranktide.llm.maintext import op6_main_text
 from ranktide.llm.quality import op9_weak_supervision
@@ -14,6 +16,7 @@ from ranktide.llm.tokenfile import op10_token_files
 from ranktide.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op4_language_id": op4_language_id,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_main_text": op6_main_text,
@@ -22,4 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_decontamination": CONTAMINATION_SQL,
+}
