@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ranktide.llm.bpe import op5_byte_bpe
 from ranktide.llm.contamination import ORACLE_SQL as CONTAMINATION_SQL
 from ranktide.llm.contamination import op1_decontamination
+from ranktide.llm.jaccard import ORACLE_SQL as JACCARD_SQL
+from ranktide.llm.jaccard import op3_jaccard_join
 from ranktide.llm.language import op4_language_id
 from ranktide.llm.maintext import op6_main_text
 from ranktide.llm.quality import op9_weak_supervision
@@ -17,6 +19,7 @@ from ranktide.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_main_text": op6_main_text,
@@ -27,4 +30,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": CONTAMINATION_SQL,
+    "op3_jaccard_join": JACCARD_SQL,
 }
