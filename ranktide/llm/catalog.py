@@ -13,12 +13,14 @@ from ranktide.llm.jaccard import ORACLE_SQL as JACCARD_SQL
 from ranktide.llm.jaccard import op3_jaccard_join
 from ranktide.llm.language import op4_language_id
 from ranktide.llm.maintext import op6_main_text
+from ranktide.llm.paragraphs import op2_substring_dedup
 from ranktide.llm.quality import op9_weak_supervision
 from ranktide.llm.tokenfile import op10_token_files
 from ranktide.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_byte_bpe": op5_byte_bpe,

@@ -157,13 +157,13 @@ def _similar(k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Itera
     return compare
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those pairs (a, b: ids) of documents whose texts' sets are similar; frozen."""
+def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose texts' sets are similar; ``texts`` has a text for every node. Frozen."""
     pairs = freeze(pairs)
-    nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.join(nodes, "doc_id", "left_semi")
-    sides = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
-    sides = sides.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = texts.join(nodes, "node", "left_semi")
+    sides = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
+    sides = sides.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
     return freeze(sides.mapInArrow(_similar(k, percent), schema="a long, b long").distinct())
 
 
@@ -171,6 +171,31 @@ def _fits(percent: int, x: str, y: str):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def pairs_between_components(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of nodes of different components that share enough tokens.
+
+    ``placed`` has a row for each token of a node: token, node, n (size), matches, component. The largest component of a
+    token is paired with the others, not with itself; sizes that no similar pair can have are left out.
+    """
+    placed = freeze(placed)
+    per_component = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
+    main = per_component.groupBy("token").agg(F.max(F.struct("_n", "component")).alias("_main"), F.count("*").alias("_components"))
+    main = main.where(F.col("_components") > 1).select("token", F.col("_main.component").alias("main"))
+    open_ones = freeze(placed.join(main, "token"))
+    columns = ("node", "n", "matches", "component")
+    x = open_ones.where(F.col("component") != F.col("main")).select("token", *(F.col(c).alias(f"{c}_x") for c in columns))
+    y = open_ones.select("token", "main", *(F.col(c).alias(f"{c}_y") for c in columns))
+    met = x.join(y, "token").where(
+        (F.col("component_x") != F.col("component_y"))
+        & ((F.col("node_x") < F.col("node_y")) | (F.col("component_y") == F.col("main")))
+        & _fits(percent, "n_x", "n_y")
+    )
+    pairs = met.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).agg(
+        F.count("*").alias("_shared"), F.min(F.least("matches_x", "matches_y")).alias("_needed")
+    )
+    return pairs.where(F.col("_shared") >= F.col("_needed")).select("a", "b")
+
+
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``df``.
 
@@ -208,35 +233,15 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         F.count("*").alias("_shared"), F.min("matches").alias("matches")
     )
     to_hub = to_hub.join(hub_numbers.select("hub", "hub_matches"), "hub")
-    first = to_hub.where(F.col("_shared") >= F.least("matches", "hub_matches")).select(
-        F.col("hub").alias("a"), F.col("node").alias("b")
-    )
-    links = verified(first, docs, k, percent).union(same_id)
+    enough = F.col("_shared") >= F.least("matches", "hub_matches")
+    first = freeze(to_hub.where(enough).select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    texts = docs.withColumnRenamed("doc_id", "node")
+    links = verified(first, texts, k, percent).union(same_id)
     grouped = freeze(components(links))
 
-    # Pairs of different components that share prefix shingles; the largest component of a shingle is paired with the
-    # others, not with itself.
     placed = met.join(grouped, "node", "left").select("token", "node", "n", "matches", F.coalesce("component", "node").alias("component"))
-    per_component = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
-    main = per_component.groupBy("token").agg(
-        F.max(F.struct("_n", "component")).alias("_main"), F.count("*").alias("_components")
-    )
-    main = main.where(F.col("_components") > 1).select("token", F.col("_main.component").alias("main"))
-    open_ones = freeze(placed.join(main, "token"))
-    x = open_ones.where(F.col("component") != F.col("main")).select(
-        "token", *(F.col(c).alias(f"{c}_x") for c in ("node", "n", "matches", "component"))
-    )
-    y = open_ones.select("token", "main", *(F.col(c).alias(f"{c}_y") for c in ("node", "n", "matches", "component")))
-    met_again = x.join(y, "token").where(
-        (F.col("component_x") != F.col("component_y"))
-        & ((F.col("node_x") < F.col("node_y")) | (F.col("component_y") == F.col("main")))
-        & _fits(percent, "n_x", "n_y")
-    )
-    second = met_again.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).agg(
-        F.count("*").alias("_shared"), F.min(F.least("matches_x", "matches_y")).alias("_needed")
-    )
-    second = second.where(F.col("_shared") >= F.col("_needed")).select("a", "b").join(first, ["a", "b"], "left_anti")
-    more = verified(second, docs, k, percent)
+    second = pairs_between_components(placed, percent).join(first, ["a", "b"], "left_anti")
+    more = verified(second, texts, k, percent)
     grouped = components(links.union(more))
 
     placed_members = members.join(grouped, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
