@@ -15,6 +15,7 @@ from ranktide.llm.language import op4_language_id
 from ranktide.llm.maintext import op6_main_text
 from ranktide.llm.paragraphs import op2_substring_dedup
 from ranktide.llm.quality import op9_weak_supervision
+from ranktide.llm.substrings import op7_suffix_dedup
 from ranktide.llm.tokenfile import op10_token_files
 from ranktide.llm.toxicity import op8_toxicity
 
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_main_text": op6_main_text,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_weak_supervision": op9_weak_supervision,
     "op10_token_files": op10_token_files,
