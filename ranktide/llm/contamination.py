@@ -128,6 +128,12 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the documents that contain an item."""
+    found = contained_items(docs, items).select("doc_id").distinct()
+    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -250,6 +250,20 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     return result.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def one_of_each(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``df`` with one document of each component, that of the smallest id; rows without an id stay."""
+    found = freeze(near_duplicates(df, k, percent))
+    others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
+    kept = df.join(others, "doc_id", "left_anti").select(*df.columns)
+    if repeated.isEmpty():
+        return kept
+    # Rows that repeat an id are a group of their own; the one with the first text stays.
+    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *df.columns)).alias("_row"))
+    rows = once.select(*(F.col(f"_row.{c}").alias(c) for c in df.columns))
+    return kept.join(repeated, "doc_id", "left_anti").select(*df.columns).unionByName(rows)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85)
 

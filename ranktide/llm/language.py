@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ranktide.llm.linear import Leader, softmax
 from ranktide.llm.runtime import documents, ready, slices, table, to_batches
@@ -204,14 +205,24 @@ def _scorer(model: LanguageModel | None) -> Callable[[Iterator[pa.RecordBatch]],
 
 
 def identify(df: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """``doc_id``, ``text``, predicted language and its calibrated probability, for every row."""
+    """All columns of ``df`` with ``lang_pred`` and its calibrated probability ``score``, for every row.
+
+    Columns of these names that ``df`` may have are replaced.
+    """
     ready(df.sparkSession)
-    scored = documents(df).mapInArrow(_scorer(model), schema="doc_id long, text string, lang_pred string, score double")
-    return scored
+    typed = df.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
+    added = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return typed.mapInArrow(_scorer(model), schema=T.StructType(typed.schema.fields + added.fields))
+
+
+def accepted(df: DataFrame, model: LanguageModel | None, min_score: float = 0.35) -> DataFrame:
+    """The rows of ``df`` whose language is recognised; a missing ``lang`` is filled in."""
+    known = identify(df, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*df.columns)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs.where(remainder(3) != 1))
-    scored = identify(docs, model)
+    scored = identify(documents(docs), model)
     return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score")
