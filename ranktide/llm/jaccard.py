@@ -259,7 +259,7 @@ def one_of_each(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     if repeated.isEmpty():
         return kept
     # Rows that repeat an id are a group of their own; the one with the first text stays.
-    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *df.columns)).alias("_row"))
+    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(F.col("text").alias("_text"), *df.columns)).alias("_row"))
     rows = once.select(*(F.col(f"_row.{c}").alias(c) for c in df.columns))
     return kept.join(repeated, "doc_id", "left_anti").select(*df.columns).unionByName(rows)
 
