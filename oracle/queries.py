@@ -48,7 +48,8 @@ LEFT JOIN (SELECT site_id, count(*) AS n_issues, CAST(sum(traffic_at_risk) AS bi
 
 NEW_PAGES = f"""
 SELECT (SELECT max(page_id) FROM dim_page) + row_number() OVER (ORDER BY url) AS page_id,
-  coalesce((SELECT site_id FROM dim_site WHERE domain = lower(regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1))), 1)
+  coalesce((SELECT max_by(site_id, length(domain)) FROM dim_site
+            WHERE '.' || lower(regexp_extract(url, '^[A-Za-z]+://([^/:?#]+)', 1)) LIKE '%.' || domain), 1)
     AS site_id,
   url, title, CAST(NULL AS varchar) AS meta_description, h1, coalesce(word_count, 0) AS word_count,
   coalesce(indexable, 1) AS indexable, page_speed_score, coalesce(substr(loaded_at, 1, 10), '2002-01-31')
@@ -238,10 +239,11 @@ FROM (SELECT page_id, CAST(sum(impressions_30d) AS bigint) AS impresiones_30d,
 JOIN dim_page USING (page_id)
 WHERE indexable = 0 AND impresiones_30d > 0""",
     "cannibalization": """
-SELECT keyword, count(DISTINCT page_id) AS n_paginas_compitiendo, CAST(0 AS bigint) AS parte,
-  string_agg(url, ' | ' ORDER BY url) AS urls
-FROM latest JOIN dim_keyword USING (keyword_id) JOIN dim_page USING (page_id)
-WHERE position > 0 GROUP BY keyword_id, keyword HAVING count(DISTINCT page_id) > 1""",
+SELECT keyword, url, n_paginas_compitiendo
+FROM latest JOIN (SELECT keyword_id, count(DISTINCT page_id) AS n_paginas_compitiendo FROM latest WHERE position > 0
+                  GROUP BY keyword_id HAVING count(DISTINCT page_id) > 1) USING (keyword_id)
+  JOIN dim_keyword USING (keyword_id) JOIN dim_page USING (page_id)
+WHERE position > 0""",
     "ctr_below_benchmark": f"""
 SELECT keyword, url, position, impressions_30d, {half_up('ctr_30d * 100')} AS ctr_pct,
   {BENCHMARK} AS ctr_benchmark_pct
@@ -311,7 +313,10 @@ FROM raw_positions""",
     "copy_tables": union(
         [
             f"SELECT '{t}.parquet' AS \"table\", count(*) AS source_rows, count(*) AS target_rows, true AS equal FROM {t}"
-            for t in ("nation", "part", "supplier", "orders")
+            for t in (
+                "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                "embeddings", "pages", "benchmark", "labels", "conversations",
+            )
         ]
     ),
     "upsert_keywords": f"""

@@ -66,26 +66,26 @@ FROM yearly""",
 SELECT * FROM fact_keyword_position WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_keyword_position)""",
     "fact_technical_issue": """
 SELECT event_id AS issue_id, coalesce(CAST(s_nationkey AS bigint), code % 25) AS site_id, s_suppkey AS page_id,
-  CASE WHEN code < 20 THEN 'noindex' WHEN code < 40 THEN 'content_decay' WHEN code < 60 THEN 'slow_lcp'
+  CASE WHEN code < 40 AND event_type <> 'error' THEN event_type || '_drop'
+       WHEN code < 20 THEN 'noindex' WHEN code < 40 THEN 'content_decay' WHEN code < 60 THEN 'slow_lcp'
        WHEN code < 80 THEN 'title_too_long' ELSE 'canonical_conflict' END AS issue_type,
   CASE WHEN value >= 100 THEN 'critical' WHEN value >= 50 THEN 'high' WHEN value >= 20 THEN 'medium'
        ELSE 'low' END AS severity,
   CAST(floor(value) AS bigint) AS traffic_at_risk, strftime(ts, '%Y-%m-%d') AS detected_at,
   CASE WHEN value >= 30 THEN strftime(ts, '%Y-%m-%d') END AS resolved_at,
   CASE WHEN value < 10 THEN 'open' WHEN value < 30 THEN 'in_progress' ELSE 'resolved' END AS status
-FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS int) AS code FROM events WHERE event_type = 'error') e
+FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS int) AS code FROM events) e
 LEFT JOIN supplier ON user_id = s_suppkey""",
     "active_issue": """
 SELECT * FROM fact_technical_issue WHERE status IN ('open', 'in_progress')""",
     "fact_backlink": """
-SELECT c_custkey * 10000000 + s_suppkey AS backlink_id, s_suppkey AS page_id,
+SELECT c_custkey * 10000000 + page AS backlink_id, page AS page_id,
   'ref' || c_custkey || '.example' AS referring_domain,
   least(greatest(CAST(floor((c_acctbal + 1e3) / 1.1e2) AS int), 0), 100) AS domain_authority,
   lower(c_mktsegment) AS link_type, strftime(min(o_orderdate), '%Y-%m-%d') AS first_seen_at
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
-JOIN supplier ON s_suppkey = l_suppkey
-WHERE l_returnflag = 'R' AND o_orderpriority = '1-URGENT' AND s_nationkey = c_nationkey
-GROUP BY c_custkey, s_suppkey, c_acctbal, c_mktsegment""",
+FROM (SELECT l_orderkey, greatest(l_suppkey // 4, 1) * 4 AS page FROM lineitem) l
+JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+GROUP BY c_custkey, page, c_acctbal, c_mktsegment""",
     "etl_run_log": """
 SELECT CAST(substr(month, 1, 4) AS bigint) * 12 + CAST(substr(month, 6, 2) AS bigint) AS run_id,
   month || '-01T00:00:00Z' AS started_at, month || '-01T00:01:00Z' AS finished_at,
@@ -249,13 +249,13 @@ WHERE NOT EXISTS (SELECT 1 FROM stored_positions f WHERE f.keyword_id = s.keywor
 }
 
 
-def with_tables(body: str) -> str:
-    """``body`` preceded by the tables it names, and those they name in turn."""
+def with_tables(body: str, given: frozenset[str] = frozenset()) -> str:
+    """``body`` preceded by the tables it names, and those they name in turn, but for those that are ``given``."""
     needed: list[str] = []
 
     def add(text: str) -> None:
         for name in TABLES:
-            if name not in needed and re.search(rf"\b{name}\b", text):
+            if name not in needed and name not in given and re.search(rf"\b{name}\b", text):
                 add(TABLES[name])
                 if name not in needed:
                     needed.append(name)

@@ -37,6 +37,11 @@ def url_host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, _HOST, 1))
 
 
+def is_day(value: Column) -> Column:
+    """True for text that is a day of the calendar, written as YYYY-MM-DD."""
+    return F.coalesce(value.rlike(r"^\d{4}-\d{2}-\d{2}$") & value.try_cast("date").isNotNull(), F.lit(False))
+
+
 def parse_int(value: Column, type_name: str = "bigint") -> Column:
     """Whole number from text; NULL when the text is not one or does not fit."""
     # The cast takes ordinary white space by itself; other kinds are stripped only if it fails.

@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranktide.functions.text import is_blank, is_malformed_int, keyword_key, parse_int, strip, url_key
+from ranktide.functions.text import is_blank, is_day, is_malformed_int, keyword_key, parse_int, strip, url_key
 from ranktide.schemas import (
     CATEGORIES,
     DEFAULT_CATEGORY,
@@ -132,8 +132,11 @@ def check_pages(raw: DataFrame) -> DataFrame:
     ).drop("_raw_word_count", "_raw_indexable", "_raw_page_speed_score")
 
 
-def check_positions(raw: DataFrame) -> DataFrame:
-    """Normalised positions with the list of broken rules in ``errors``."""
+def check_positions(raw: DataFrame, any_date: bool = False) -> DataFrame:
+    """Normalised positions with the list of broken rules in ``errors``.
+
+    A snapshot date must be a day of the calendar, unless ``any_date`` lets every text through.
+    """
     longs = ("clicks_30d", "impressions_30d")
     parsed = _parsed(
         raw,
@@ -147,7 +150,8 @@ def check_positions(raw: DataFrame) -> DataFrame:
         },
         ("position", "previous_position", *longs),
     )
-    position = F.col("position")
+    position, day = F.col("position"), F.col("snapshot_date")
+    dated = F.lit(True) if any_date else _empty("snapshot_date") | is_day(day)
     return parsed.withColumn(
         "errors",
         reasons(
@@ -156,6 +160,7 @@ def check_positions(raw: DataFrame) -> DataFrame:
             _malformed("previous_position"),
             *[_malformed(c, "bigint") for c in longs],
             (_empty("snapshot_date"), F.lit("empty snapshot date")),
+            (~dated, _with_value("snapshot date is no day", day)),
         ),
     ).drop("_raw_position", "_raw_previous_position", *[f"_raw_{c}" for c in longs])
 
@@ -286,14 +291,30 @@ def staged_pages(staging: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
+def _staged_day() -> Column:
+    return strip(F.col("snapshot_date"))
+
+
 def staged_positions(staging: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Positions of a staging table by normalised names, one row per key; undated rows are skipped."""
-    filled = staging.filter(F.col("snapshot_date").isNotNull()).select(
+    """Positions of a staging table by normalised names, one row per key; rows without a day are left out."""
+    filled = staging.filter(is_day(_staged_day())).select(
         keyword_key(F.col("keyword")).alias("keyword"),
         url_key(F.col("url")).alias("url"),
-        "snapshot_date",
+        _staged_day().alias("snapshot_date"),
         F.coalesce("position", F.lit(0)).cast("int").alias("position"),
         *[F.col(c).alias(f"_order_{c}") for c in order],
     )
     ordered = [f"_order_{c}" for c in order]
     return first_of_each(filled, KEYS["positions"], ordered).drop(*ordered)
+
+
+def undated_positions(staging: DataFrame) -> DataFrame:
+    """The rows of a staging table that ``staged_positions`` leaves out, in report form."""
+    day = _staged_day()
+    reason = F.when(F.coalesce(day, F.lit("")) == "", F.lit("empty snapshot date")).otherwise(
+        _with_value("snapshot date is no day", day)
+    )
+    name = F.concat_ws(" @ ", keyword_key(F.col("keyword")), url_key(F.col("url")))
+    return staging.filter(~is_day(day)).select(
+        F.lit("positions").alias("entity"), name.alias("key"), F.array(reason).alias("errors")
+    )

@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ranktide.functions.text import keyword_key, url_host
+from ranktide.functions.text import keyword_key, url_host, url_key
 from ranktide.operators.cleaning import click_rate
 from ranktide.operators.numbering import with_ids
 from ranktide.operators.snapshots import PAIR, stage_against_history
-from ranktide.schemas import DEFAULT_SITES, DIM_KEYWORD, DIM_PAGE, DIM_SITE, FACT_POSITION
+from ranktide.schemas import DEFAULT_SITES, DIM_KEYWORD, DIM_PAGE, DIM_SITE, FACT_BACKLINK, FACT_POSITION
 
 DEFAULT_SITE_ID = 1
 
@@ -45,12 +45,22 @@ def upsert_keywords(stored: DataFrame, batch: DataFrame, order_by: Sequence[Colu
 
 
 def site_of(pages: DataFrame, sites: DataFrame, default_site: int = DEFAULT_SITE_ID) -> DataFrame:
-    """Adds ``site_id`` by the host of the URL; ``default_site`` when no site has that domain."""
+    """Adds ``site_id`` by the host of the URL or the longest domain that the host is part of.
+
+    ``www.shop.example`` belongs to ``shop.example`` unless there is a site of its own. ``default_site`` when no site
+    has any of the host's domains. ``pages`` is unique by ``url``.
+    """
     domains = sites.select(F.lower("domain").alias("_domain"), F.col("site_id").alias("_site"))
+    # Each distinct host with its dotted suffixes, a handful, by which the domains are looked up.
+    hosts = pages.select(url_host(F.col("url")).alias("_host")).distinct()
+    labels = F.split("_host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    found = hosts.select("_host", F.explode(suffixes).alias("_domain")).join(domains, "_domain")
+    found = found.groupBy("_host").agg(F.max_by("_site", F.length("_domain")).alias("_site"))
     return (
-        pages.join(domains, url_host(F.col("url")) == F.col("_domain"), "left")
+        pages.join(found, url_host(F.col("url")) == F.col("_host"), "left")
         .withColumn("site_id", F.coalesce("_site", F.lit(default_site).cast("bigint")))
-        .drop("_domain", "_site")
+        .drop("_host", "_site")
     )
 
 
@@ -116,6 +126,21 @@ def upsert_pages(
     return updated_pages(stored, batch, mode).unionByName(added)
 
 
+def new_backlinks(stored: DataFrame, batch: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Backlinks of the batch that are not stored, with ids, and in report form those of unknown pages."""
+    known = batch.withColumn("url", url_key(F.col("url"))).withColumn("referring_domain", keyword_key(F.col("referring_domain")))
+    resolved = known.join(pages.select("page_id", "url"), "url", "left")
+    key = ["page_id", "referring_domain"]
+    fresh = resolved.filter("page_id IS NOT NULL").dropDuplicates(key).join(stored.select(*key), key, "left_anti")
+    unknown = resolved.filter("page_id IS NULL").select(
+        F.lit("backlinks").alias("entity"),
+        F.concat_ws(" @ ", "referring_domain", "url").alias("key"),
+        F.array(F.concat(F.lit("orphan, unknown URL: "), F.coalesce("url", F.lit("")))).alias("errors"),
+    )
+    numbered = with_ids(fresh, stored, "backlink_id", [F.asc("url"), F.asc("referring_domain")])
+    return numbered.select(*FACT_BACKLINK.names), unknown
+
+
 def resolve_names(batch: DataFrame, keywords: DataFrame, pages: DataFrame) -> DataFrame:
     """Names to ids; rows whose keyword or URL is in no dimension drop out."""
     by_keyword = keywords.select("keyword_id", keyword_key(F.col("keyword")).alias("keyword"))
@@ -144,7 +169,11 @@ def new_positions(
             .withColumn("impressions_30d", F.lit(0).cast("bigint"))
         )
     elif previous == "export":
-        fresh = resolved.join(stored.select(*PAIR, "snapshot_date"), [*PAIR, "snapshot_date"], "left_anti")
+        # Only stored rows of the batch's dates matter; the semi join lets the scan skip all other dates' folders.
+        same_days = stored.select(*PAIR, "snapshot_date").join(
+            batch.select("snapshot_date").distinct(), "snapshot_date", "left_semi"
+        )
+        fresh = resolved.join(same_days, [*PAIR, "snapshot_date"], "left_anti")
     else:
         raise ValueError(f"unknown source of the previous position {previous!r}")
     rate = click_rate(F.col("clicks_30d"), F.col("impressions_30d"))

@@ -65,9 +65,15 @@ def unique(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
     return _report(repeated.agg(F.count(F.lit(1)).alias("violations")).withColumn("check", F.lit(label)))
 
 
-def referential(child: DataFrame, parent: DataFrame, key: str, name: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key is set but not in the parent. Children are counted per key before the join."""
-    per_key = child.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def referential(
+    child: DataFrame, parent: DataFrame, key: str, name: str, parent_key: str | None = None, required: bool = False
+) -> DataFrame:
+    """Child rows whose key is not in the parent; a NULL key counts only if it is ``required``.
+
+    Children are counted per key before the join.
+    """
+    kept = child if required else child.filter(F.col(key).isNotNull())
+    per_key = kept.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     parents = parent.select(F.col(parent_key or key).alias(key))
     orphans = per_key.join(parents, key, "left_anti")
     return _report(
@@ -95,7 +101,7 @@ def load_checks(star: Mapping[str, DataFrame]) -> DataFrame:
             ),
             row_checks(star["dim_page"], accepted_values("dim_page", "indexable", (0, 1))),
             referential(
-                star["fact_keyword_position"], star["dim_keyword"], "keyword_id", "fact_keyword_position"
+                star["fact_keyword_position"], star["dim_keyword"], "keyword_id", "fact_keyword_position", required=True
             ),
         ]
     )

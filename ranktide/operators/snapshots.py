@@ -67,7 +67,7 @@ def stage_against_history(stored: DataFrame, staged: DataFrame) -> DataFrame:
     seen = F.last(F.when(is_stored, F.struct("snapshot_date", "_known")), ignorenulls=True).over(before)
     return (
         both.withColumn("_seen", seen)
-        .filter(~is_stored & (F.col("_seen").isNull() | (F.col("_seen.snapshot_date") < F.col("snapshot_date"))))
+        .filter(~is_stored & F.coalesce(F.col("_seen.snapshot_date") < F.col("snapshot_date"), F.lit(True)))
         .select(
             *PAIR,
             "snapshot_date",

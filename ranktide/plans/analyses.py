@@ -11,8 +11,6 @@ from ranktide.functions.scoring import TIERS, ctr_benchmark
 from ranktide.operators.snapshots import comparable, latest_global
 from ranktide.plans.views import Star, executive_summary, is_active, known_keyword, quick_wins
 
-URLS_PER_ROW = 10_000
-
 
 def _described(fact: DataFrame, star: Star, keyword_columns: tuple[str, ...] = (), keywords=None) -> DataFrame:
     """Fact rows with keyword and URL text."""
@@ -116,12 +114,10 @@ def noindex_impressions(star: Star) -> DataFrame:
     )
 
 
-def cannibalization(star: Star, min_pages: int = 2, urls_per_row: int = URLS_PER_ROW) -> DataFrame:
-    """Keywords ranking on several pages of the newest snapshot, with the URLs in one text.
+def cannibalization(star: Star, min_pages: int = 2) -> DataFrame:
+    """Keywords ranking on several pages of the newest snapshot: one row per keyword and competing page.
 
-    A keyword with more than ``urls_per_row`` pages gets several rows, numbered by ``parte``, each
-    with a share of its URLs: the list is whole, but no task ever holds all of a hot keyword. Every
-    other keyword has the one row with ``parte`` 0.
+    The grain is the same at any size; a keyword's URLs are never gathered in one place.
     """
     # Stated once for both uses below, so that the fact is read and shuffled once.
     ranking = (
@@ -135,14 +131,10 @@ def cannibalization(star: Star, min_pages: int = 2, urls_per_row: int = URLS_PER
         .filter(F.col("n_paginas_compitiendo") >= min_pages)
         .join(star["dim_keyword"].select("keyword_id", "keyword"), "keyword_id")
     )
-    parts = F.ceil(F.col("n_paginas_compitiendo") / F.lit(urls_per_row))
     return (
         ranking.join(competing, "keyword_id")
         .join(star["dim_page"].select("page_id", "url"), "page_id")
-        .withColumn("parte", F.pmod(F.xxhash64("url"), parts))
-        .groupBy("keyword_id", "keyword", "n_paginas_compitiendo", "parte")
-        .agg(F.expr("listagg(url, ' | ') WITHIN GROUP (ORDER BY url)").alias("urls"))
-        .drop("keyword_id")
+        .select("keyword", "url", "n_paginas_compitiendo")
     )
 
 

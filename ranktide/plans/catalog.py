@@ -110,8 +110,7 @@ def read_positions_export(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def copy_trade_tables(spark: SparkSession, folder: str) -> DataFrame:
-    names = [f"{n}.parquet" for n in ("nation", "part", "supplier", "orders")]
-    return copy_tables(spark, folder, _scratch(spark), names)
+    return copy_tables(spark, folder, _scratch(spark), [f"{name}.parquet" for name in trade.TABLES])
 
 
 def upsert_keywords(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,6 +17,12 @@ POSITION_ORDER = ("src_order", "src_line", "src_part", "src_supplier", "src_pric
 FEED_ORDER = ("src_feed", "src_key")
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
+
+
 class Trade:
     """The trade tables of a folder, by name. Each is opened once, when first asked for."""
 
@@ -53,6 +59,7 @@ class Derived(Mapping):
 
 
 # SQL expressions over the trade tables. Doubles are written with an exponent: 100.0 would be a decimal.
+LINKED_PAGE = "if(l_suppkey < 4, 4L, l_suppkey - l_suppkey % 4)"
 SNAPSHOT_DATE = "concat(year(l_shipdate), '-12-31')"
 SHOP_URL = "concat('https://nation_', s_nationkey, '.example/p/', s_suppkey)"
 SECTION_URL = "concat('nation_', c_nationkey, '.example/s/', lower(c_mktsegment))"
@@ -152,20 +159,22 @@ def snapshot_calendar(t: Trade) -> DataFrame:
 
 
 def issues(t: Trade) -> DataFrame:
-    """One issue per error event; an event of no page concerns the whole site."""
-    errors = t.events.filter("event_type = 'error'").selectExpr(
+    """One issue per event; an event of no page concerns the whole site."""
+    events = t.events.selectExpr(
         "event_id",
+        "event_type",
         "user_id",
         "value",
         "cast(regexp_extract(props, '([0-9]+)', 1) AS int) AS code",
         "date_format(ts, 'yyyy-MM-dd') AS day",
     )
     owners = t.supplier.selectExpr("s_suppkey", "cast(s_nationkey AS bigint) AS s_nationkey")
-    return errors.join(owners, errors.user_id == owners.s_suppkey, "left").selectExpr(
+    return events.join(owners, events.user_id == owners.s_suppkey, "left").selectExpr(
         "event_id AS issue_id",
         "coalesce(s_nationkey, cast(code % 25 AS bigint)) AS site_id",
         "s_suppkey AS page_id",
-        "CASE WHEN code < 20 THEN 'noindex' WHEN code < 40 THEN 'content_decay' WHEN code < 60 THEN 'slow_lcp'"
+        "CASE WHEN code < 40 AND event_type <> 'error' THEN concat(event_type, '_drop')"
+        " WHEN code < 20 THEN 'noindex' WHEN code < 40 THEN 'content_decay' WHEN code < 60 THEN 'slow_lcp'"
         " WHEN code < 80 THEN 'title_too_long' ELSE 'canonical_conflict' END AS issue_type",
         "CASE WHEN value >= 100 THEN 'critical' WHEN value >= 50 THEN 'high' WHEN value >= 20 THEN 'medium'"
         " ELSE 'low' END AS severity",
@@ -177,21 +186,17 @@ def issues(t: Trade) -> DataFrame:
 
 
 def backlinks(t: Trade) -> DataFrame:
-    """A customer links to a page of its own nation from which an urgent order was returned."""
-    returned = t.lineitem.filter("l_returnflag = 'R'").select("l_orderkey", "l_suppkey")
-    urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey", "o_orderdate")
-    customers = t.customer.selectExpr("c_custkey AS o_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    suppliers = t.supplier.selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS c_nationkey")
-    local = (
-        returned.join(urgent.withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey")
-        .join(customers, "o_custkey")
-        .join(suppliers, ["l_suppkey", "c_nationkey"])
-        .groupBy("l_suppkey", "o_custkey", "c_acctbal", "c_mktsegment")
-        .agg({"o_orderdate": "min"})
-    )
-    return local.selectExpr(
-        "o_custkey * 10000000 + l_suppkey AS backlink_id",
-        "l_suppkey AS page_id",
+    """Every line is a link of its customer to a page; only every fourth page is linked to, and the first ones share one.
+
+    A customer's links to a page are one backlink, first seen at the earliest order.
+    """
+    lines = t.lineitem.selectExpr("l_orderkey", f"{LINKED_PAGE} AS page_id")
+    orders = t.orders.selectExpr("o_orderkey AS l_orderkey", "o_custkey", "o_orderdate")
+    first = lines.join(orders, "l_orderkey").groupBy("page_id", "o_custkey").agg({"o_orderdate": "min"})
+    customers = t.customer.selectExpr("c_custkey AS o_custkey", "c_acctbal", "c_mktsegment")
+    return first.join(customers, "o_custkey").selectExpr(
+        "o_custkey * 10000000 + page_id AS backlink_id",
+        "page_id",
         "concat('ref', o_custkey, '.example') AS referring_domain",
         "least(greatest(cast(floor((c_acctbal + 1e3) / 1.1e2) AS int), 0), 100) AS domain_authority",
         "lower(c_mktsegment) AS link_type",

@@ -1,7 +1,8 @@
-"""A small star schema whose results are known.
+"""A small star schema whose results can be followed by hand.
 
-Two sites, ten keywords, ten pages, one snapshot of twelve positions with a decay, a page closed to
-indexing and two keywords that compete with themselves. Ids, dates and figures are fixed values.
+Two sites, nine keywords, eight pages and one snapshot of twelve positions. It holds a page closed to indexing that
+ranks, three pages that lost places (one of them already reported), two keywords that rank on two pages each, an issue
+of a whole site, pages without backlinks, and a pair without an earlier position and one that lost its place altogether.
 """
 
 from __future__ import annotations
@@ -11,80 +12,66 @@ from pyspark.sql import SparkSession
 from ranktide.schemas import STAR
 
 T, C, I = "transaccional", "comercial", "informativo"
-DAY = "2026-09-10"
+DAY = "2026-03-02"
 
-SITES = [(1, "shop.example", "Shop", "es", "ES", 1), (2, "blog.example", "Blog", "es", "MX", 1)]
+SITES = [(1, "garden.test", "Garden Store", "en", "GB", 1), (2, "plants.test", "Plant Notes", "en", "IE", 1)]
 
 # keyword, category, volume, difficulty
 KEYWORDS = [
-    (1, "running shoes", T, 14800, 45),
-    (2, "running shoes men", T, 8100, 40),
-    (3, "best running shoes", C, 6600, 52),
-    (4, "how to choose running shoes", I, 5400, 30),
-    (5, "bluetooth headphones", T, 22200, 60),
-    (6, "sports offers", T, 3600, 25),
-    (7, "sports sale day", T, 9900, 48),
-    (8, "site audit", I, 4400, 38),
-    (9, "technical audit", I, 2900, 42),
-    (10, "free audit tools", C, 12000, 35),
+    (1, "clay pots", T, 2500, 20),
+    (2, "raised beds", T, 9000, 35),
+    (3, "tomato seeds", C, 12500, 55),
+    (4, "when to prune roses", I, 7000, 15),
+    (5, "garden hose", T, 31000, 70),
+    (6, "compost bin", C, 4100, 44),
+    (7, "winter fleece", T, 1600, 28),
+    (8, "slug control", I, 18000, 33),
+    (9, "lawn feed", C, 900, 62),
 ]
 
 # site, path, words, indexable, speed
 PAGES = [
-    (1, 1, "/", 850, 1, 72),
-    (2, 1, "/running", 1200, 1, 65),
-    (3, 1, "/running-men", 950, 1, 61),
-    (4, 1, "/headphones", 700, 1, 58),
-    (5, 1, "/guide", 2100, 1, 80),
-    (6, 1, "/offers", 300, 0, 45),
-    (7, 1, "/sale", 450, 1, 55),
-    (8, 2, "/technical", 1800, 1, 77),
-    (9, 2, "/audit", 2400, 1, 74),
-    (10, 2, "/old-post", 800, 1, 50),
+    (1, 1, "/pots", 410, 1, 91),
+    (2, 1, "/beds", 1550, 1, 54),
+    (3, 1, "/seeds", 620, 1, 47),
+    (4, 1, "/hoses", 250, 0, 38),
+    (5, 1, "/fleece", 330, 1, 83),
+    (6, 2, "/roses", 2600, 1, 69),
+    (7, 2, "/slugs", 1900, 1, 88),
+    (8, 2, "/archive", 90, 1, 29),
 ]
 
 # keyword, page, position, previous, clicks, impressions, ctr
 POSITIONS = [
-    (1, 2, 11, 14, 210, 6200, 0.0339),
-    (2, 3, 9, 12, 340, 5100, 0.0667),
-    (3, 5, 14, 9, 95, 3100, 0.0306),
-    (4, 5, 3, 4, 480, 4100, 0.1171),
-    (5, 4, 18, 16, 60, 4400, 0.0136),
-    (6, 6, 0, 0, 0, 300, 0.0),
-    (7, 7, 27, 21, 30, 900, 0.0333),
-    (8, 9, 6, 6, 390, 5200, 0.0750),
-    (9, 8, 7, 5, 260, 3900, 0.0667),
-    (10, 10, 16, 8, 70, 3400, 0.0206),
-    (1, 3, 21, 19, 25, 1200, 0.0208),
-    (4, 2, 35, 33, 5, 800, 0.0063),
+    (1, 1, 4, 7, 150, 1000, 0.15),
+    (2, 2, 12, 12, 40, 2000, 0.02),
+    (3, 3, 8, 2, 120, 6000, 0.02),
+    (4, 6, 1, 1, 900, 3000, 0.3),
+    (5, 4, 22, None, 7, 700, 0.01),
+    (6, 2, 31, 25, 3, 600, 0.005),
+    (7, 5, 5, 11, 80, 400, 0.2),
+    (8, 7, 6, 9, 500, 8000, 0.0625),
+    (8, 6, 17, 15, 30, 1500, 0.02),
+    (9, 8, 29, 13, 1, 1000, 0.001),
+    (2, 1, 0, 44, 0, 100, 0.0),
+    (1, 5, 13, 13, 2, 200, 0.01),
 ]
 
 # site, page, type, severity, traffic at risk, detected, status
 ISSUES = [
-    (1, 6, "noindex", "critical", 2400, "2026-08-28", "open"),
-    (1, 3, "slow_lcp", "high", 1800, "2026-09-01", "in_progress"),
-    (1, 2, "meta_description_missing", "medium", 900, "2026-08-20", "open"),
-    (1, 7, "stale_seasonal_content", "medium", 1100, "2026-09-05", "open"),
-    (1, 2, "title_too_long", "medium", 700, "2026-09-02", "open"),
-    (2, 10, "content_decay", "high", 1500, "2026-09-08", "open"),
-    (2, 8, "canonical_conflict", "high", 800, "2026-08-30", "open"),
-    (2, 9, "image_alt_missing", "low", 200, "2026-08-15", "resolved"),
-    (1, None, "sitemap_404", "high", 2200, "2026-09-10", "open"),
-    (1, 5, "internal_links_broken", "medium", 400, "2026-09-03", "open"),
+    (1, 4, "noindex", "critical", 1300, "2026-02-11", "open"),
+    (1, 2, "slow_lcp", "medium", 250, "2026-02-20", "in_progress"),
+    (2, 8, "content_decay", "high", 610, "2026-02-27", "open"),
+    (2, 7, "title_too_long", "low", 40, "2026-01-30", "resolved"),
+    (2, None, "sitemap_404", "high", 990, "2026-03-01", "open"),
+    (1, 3, "canonical_conflict", "medium", 120, "2026-02-25", "open"),
+    (1, 2, "canonical_conflict", "medium", 35, "2026-02-26", "open"),
 ]
 
 # page, domain, authority
-BACKLINKS = [
-    (2, "a.example", 54),
-    (2, "b.example", 61),
-    (3, "c.example", 32),
-    (4, "d.example", 28),
-    (5, "e.example", 58),
-    (5, "f.example", 41),
-    (9, "g.example", 63),
-]
+BACKLINKS = [(1, "p.example", 22), (2, "q.example", 47), (2, "r.example", 36), (6, "q.example", 71), (7, "s.example", 18)]
 
-RUNS = [(1, "2026-09-12T09:00:00Z", "2026-09-12T09:00:41Z", "success", 49, 49, None)]
+RUNS = [(1, "2026-03-03T06:00:00Z", "2026-03-03T06:00:20Z", "success", 29, 29, None)]
 
 
 def url(page_id: int) -> str:

