@@ -7,10 +7,12 @@ has more postings, but a pair must then meet l times before it is verified. A pa
 shingles as the smaller of its two numbers l.
 
 Work that would grow with the square of a group is avoided in three steps. Equal sets are one node. Within the
-documents that share a prefix shingle and a size class, each is first compared with the smallest alone; the links found
-are joined to components. Only then, pairs of different components that share a prefix shingle are compared, all of
-them, so that no link between components is lost; pairs within a component can't change the result. Verification is exact
-on the 64-bit hashes of the shingles of both whole texts.
+documents that share a prefix shingle and a size class, each is first compared with a few that stand for its shingles;
+the links found are joined to components. Only then, pairs of different components that share a prefix shingle are
+compared, all of them, so that no link between components is lost; pairs within a component can't change the result.
+
+Before texts are fetched, a pair's parity tables give a lower bound of how much the sets differ, which drops nearly all
+pairs that merely share a passage. Verification is exact on the 64-bit hashes of the shingles of both whole texts.
 
 The frequencies come from a count sketch of CELLS counters, filled by all documents; it only decides the order and the
 prefix lengths, never the result. Its size is fixed, and it travels to the tasks as a broadcast.
@@ -26,7 +28,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import zstandard
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
@@ -34,8 +37,9 @@ from ranktide.llm.runtime import documents, ready, slices, table, to_batches
 from ranktide.llm.textscan import LOWER, find_words, mix, runs_of, shingles, span_hashes, utf8
 from ranktide.session import freeze
 
-CELLS = 1 << 18
-CELLS_PER_ROW = 1 << 12
+CELLS = 1 << 22
+CELLS_PER_ROW = 1 << 16
+HUBS = 3  # smaller members with which a document is compared before components are formed
 MOST_MATCHES = 4
 VERIFY_COST = 20.0  # of a candidate, in postings read
 
@@ -53,16 +57,24 @@ def _sketcher(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             cells += np.bincount((runs % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
         if cells.any():
             rows = cells.reshape(-1, CELLS_PER_ROW)
-            yield to_batches({"part": np.arange(len(rows)), "counts": [r.astype("<i8").tobytes() for r in rows]}, schema)
+            yield to_batches({"part": np.arange(len(rows)), "counts": [_packed(r) for r in rows]}, schema)
 
     return count
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<i8").tobytes())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype="<i8")
+
+
 def _add_up(parts: pa.Table) -> pa.Table:
     total = np.zeros(CELLS_PER_ROW, dtype=np.int64)
     for packed in parts.column("counts").to_pylist():
-        total += np.frombuffer(packed, dtype="<i8")
-    return pa.table({"part": parts.column("part")[:1].cast(pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+        total += _unpacked(packed)
+    return pa.table({"part": parts.column("part")[:1].cast(pa.int32()), "counts": pa.array([_packed(total)], pa.binary())})
 
 
 def count_sketch(docs: DataFrame, k: int) -> np.ndarray:
@@ -74,9 +86,9 @@ def count_sketch(docs: DataFrame, k: int) -> np.ndarray:
     cells = np.zeros(CELLS, dtype=np.int64)
     for row in rows:
         start = row["part"] * CELLS_PER_ROW
-        cells[start : start + CELLS_PER_ROW] = np.frombuffer(bytes(row["counts"]), dtype="<i8")
+        cells[start : start + CELLS_PER_ROW] = _unpacked(bytes(row["counts"]))
     # What a cell of rare shingles holds is no frequency of any of them.
-    return np.maximum(cells - int(np.median(cells)), 0).astype(np.int64)
+    return np.minimum(np.maximum(cells - int(np.median(cells)), 0), 2**31 - 1).astype(np.int32)
 
 
 def choose_prefix(frequency: np.ndarray, least: int) -> tuple[int, int]:
@@ -103,6 +115,7 @@ SETS = pa.schema(
         ("key_b", pa.int64()),
         ("matches", pa.int32()),
         ("prefix", pa.list_(pa.int64())),
+        ("bits", pa.binary()),
     ]
 )
 
@@ -125,21 +138,68 @@ def _set_maker(k: int, percent: int, cells) -> Callable[[Iterator[pa.RecordBatch
             rank = np.minimum(frequency, 0xFFFF).astype(np.uint64) << np.uint64(48) | hashes >> np.uint64(16)
             order = np.lexsort((hashes, rank, owner))
             hashes, frequency = hashes[order].view(np.int64), frequency[order]
-            matches, prefixes = np.zeros(n, dtype=np.int64), []
+            matches, prefixes, bits = np.zeros(n, dtype=np.int64), [], []
             for i in range(n):
                 size = int(sizes[i])
+                own = slice(starts[i], starts[i] + size)
+                bits.append(parity(hashes[own]))
                 if not size:
                     prefixes.append([])
                     continue
-                own = slice(starts[i], starts[i] + size)
                 matches[i], length = choose_prefix(frequency[own], -(-percent * size // 100))
                 prefixes.append(hashes[own][:length])
             columns = {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "key_a": sums[0], "key_b": sums[1]}
-            yield to_batches(columns | {"matches": matches, "prefix": prefixes}, SETS)
+            yield to_batches(columns | {"matches": matches, "prefix": prefixes, "bits": bits}, SETS)
 
     return make
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """A bit for each of about half as many cells as the set has members: whether the cell's members are odd in number."""
+    cells = max(64, 1 << max(int(len(hashes)) // 2 - 1, 1).bit_length())
+    odd = np.bincount(((hashes.view(np.uint64) >> np.uint64(7)) % np.uint64(cells)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of members that two sets don't share, from their parities.
+
+    A cell whose parities differ has at least one such member. The larger table is folded to the smaller one's size.
+    """
+    x, y, n, m = int.from_bytes(a, "little"), int.from_bytes(b, "little"), len(a) * 8, len(b) * 8
+    while n > m:
+        n //= 2
+        x = (x >> n) ^ (x & (1 << n) - 1)
+    while m > n:
+        m //= 2
+        y = (y >> m) ^ (y & (1 << m) - 1)
+    return (x ^ y).bit_count()
+
+
+def _possible(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b, bits_a, bits_b = (batch.column(c).to_pylist() for c in ("n_a", "n_b", "bits_a", "bits_b"))
+            # Similar sets differ in at most (1 - t) / (1 + t) of the sum of their sizes.
+            keep = [
+                least_difference(x, y) * (100 + percent) <= (100 - percent) * (n + m)
+                for n, m, x, y in zip(n_a, n_b, bits_a, bits_b, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return sift
+
+
+def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) without those whose sets certainly differ too much; ``nodes`` has node, n and bits. Frozen."""
+    sides = pairs
+    for side in ("a", "b"):
+        own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+        sides = sides.join(own, side)
+    sides = sides.where(_fits(percent, "n_a", "n_b")).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return freeze(sides.mapInArrow(_possible(percent), schema="a long, b long").distinct())
+
+
 def _similar(k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -171,13 +231,28 @@ def _fits(percent: int, x: str, y: str):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def pairs_with_hubs(placed: DataFrame) -> DataFrame:
+    """Pairs (a < b or not) of a node with members of other components that stand for tokens it has.
+
+    ``placed`` has token, size class, node, matches and component. A token and class is stood for by the smallest node of
+    its smallest component; of those a node meets, the HUBS with the most shared tokens are taken.
+    """
+    hubs = placed.groupBy("token", "_class").agg(F.min(F.struct("component", "node", "matches")).alias("hub"))
+    met = placed.join(hubs, ["token", "_class"]).where(F.col("component") != F.col("hub.component"))
+    pairs = met.groupBy("node", F.col("hub.node").alias("hub")).agg(
+        F.count("*").alias("_shared"), F.min(F.least("matches", "hub.matches")).alias("_needed")
+    )
+    best = Window.partitionBy("node").orderBy(F.desc("_shared"), "hub")
+    ranked = pairs.where(F.col("_shared") >= F.col("_needed")).withColumn("_place", F.row_number().over(best))
+    return ranked.where(F.col("_place") <= HUBS).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def pairs_between_components(placed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) of nodes of different components that share enough tokens.
 
     ``placed`` has a row for each token of a node: token, node, n (size), matches, component. The largest component of a
     token is paired with the others, not with itself; sizes that no similar pair can have are left out.
     """
-    placed = freeze(placed)
     per_component = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
     main = per_component.groupBy("token").agg(F.max(F.struct("_n", "component")).alias("_main"), F.count("*").alias("_components"))
     main = main.where(F.col("_components") > 1).select("token", F.col("_main.component").alias("main"))
@@ -204,45 +279,38 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     spark = ready(df.sparkSession)
     docs = documents(df)
     cells = spark.sparkContext.broadcast(count_sketch(docs, k))
-    ddl = "doc_id long, n_shingles long, key_a long, key_b long, matches int, prefix array<long>"
+    ddl = "doc_id long, n_shingles long, key_a long, key_b long, matches int, prefix array<long>, bits binary"
     sets = freeze(docs.mapInArrow(_set_maker(k, percent, cells), schema=ddl))
 
     known = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     key = ["key_a", "key_b", "n_shingles"]
     # Equal sets have equal prefixes; the row with the smallest id stands for them.
-    nodes = known.groupBy(*key).agg(F.min(F.struct("doc_id", "matches", "prefix")).alias("_first"))
-    nodes = freeze(nodes.select(*key, "_first.*").withColumnsRenamed({"doc_id": "node", "n_shingles": "n"}))
+    first_rows = known.groupBy(*key).agg(F.min(F.struct("doc_id", "matches", "prefix", "bits")).alias("_first"))
+    nodes = freeze(first_rows.select(*key, "_first.*").withColumnsRenamed({"doc_id": "node", "n_shingles": "n"}))
     members = known.select("doc_id", *key).join(nodes.select("key_a", "key_b", F.col("n").alias("n_shingles"), "node"), key)
     members = freeze(members.select("doc_id", "node").distinct())
     several = members.groupBy("doc_id").agg(F.min("node").alias("b"), F.count("*").alias("_n")).where(F.col("_n") > 1)
-    same_id = members.join(several, "doc_id").select(F.col("node").alias("a"), "b")
+    links = members.join(several, "doc_id").select(F.col("node").alias("a"), "b")
 
-    # Postings of shingles that several nodes have in their prefixes, each with the smallest node of about its size.
-    postings = nodes.select(F.explode("prefix").alias("token"), "node", "n", "matches").withColumn(
-        "_class", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
-    )
-    counted = postings.groupBy("token", "_class").agg(F.min("node").alias("hub"), F.count("*").alias("_n"))
-    # A shingle stays if it has several nodes over all its size classes.
-    shared = counted.groupBy("token").agg(F.sum("_n").alias("_n")).where(F.col("_n") > 1).select("token")
-    hubs = counted.join(shared, "token").select("token", "_class", "hub")
-    met = freeze(postings.join(hubs, ["token", "_class"]).drop("_class"))
-
-    numbers = nodes.groupBy("node").agg(F.max("n").alias("n"), F.min("n").alias("least_n"), F.min("matches").alias("matches"))
-    hub_numbers = numbers.withColumnsRenamed({"node": "hub", "matches": "hub_matches", "n": "hub_n", "least_n": "hub_least_n"})
-    to_hub = met.where(F.col("node") != F.col("hub")).groupBy("node", "hub").agg(
-        F.count("*").alias("_shared"), F.min("matches").alias("matches")
-    )
-    to_hub = to_hub.join(hub_numbers.select("hub", "hub_matches"), "hub")
-    enough = F.col("_shared") >= F.least("matches", "hub_matches")
-    first = freeze(to_hub.where(enough).select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    texts = docs.withColumnRenamed("doc_id", "node")
-    links = verified(first, texts, k, percent).union(same_id)
-    grouped = freeze(components(links))
+    # Postings of the shingles that several nodes have in their prefixes.
+    postings = nodes.select(F.explode("prefix").alias("token"), "node", "n", "matches")
+    shared = postings.groupBy("token").agg(F.min("node").alias("_first"), F.max("node").alias("_last"))
+    shared = shared.where(F.col("_first") != F.col("_last")).select("token")
+    size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
+    met = freeze(postings.join(shared, "token").withColumn("_class", size_class))
 
-    placed = met.join(grouped, "node", "left").select("token", "node", "n", "matches", F.coalesce("component", "node").alias("component"))
-    second = pairs_between_components(placed, percent).join(first, ["a", "b"], "left_anti")
-    more = verified(second, texts, k, percent)
-    grouped = components(links.union(more))
+    texts = docs.withColumnRenamed("doc_id", "node")
+    placed, compared = met.withColumn("component", F.col("node")), None
+    for pairs_of in (pairs_with_hubs, pairs_with_hubs, lambda p: pairs_between_components(p, percent)):
+        if compared is None:
+            pairs = pairs_of(placed)
+        else:
+            placed = freeze(met.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node")))
+            pairs = pairs_of(placed).join(compared, ["a", "b"], "left_anti")
+        pairs = possible(pairs, nodes, percent)
+        links = freeze(links.union(verified(pairs, texts, k, percent)))
+        compared = pairs if compared is None else compared.union(pairs)
+        grouped = components(links)
 
     placed_members = members.join(grouped, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
     placed_members = placed_members.groupBy("doc_id").agg(F.min("component").alias("component"))

@@ -158,7 +158,7 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     placed = met.join(grouped, "node", "left").select(
         "token", "node", "n", F.lit(1).alias("matches"), F.coalesce("component", "node").alias("component")
     )
-    second = pairs_between_components(placed, percent).join(first, ["a", "b"], "left_anti")
+    second = pairs_between_components(freeze(placed), percent).join(first, ["a", "b"], "left_anti")
     grouped = components(links.union(verified(second, texts, WORDS, percent)))
 
     members = listed.join(grouped, "node", "left").select("doc_id", "paragraph", F.coalesce("component", "node").alias("component"))
