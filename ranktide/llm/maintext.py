@@ -83,6 +83,7 @@ class Page:
     blocks: list[int] = field(default_factory=list)
     texts: list[str] = field(default_factory=list)
     gold: list[bool] = field(default_factory=list)
+    passed_links: int = 0  # words in links of what is passed over
     gold_elements: int = 0
 
 
@@ -103,10 +104,12 @@ def read_page(source: str) -> Page:
         at, text, name = found.end(), found["text"], found["name"]
         top = stack[-1]
         if text is not None:
-            if not top.outside:
-                decoded = entities.unescape(text)
-                words = len(decoded.split())
-                page.keys.append("w:a" if top.link else "w:" + top.key)
+            decoded = entities.unescape(text)
+            words, key = len(decoded.split()), "w:a" if top.link else "w:" + top.key
+            if top.outside:
+                page.passed_links += words * top.link
+            else:
+                page.keys.append(key)
                 page.sizes.append(words)
                 page.blocks.append(block)
                 page.texts.append(decoded)
@@ -194,7 +197,7 @@ def learn(counts: dict[tuple[str, bool], int]) -> Weights:
     for key in inside.keys() | outside.keys():
         odds = math.log((inside[key] + 1) / (outside[key] + 1))
         if key.startswith("w:"):
-            weights.words[key] = max(-3.0, min(3.0, odds))
+            weights.words[key] = max(-3.0, odds) if odds < 0 else max(0.1, min(3.0, odds))
         else:
             weights.tags[key] = 0.1 + 0.4 * (outside[key] + 1) / (inside[key] + outside[key] + 2)
     return weights
@@ -241,6 +244,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if page.gold_elements == 1:
                 for key, size, gold in zip(page.keys, page.sizes, page.gold, strict=True):
                     counted[key, gold] += size if key.startswith("w:") else 1
+                counted["w:a", False] += page.passed_links
     if counted:
         keys, golds = zip(*counted, strict=True)
         yield to_batches({"key": keys, "gold": golds, "n": list(counted.values())}, schema)

@@ -155,7 +155,7 @@ def _writer(folder: str, path: str, end_id: int) -> Callable[[Iterator[pa.Record
             if words is None:
                 words, cutter = Vocabulary(word_encoder(path)), Pretokenizer()
                 system.create_dir(base, recursive=True)
-                sink = system.open_output_stream(attempt)
+                sink = system.open_output_stream(attempt, compression=None)
                 writer = FrameWriter(sink)
             ids, bounds = words.ids(texts, cutter)
             ids = ids.astype("<u4")
