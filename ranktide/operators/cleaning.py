@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ranktide.functions.text import is_blank, is_day, is_malformed_int, keyword_key, parse_int, strip, url_key
+from ranktide.functions.text import is_blank, is_day, keyword_key, parse_int, strip, url_key
 from ranktide.schemas import (
     CATEGORIES,
     DEFAULT_CATEGORY,
@@ -61,10 +61,11 @@ def _number(column: str, default: int | None, if_missing: int | None = None, typ
     )
 
 
-def _malformed(column: str, type_name: str = "int") -> tuple[Column, Column]:
-    return is_malformed_int(F.col(f"_raw_{column}"), type_name), _with_value(
-        f"malformed number in {column}", F.col(f"_raw_{column}")
-    )
+def _malformed(column: str) -> tuple[Column, Column]:
+    """Text that is there but gave no number; it has been parsed already."""
+    raw = F.col(f"_raw_{column}")
+    there = F.coalesce(raw, F.lit("")) != ""
+    return there & F.col(column).isNull(), _with_value(f"malformed number in {column}", raw)
 
 
 def _parsed(raw: DataFrame, values: dict[str, Column], numbers: Sequence[str]) -> DataFrame:
@@ -93,7 +94,7 @@ def check_keywords(raw: DataFrame) -> DataFrame:
         "errors",
         reasons(
             (_empty("keyword"), F.lit("blank keyword")),
-            _malformed("monthly_search_volume", "bigint"),
+            _malformed("monthly_search_volume"),
             (volume < 0, _with_value("negative volume", volume)),
             _malformed("keyword_difficulty"),
             (~difficulty.between(0, 100), _with_value("difficulty out of range", difficulty)),
@@ -158,7 +159,7 @@ def check_positions(raw: DataFrame, any_date: bool = False) -> DataFrame:
             _malformed("position"),
             (position < 0, _with_value("negative position", position)),
             _malformed("previous_position"),
-            *[_malformed(c, "bigint") for c in longs],
+            *[_malformed(c) for c in longs],
             (_empty("snapshot_date"), F.lit("empty snapshot date")),
             (~dated, _with_value("snapshot date is no day", day)),
         ),

@@ -47,13 +47,22 @@ def stage_against_history(stored: DataFrame, staged: DataFrame) -> DataFrame:
 
     One window over stored and staged rows together does both: stored rows come first on equal dates,
     so a staged row that is already stored sees its own date just before it. ``staged`` must be unique
-    by pair and date; staged rows do not see each other.
+    by pair and date; staged rows do not see each other. Of the stored rows before the batch's first date only
+    each pair's last one counts; they are reduced to it in every task before they are shuffled, so what is
+    shuffled follows the batch and not the history.
     """
     payload = [c for c in staged.columns if c not in (*PAIR, "snapshot_date")]
     batch_pairs = staged.select(*PAIR).distinct()
-    history = stored.select(*PAIR, "snapshot_date", F.col("position").alias("_known")).join(
-        batch_pairs, list(PAIR), "left_semi"
+    kept = stored.select(*PAIR, "snapshot_date", F.col("position").alias("_known"))
+    first_day = staged.agg(F.min("snapshot_date").alias("first")).scalar()
+    last_before = (
+        kept.filter(F.col("snapshot_date") < first_day)
+        .groupBy(*PAIR)
+        .agg(F.max(F.struct("snapshot_date", "_known")).alias("_last"))
+        .select(*PAIR, "_last.*")
     )
+    since = kept.filter(F.col("snapshot_date") >= first_day)
+    history = last_before.unionByName(since).join(batch_pairs, list(PAIR), "left_semi")
     both = history.withColumn("_new", F.lit(0)).unionByName(
         staged.select(*PAIR, "snapshot_date", F.struct(*payload).alias("_row")).withColumn("_new", F.lit(1)),
         allowMissingColumns=True,

@@ -216,7 +216,7 @@ QUERIES: dict[str, Query] = {
     # quality and monitoring
     "quality_report": _over_star(quality.load_checks),
     "constraint_report": _over_star(quality.constraint_checks),
-    "mart_report": _over_performance(lambda p: quality.mart_checks(mart.quick_wins_mart(p))),
+    "mart_report": _over_performance(lambda p: quality.mart_checks(mart.unranked(p))),
     "freshness": _over_star(quality.freshness, run_date=AFTER_LAST_SNAPSHOT),
     "run_alerts": _over_star(lambda s: quality.run_alerts(s["etl_run_log"])),
     "active_tier_limit": _over_star(lambda s: quality.active_tier_limit(views.quick_wins(s))),

@@ -85,6 +85,23 @@ def quick_wins_mart(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def unranked(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The mart's rows without the rankings, for checks that don't look at them."""
+    keywords = tables["dim_keyword"].select("keyword_id", "keyword_text")
+    gain = F.col("estimated_traffic") * GROWTH - F.col("estimated_traffic")
+    return (
+        stage_performance(tables["fact_keyword_performance"])
+        .join(keywords, "keyword_id")
+        .select(
+            "keyword_id",
+            "keyword_text",
+            "date_id",
+            classify().alias("classification"),
+            round_half_up(gain.cast("double"), 0).alias("oportunidad_mejora"),
+        )
+    )
+
+
 def build(tables: Mapping[str, DataFrame], target: str) -> DataFrame:
     """The mart as a table under ``target``, replacing an earlier one; the staging step is only a view.
 
