@@ -252,3 +252,86 @@ def test_copied_tables_are_counted(spark, tmp_path):
 def test_sample_tables_match_their_declaration(spark):
     for name, df in sample_star(spark).items():
         assert df.columns == STAR[name].names
+
+
+def staging(spark, day, positions=(("zeta", "https://www.shop.example/1", 4),)):
+    return {
+        "keywords": spark.createDataFrame([("zeta", "comercial", "x", 5, 5)], "keyword string, category string, search_intent string, monthly_search_volume int, keyword_difficulty int"),
+        "pages": spark.createDataFrame(
+            [("https://www.shop.example/1", "t", "h", 1, 1, 50, "2026-01-01T00:00:00Z")],
+            "url string, title string, h1 string, word_count int, indexable int, page_speed_score int, loaded_at string"),
+        "positions": spark.createDataFrame(
+            [(k, u, d, p) for k, u, p in positions for d in day], "keyword string, url string, snapshot_date string, position int"),
+    }
+
+
+ORDER = {"keywords": ["keyword"], "pages": ["url"], "positions": ["keyword", "url", "position"]}
+
+
+def test_undated_positions_go_to_quarantine_and_hide_no_later_ones(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    first = batch.load_staging(store, staging(spark, ["", " ", "zzz", "2026-02-30", None, "2026-01-01"]), "2026-01-02", "a", ORDER)
+    assert first.rejected == 5 and first.loaded["fact_keyword_position"] == 1
+    second = batch.load_staging(store, staging(spark, [" 2026-01-08 "]), "2026-01-09", "b", ORDER)
+    assert second.loaded["fact_keyword_position"] == 1
+    assert {r.snapshot_date for r in store.read("fact_keyword_position").collect()} == {"2026-01-01", "2026-01-08"}
+
+
+def test_a_stored_row_without_date_hides_nothing(spark):
+    stored = spark.createDataFrame([(1, 1, None, 5), (1, 1, "2026-01-01", 7)], "keyword_id bigint, page_id bigint, snapshot_date string, position int")
+    staged = spark.createDataFrame([(1, 1, "2026-01-08", 3, "k", "u")], "keyword_id bigint, page_id bigint, snapshot_date string, position int, keyword string, url string")
+    for history, before in ((stored, 7), (stored.filter("snapshot_date IS NULL"), None)):
+        assert [r.previous_position for r in stage_against_history(history, staged).collect()] == [before]
+
+
+def test_tables_show_one_set_of_runs(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path / "store"))
+    batch.load_staging(store, staging(spark, ["2026-01-01"]), "2026-01-02", "a", ORDER)
+    seen, calls = Store._seen, []
+
+    def commit_between(self, name, generation, run_ids):
+        if not calls:  # a load is committed while the first table is opened
+            calls.append(name)
+            batch.load_staging(Store(spark, self.root), staging(spark, ["2026-01-08"]), "2026-01-09", "b", ORDER)
+        return seen(self, name, generation, run_ids)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Store, "_seen", commit_between)
+        star = store.tables()
+    assert star["fact_keyword_position"].count() == star["dim_keyword"].count() == star["snapshot_calendar"].count() == 1
+    assert store.tables()["fact_keyword_position"].count() == 2
+
+
+def test_a_load_with_failing_checks_stays_invisible(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    bad = staging(spark, ["2026-01-01"])
+    bad["pages"] = bad["pages"].withColumn("indexable", F.lit(7))
+    with pytest.raises(ValueError, match="accepted values"):
+        batch.load_staging(store, bad, "2026-01-02", "a", ORDER)
+    assert [r.status for r in store.runs(1).collect()] == ["failed"] and store.read("dim_page").count() == 0
+    told = batch.load_staging(store, bad, "2026-01-02", "a", ORDER, publish_failing=True)
+    assert told.failed_checks == 1 and store.read("dim_page").count() == 1
+
+
+def test_own_sites_and_subdomains(spark, tmp_path):
+    sites = [(5, "shop.example", "S", "en", "GB", 1), (6, "old.shop.example", "O", "en", "GB", 1)]
+    store = Store(spark, str(tmp_path / "store"))
+    batch.load_staging(store, staging(spark, ["2026-01-01"]), "2026-01-02", "a", ORDER, sites=sites)
+    assert [r.site_id for r in store.read("dim_page").collect()] == [5]
+    urls = ["https://a.old.shop.example/x", "https://myshop.example/", "https://SHOP.example:80/", "https://old.shop.example"]
+    pages = loading.site_of(spark.createDataFrame([(u,) for u in urls], "url string"), store.read("dim_site"))
+    assert {r.url: r.site_id for r in pages.collect()} == dict(zip(urls, (6, 1, 5, 6)))
+
+
+def test_backlinks_are_loaded_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    batch.load_staging(store, staging(spark, ["2026-01-01"]), "2026-01-02", "a", ORDER)
+    links = spark.createDataFrame(
+        [("https://www.shop.example/1", "A.example ", 30, "editorial", "2026-01-01"),
+         ("https://www.shop.example/1", "a.example", 30, "editorial", "2026-01-01"), ("https://x.example", "b.example", 3, "x", "y")],
+        "url string, referring_domain string, domain_authority int, link_type string, first_seen_at string")
+    outcome = batch.load_backlinks(store, links, "l1")
+    assert outcome.loaded == {"fact_backlink": 1} and outcome.rejected == 1
+    assert batch.load_backlinks(store, links, "l2").loaded == {"fact_backlink": 0}
+    assert [tuple(r)[:3] for r in store.read("fact_backlink").collect()] == [(1, 1, "a.example")]
+    assert store.read("dim_page").count() == 1
