@@ -39,8 +39,8 @@ from ranktide.session import freeze
 
 LENGTH = 50
 KMER = 16
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 12 << 20
+BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 4 << 20
 BATCH_ROWS = 4  # blocks in an Arrow batch
 
 BLOCK_DDL = "block long, doc_ids array<long>, bounds binary, content binary"
