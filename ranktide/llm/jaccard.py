@@ -41,6 +41,7 @@ CELLS = 1 << 22
 CELLS_PER_ROW = 1 << 16
 HUBS = 3  # smaller members with which a document is compared before components are formed
 MOST_MATCHES = 4
+PARITY = tuple(f"parity_{i}" for i in range(4))  # columns of the small parity table
 VERIFY_COST = 20.0  # of a candidate, in postings read
 
 
@@ -116,6 +117,7 @@ SETS = pa.schema(
         ("matches", pa.int32()),
         ("prefix", pa.list_(pa.int64())),
         ("bits", pa.binary()),
+        *((name, pa.int64()) for name in PARITY),
     ]
 )
 
@@ -134,6 +136,7 @@ def _set_maker(k: int, percent: int, cells) -> Callable[[Iterator[pa.RecordBatch
                 total = np.zeros(len(hashes) + 1, dtype=np.uint64)
                 np.cumsum(mix(hashes + np.uint64(salt)), out=total[1:])
                 sums.append((total[starts[1:]] - total[starts[:-1]]).view(np.int64))
+            small = small_parities(hashes, owner, n)
             frequency = counts[(hashes % np.uint64(CELLS)).astype(np.int64)]
             rank = np.minimum(frequency, 0xFFFF).astype(np.uint64) << np.uint64(48) | hashes >> np.uint64(16)
             order = np.lexsort((hashes, rank, owner))
@@ -149,6 +152,7 @@ def _set_maker(k: int, percent: int, cells) -> Callable[[Iterator[pa.RecordBatch
                 matches[i], length = choose_prefix(frequency[own], -(-percent * size // 100))
                 prefixes.append(hashes[own][:length])
             columns = {"doc_id": batch.column("doc_id"), "n_shingles": sizes, "key_a": sums[0], "key_b": sums[1]}
+            columns |= small
             yield to_batches(columns | {"matches": matches, "prefix": prefixes, "bits": bits}, SETS)
 
     return make
@@ -227,6 +231,21 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return freeze(sides.mapInArrow(_similar(k, percent), schema="a long, b long").distinct())
 
 
+def small_parities(hashes: np.ndarray, owner: np.ndarray, n: int) -> dict[str, np.ndarray]:
+    """For each of ``n`` sets the parities of 256 cells, in four long columns."""
+    cell = owner * 256 + (hashes >> np.uint64(7) & np.uint64(255)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * 256) & 1).astype(bool).reshape(n, 256)
+    packed = np.packbits(odd, axis=1, bitorder="little").view("<i8").reshape(n, 4)
+    return {name: packed[:, i] for i, name in enumerate(PARITY)}
+
+
+def may_be_similar(percent: int, x: str, y: str):
+    """Whether the sizes and the small parities of two sets, in columns of these suffixes, allow them to be similar."""
+    differ = sum(F.bit_count(F.col(f"{p}_{x}").bitwiseXOR(F.col(f"{p}_{y}"))) for p in PARITY)
+    total = F.col(f"n_{x}") + F.col(f"n_{y}")
+    return _fits(percent, f"n_{x}", f"n_{y}") & (differ * (100 + percent) <= total * (100 - percent))
+
+
 def _fits(percent: int, x: str, y: str):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
@@ -250,20 +269,21 @@ def pairs_with_hubs(placed: DataFrame) -> DataFrame:
 def pairs_between_components(placed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) of nodes of different components that share enough tokens.
 
-    ``placed`` has a row for each token of a node: token, node, n (size), matches, component. The largest component of a
-    token is paired with the others, not with itself; sizes that no similar pair can have are left out.
+    ``placed`` has a row for each token of a node: token, node, n (size), matches, component and the small parities. The
+    largest component of a token is paired with the others, not with itself; pairs whose sizes or parities no similar pair
+    can have are left out within the join.
     """
     per_component = placed.groupBy("token", "component").agg(F.count("*").alias("_n"))
     main = per_component.groupBy("token").agg(F.max(F.struct("_n", "component")).alias("_main"), F.count("*").alias("_components"))
     main = main.where(F.col("_components") > 1).select("token", F.col("_main.component").alias("main"))
     open_ones = freeze(placed.join(main, "token"))
-    columns = ("node", "n", "matches", "component")
+    columns = ("node", "n", "matches", "component", *PARITY)
     x = open_ones.where(F.col("component") != F.col("main")).select("token", *(F.col(c).alias(f"{c}_x") for c in columns))
     y = open_ones.select("token", "main", *(F.col(c).alias(f"{c}_y") for c in columns))
     met = x.join(y, "token").where(
         (F.col("component_x") != F.col("component_y"))
         & ((F.col("node_x") < F.col("node_y")) | (F.col("component_y") == F.col("main")))
-        & _fits(percent, "n_x", "n_y")
+        & may_be_similar(percent, "x", "y")
     )
     pairs = met.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).agg(
         F.count("*").alias("_shared"), F.min(F.least("matches_x", "matches_y")).alias("_needed")
@@ -280,12 +300,13 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     docs = documents(df)
     cells = spark.sparkContext.broadcast(count_sketch(docs, k))
     ddl = "doc_id long, n_shingles long, key_a long, key_b long, matches int, prefix array<long>, bits binary"
+    ddl += "".join(f", {name} long" for name in PARITY)
     sets = freeze(docs.mapInArrow(_set_maker(k, percent, cells), schema=ddl))
 
     known = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     key = ["key_a", "key_b", "n_shingles"]
     # Equal sets have equal prefixes; the row with the smallest id stands for them.
-    first_rows = known.groupBy(*key).agg(F.min(F.struct("doc_id", "matches", "prefix", "bits")).alias("_first"))
+    first_rows = known.groupBy(*key).agg(F.min(F.struct("doc_id", "matches", "prefix", "bits", *PARITY)).alias("_first"))
     nodes = freeze(first_rows.select(*key, "_first.*").withColumnsRenamed({"doc_id": "node", "n_shingles": "n"}))
     members = known.select("doc_id", *key).join(nodes.select("key_a", "key_b", F.col("n").alias("n_shingles"), "node"), key)
     members = freeze(members.select("doc_id", "node").distinct())
@@ -297,7 +318,8 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     shared = postings.groupBy("token").agg(F.min("node").alias("_first"), F.max("node").alias("_last"))
     shared = shared.where(F.col("_first") != F.col("_last")).select("token")
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
-    met = freeze(postings.join(shared, "token").withColumn("_class", size_class))
+    met = postings.join(shared, "token").withColumn("_class", size_class)
+    met = freeze(met.join(nodes.select("node", "n", *PARITY), ["node", "n"]))
 
     texts = docs.withColumnRenamed("doc_id", "node")
     placed, compared = met.withColumn("component", F.col("node")), None

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.jaccard import pairs_between_components, verified
+from ranktide.llm.jaccard import PARITY, may_be_similar, pairs_between_components, small_parities, verified
 from ranktide.llm.runtime import documents, ready, slices, table, to_batches
 from ranktide.llm.textscan import LOWER, find_lines, find_words, mix, owners, runs_of, shingles, span_hashes, utf8
 from ranktide.session import freeze
@@ -76,17 +76,22 @@ def _names(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("doc_id", pa.int64()), ("paragraph", pa.int32()), ("node", pa.int64())])
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("paragraph", pa.int32()), ("node", pa.int64()), *((name, pa.int64()) for name in PARITY)]
+    )
     for batch in slices(batches):
         data, bounds, row, number = _lines(batch)
         names, counts = _names(data, bounds)
         long = np.flatnonzero(counts >= WORDS)
+        hashes, line, _ = shingles(data, bounds, WORDS)
+        parities = small_parities(hashes, line, len(counts))
         yield to_batches(
             {
                 "doc_id": batch.column("doc_id").take(pa.array(row[long])),
                 "paragraph": number[long],
                 "node": names[long].view(np.int64),
-            },
+            }
+            | {name: values[long] for name, values in parities.items()},
             schema,
         )
 
@@ -138,26 +143,31 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     ready(df.sparkSession)
     docs = documents(df).where(F.col("doc_id").isNotNull())
-    listed = freeze(docs.mapInArrow(_listed, schema="doc_id long, paragraph int, node long"))
+    ddl = "doc_id long, paragraph int, node long" + "".join(f", {name} long" for name in PARITY)
+    listed = freeze(docs.mapInArrow(_listed, schema=ddl))
     bands, rows = tune_bands(percent / 100)
     postings = docs.mapInArrow(_banded(bands, rows), schema="token long, node long, n int")
     buckets = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("_other"))
     buckets = freeze(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"))
     met = freeze(postings.join(buckets, "token").distinct())
+    nodes = met.select("node", "n").distinct()
+    place = listed.join(nodes, "node").groupBy("node").agg(
+        F.min(F.struct("doc_id", "paragraph")).alias("_at"), *(F.min(c).alias(c) for c in ("n", *PARITY))
+    )
+    place = freeze(place.select("node", "n", *PARITY, "_at.*"))
     first = met.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    first = freeze(first)
-
-    nodes = met.select("node").distinct()
-    place = listed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "paragraph")).alias("_at"))
-    place = place.select("node", "_at.*")
-    texts = freeze(docs.join(place, "doc_id").select("text", "paragraph", "node").mapInArrow(_cut_out, schema="node long, text string"))
+    for side in ("a", "b"):
+        own = place.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *PARITY)))
+        first = first.join(own, side)
+    first = freeze(first.where(may_be_similar(percent, "a", "b")).select("a", "b"))
+    texts = freeze(docs.join(place.select("node", "doc_id", "paragraph"), "doc_id").select("text", "paragraph", "node").mapInArrow(_cut_out, schema="node long, text string"))
     texts = texts.dropDuplicates(["node"])  # a repeated doc_id gives its lines twice
 
     links = verified(first, texts, WORDS, percent)
     grouped = freeze(components(links))
-    placed = met.join(grouped, "node", "left").select(
-        "token", "node", "n", F.lit(1).alias("matches"), F.coalesce("component", "node").alias("component")
-    )
+    placed = met.select("token", "node").join(place.select("node", "n", *PARITY), "node").join(grouped, "node", "left")
+    component = F.coalesce("component", "node").alias("component")
+    placed = placed.select("token", "node", "n", F.lit(1).alias("matches"), component, *PARITY)
     second = pairs_between_components(freeze(placed), percent).join(first, ["a", "b"], "left_anti")
     grouped = components(links.union(verified(second, texts, WORDS, percent)))
 
