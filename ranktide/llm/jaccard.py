@@ -322,7 +322,8 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     met = freeze(met.join(nodes.select("node", "n", *PARITY), ["node", "n"]))
 
     texts = docs.withColumnRenamed("doc_id", "node")
-    placed, compared = met.withColumn("component", F.col("node")), None
+    links = freeze(links)
+    placed, compared, grouped = met.withColumn("component", F.col("node")), None, None
     for pairs_of in (pairs_with_hubs, pairs_with_hubs, lambda p: pairs_between_components(p, percent)):
         if compared is None:
             pairs = pairs_of(placed)
@@ -330,9 +331,11 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             placed = freeze(met.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node")))
             pairs = pairs_of(placed).join(compared, ["a", "b"], "left_anti")
         pairs = possible(pairs, nodes, percent)
-        links = freeze(links.union(verified(pairs, texts, k, percent)))
         compared = pairs if compared is None else compared.union(pairs)
-        grouped = components(links)
+        fresh = verified(pairs, texts, k, percent)
+        if grouped is None or not fresh.isEmpty():  # without new links the components stay
+            links = freeze(links.union(fresh))
+            grouped = freeze(components(links))
 
     placed_members = members.join(grouped, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
     placed_members = placed_members.groupBy("doc_id").agg(F.min("component").alias("component"))

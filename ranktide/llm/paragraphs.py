@@ -169,7 +169,9 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     component = F.coalesce("component", "node").alias("component")
     placed = placed.select("token", "node", "n", F.lit(1).alias("matches"), component, *PARITY)
     second = pairs_between_components(freeze(placed), percent).join(first, ["a", "b"], "left_anti")
-    grouped = components(links.union(verified(second, texts, WORDS, percent)))
+    more = verified(second, texts, WORDS, percent)
+    if not more.isEmpty():
+        grouped = components(links.union(more))
 
     members = listed.join(grouped, "node", "left").select("doc_id", "paragraph", F.coalesce("component", "node").alias("component"))
     classes = members.groupBy("component").agg(F.count("*").alias("_n"), F.min(F.struct("doc_id", "paragraph")).alias("_kept"))
