@@ -39,9 +39,9 @@ from ranktide.session import freeze
 
 LENGTH = 50
 KMER = 16
-BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 4 << 20
-BATCH_ROWS = 4  # blocks in an Arrow batch
+BLOCK_BYTES = 3_500_000
+BUCKET_BYTES = 8 << 20
+BATCH_ROWS = 8  # blocks in an Arrow batch
 
 BLOCK_DDL = "block long, doc_ids array<long>, bounds binary, content binary"
 BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("bounds", pa.binary()), ("content", pa.binary())])
@@ -59,7 +59,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     held: list[pa.RecordBatch] = []
     size = 0
-    for batch in slices(batches, limit=BLOCK_BYTES):
+    for batch in slices(batches, limit=BLOCK_BYTES // 8):
         held.append(batch)
         size += batch.column("text").nbytes
         if size >= BLOCK_BYTES:
