@@ -6,8 +6,11 @@ labelled pages: those that mark their content with exactly one ``article`` or ``
 element that holds it; words in links, lists or boxes that labelled pages have outside their content turn out
 negative. One linear scan finds the contiguous region of the largest sum; its blocks are the text.
 
-Elements that never belong to an article (navigation, page headers and footers, sidebars, forms, scripts, styles, and
-boxes whose class or id says advert, notice, comment and the like) are passed over wherever they stand.
+Elements that never belong to an article (navigation, page headers and footers, sidebars, scripts, styles) are passed over
+wherever they stand, and so are forms and boxes whose class or id says advert, notice, comment and the like, unless they
+are wrappers: html, body, main and article are never passed over for their class; another box is a wrapper if it holds the
+page's one ``article`` or ``main`` or most of its words, or, on a page without exactly one, most of the page's words.
+Within the region nothing else is left out.
 
 Defined results: null, empty and contentless html give the empty text; unclosed elements end where their parent ends;
 ``<`` that opens no tag is text; repeated pages get a row each; with no labelled page built-in weights are used; an empty
@@ -48,9 +51,9 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead "
     "tr ul".split()
 )
-# Elements whose content is never part of an article, and words in a class or id that say the same.
+# Elements whose content is never part of an article, and words in a class or id that say the same unless of a wrapper.
 OUTSIDE = frozenset(
-    "head nav aside form button select option svg math canvas object audio video map dialog menu script style "
+    "head nav aside button select option svg math canvas object audio video map dialog menu script style "
     "textarea title noscript template iframe".split()
 )
 OUTSIDE_WORDS = frozenset(
@@ -61,6 +64,7 @@ OUTSIDE_WORDS = frozenset(
     "pagination pager toolbar copyright disclaimer".split()
 )
 GOLD = frozenset(("article", "main"))
+BOXES = BLOCK - GOLD - {"html", "body"}
 
 DEFAULT_WORD, DEFAULT_LINK, DEFAULT_TAG = 1.0, -1.0, 0.3
 
@@ -71,7 +75,8 @@ class Node:
     key: str
     outside: bool
     link: bool
-    gold: bool
+    gold: int  # the outermost article or main, -1 if in none
+    box: int  # the innermost box that may be passed over, -1 if in none
 
 
 @dataclass
@@ -87,6 +92,43 @@ class Page:
     gold_elements: int = 0
 
 
+@dataclass
+class Boxes:
+    """Boxes that may be passed over and article or main elements, found while a page is read."""
+
+    parent: list[int] = field(default_factory=list)  # the box around a box
+    in_gold: list[int] = field(default_factory=list)  # the article or main around a box
+    gold_in: list[int] = field(default_factory=list)  # the box around an article or main
+    box: list[int] = field(default_factory=list)  # of every token
+    gold: list[int] = field(default_factory=list)  # of every token
+
+    def around(self, box: int) -> Iterator[int]:
+        while box >= 0:
+            yield box
+            box = self.parent[box]
+
+    def passed(self, sizes: list[int]) -> list[bool]:
+        """Which boxes are passed over: all but wrappers, and what lies in one that is."""
+        free = [g for g, box in enumerate(self.gold_in) if box < 0] or list(range(len(self.gold_in)))
+        one = free[0] if len(free) == 1 else -1
+        holds = set(self.around(self.gold_in[one])) if one >= 0 else set()
+        words = [0] * len(self.parent)
+        base = 0
+        for size, box, gold in zip(sizes, self.box, self.gold, strict=True):
+            if size and (one < 0 or gold == one):
+                base += size
+            if size and box >= 0:
+                words[box] += size
+        for box in range(len(words) - 1, -1, -1):
+            if self.parent[box] >= 0:
+                words[self.parent[box]] += words[box]
+        result: list[bool] = []
+        for box, parent in enumerate(self.parent):
+            most = 2 * words[box] > base and (one < 0 or self.in_gold[box] == one)
+            result.append((parent >= 0 and result[parent]) or not (box in holds or most))
+        return result
+
+
 def _says_outside(rest: str) -> bool:
     for found in MARKS.finditer(rest):
         words = re.findall(r"[a-z]+", (found[1] or found[2] or found[3] or "").lower())
@@ -97,7 +139,16 @@ def _says_outside(rest: str) -> bool:
 
 def read_page(source: str) -> Page:
     """One pass over the html."""
-    page, stack = Page(), [Node("", "", False, False, False)]
+    page, boxes, stack = Page(), Boxes(), [Node("", "", False, False, -1, -1)]
+
+    def add(key: str, size: int, text: str, gold: int, box: int) -> None:
+        page.keys.append(key)
+        page.sizes.append(size)
+        page.blocks.append(block)
+        page.texts.append(text)
+        boxes.gold.append(gold)
+        boxes.box.append(box)
+
     block, at, n = 0, 0, len(source)
     while at < n:
         found = TOKEN.match(source, at)
@@ -109,11 +160,7 @@ def read_page(source: str) -> Page:
             if top.outside:
                 page.passed_links += words * top.link
             else:
-                page.keys.append(key)
-                page.sizes.append(words)
-                page.blocks.append(block)
-                page.texts.append(decoded)
-                page.gold.append(top.gold)
+                add(key, words, decoded, top.gold, top.box)
             continue
         if name is None:
             continue
@@ -140,24 +187,27 @@ def read_page(source: str) -> Page:
                             del stack[depth:]
                         break
             parent = stack[-1]
-            outside = parent.outside or name in OUTSIDE or (name in BLOCK and _says_outside(found["rest"]))
+            outside = parent.outside or name in OUTSIDE
             if name in ("header", "footer"):
-                outside = outside or name == "footer" or not parent.gold
-            if name in GOLD and not outside and not parent.gold:
-                page.gold_elements += 1
+                outside = outside or name == "footer" or parent.gold < 0
+            gold, box = parent.gold, parent.box
+            if name in GOLD and not outside and gold < 0:
+                gold = len(boxes.gold_in)
+                boxes.gold_in.append(box)
+            if not outside and (name == "form" or (name in BOXES and _says_outside(found["rest"]))):
+                boxes.parent.append(box)
+                boxes.in_gold.append(gold)
+                box = len(boxes.parent) - 1
             top = Node(
                 name,
                 name if name in BLOCK else parent.key,
                 outside,
                 parent.link or name == "a",
-                parent.gold or (name in GOLD and not outside),
+                gold,
+                box,
             )
             if name == "br" and not outside:
-                page.keys.append("w:" + top.key)
-                page.sizes.append(0)
-                page.blocks.append(block)
-                page.texts.append(" ")
-                page.gold.append(parent.gold)
+                add("w:" + top.key, 0, " ", gold, box)
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
                 at = close.end() if close else n
@@ -166,11 +216,21 @@ def read_page(source: str) -> Page:
             elif name not in VOID and name in BLOCK:
                 stack.append(top)  # html ignores the slash
         if not top.outside:
-            page.keys.append("t:" + name)
-            page.sizes.append(0)
-            page.blocks.append(block)
-            page.texts.append("")
-            page.gold.append(top.gold)
+            add("t:" + name, 0, "", top.gold, top.box)
+    return _without_passed(page, boxes)
+
+
+def _without_passed(page: Page, boxes: Boxes) -> Page:
+    passed = boxes.passed(page.sizes)
+    kept = [i for i, box in enumerate(boxes.box) if box < 0 or not passed[box]]
+    if len(kept) < len(boxes.box):
+        links = sum(size for key, size in zip(page.keys, page.sizes, strict=True) if key == "w:a")
+        for name in ("keys", "sizes", "blocks", "texts"):
+            values = getattr(page, name)
+            setattr(page, name, [values[i] for i in kept])
+        page.passed_links += links - sum(size for key, size in zip(page.keys, page.sizes, strict=True) if key == "w:a")
+    page.gold = [boxes.gold[i] >= 0 for i in kept]
+    page.gold_elements = sum(box < 0 or not passed[box] for box in boxes.gold_in)
     return page
 
 

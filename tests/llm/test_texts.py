@@ -251,6 +251,32 @@ def test_main_text(spark):
     assert maintext.best_region([-1.0, 2.0, -1.0, 2.0, -5.0, 2.5]) == (1, 4) and maintext.best_region([-1.0]) == (0, 0)
 
 
+@pytest.mark.parametrize(
+    ("opening", "closing"),
+    [
+        ('<body class="has-sidebar"><article>', "</article></body>"),
+        ('<main class="with-nav">', "</main>"),
+        ('<div id="search-page"><article>', "</article></div>"),
+        ('<div id="search-page"><div>', "</div></div>"),
+        ('<article class="post comment-open">', "</article>"),
+        ('<article><div class="share-content">', "</div></article>"),
+        ("<form><article>", "</article></form>"),
+        ("<form>", "</form>"),
+    ],
+)
+def test_wrappers_are_not_passed_over(opening, closing):
+    content = '<p>Many words stand here in a row</p><div class="ad">buy this</div><p>and some more of them follow</p>'
+    source = f'<html>{opening}{content}{closing}<div id="comments"><p>First one!</p></div></html>'
+    assert maintext.main_text(source, maintext.Weights()) == "Many words stand here in a row\n\nand some more of them follow"
+    assert maintext.read_page(source).gold_elements == (("<article" in opening) or ("<main" in opening))
+
+
+def test_large_comments_beside_the_article_are_passed_over():
+    comments = '<div id="comments">' + "<p>a remark of a reader</p>" * 30 + "</div>"
+    wrapped = f'<div class="with-sidebar"><article><p>Many words stand here in a row</p></article></div>{comments}'
+    assert maintext.main_text(wrapped, maintext.Weights()) == "Many words stand here in a row"
+
+
 def test_pipeline_keeps_clean_documents_and_columns(spark):
     import corpus_pipeline
 
