@@ -4,7 +4,8 @@ A page is read as a sequence of words and tags. Words score positive and tags ne
 labelled pages: those that mark their content with exactly one ``article`` or ``main`` element, of which at most
 ``sample_pages`` are used (documented parameter), those with the smallest id hash. A word's weight follows from the
 element that holds it; words in links, lists or boxes that labelled pages have outside their content turn out
-negative. One linear scan finds the contiguous region of the largest sum; its blocks are the text.
+negative. One linear scan finds the contiguous region of the largest sum; all its blocks are the text, whatever their
+weights.
 
 Elements that never belong to an article (navigation, page headers and footers, sidebars, scripts, styles) are passed over
 wherever they stand, and so are forms and boxes whose class or id says advert, notice, comment and the like, unless they
@@ -289,7 +290,7 @@ def main_text(source: str | None, weights: Weights) -> str:
             end += 1
     blocks: dict[int, list[str]] = {}
     for i in range(start, end):
-        if page.texts[i] and (value[page.keys[i]] > 0 or page.keys[i] == "w:a"):
+        if page.texts[i]:
             blocks.setdefault(page.blocks[i], []).append(page.texts[i])
     joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(text for text in joined if text)

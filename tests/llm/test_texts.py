@@ -277,6 +277,20 @@ def test_large_comments_beside_the_article_are_passed_over():
     assert maintext.main_text(wrapped, maintext.Weights()) == "Many words stand here in a row"
 
 
+def test_lists_tables_and_headings_inside_the_region_stay():
+    """Most words of li, td and h3 stand outside the article, so that they weigh less than nothing."""
+    plenty = "".join(f"<ul><li>entry {i} of a list</li></ul><table><tr><td>cell {i} here</td></tr></table><h3>box {i}</h3>" for i in range(20))
+    words = " ".join(f"word{i}" for i in range(40))
+    article = f"<article><p>{words}</p><h3>Part two</h3><ul><li>one item</li></ul><table><tr><td>a cell</td></tr></table><p>{words}</p></article>"
+    source = f"<html><body><div>{plenty}</div>{article}<div>{plenty}</div></body></html>"
+    page, counts = maintext.read_page(source), Counter()
+    for key, size, gold in zip(page.keys, page.sizes, page.gold, strict=True):
+        counts[key, gold] += size if key.startswith("w:") else 1
+    weights = maintext.learn(counts)
+    assert all(weights.of(f"w:{name}") < 0 for name in ("li", "td", "h3"))
+    assert maintext.main_text(source, weights) == f"{words}\n\nPart two\n\none item\n\na cell\n\n{words}"
+
+
 def test_pipeline_keeps_clean_documents_and_columns(spark):
     import corpus_pipeline
 
