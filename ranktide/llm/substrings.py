@@ -11,9 +11,14 @@ and left out. For the others, the bytes of every run of positions with one ancho
 copies of a run are made one, its positions are put in suffix order, cut at LENGTH bytes, and equal strings are compared
 as bytes; every copy gets the ranges that have an earlier match.
 
-Documents travel in compressed blocks of about BLOCK_BYTES; a bucket gets about BUCKET_BYTES of text whatever the input, as
-their number grows with it. Blocks, digests and ranges are joined by block, so a document is never gathered with others than
-those of its block.
+Copies are reduced before they are sent: a run whose bytes a smaller doc_id of its block also has is removed there. Hot
+anchors, with more than HOT_POSITIONS positions over all blocks, are not sent as runs: each string of LENGTH bytes goes, once
+per block and with its smallest doc_id, to a bucket by its own hash, so that equal strings still meet while one anchor
+spreads over all buckets.
+
+Documents travel in compressed blocks of about BLOCK_BYTES. The number of buckets grows with the input, for about
+BUCKET_BYTES of text each; beyond that a bucket can get an anchor of up to HOT_POSITIONS, and of one hot string one copy per
+block. Blocks, digests and ranges are joined by block, so a document is never gathered with others than those of its block.
 
 Defined results: null and empty texts have 0 bytes and nothing removed; texts under LENGTH bytes are kept whole; rows with
 a null doc_id are kept whole and remove nothing elsewhere; equal doc_ids are not smaller than each other; an empty table
@@ -27,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +47,7 @@ LENGTH = 50
 KMER = 16
 BLOCK_BYTES = 3_500_000
 BUCKET_BYTES = 8 << 20
+HOT_POSITIONS = 1 << 16
 BATCH_ROWS = 8  # blocks in an Arrow batch
 
 BLOCK_DDL = "block long, doc_ids array<long>, bounds binary, content binary"
@@ -130,12 +137,12 @@ def _by_bucket(anchors: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _digester(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("digests", pa.binary()), ("several", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("digests", pa.binary()), ("several", pa.binary()), ("sizes", pa.binary())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             block = Block(row)
-            anchors, _, _, owner = block.runs()
+            anchors, _, lengths, owner = block.runs()
             if not len(anchors):
                 continue
             order = np.lexsort((owner, anchors))
@@ -143,10 +150,11 @@ def _digester(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
             last = np.append(first[1:], len(ranked)) - 1
             distinct, several = ranked[first], owner[first] != owner[last]
+            sizes = np.minimum(np.add.reduceat(lengths[order], first), 0xFFFF).astype("<u2")
             bucket, order = _by_bucket(distinct, buckets)
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             short = (distinct & np.uint64(0xFFFFFFFF)).astype("<u4")[order]
-            several = several[order]
+            several, sizes = several[order], sizes[order]
             filled = np.flatnonzero(np.diff(cuts))
             yield to_batches(
                 {
@@ -154,6 +162,7 @@ def _digester(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                     "block": [block.number] * len(filled),
                     "digests": [short[cuts[b] : cuts[b + 1]].tobytes() for b in filled],
                     "several": [np.packbits(several[cuts[b] : cuts[b + 1]]).tobytes() for b in filled],
+                    "sizes": [_pack(sizes[cuts[b] : cuts[b + 1]].tobytes()) for b in filled],
                 },
                 schema,
             )
@@ -161,8 +170,8 @@ def _digester(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return digest
 
 
-def _shared(bucket: pa.Table) -> pa.Table:
-    """For each block of a bucket, which of its anchors occur in several documents."""
+def _shared(bucket: pa.Table, hot_positions: int) -> pa.Table:
+    """For each block of a bucket, which of its anchors occur in several documents, and which of them are hot."""
     digests = [np.frombuffer(x, dtype="<u4") for x in bucket.column("digests").to_pylist()]
     several = bucket.column("several").to_pylist()
     marks = [np.unpackbits(np.frombuffer(s, dtype=np.uint8), count=len(d)).astype(bool) for s, d in zip(several, digests, strict=True)]
@@ -173,15 +182,43 @@ def _shared(bucket: pa.Table) -> pa.Table:
     doubled = [np.sort(d) for d in digests]
     doubled = [d[1:][d[1:] == d[:-1]] for d in doubled]
     common = np.unique(np.concatenate([twice, *within, *doubled]))
-    flags = [np.packbits(np.isin(d, common)).tobytes() for d in digests]
+    # By digest, so that every block decides alike.
+    found, number = np.unique(np.concatenate(digests), return_inverse=True)
+    sizes = np.concatenate([np.frombuffer(_unpack(x), dtype="<u2") for x in bucket.column("sizes").to_pylist()])
+    hot = found[np.bincount(number, weights=sizes, minlength=len(found)) > hot_positions]
+    flags = [np.packbits(np.isin(d, common)).tobytes() + np.packbits(np.isin(d, hot)).tobytes() for d in digests]
     return pa.table(
         {"block": bucket.column("block"), "bucket": bucket.column("bucket"), "flags": pa.array(flags, pa.binary())},
         schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("flags", pa.binary())]),
     )
 
 
+def _copies(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte range, the index of the equal range that stands for it, one with the smallest id.
+
+    Ranges that agree only in their hash stand for themselves. Also returns the indices that stand for any.
+    """
+    if not len(at):
+        return at, at
+    names = mix(span_hashes(data, at, at + sizes) + sizes.astype(np.uint64))
+    order = np.lexsort((ids, names))
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = names[order][1:] != names[order][:-1]
+    stands = np.empty(len(order), dtype=np.int64)
+    stands[order] = order[fresh][np.cumsum(fresh) - 1]
+    other = np.flatnonzero((stands != np.arange(len(at))) & (sizes == sizes[stands]))
+    if len(other):
+        unlike = gather(data, at[other], sizes[other]) != gather(data, at[stands[other]], sizes[other])
+        begin = np.cumsum(sizes[other]) - sizes[other]
+        differs = np.add.reduceat(unlike.astype(np.int64), begin) > 0
+        stands[other[differs]] = other[differs]
+    mixed = sizes != sizes[stands]
+    stands[mixed] = np.flatnonzero(mixed)
+    return stands, np.flatnonzero(stands == np.arange(len(at)))
+
+
 def _sender(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("runs", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("runs", pa.binary()), ("ranges", pa.binary())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -192,24 +229,56 @@ def _sender(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             distinct, number = np.unique(anchors, return_inverse=True)
             bucket, order = _by_bucket(distinct, buckets)
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            shared = np.zeros(len(distinct), dtype=bool)
+            shared, hot = np.zeros(len(distinct), dtype=bool), np.zeros(len(distinct), dtype=bool)
             for part in row["shared"]:
                 own = order[cuts[part["bucket"]] : cuts[part["bucket"] + 1]]
-                shared[own] = np.unpackbits(np.frombuffer(part["flags"], dtype=np.uint8), count=len(own)).astype(bool)
-            ids = np.array([0 if d is None else d for d in block.doc_ids], dtype=np.int64)
+                flags = np.frombuffer(part["flags"], dtype=np.uint8)
+                shared[own] = np.unpackbits(flags[: len(flags) // 2], count=len(own)).astype(bool)
+                hot[own] = np.unpackbits(flags[len(flags) // 2 :], count=len(own)).astype(bool)
+            ids = np.array([0 if d is None else d for d in block.doc_ids], dtype=np.int64)[owner]
             kept = np.flatnonzero(shared[number])
-            by = np.argsort(bucket[number[kept]], kind="stable")
-            kept = kept[by]
-            cuts = np.searchsorted(bucket[number[kept]], np.arange(buckets + 1))
+            decided = [np.zeros((2, 0), dtype=np.int64)]
+
+            def first_ones(at: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
+                """All but those with an equal one of a smaller id in this block, whose ranges are decided."""
+                stands, _ = _copies(block.data, at, lengths + LENGTH - 1, ids)
+                later = ids[stands] < ids
+                decided.append(np.stack([at[later], at[later] + lengths[later] + LENGTH - 1]))
+                return np.flatnonzero(~later)
+
+            kept = kept[first_ones(starts[kept], lengths[kept], ids[kept])]
+            to = bucket[number[kept]]
+            is_hot = hot[number[kept]]
+            warm, split = kept[~is_hot], kept[is_hot]
+            at, sizes, ids_of, to = starts[warm], lengths[warm], ids[warm], to[~is_hot]
+            if len(split):
+                within = np.arange(int(lengths[split].sum())) - np.repeat(np.cumsum(lengths[split]) - lengths[split], lengths[split])
+                single, single_ids = np.repeat(starts[split], lengths[split]) + within, np.repeat(ids[split], lengths[split])
+                left = first_ones(single, np.ones_like(single), single_ids)
+                single, single_ids = single[left], single_ids[left]
+                names = mix(span_hashes(block.data, single, single + LENGTH))
+                at, sizes = np.concatenate([at, single]), np.concatenate([sizes, np.ones_like(single)])
+                ids_of = np.concatenate([ids_of, single_ids])
+                to = np.concatenate([to, ((names >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)])
+            by = np.lexsort((at, to))
+            at, sizes, ids_of, to = at[by], sizes[by], ids_of[by], to[by]
+            cuts = np.searchsorted(to, np.arange(buckets + 1))
             filled = np.flatnonzero(np.diff(cuts))
-            packed = []
+            packed: list[bytes | None] = []
             for b in filled:
-                own = kept[cuts[b] : cuts[b + 1]]
-                content = gather(block.data, starts[own], lengths[own] + LENGTH - 1)
-                steps = np.diff(starts[own], prepend=0)
-                arrays = (steps.astype("<u4"), lengths[own].astype("<u4"), ids[owner[own]].astype("<i8"), content)
-                packed.append(_pack(len(own).to_bytes(8, "little") + b"".join(a.tobytes() for a in arrays)))
-            yield to_batches({"bucket": filled, "block": [block.number] * len(filled), "runs": packed}, schema)
+                own = slice(cuts[b], cuts[b + 1])
+                content = gather(block.data, at[own], sizes[own] + LENGTH - 1)
+                steps = np.diff(at[own], prepend=0)
+                arrays = (steps.astype("<u4"), sizes[own].astype("<u4"), ids_of[own].astype("<i8"), content)
+                packed.append(_pack(len(steps).to_bytes(8, "little") + b"".join(a.tobytes() for a in arrays)))
+            to, ranges = filled.tolist(), [None] * len(filled)
+            ready_made = np.concatenate(decided, axis=1)
+            if ready_made.size:
+                # Decided ranges pass through some bucket on their way back to the block.
+                to.append(block.number % buckets)
+                packed.append(None)
+                ranges.append(_pack(ready_made.astype("<u4").tobytes()))
+            yield to_batches({"bucket": to, "block": [block.number] * len(to), "runs": packed, "ranges": ranges}, schema)
 
     return send
 
@@ -249,18 +318,17 @@ def earliest(data: np.ndarray, positions: np.ndarray, ids: np.ndarray) -> np.nda
 def _matched(bucket: pa.Table) -> pa.Table:
     """For each block of a bucket the byte ranges that have an earlier match."""
     schema = pa.schema([("block", pa.int64()), ("ranges", pa.binary())])
+    decided = bucket.filter(pc.is_valid(bucket.column("ranges"))).select(["block", "ranges"]).cast(schema)
+    bucket = bucket.filter(pc.is_valid(bucket.column("runs")))
+    if not bucket.num_rows:
+        return decided
     parts = [_received(x) for x in bucket.column("runs").to_pylist()]
     starts, lengths, ids, data = (np.concatenate([p[i] for p in parts]) for i in range(4))
     sizes = lengths + LENGTH - 1
     at = np.cumsum(sizes) - sizes
     # Copies of a run: one stands for all, with their smallest id.
-    names = mix(span_hashes(data, at, at + sizes) + sizes.astype(np.uint64))
-    order = np.lexsort((ids, names))
-    fresh = np.ones(len(order), dtype=bool)
-    fresh[1:] = names[order][1:] != names[order][:-1]
-    one = order[fresh]
-    which = np.empty(len(order), dtype=np.int64)
-    which[order] = np.cumsum(fresh) - 1
+    stands, one = _copies(data, at, sizes, ids)
+    which = np.searchsorted(one, stands)
     first = np.cumsum(lengths[one]) - lengths[one]
     positions = np.repeat(at[one] - first, lengths[one]) + np.arange(int(lengths[one].sum()))
     smallest = earliest(data, positions, np.repeat(ids[one], lengths[one]))
@@ -279,7 +347,8 @@ def _matched(bucket: pa.Table) -> pa.Table:
     ranges = [
         _pack(np.stack([low[a:b], high[a:b]]).astype("<u4").tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)
     ]
-    return pa.table({"block": bucket.column("block"), "ranges": pa.array(ranges, pa.binary())}, schema=schema)
+    found = pa.table({"block": bucket.column("block"), "ranges": pa.array(ranges, pa.binary())}, schema=schema)
+    return pa.concat_tables([found, decided])
 
 
 REMOVED = pa.schema(
@@ -332,10 +401,13 @@ def without_repeats(df: DataFrame) -> DataFrame:
     blocks = freeze(docs.mapInArrow(_to_blocks, schema=BLOCK_DDL))
     # From here on rows are blocks; the setting also holds for the returned plan.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    digests = blocks.mapInArrow(_digester(buckets), schema="bucket int, block long, digests binary, several binary")
-    flags = digests.groupBy("bucket").applyInArrow(_shared, schema="block long, bucket int, flags binary")
+    hot_positions = HOT_POSITIONS
+    digests = blocks.mapInArrow(_digester(buckets), schema="bucket int, block long, digests binary, several binary, sizes binary")
+    flags = digests.groupBy("bucket").applyInArrow(
+        lambda bucket: _shared(bucket, hot_positions), schema="block long, bucket int, flags binary"
+    )
     by_block = flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("shared"))  # bounded by the block
-    sent = blocks.join(by_block, "block").mapInArrow(_sender(buckets), schema="bucket int, block long, runs binary")
+    sent = blocks.join(by_block, "block").mapInArrow(_sender(buckets), schema="bucket int, block long, runs binary, ranges binary")
     ranges = sent.groupBy("bucket").applyInArrow(_matched, schema="block long, ranges binary")
     ranges = freeze(ranges.groupBy("block").agg(F.collect_list("ranges").alias("ranges")))
     ddl = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"

@@ -6,6 +6,8 @@ import hashlib
 import os
 import random
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from helpers import PASSAGE, documents, empty, linked, roots, rows, shingles, words
 from pyspark.sql import functions as F
@@ -161,6 +163,42 @@ def test_suffix_dedup_equals_brute_force(spark, near, monkeypatch):
     assert digests(spark.createDataFrame(data, "doc_id long, text string").repartition(5)) == plain_removal(data)
 
 
+def between_lines(n):
+    """Every document has one line between other texts, and two of three have the same end."""
+    draw, line, data = random.Random(11), "a line of some fifty-four bytes that all documents have", []
+    for i in range(n):
+        before, after = (" ".join(f"{draw.randrange(10**6):06d}" for _ in range(12)) for _ in range(2))
+        data.append((i, f"{before}\n{line}\n{after}\n" + "same end of many " * 5 * (i % 3 > 0)))
+    return data
+
+
+def test_suffix_dedup_with_hot_anchors(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT_POSITIONS", 200)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 15_000)
+    data = between_lines(400) + [(7, "rows that repeat an id " * 9), (7, "rows that repeat an id " * 9), (9, "rows that repeat an id " * 9)]
+    assert digests(spark.createDataFrame(data, "doc_id long, text string").repartition(4)) == plain_removal(data)
+
+
+def test_an_anchor_of_all_documents_spreads_over_buckets():
+    """What a bucket gets, by plain exchanges: no bucket has much more than its share."""
+    data, buckets = between_lines(1200), 40
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": d, "text": t} for d, t in data[i : i + 100]], schema) for i in range(0, 1200, 100)]
+    blocks = [substrings._block([batch], number) for number, batch in enumerate(batches)]
+    digested = pa.Table.from_batches(substrings._digester(buckets)(iter(blocks)))
+    flags: dict[int, list] = {}
+    for b in set(digested.column("bucket").to_pylist()):
+        for r in substrings._shared(digested.filter(pc.equal(digested.column("bucket"), b)), 2000).to_pylist():
+            flags.setdefault(r["block"], []).append({"bucket": r["bucket"], "flags": r["flags"]})
+    asked = [pa.RecordBatch.from_pylist([b.to_pylist()[0] | {"shared": flags[n]}]) for n, b in enumerate(blocks)]
+    sent = pa.Table.from_batches(substrings._sender(buckets)(iter(asked))).to_pylist()
+    positions = [0] * buckets
+    for r in sent:
+        if r["runs"] is not None:
+            positions[r["bucket"]] += int(substrings._received(r["runs"])[1].sum())
+    assert max(positions) < 3 * sum(positions) / buckets
+
+
 def test_suffix_dedup_of_awkward_rows(spark):
     got = substrings.without_repeats(documents(spark)).collect()
     assert len(got) == len(rows())
