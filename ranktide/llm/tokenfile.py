@@ -10,6 +10,9 @@ Documents are range-partitioned by doc_id, in as many partitions as their bytes
 file of bounded size. A file is written under the name of its attempt and then renamed, so that a repeated task
 replaces it by the same content. The manifest, one row per file, says how many ids came before each file.
 
+Ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``: pieces are encoded once each, but a text that holds
+one of the file's added tokens, such as <|endoftext|>, is encoded by the library as a whole and gets that token's id.
+
 Defined results: null and empty texts hold only the end id; null ids come first; repeated ids keep their rows, in the order
 of their texts' hashes; an empty table gives no files and an empty result; other columns are ignored.
 """
@@ -140,6 +143,22 @@ def word_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     return encode
 
 
+def text_encoder(path: str) -> Callable[[list[str]], dict[int, np.ndarray]]:
+    """Ids of the texts that hold an added token of the vocabulary, by their index."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+
+    def encode(texts: list[str]) -> dict[int, np.ndarray]:
+        holding = [i for i, text in enumerate(texts) if any(token in text for token in added)]
+        found = tokenizer.encode_batch_fast([texts[i] for i in holding], add_special_tokens=False)
+        return {i: np.array(e.ids, dtype="<u4") for i, e in zip(holding, found, strict=True)}
+
+    return encode
+
+
 def _writer(folder: str, path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("part", pa.int32()), ("file", pa.string()), ("documents", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -153,17 +172,19 @@ def _writer(folder: str, path: str, end_id: int) -> Callable[[Iterator[pa.Record
         writer = sink = None
         for batch, texts in text_slices(batches):
             if words is None:
-                words, cutter = Vocabulary(word_encoder(path)), Pretokenizer()
+                words, cutter, with_added = Vocabulary(word_encoder(path)), Pretokenizer(), text_encoder(path)
                 system.create_dir(base, recursive=True)
                 sink = system.open_output_stream(attempt, compression=None)
                 writer = FrameWriter(sink)
-            ids, bounds = words.ids(texts, cutter)
+            whole = with_added(texts)
+            ids, bounds = words.ids(["" if i in whole else t for i, t in enumerate(texts)] if whole else texts, cutter)
             ids = ids.astype("<u4")
             end = np.array([end_id], dtype="<u4").tobytes()
             for i, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                writer.add(doc_id, ids[bounds[i] : bounds[i + 1]].tobytes() + end)
+                own = whole[i] if i in whole else ids[bounds[i] : bounds[i + 1]]
+                writer.add(doc_id, own.tobytes() + end)
             count += len(texts)
-            total += len(ids) + len(texts)
+            total += len(ids) + sum(map(len, whole.values())) + len(texts)
         if writer is not None:
             writer.finish()
             sink.close()

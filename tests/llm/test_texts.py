@@ -86,6 +86,22 @@ def test_token_files(spark, tmp_path, monkeypatch):
     assert tokenfile.read_digests(nothing, str(tmp_path / "none")).count() == 0
 
 
+def test_token_files_of_texts_with_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenfile.vocabulary_path())
+    texts = ["abc <|endoftext|> def", "<|endoftext|><|endoftext|>", "<|endoftext", "plain words", "", "x<|endoftext|>"]
+    folder = str(tmp_path / "tokens")
+    manifest = tokenfile.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), folder)
+    expected, start = [], 0
+    for doc_id, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = [tuple(r) for r in tokenfile.read_digests(manifest, folder).collect()]
+    assert sorted(got) == expected and manifest.agg(F.sum("n_tokens")).first()[0] == start
+
+
 def test_damaged_frames_are_noticed(tmp_path):
     path = str(tmp_path / "x.zst")
     with pafs.LocalFileSystem().open_output_stream(path, compression=None) as sink:
