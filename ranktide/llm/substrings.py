@@ -1,14 +1,15 @@
-"""Operator 7: removal of repeated byte strings by longest-previous-factor arrays.
+"""Operator 7: removal of repeated byte strings by grouping equal strings of LENGTH bytes.
 
-A byte is removed if a string of ``LENGTH`` bytes that covers it also starts in a document with a smaller doc_id. That is
-decided in suffix order: a position whose previous or next smaller position (by document) in suffix order has LENGTH
-bytes in common with it has an earlier match.
+A byte is removed if a string of ``LENGTH`` bytes that covers it also starts in a document with a smaller doc_id. Positions
+are ordered by their next LENGTH bytes, and each group of equal strings gets its smallest doc_id. No longest-previous-factor
+array is computed: whether its factor reaches LENGTH is all that the removal asks, and longer factors would need the bytes
+beyond a run, which are not sent.
 
 No machine can sort all suffixes, so they are dealt out by their anchors. The anchor of a position is the smallest hash of
 the KMER-byte strings within its LENGTH bytes; equal strings have equal anchors, and neighbouring positions mostly share
 one. Anchors that occur in one document alone are found first, from 4-byte digests (chance agreement there only adds work),
 and left out. For the others, the bytes of every run of positions with one anchor meet in the bucket of the anchor. There
-copies of a run are made one, its positions are put in suffix order, cut at LENGTH bytes, and equal strings are compared
+copies of a run are made one, its positions are put in the order of their LENGTH bytes, and equal strings are compared
 as bytes; every copy gets the ranges that have an earlier match.
 
 Copies are reduced before they are sent: a run whose bytes a smaller doc_id of its block also has is removed there. Hot
@@ -295,8 +296,7 @@ def _received(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 def earliest(data: np.ndarray, positions: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each position the smallest id among the positions whose next LENGTH bytes are the same.
 
-    The positions are put in suffix order, cut at LENGTH bytes, and by id within equal strings. There the previous
-    smaller position of any but the first of equal strings is among them, so its longest previous factor has LENGTH bytes.
+    The positions are ordered by those bytes, and by id within equal strings; the first of each group has the smallest id.
     """
     words = np.zeros(max(len(data) - 7, 0), dtype=np.uint64)
     for j in range(8):
