@@ -16,6 +16,7 @@ from ranktide.llm.maintext import op6_main_text
 from ranktide.llm.paragraphs import op2_substring_dedup
 from ranktide.llm.quality import op9_weak_supervision
 from ranktide.llm.substrings import op7_suffix_dedup
+from ranktide.llm.tokencounts import op12_token_counts
 from ranktide.llm.tokenfile import op10_token_files
 from ranktide.llm.toxicity import op8_toxicity
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_weak_supervision": op9_weak_supervision,
     "op10_token_files": op10_token_files,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE: dict[str, str] = {
