@@ -1,18 +1,24 @@
-"""Operator 2: substring dedup by paragraphs.
+"""Operator 2: substring dedup by passages.
 
-A paragraph is a line with at least ``WORDS`` words; its set has its distinct five-word shingles, lower-cased. Paragraphs
-with the same words are one node, named by a 64-bit hash. MinHash signatures are cut into bands, tuned so that a pair
-at the threshold meets in a band with the wanted recall; paragraphs that meet are compared exactly, by Jaccard
-similarity of their whole sets; verified links make components, and of each component every copy but the first (the
-smallest doc_id, then the first line) is removed.
+A paragraph is a piece of ``PASSAGE`` words that begins where the text itself says so, whatever its lines: at the least hash
+of five-word shingles in a window of ``WINDOW`` of them. Two texts that share ``LONG`` words in a row share such a window, hence
+its least hash, hence a whole paragraph. Paragraphs with the same words are one node, named by a 64-bit hash. MinHash
+signatures are cut into bands, tuned so that a pair at the threshold meets in a band with the wanted recall; paragraphs that
+meet are compared exactly, by Jaccard similarity of their whole sets; verified links make components, and of each component
+every copy but the first (the smallest doc_id, then the first place) is removable.
+
+Removable paragraphs of a document that overlap are one stretch; it is carried on to both sides as far as the words are those of
+the first copy. Stretches that then meet, or leave no more than ``GAP`` words between them in both texts, are one passage, and
+a passage of ``LONG`` words or more goes. Shorter repetitions, such as license lines, stay.
 
 As in the Jaccard join, members of a band are first compared with its smallest member, then only members of
-different components with each other, so that a band of copies costs no more than its size.
+different components with each other, so that a band of copies costs no more than its size. Of texts only those come along in
+which something is compared or removed, each once.
 
-Defined results: null texts and texts without such lines have nothing to remove; rows with a null doc_id are left as they
-are and remove nothing elsewhere; rows that repeat a doc_id count as one document whose lines of equal number are tied, and
-lose a line if either does; an empty table gives an empty result; columns besides doc_id and text are ignored by the search
-and passed on by ``without_copies``.
+Defined results: null texts and texts of fewer words have nothing to remove; rows with a null doc_id are left as they are
+and remove nothing elsewhere; rows that repeat a doc_id are one document if their texts are equal, and else documents in the order of
+their texts' hashes; an empty table gives an empty result; a text of any length is worked through in sections; columns besides
+doc_id and text are ignored by the search and passed on by ``without_copies``, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,15 +31,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.jaccard import PARITY, may_be_similar, pairs_between_components, small_parities, verified
-from ranktide.llm.runtime import documents, ready, slices, table, to_batches
-from ranktide.llm.textscan import LOWER, find_lines, find_words, mix, owners, runs_of, shingles, span_hashes, utf8
+from ranktide.llm.jaccard import PARITY, may_be_similar, pairs_between_components, small_parities
+from ranktide.llm.runtime import BATCH_ROWS, documents, ready, slices, table, to_batches
+from ranktide.llm.textscan import LOWER, STEP, find_words, mix, runs_of, span_hashes
 from ranktide.session import freeze
 
 WORDS = 5
 PERCENT = 80
-RECALL = 0.999
-MOST_BANDS = 10
+LONG = 50
+PASSAGE = 20
+WINDOW = LONG - PASSAGE  # shingles
+GAP = 8
+RECALL = 0.94
+MOST_BANDS = 4
+SECTION_BYTES = 1 << 20
+
+SHINGLES = PASSAGE - WORDS + 1
+AFTER = WINDOW + PASSAGE + WORDS  # words that a section has behind its own
+DOCUMENT = ("doc_id", "version")
 
 
 def tune_bands(similarity: float, recall: float = RECALL, most_bands: int = MOST_BANDS) -> tuple[int, int]:
@@ -47,150 +62,368 @@ def tune_bands(similarity: float, recall: float = RECALL, most_bands: int = MOST
     return best
 
 
-def _lines(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes, bounds of all lines, the row of each and its number there."""
-    data, bounds = utf8(batch.column("text"))
-    starts, _ = find_lines(data, bounds)
-    row = owners(bounds, starts) if len(starts) else starts
-    # A line that is empty at the end of a text begins where the next text does.
-    filled = np.flatnonzero(bounds[1:] > bounds[:-1])
-    per_row = np.zeros(batch.num_rows, dtype=np.int64)
-    feeds = np.concatenate([[0], np.cumsum(data == 10)])
-    per_row[filled] = feeds[bounds[filled + 1]] - feeds[bounds[filled]] + 1
-    row = np.repeat(np.arange(batch.num_rows), per_row)
-    first = np.cumsum(per_row) - per_row
-    number = np.arange(len(row)) - first[row]
-    return data, np.append(starts, len(data)), row, number
-
-
-def _names(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of the words of each line, and their number."""
-    lowered = LOWER[data]
-    words = find_words(lowered, bounds)
-    hashes = span_hashes(lowered, words.starts, words.ends)
-    counts = words.bounds[1:] - words.bounds[:-1]
-    place = np.arange(len(hashes)) - words.bounds[words.text]
-    total = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(mix(hashes + mix(place.astype(np.uint64))), out=total[1:])
-    return mix(total[words.bounds[1:]] - total[words.bounds[:-1]] + counts.astype(np.uint64)), counts
-
-
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blank(value: int) -> bool:
+    return value == 32 or 9 <= value <= 13
+
+
+def sections(text: bytes, size: int, after: int = AFTER) -> Iterator[tuple[int, bytes, int, int]]:
+    """A text in sections of about ``size`` bytes: place, bytes, number of the first word, and how many words are its own.
+
+    A section ends behind a word, and has the next ``after`` words, which are the next section's, as well.
+    """
+    start, first = 0, 0
+    while start < len(text):
+        end = min(start + size, len(text))
+        while end < len(text) and not _blank(text[end]):
+            end += 1
+        stop, left = end, after
+        while stop < len(text) and left:
+            while stop < len(text) and _blank(text[stop]):
+                stop += 1
+            while stop < len(text) and not _blank(text[stop]):
+                stop += 1
+            left -= 1
+        count = 1 << 62 if end == len(text) else len(text[start:end].split())
+        yield start, text[start:stop], first, count
+        start, first = end, first + count
+
+
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all parts, with A-Z lowered, and their bounds."""
+    bounds = np.zeros(len(parts) + 1, dtype=np.int64)
+    np.cumsum([len(p) for p in parts], out=bounds[1:])
+    return LOWER[np.frombuffer(b"".join(parts), dtype=np.uint8)], bounds
+
+
+def _hashed(texts: list[bytes], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text where its words begin, and their hashes; a long one is worked through in sections."""
+    if sum(map(len, texts)) <= 4 * size:
+        data, bounds = _joined(texts)
+        words = find_words(data, bounds)
+        hashes = span_hashes(data, words.starts, words.ends)
+        for i in range(len(texts)):
+            own = slice(words.bounds[i], words.bounds[i + 1])
+            yield words.starts[own] - bounds[i], hashes[own]
+        return
+    for text in texts:
+        starts, hashes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+        for place, part, _, _ in sections(text, size, 0):
+            data, bounds = _joined([part])
+            words = find_words(data, bounds)
+            starts.append(words.starts + place)
+            hashes.append(span_hashes(data, words.starts, words.ends))
+        yield np.concatenate(starts), np.concatenate(hashes)
+
+
+def _shingles(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles of words in a row, given theirs."""
+    total = np.zeros(max(len(hashes) - WORDS + 1, 0), dtype=np.uint64)
+    for j in range(WORDS):
+        total = total * STEP + hashes[j : j + len(total)]
+    return mix(total)
+
+
+def window_minima(values: np.ndarray, length: int) -> np.ndarray:
+    """For every window of ``length`` values the place of its least value, the last one of equals."""
+    place, width = np.arange(len(values)), 1
+
+    def better(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.where(values[b] <= values[a], b, a)
+
+    while width * 2 <= length:
+        place = better(place[: len(place) - width], place[width:])
+        width *= 2
+    rest = length - width
+    return better(place[: len(place) - rest], place[rest:]) if rest else place
+
+
+def anchors(runs: np.ndarray, bounds: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles at which paragraphs begin, and the part of each; ``own`` windows of each part count."""
+    if len(runs) < WINDOW:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    least = window_minima(runs, WINDOW)
+    part = np.searchsorted(bounds, np.arange(len(least)), side="right") - 1
+    inside = np.arange(len(least)) - bounds[part]
+    valid = (inside < own[part]) & (np.arange(len(least)) + WINDOW <= bounds[part + 1])
+    found, at = np.unique(least[valid], return_index=True)
+    part = part[valid][at]
+    whole = found + SHINGLES <= bounds[part + 1]
+    return found[whole], part[whole]
+
+
+def _signed(bands: int, rows: int, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    names = [f"band_{i}" for i in range(bands)]
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("paragraph", pa.int32()), ("node", pa.int64()), *((name, pa.int64()) for name in PARITY)]
+        [("doc_id", pa.int64()), ("version", pa.int64()), ("start", pa.int64()), ("node", pa.int64()), *((n, pa.int64()) for n in names)]
     )
-    for batch in slices(batches):
-        data, bounds, row, number = _lines(batch)
-        names, counts = _names(data, bounds)
-        long = np.flatnonzero(counts >= WORDS)
-        hashes, line, _ = shingles(data, bounds, WORDS)
-        parities = small_parities(hashes, line, len(counts))
-        yield to_batches(
-            {
-                "doc_id": batch.column("doc_id").take(pa.array(row[long])),
-                "paragraph": number[long],
-                "node": names[long].view(np.int64),
-            }
-            | {name: values[long] for name, values in parities.items()},
-            schema,
-        )
-
-
-def _banded(bands: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    schema = pa.schema([("token", pa.int64()), ("node", pa.int64()), ("n", pa.int32())])
     random = np.random.Generator(np.random.PCG64(7))
     factors = random.integers(1, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = random.integers(0, 2**63, bands * rows, dtype=np.uint64)
 
-    def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def groups(texts: list[str | None]) -> Iterator[list[tuple[int, bytes, int, int]]]:
+        """Sections, with the row of each, that are worked on at once."""
+        held: list[tuple[int, bytes, int, int]] = []
+        for row, text in enumerate(texts):
+            for _, part, first, own in sections((text or "").encode(), size):
+                held.append((row, part, first, own))
+                if sum(len(h[1]) for h in held[-2:]) > size or len(held) >= BATCH_ROWS:
+                    yield held
+                    held = []
+        if held:
+            yield held
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for group in groups(batch.column("text").to_pylist()):
+                row, parts, first, own = zip(*group, strict=True)
+                data, bounds = _joined(list(parts))
+                words = find_words(data, bounds)
+                runs, begins = runs_of(span_hashes(data, words.starts, words.ends), words, WORDS)
+                bounds = np.searchsorted(begins, words.bounds)
+                found, part = anchors(runs, bounds, np.array(own, dtype=np.int64))
+                if not len(found):
+                    continue
+                sets = runs[found[:, None] + np.arange(SHINGLES)]
+                name = np.zeros(len(found), dtype=np.uint64)
+                for j in range(SHINGLES):
+                    name = name * STEP + sets[:, j]
+                row_of = pa.array(np.array(row, dtype=np.int64)[part])
+                columns = {
+                    "doc_id": batch.column("doc_id").take(row_of),
+                    "version": batch.column("version").take(row_of),
+                    "start": np.array(first, dtype=np.int64)[part] + found - bounds[part],
+                    "node": mix(name).view(np.int64),
+                }
+                for b, column in enumerate(names):
+                    joined = np.full(len(found), b, dtype=np.uint64)
+                    for j in range(b * rows, (b + 1) * rows):
+                        joined = mix(joined + mix(sets * factors[j] + shifts[j]).min(axis=1))
+                    columns[column] = joined.view(np.int64)
+                yield to_batches(columns, schema)
+
+    return sign
+
+
+def _at_places(work: Callable, schema: pa.Schema, size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows that ``work`` makes of each text with its list of ``places``, given where its words begin and their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            data, bounds, _, _ = _lines(batch)
-            names, counts = _names(data, bounds)
-            hashes, line, _ = shingles(data, bounds, WORDS)
-            long = counts[line] >= WORDS
-            hashes, line = hashes[long], line[long]
-            if not len(line):
-                continue
-            starts = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-            sizes = np.diff(np.append(starts, len(line)))
-            node = names[line[starts]].view(np.int64)
-            # Copies within the slice have the same signature.
-            node, one = np.unique(node, return_index=True)
-            tokens = []
-            for b in range(bands):
-                joined = np.full(len(starts), b, dtype=np.uint64)
-                for j in range(b * rows, (b + 1) * rows):
-                    joined = mix(joined + np.minimum.reduceat(mix(hashes * factors[j] + shifts[j]), starts))
-                tokens.append(joined[one].view(np.int64))
-            yield to_batches({"token": np.concatenate(tokens), "node": np.tile(node, bands), "n": np.tile(sizes[one], bands)}, schema)
-
-    return band
-
-
-def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("node", pa.int64()), ("text", pa.string())])
-    for batch in slices(batches):
-        asked = zip(batch.column("text").to_pylist(), batch.column("paragraph").to_pylist(), strict=True)
-        found = [(t or "").split("\n")[p : p + 1] for t, p in asked]
-        yield to_batches({"node": batch.column("node"), "text": [x[0] if x else "" for x in found]}, schema)
-
-
-def repeated_paragraphs(df: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The members of all components of two paragraphs or more.
-
-    ``doc_id``, ``paragraph`` (the number of the line, from 0), ``kept_doc_id``, ``kept_paragraph`` (the first copy) and
-    ``removed`` (not the first copy).
+            rows: list[tuple] = []
+            texts = [text.encode() for text in batch.column("text").to_pylist()]
+            listed = batch.select(["doc_id", "version", "places"]).to_pylist()
+            for row, text, (starts, hashes) in zip(listed, texts, _hashed(texts, size), strict=True):
+                rows += work(row, text, starts, hashes)
+            if rows:
+                yield to_batches(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
+
+    return run
+
+
+SETS = "node long, n long, members array<long>" + "".join(f", {name} long" for name in PARITY)
+SETS_SCHEMA = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("members", pa.list_(pa.int64())), *((name, pa.int64()) for name in PARITY)])
+
+
+def _set_rows(row: dict, text: bytes, starts: np.ndarray, hashes: np.ndarray) -> list[tuple]:
+    sets = [np.unique(_shingles(hashes[p["start"] : p["start"] + PASSAGE])) for p in row["places"]]
+    small = small_parities(np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets]), len(sets))
+    parities = [small[name].tolist() for name in PARITY]
+    return [
+        (p["node"], len(s), s.view(np.int64).tolist(), *(values[i] for values in parities))
+        for i, (p, s) in enumerate(zip(row["places"], sets, strict=True))
+    ]
+
+
+CONTEXTS_SCHEMA = pa.schema([("component", pa.int64()), ("before", pa.binary()), ("after", pa.binary())])
+
+
+def _around(hashes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a paragraph backwards and on before it, and forwards and on behind it."""
+    reach = WINDOW + WORDS
+    return hashes[max(start - reach, 0) : start + PASSAGE][::-1], hashes[start : start + PASSAGE + reach]
+
+
+def _context_rows(row: dict, text: bytes, starts: np.ndarray, hashes: np.ndarray) -> list[tuple]:
+    found = []
+    for p in row["places"]:
+        before, after = _around(hashes, p["start"])
+        found.append((p["component"], before.tobytes(), after.tobytes()))
+    return found
+
+
+def _beyond(own: np.ndarray, other: bytes | None) -> int:
+    """How many words beyond the edge of a paragraph are those of its first copy; below 0, by how many it falls short.
+
+    Both begin at the paragraph's other edge and go on beyond this one. The first copy may be a similar paragraph, which begins
+    some words earlier or later; the shift at which most of the paragraph agrees counts.
+    """
+    if other is None:
+        return 0
+    there, best = np.frombuffer(other, dtype=np.uint64), (-1, 0, np.zeros(0, dtype=bool))
+    for shift in (0, 1, -1, 2, -2):
+        mine, kept = own[max(shift, 0) :], there[max(-shift, 0) :]
+        n = min(len(mine), len(kept))
+        same = mine[:n] == kept[:n]
+        agree = int(same[:PASSAGE].sum())
+        if agree > best[0]:
+            best = (agree, max(shift, 0), same)
+    _, skipped, same = best
+    at = min(PASSAGE - skipped, len(same))
+    if at and same[at - 1]:
+        while at < len(same) and same[at]:
+            at += 1
+    else:
+        while at and not same[at - 1]:
+            at -= 1
+    return at + skipped - PASSAGE
+
+
+SPANS = "doc_id long, version long, first_word long, n_words long, first_char long, n_chars long, kept_doc_id long"
+SPANS_SCHEMA = pa.schema([(part.split()[0], pa.int64()) for part in SPANS.split(", ")])
+
+
+def stretches(starts: list[int]) -> list[tuple[int, int]]:
+    """First and last index of the paragraphs, in order, that overlap or leave no word between them."""
+    found, first = [], 0
+    for i in range(1, len(starts) + 1):
+        if i == len(starts) or starts[i] > starts[i - 1] + PASSAGE:
+            found.append((first, i - 1))
+            first = i
+    return found
+
+
+def _span_rows(row: dict, text: bytes, starts: np.ndarray, hashes: np.ndarray) -> list[tuple]:
+    places = sorted(row["places"], key=lambda p: p["start"])
+    spans: list[list[int]] = []
+    before = None
+    for first, last in stretches([p["start"] for p in places]):
+        head, tail = places[first], places[last]
+        start = head["start"] - _beyond(_around(hashes, head["start"])[0], head["before"])
+        end = tail["start"] + PASSAGE + _beyond(_around(hashes, tail["start"])[1], tail["after"])
+        # A few words between go with their sides if these stand in one text, about as far from each other.
+        shift = before is not None and (head["start"] - before["start"]) - (head["kept_start"] - before["kept_start"])
+        of_one = before is not None and head["kept_doc_id"] == before["kept_doc_id"] and abs(shift) <= GAP
+        if spans and start <= spans[-1][1] + GAP * of_one:
+            spans[-1][1] = max(end, spans[-1][1])
+        else:
+            spans.append([start, end, head["kept_doc_id"]])
+        before = tail
+    if not (spans := [s for s in spans if s[1] - s[0] >= LONG]):
+        return []
+    rows = []
+    for start, end, kept in spans:
+        low = int(starts[start])
+        high = int(starts[end]) if end < len(starts) else len(text)
+        first_char = len(text[:low].decode())
+        rows.append((row["doc_id"], row["version"], start, end - start, first_char, len(text[low:high].decode()), kept))
+    return rows
+
+
+def _with_texts(docs: DataFrame, places: DataFrame, *columns: str) -> DataFrame:
+    """Texts of the documents in which there are places, with a list of these, which the text itself bounds.
+
+    A document that is there twice comes twice.
+    """
+    listed = places.groupBy(*DOCUMENT).agg(F.collect_list(F.struct(*columns)).alias("places"))
+    return docs.join(listed, list(DOCUMENT)).select(*DOCUMENT, "text", "places")
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) of nodes whose whole sets are similar. Frozen."""
+    sides = pairs
+    for side in ("a", "b"):
+        sides = sides.join(sets.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "members", *PARITY))), side)
+    both = F.size(F.array_intersect("members_a", "members_b"))
+    similar = 100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)
+    return freeze(sides.where(may_be_similar(percent, "a", "b")).where(similar).select("a", "b"))
+
+
+def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int, int] | None = None, size: int = SECTION_BYTES) -> DataFrame:
+    """The passages that repeat an earlier one.
+
+    ``doc_id``, ``version`` (the hash of its text), ``first_word`` and ``n_words``, ``first_char`` and ``n_chars`` (from its first
+    word to the word behind it) and ``kept_doc_id``, where its beginning stands first.
     """
     ready(df.sparkSession)
-    docs = documents(df).where(F.col("doc_id").isNotNull())
-    ddl = "doc_id long, paragraph int, node long" + "".join(f", {name} long" for name in PARITY)
-    listed = freeze(docs.mapInArrow(_listed, schema=ddl))
-    bands, rows = tune_bands(percent / 100)
-    postings = docs.mapInArrow(_banded(bands, rows), schema="token long, node long, n int")
+    docs = documents(df).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).withColumn("version", F.xxhash64("text"))
+    count, rows = bands or tune_bands(percent / 100)
+    names = [f"band_{i}" for i in range(count)]
+    ddl = "doc_id long, version long, start long, node long" + "".join(f", {n} long" for n in names)
+    listed = freeze(docs.mapInArrow(_signed(count, rows, size), schema=ddl))
+
+    # Bands in which different nodes meet; equal ones are one node.
+    postings = listed.select("node", F.explode(F.array(*names)).alias("token"))
     buckets = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("_other"))
-    buckets = freeze(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"))
-    met = freeze(postings.join(buckets, "token").distinct())
-    nodes = met.select("node", "n").distinct()
-    place = listed.join(nodes, "node").groupBy("node").agg(
-        F.min(F.struct("doc_id", "paragraph")).alias("_at"), *(F.min(c).alias(c) for c in ("n", *PARITY))
-    )
-    place = freeze(place.select("node", "n", *PARITY, "_at.*"))
+    met = freeze(postings.join(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"), "token").distinct())
+    nodes = met.select("node").distinct()
+    places = listed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*DOCUMENT, "start")).alias("at"))
+    sets = _with_texts(docs, places.select("node", "at.*"), "node", "start").mapInArrow(_at_places(_set_rows, SETS_SCHEMA, size), schema=SETS)
+    sets = freeze(sets.dropDuplicates(["node"]))
     first = met.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    for side in ("a", "b"):
-        own = place.select(F.col("node").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *PARITY)))
-        first = first.join(own, side)
-    first = freeze(first.where(may_be_similar(percent, "a", "b")).select("a", "b"))
-    texts = freeze(docs.join(place.select("node", "doc_id", "paragraph"), "doc_id").select("text", "paragraph", "node").mapInArrow(_cut_out, schema="node long, text string"))
-    texts = texts.dropDuplicates(["node"])  # a repeated doc_id gives its lines twice
-
-    links = verified(first, texts, WORDS, percent)
+    links = similar_pairs(first, sets, percent)
     grouped = freeze(components(links))
-    placed = met.select("token", "node").join(place.select("node", "n", *PARITY), "node").join(grouped, "node", "left")
+    placed = met.select("token", "node").join(sets.drop("members"), "node").join(grouped, "node", "left")
     component = F.coalesce("component", "node").alias("component")
     placed = placed.select("token", "node", "n", F.lit(1).alias("matches"), component, *PARITY)
     second = pairs_between_components(freeze(placed), percent).join(first, ["a", "b"], "left_anti")
-    more = verified(second, texts, WORDS, percent)
+    more = similar_pairs(second, sets, percent)
     if not more.isEmpty():
-        grouped = components(links.union(more))
+        grouped = freeze(components(links.union(more)))
 
-    members = listed.join(grouped, "node", "left").select("doc_id", "paragraph", F.coalesce("component", "node").alias("component"))
-    classes = members.groupBy("component").agg(F.count("*").alias("_n"), F.min(F.struct("doc_id", "paragraph")).alias("_kept"))
-    classes = classes.where(F.col("_n") > 1).select(
-        "component", F.col("_kept.doc_id").alias("kept_doc_id"), F.col("_kept.paragraph").alias("kept_paragraph")
+    members = listed.join(grouped, "node", "left").select(*DOCUMENT, "start", F.coalesce("component", "node").alias("component"))
+    place = F.struct(*DOCUMENT, "start")
+    classes = members.groupBy("component").agg(F.min(place).alias("_kept"), F.max(place).alias("_last"))
+    classes = classes.where(F.col("_kept") != F.col("_last")).select(
+        "component", *(F.col(f"_kept.{c}").alias(f"kept_{c}") for c in (*DOCUMENT, "start"))
     )
-    both = members.join(classes, "component").drop("component")
-    is_first = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("paragraph") == F.col("kept_paragraph"))
-    return both.withColumn("removed", ~is_first)
+    same = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("version") == F.col("kept_version"))
+    removable = members.join(classes, "component").where(~same | (F.col("start") >= F.col("kept_start") + PASSAGE))
+    removable = freeze(removable)
+
+    # The words around the first copies of the paragraphs at the ends of each stretch.
+    at = F.array_sort(F.collect_list(F.struct("start", "component")))
+    ordered = removable.groupBy(*DOCUMENT).agg(at.alias("at"))
+    gap = F.lit(PASSAGE)
+    ends = F.filter(
+        "at",
+        lambda p, i: (i == 0) | (i == F.size("at") - 1)
+        | (p["start"] > F.get("at", i - 1)["start"] + gap) | (F.get("at", i + 1)["start"] > p["start"] + gap),
+    )
+    ends = ordered.select(*DOCUMENT, F.explode(ends).alias("end")).select(*DOCUMENT, "end.*")
+    wanted = ends.select("component").distinct()
+    kept_at = classes.join(wanted, "component", "left_semi").select(
+        F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), F.col("kept_start").alias("start"), "component"
+    )
+    contexts = _with_texts(docs, kept_at, "start", "component").mapInArrow(
+        _at_places(_context_rows, CONTEXTS_SCHEMA, size), schema="component long, before binary, after binary"
+    )
+    around = ends.join(freeze(contexts.dropDuplicates(["component"])), "component").select(*DOCUMENT, "start", "before", "after")
+    placed = removable.select(*DOCUMENT, "start", "kept_doc_id", "kept_start").join(around, [*DOCUMENT, "start"], "left")
+    texts = _with_texts(docs, placed, "start", "kept_doc_id", "kept_start", "before", "after")
+    return texts.mapInArrow(_at_places(_span_rows, SPANS_SCHEMA, size), schema=SPANS).distinct()
 
 
 def without_copies(df: DataFrame, repeated: DataFrame) -> DataFrame:
-    """``df`` with the removed lines cut out of ``text``; documents of which no word is left are dropped."""
-    cut = repeated.where("removed").groupBy("doc_id").agg(F.collect_set("paragraph").alias("_cut"))
-    lines = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_cut", i))
-    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
-    joined = df.join(cut, "doc_id", "left").withColumn("text", text)
-    emptied = F.col("_cut").isNotNull() & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return joined.where(~emptied).select(*df.columns)
+    """``df`` with the repeated passages cut out of ``text``; documents of which no word is left are dropped."""
+    # Own names for what is joined, as the documents may have columns of any name.
+    free = "_"
+    while any(c.lower().startswith(free) for c in df.columns):
+        free += "_"
+    doc, version, spans, new = f"{free}doc", f"{free}version", f"{free}spans", f"{free}text"
+    cut = repeated.groupBy(F.col("doc_id").alias(doc), F.col("version").alias(version)).agg(
+        F.array_sort(F.collect_list(F.struct("first_char", "n_chars"))).alias(spans)
+    )
+    text = F.col("text").cast("string")
+    same = (F.col("doc_id").cast("long") == F.col(doc)) & (F.xxhash64(text) == F.col(version))
+    # What is between the passages, and behind the last one.
+    span, before = F.col(spans), lambda i: F.get(spans, i - 1)
+    from_char = lambda i: F.when(i == 0, F.lit(0)).otherwise(before(i)["first_char"] + before(i)["n_chars"])
+    kept = F.transform(span, lambda s, i: text.substr((from_char(i) + 1).cast("int"), (s["first_char"] - from_char(i)).cast("int")))
+    rest = text.substr((from_char(F.size(span)) + 1).cast("int"), F.length(text))
+    joined = df.join(cut, same, "left").withColumn(new, F.concat(F.array_join(kept, ""), rest))
+    emptied = F.col(spans).isNotNull() & ~F.col(new).rlike(r"[^\x20\x09-\x0D]")
+    changed = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.col(new)).alias("text")
+    return joined.where(~emptied).select(*(changed if c == "text" else F.col(c) for c in df.columns))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
@@ -92,24 +93,97 @@ def test_jaccard_join_of_awkward_rows(spark):
     assert sorted(r["doc_id"] for r in kept.where("doc_id IS NOT NULL").collect()) == [0, 1, 2, 3, 4, 6, 8, 9, 10, 11, 12, 13, 14]
 
 
-def plain_paragraphs(data):
-    listed = [(d, i, line) for d, t in data for i, line in enumerate((t or "").split("\n")) if len(words(line)) >= 5]
-    component = roots(len(listed), linked([shingles(line, 5) for _, _, line in listed], 80))
-    members: dict[int, list[tuple]] = {}
-    for (d, i, _), c in zip(listed, component, strict=True):
-        members.setdefault(c, []).append((d, i))
-    return {(d, i, *min(m), (d, i) != min(m)) for m in members.values() if len(m) > 1 for d, i in m}
+def plain_repeats(data, length=50):
+    """For each document the words that lie in ``length`` words in a row that stand in an earlier document, or earlier in it."""
+    first, found = {}, {}
+    for d, t in sorted(data):
+        listed = words(t)
+        hit = [False] * len(listed)
+        for i in range(len(listed) - length + 1):
+            at = first.setdefault(tuple(listed[i : i + length]), (d, i))
+            if at[0] != d or i >= at[1] + length:
+                hit[i : i + length] = [True] * length
+        found[d] = hit
+    return found
 
 
-def test_substring_dedup_equals_brute_force(spark, near):
-    df = spark.createDataFrame(near, "doc_id long, text string")
-    repeated = paragraphs.repeated_paragraphs(df)
-    expected = plain_paragraphs(near)
-    assert {tuple(r) for r in repeated.collect()} == expected
-    gone = {(d, i) for d, i, _, _, removed in expected if removed}
-    left = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in near}
-    cut = {r["doc_id"]: r["text"] for r in paragraphs.without_copies(df, repeated).collect()}
-    assert cut == {d: t for d, t in left.items() if words(t)}
+def covered(repeated, data):
+    """For each document which words its removed spans cover."""
+    found = {d: [False] * len(words(t)) for d, t in data}
+    for r in repeated:
+        span = found[r["doc_id"]][r["first_word"] : r["first_word"] + r["n_words"]]
+        assert len(span) == r["n_words"] >= 50 and not any(span) and r["kept_doc_id"] <= r["doc_id"]
+        found[r["doc_id"]][r["first_word"] : r["first_word"] + r["n_words"]] = [True] * len(span)
+    return found
+
+
+@pytest.fixture(scope="module")
+def passages():
+    """Texts of rare words into which passages of 51 to 200 words are put, whatever the lines, some with a word changed."""
+    draw = random.Random(11)
+    fresh = (f"x{i}" for i in range(10**9))
+    shared = [[next(fresh) for _ in range(n)] for n in (51, 52, 60, 75, 120, 200)]
+    data = []
+    for i in range(150):
+        text = [next(fresh) for _ in range(draw.randint(0, 150))]
+        for _ in range(draw.randint(0, 2)):
+            passage = list(draw.choice(shared))
+            if len(passage) > 100 and draw.random() < 0.5:
+                passage[len(passage) // 2] = next(fresh)
+            at = draw.randint(0, len(text))
+            text[at:at] = passage
+        if i % 3 == 0:
+            text += [f"license{k}" for k in range(30)]
+        data.append((i * 2, "".join(w + draw.choice([" "] * 30 + ["\n", " \n\n ", "\t"]) for w in text)))
+    return data
+
+
+@pytest.mark.parametrize("size", [1 << 20, 300])
+def test_substring_dedup_finds_all_long_repeats_and_nothing_else(spark, passages, size):
+    df = spark.createDataFrame(passages, "doc_id long, text string")
+    repeated = paragraphs.repeated_paragraphs(df, size=size).collect()
+    got, exact = covered(repeated, passages), plain_repeats(passages)
+    seen = set()
+    for d, t in passages:
+        listed = words(t)
+        for i, word in enumerate(listed):
+            # What an earlier text has goes. What goes stands earlier, but for a changed word between parts that do.
+            near = seen.intersection(listed[max(i - 8, 0) : i + 9])
+            assert not exact[d][i] or got[d][i]
+            assert not got[d][i] or word in seen or len(near) > 8
+            assert not (got[d][i] and word.startswith("license"))
+        seen.update(listed)
+    left = {d: [w for w, gone in zip(words(t), got[d], strict=True) if not gone] for d, t in passages}
+    cut = paragraphs.without_copies(df, spark.createDataFrame(repeated)).collect()
+    assert {r["doc_id"]: words(r["text"]) for r in cut} == {d: ws for d, ws in left.items() if ws or not any(got[d])}
+    assert sum(map(any, got.values())) > 50
+
+
+def test_near_paragraphs_are_linked_by_exact_similarity(spark):
+    """Of two paragraphs of 20 words whose last word differs 15 of 17 shingles are the same; of others fewer than 80 %."""
+    base = [f"b{i}" for i in range(20)]
+    sets = {0: base, 1: base[:-1] + ["z"], 2: base[:10] + ["q"] + base[11:], 3: [f"c{i}" for i in range(20)]}
+    members = {n: sorted({hash(tuple(w[i : i + 5])) for i in range(16)}) for n, w in sets.items()}
+    small = [jaccard.small_parities(np.array(m, dtype=np.int64).view(np.uint64), np.zeros(16, dtype=np.int64), 1) for m in members.values()]
+    rows = [(n, len(m), m, *(int(s[p][0]) for p in jaccard.PARITY)) for (n, m), s in zip(members.items(), small, strict=True)]
+    pairs = spark.createDataFrame([(a, b) for a in sets for b in sets if a < b], "a long, b long")
+    got = paragraphs.similar_pairs(pairs, spark.createDataFrame(rows, paragraphs.SETS), 80)
+    assert [tuple(r) for r in got.collect()] == [(0, 1)]
+
+
+def test_window_minima_and_sections():
+    draw = random.Random(3)
+    for _ in range(50):
+        values = np.array([draw.randint(0, 9) for _ in range(draw.randint(40, 90))], dtype=np.uint64)
+        for length in (1, 2, 7, 30):
+            got = paragraphs.window_minima(values, length)
+            assert got.tolist() == [max(range(i, i + length), key=lambda j: (-int(values[j]), j)) for i in range(len(values) - length + 1)]
+        text = "".join(draw.choices(["a", "bc ", " ", "\n", "déf"], k=200)).encode()
+        parts = list(paragraphs.sections(text, 17, 3))
+        everything = text.split()
+        for (place, part, first, own), after in zip(parts, [*parts[1:], None], strict=True):
+            assert text[place : place + len(part)] == part and part.split() == everything[first : first + len(part.split())]
+            assert after is None or (after[2] == first + own and len(part.split()) >= min(own + 3, len(everything) - first))
 
 
 def test_bands_reach_the_recall():
@@ -121,13 +195,18 @@ def test_bands_reach_the_recall():
 def test_substring_dedup_of_awkward_rows(spark):
     df = documents(spark)
     repeated = paragraphs.repeated_paragraphs(df)
-    found = {(r["doc_id"], r["paragraph"], r["kept_doc_id"], r["removed"]) for r in repeated.collect()}
-    assert (10, 0, 9, True) in found and (7, 0, 6, True) in found
-    assert not any(d in (0, 1, 2, 3, 4, 5, 11, 14) for d, *_ in found)
+    found = {(r["doc_id"], r["first_word"], r["n_words"], r["kept_doc_id"]) for r in repeated.collect()}
+    # The second passage of the ninth text repeats its first; in one row of the id 9 it comes before the other text of it.
+    assert (9, 62, 60, 9) in found and (10, 0, 60, 9) in found
+    assert {d for d, *_ in found} <= {9, 10, 12, 13}
     cut = paragraphs.without_copies(df, repeated)
     assert cut.columns == df.columns
     assert [r["text"] for r in cut.where("doc_id = 10").collect()] == ["other words stand in this second text"]
+    assert cut.where("doc_id IS NULL").count() == 1 and cut.where("doc_id = 9").count() == 3
     assert paragraphs.repeated_paragraphs(empty(spark)).count() == 0
+    assert paragraphs.without_copies(empty(spark), paragraphs.repeated_paragraphs(empty(spark))).count() == 0
+    odd = df.withColumnsRenamed({"lang": "_text", "source": "__spans", "score": "version", "a": "first_char", "b": "doc"})
+    assert paragraphs.without_copies(odd, repeated).columns == odd.columns
 
 
 def plain_removal(data):
@@ -281,5 +360,9 @@ def test_suffix_dedup_of_the_documents(spark):
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
 def test_substring_dedup_of_the_documents(spark):
     data = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
-    got = catalog.QUERIES["op2_substring_dedup"](spark, FOLDER)
-    assert {tuple(r) for r in got.select("doc_id", "paragraph", "kept_doc_id", "kept_paragraph", F.col("removed")).collect()} == plain_paragraphs(data)
+    got, exact = covered(catalog.QUERIES["op2_substring_dedup"](spark, FOLDER).collect(), data), plain_repeats(data)
+    asked = sum(map(sum, exact.values()))
+    assert asked > 1000
+    # A repeat is carried on by its first copy only, which another one may exceed.
+    assert sum(g and e for d in exact for g, e in zip(got[d], exact[d], strict=True)) >= 0.97 * asked
+    assert all(any(exact[d]) or sum(g) <= 0.9 * len(g) for d, g in got.items() if len(g) > 200)
