@@ -8,6 +8,7 @@ these are found from the classes of the characters without running the pattern.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -118,9 +119,9 @@ def gather(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.nda
 
 
 class Vocabulary:
-    """Ids of words, kept between slices up to a number of words; ``encode`` gives those of new words."""
+    """Ids of words, kept between slices up to a number of words; ``encode`` gives those of new words, a sequence each."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], most: int = 1_000_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 1_000_000) -> None:
         self.encode, self.most = encode, most
         self.clear()
 
@@ -131,8 +132,8 @@ class Vocabulary:
         self.flat = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
-    def _add(self, names: list[int], ids: list[np.ndarray]) -> None:
-        lengths = np.array([len(x) for x in ids], dtype=np.int64)
+    def _add(self, names: list[int], ids: list) -> None:
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         have, total = len(self.place), int(lengths.sum())
         while have + len(ids) > len(self.offsets):
             self.offsets, self.lengths = np.append(self.offsets, self.offsets * 0), np.append(self.lengths, self.lengths * 0)
@@ -141,7 +142,7 @@ class Vocabulary:
         self.lengths[have : have + len(ids)] = lengths
         self.offsets[have : have + len(ids)] = self.used + np.cumsum(lengths) - lengths
         if total:
-            self.flat[self.used : self.used + total] = np.concatenate(ids)
+            self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=total)
         self.used += total
         self.place.update(zip(names, range(have, have + len(ids)), strict=True))
 
@@ -153,10 +154,14 @@ class Vocabulary:
         if len(self.place) + len(pieces) > max(self.most, len(pieces)):
             self.clear()
         named = names.tolist()
-        new = [i for i, name in enumerate(named) if name not in self.place]
-        if new:
-            self._add([named[i] for i in new], self.encode([pieces[i] for i in new]))
-        place = np.array([self.place[name] for name in named], dtype=np.int64)[number]
+        # Places by name; -1 for new words, which are added at the end.
+        place = np.fromiter(map(self.place.get, named, repeat(-1)), dtype=np.int64, count=len(named))
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            place[new] = len(self.place) + np.arange(len(new))
+            which = new.tolist()
+            self._add([named[i] for i in which], self.encode([pieces[i] for i in which]))
+        place = place[number]
         lengths = self.lengths[place]
         total = np.zeros(len(place) + 1, dtype=np.int64)
         np.cumsum(lengths, out=total[1:])

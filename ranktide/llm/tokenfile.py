@@ -6,9 +6,10 @@ compressed size, the size and the checksum of every frame (the low 32 bits of XX
 the directory from the end of the file and decompresses only the frames it is asked for; any zstandard decoder can also
 decompress the whole file, since skippable frames are skipped.
 
-Documents are range-partitioned by doc_id, in as many partitions as their bytes need, so that each task writes one
-file of bounded size. A file is written under the name of its attempt and then renamed, so that a repeated task
-replaces it by the same content. The manifest, one row per file, says how many ids came before each file.
+Documents are range-partitioned by doc_id, in as many partitions as their bytes and their number need, so that each task
+writes one file of bounded size; files grow with the input until they are large, so that their number stays moderate. A file
+is written under the name of its attempt, and no file is replaced: the manifest, one row per file, is what a repeated
+task replaces, and names the files to read and how many ids came before each.
 
 Ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``: pieces are encoded once each, but a text that holds
 one of the file's added tokens, such as <|endoftext|>, is encoded by the library as a whole and gets that token's id.
@@ -34,11 +35,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranktide.llm.pretokens import Pretokenizer, Vocabulary, text_slices
-from ranktide.llm.runtime import documents, input_bytes, ready, table, to_batches
+from ranktide.llm.runtime import documents, ready, table, to_batches
 from ranktide.session import application_folder, freeze
 
 END_ID = 2
-FILE_BYTES = 24 << 20  # of text behind one file
+FILE_BYTES, MOST_FILE_BYTES = 24 << 20, 1 << 30  # of text behind one file, and of the files of a large input
+FILE_ROWS = 250_000
+FILES = 4096  # that an input has before its files grow
+HELD_WORDS = 400_000
 LEVEL = 3
 
 # Fixed values of the zstandard frame and seekable formats.
@@ -128,53 +132,58 @@ class FrameReader:
             yield self.doc_id(i), self.ids(i)
 
 
-def word_encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
+def word_encoder(tokenizer) -> Callable[[list[str]], list[list[int]]]:
     """Ids of single words by the tokenizers library."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-
-    def encode(words: list[str]) -> list[np.ndarray]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, dtype=np.uint32) for e in found]
+    def encode(words: list[str]) -> list[list[int]]:
+        tokenizer.encode_special_tokens = True
+        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     return encode
 
 
-def text_encoder(path: str) -> Callable[[list[str]], dict[int, np.ndarray]]:
+def text_encoder(tokenizer) -> Callable[[list[str]], dict[int, np.ndarray]]:
     """Ids of the texts that hold an added token of the vocabulary, by their index."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
     added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(texts: list[str]) -> dict[int, np.ndarray]:
         holding = [i for i, text in enumerate(texts) if any(token in text for token in added)]
+        tokenizer.encode_special_tokens = False
         found = tokenizer.encode_batch_fast([texts[i] for i in holding], add_special_tokens=False)
         return {i: np.array(e.ids, dtype="<u4") for i, e in zip(holding, found, strict=True)}
 
     return encode
 
 
+_tools: dict[str, tuple] = {}
+
+
+def tools(path: str) -> tuple[Vocabulary, Pretokenizer, Callable[[list[str]], dict[int, np.ndarray]]]:
+    """What encoding by a vocabulary file needs, made once in each Python worker; the words it has met stay from task to task."""
+    if path not in _tools:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        _tools[path] = Vocabulary(word_encoder(tokenizer), HELD_WORDS), Pretokenizer(), text_encoder(tokenizer)
+    return _tools[path]
+
+
 def _writer(folder: str, path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema([("part", pa.int32()), ("file", pa.string()), ("documents", pa.int64()), ("n_tokens", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = None
         context = TaskContext.get()
         system, base = open_folder(folder)
-        name = f"part-{context.partitionId():06d}.ids.zst"
-        attempt = f"{base}/.{name}.{context.taskAttemptId()}"
+        # Each attempt has a file of its own; the manifest names that of the attempt which counts.
+        name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}.ids.zst"
         count = total = 0
         writer = sink = None
         for batch, texts in text_slices(batches):
-            if words is None:
-                words, cutter, with_added = Vocabulary(word_encoder(path)), Pretokenizer(), text_encoder(path)
+            if writer is None:
+                words, cutter, with_added = tools(path)
                 system.create_dir(base, recursive=True)
-                sink = system.open_output_stream(attempt, compression=None)
+                sink = system.open_output_stream(f"{base}/{name}", compression=None)
                 writer = FrameWriter(sink)
             whole = with_added(texts)
             ids, bounds = words.ids(["" if i in whole else t for i, t in enumerate(texts)] if whole else texts, cutter)
@@ -188,14 +197,17 @@ def _writer(folder: str, path: str, end_id: int) -> Callable[[Iterator[pa.Record
         if writer is not None:
             writer.finish()
             sink.close()
-            if system.get_file_info(f"{base}/{name}").type != pafs.FileType.NotFound:
-                system.delete_file(f"{base}/{name}")
-            system.move(attempt, f"{base}/{name}")
             yield to_batches({"part": [context.partitionId()], "file": [name], "documents": [count], "n_tokens": [total]}, schema)
 
     return write
 
 
+def file_count(size: int, rows: int) -> int:
+    """Into how many files documents go, by the bytes of their texts and their number."""
+    of_file = min(max(FILE_BYTES, size // FILES), MOST_FILE_BYTES)
+    return max(1, -(-size // of_file), -(-rows // FILE_ROWS))
+
+
 def write_tokens(df: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Writes all documents of ``df`` to files in ``folder``, which every executor must reach.
 
@@ -203,7 +215,8 @@ def write_tokens(df: DataFrame, folder: str, path: str | None = None, end_id: in
     """
     ready(df.sparkSession)
     docs = documents(df)
-    parts = max(1, -(-input_bytes(docs) // FILE_BYTES))
+    size, count = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    parts = file_count(size or 0, count)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ranged = docs.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     schema = "part int, file string, documents long, n_tokens long"
