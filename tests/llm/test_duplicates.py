@@ -164,11 +164,27 @@ def test_near_paragraphs_are_linked_by_exact_similarity(spark):
     base = [f"b{i}" for i in range(20)]
     sets = {0: base, 1: base[:-1] + ["z"], 2: base[:10] + ["q"] + base[11:], 3: [f"c{i}" for i in range(20)]}
     members = {n: sorted({hash(tuple(w[i : i + 5])) for i in range(16)}) for n, w in sets.items()}
-    small = [jaccard.small_parities(np.array(m, dtype=np.int64).view(np.uint64), np.zeros(16, dtype=np.int64), 1) for m in members.values()]
-    rows = [(n, len(m), m, *(int(s[p][0]) for p in jaccard.PARITY)) for (n, m), s in zip(members.items(), small, strict=True)]
+    rows = list(members.items())
     pairs = spark.createDataFrame([(a, b) for a in sets for b in sets if a < b], "a long, b long")
     got = paragraphs.similar_pairs(pairs, spark.createDataFrame(rows, paragraphs.SETS), 80)
     assert [tuple(r) for r in got.collect()] == [(0, 1)]
+    bits = paragraphs.parities(np.array([members[n] for n in sets], dtype=np.int64).view(np.uint64)).tolist()
+    met = spark.createDataFrame([(7, n, hub) for n, hub in ((0, 0), (1, 0), (2, 0), (3, 0))] + [(8, 3, 1), (8, 0, 3)], "token long, node long, hub long")
+    found = paragraphs.pairs_by_hubs(met, spark.createDataFrame(list(enumerate(bits)), "node long, bits long"), 80)
+    assert (0, 1) in {tuple(r) for r in found.collect()} and (0, 3) not in {tuple(r) for r in found.collect()}
+
+
+def test_parities_never_exclude_similar_sets():
+    draw = np.random.default_rng(4)
+    for _ in range(300):
+        a = draw.integers(0, 2**63, 16, dtype=np.uint64)
+        b = a.copy()
+        b[draw.integers(16)] = draw.integers(0, 2**63)
+        a[draw.integers(16)] = a[draw.integers(16)]  # a shingle that comes twice
+        x, y = (paragraphs.parities(s[None, :])[0] for s in (a, b))
+        both, total = len(set(a.tolist()) & set(b.tolist())), len(set(a.tolist())) + len(set(b.tolist()))
+        differ = ((int(x) ^ int(y)) & (2**64 - 1)).bit_count()
+        assert 100 * both < 80 * (total - both) or differ * 180 <= 2 * 16 * 20
 
 
 def test_window_minima_and_sections():
