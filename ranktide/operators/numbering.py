@@ -1,70 +1,136 @@
-"""Exact row numbers over a whole table, without a window that gathers it in one task.
+"""Exact row numbers and ranks over a whole table, without a window that gathers it in one task.
 
-The rows are range-partitioned by the wanted order and sorted within partitions; each remembers its
-place. That table is frozen, since range bounds are drawn from a sample and must not be drawn twice.
-The rows before each partition are then counted, which gives every place its global number.
+The order is cut into ranges by bounds that are rows of the table themselves: keys whose hash falls under a threshold,
+so that the same table gives the same bounds whenever and wherever they are drawn. Rows are counted per range, the counts
+are added up over the ranges, and a row's number is what comes before its range plus its place inside it. All of this is one
+lazy plan: the bounds are a scalar subquery, nothing is written, and a repeated task finds the same numbers.
+
+Keys of the order ascend, NULL first; a descending number is given as its negative.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ranktide.session import freeze
 
-_PLACES_PER_TASK_BITS = 33  # monotonically_increasing_id: task number above, row number below
+RANGES_PER_PARTITION = 4
+DRAWN_PER_RANGE = 8
+_HASHES = 1 << 30
+
+Key = str | Column
+
+
+def _columns(keys: Sequence[Key]) -> list[Column]:
+    return [F.col(k) if isinstance(k, str) else k for k in keys]
+
+
+def _key(keys: Sequence[Key]) -> Column:
+    return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_columns(keys))])
+
+
+def range_count(df: DataFrame) -> int:
+    """How many ranges a table is cut into: a few for each partition of a shuffle."""
+    return RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def with_ranges(df: DataFrame, keys: Sequence[Key], ranges: int) -> DataFrame:
+    """Adds ``_range``, the number of the range in which a row lies; it ascends with the keys.
+
+    About ``ranges`` times ``DRAWN_PER_RANGE`` distinct keys are drawn, whatever the size of the table, and every
+    ``DRAWN_PER_RANGE``-th of them in order is a bound. A range is found in two steps, first among every few bounds and then
+    among the few that follow, so that a row is compared with some ``2 * sqrt(ranges)`` bounds.
+    """
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    threshold = (F.lit(_HASHES) * F.least(F.lit(1.0), F.lit(ranges * DRAWN_PER_RANGE) / F.greatest(rows, F.lit(1)))).cast("bigint")
+    drawn = df.select(_key(keys).alias("key")).filter(F.pmod(F.xxhash64("key"), F.lit(_HASHES)) < threshold)
+    step = isqrt(ranges) + 1
+    bounds = F.filter(F.array_sort(F.collect_set("key")), lambda _, i: i % DRAWN_PER_RANGE == DRAWN_PER_RANGE - 1)
+    drawn = drawn.agg(bounds.alias("fine"))
+    # One value with both steps, so that one subquery serves them.
+    both = drawn.select(F.struct("fine", F.filter("fine", lambda _, i: i % step == 0).alias("coarse"))).scalar()
+
+    def found(search: Column) -> Column:
+        bounds, key = search["bounds"], search["key"]
+        coarse = F.size(F.filter(bounds["coarse"], lambda bound: bound <= key))
+        fine = F.slice(bounds["fine"], (F.greatest(coarse, F.lit(1)) - 1) * step + 1, step)
+        within = F.size(F.filter(fine, lambda bound: bound <= key))
+        return F.when(coarse == 0, F.lit(0)).otherwise((coarse - 1) * step + within).cast("int")
+
+    # Bounds and key are used in one place, as the element of an array, so that the optimizer moves them there and
+    # no row ever carries the bounds.
+    search = F.struct(both.alias("bounds"), _key(keys).alias("key"))
+    ranged = df.withColumn("_search", search).withColumn("_range", F.get(F.transform(F.array("_search"), found), F.lit(0)))
+    return ranged.drop("_search")
+
+
+def _before(ranged: DataFrame, within: Sequence[str], weight: Column) -> DataFrame:
+    """For each range (and value of ``within``) the weight of all ranges before it: a row per range and value."""
+    weights = ranged.groupBy(*within, "_range").agg(weight.alias("_weight"))
+    earlier = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = weights.withColumn("_before", F.coalesce(F.sum("_weight").over(earlier), F.lit(0))).drop("_weight")
+    # Without groups there are as many rows as ranges, so the broadcast is bounded.
+    return before if within else F.broadcast(before)
+
+
+def _joined(rows: DataFrame, other: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """An inner join in which NULL equals NULL; ``other`` keeps none of the columns."""
+    renamed = other.select(*[F.col(c).alias(f"_of_{c}") for c in columns], *[c for c in other.columns if c not in columns])
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return rows.join(renamed, same).drop(*[f"_of_{c}" for c in columns])
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[Column], out: str, within: Sequence[str] = (), start: Column | int = 0
+    df: DataFrame, order_by: Sequence[Key], out: str, within: Sequence[str] = (), start: Column | int = 0
 ) -> DataFrame:
     """``start`` + 1, 2, 3, … in ``order_by`` order, counted anew for each value of ``within``.
 
-    ``order_by`` should be unique, which also lets a run of equal leading values spread over tasks.
+    ``within`` and ``order_by`` together should be unique; rows that agree in all of them share a task and are numbered in any order.
     """
-    order = [*[F.asc(c) for c in within], *order_by]
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    placed = freeze(placed).withColumn("_task", F.shiftright("_place", _PLACES_PER_TASK_BITS))
-    stretches = placed.groupBy("_task", *within).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
-    )
-    earlier = Window.partitionBy(*within).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = stretches.select(
-        F.col("_task").alias("_of_task"),
-        *[F.col(c).alias(f"_of_{c}") for c in within],
-        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
-    )
-    # Without groups there is one row per task that wrote, so the broadcast is bounded by the number of
-    # shuffle partitions. With groups it is frozen: the planner sees its size and broadcasts it if small.
-    shifts = freeze(shifts) if within else F.broadcast(shifts)
-    same = F.col("_task") == F.col("_of_task")
-    for c in within:
-        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    keys = [*within, *order_by]
+    ranged = with_ranges(df, keys, range_count(df))
+    inside = Window.partitionBy(*within, "_range").orderBy(*[c.asc_nulls_first() for c in _columns(order_by)])
+    placed = ranged.withColumn("_place", F.row_number().over(inside))
+    numbered = _joined(placed, _before(ranged, within, F.count(F.lit(1))), [*within, "_range"])
     first = start if isinstance(start, Column) else F.lit(start)
-    number = F.col("_place") + F.col("_shift") + F.lit(1) + first
-    return placed.join(shifts, same).select(*df.columns, number.cast("bigint").alias(out))
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_place") + first).cast("bigint").alias(out))
+
 
+def with_ids(
+    new_rows: DataFrame, stored: DataFrame, id_column: str, order_by: Sequence[Key], greatest: int | None = None
+) -> DataFrame:
+    """Surrogate keys for ``new_rows``: on from the greatest stored one, in ``order_by`` order.
 
-def with_ids(new_rows: DataFrame, stored: DataFrame, id_column: str, order_by: Sequence[Column]) -> DataFrame:
-    """Surrogate keys for ``new_rows``: on from the greatest stored one, in ``order_by`` order."""
-    greatest = stored.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("greatest")).scalar()
-    return number_rows(new_rows, order_by, id_column, start=greatest)
+    A caller that knows the ``greatest`` one spares the look through ``stored``.
 
+    The new rows are what is left of a batch behind its joins with stored tables; they are written once, so that
+    drawing bounds, counting and numbering don't run those joins again.
+    """
+    if greatest is None:
+        start = stored.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("greatest")).scalar()
+    else:
+        start = F.lit(greatest).cast("bigint")
+    return number_rows(freeze(new_rows), order_by, id_column, start=start)
 
-def rank_rows(
-    df: DataFrame, value: str, tie_break: Sequence[Column], out: str, within: Sequence[str]
-) -> DataFrame:
-    """SQL ``RANK()`` by descending ``value`` within groups: equal values share their first row's number."""
-    numbered = number_rows(df, [F.desc(value), *tie_break], "_number", within=within)
-    firsts = numbered.groupBy(*within, value).agg(F.min("_number").alias(out))
-    firsts = firsts.select(*[F.col(c).alias(f"_of_{c}") for c in (*within, value)], out)
-    same = F.col(value).eqNullSafe(F.col(f"_of_{value}"))
-    for c in within:
-        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
-    return numbered.join(firsts, same).select(*df.columns, out)
+
+def rank_rows(df: DataFrame, value: str, out: str, within: Sequence[str]) -> DataFrame:
+    """SQL ``RANK()`` by descending numeric ``value`` within groups, NULL last.
+
+    Rows are reduced to distinct values with their frequencies by partial aggregation; a value's rank is one more than the rows
+    of all greater values: those of the ranges before its own, and those before it in its range. Rows are never sorted.
+    """
+    values = df.groupBy(*within, value).agg(F.count(F.lit(1)).alias("_n"))
+    # NULL is the first of ascending keys, so that a flag puts it last among the descending values.
+    keys = [*within, F.col(value).isNull(), -F.col(value)]
+    ranged = with_ranges(values, keys, range_count(df))
+    inside = Window.partitionBy(*within, "_range").orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_greater", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    summed = _joined(summed, _before(ranged, within, F.sum("_n")), [*within, "_range"])
+    ranks = summed.select(*within, value, (F.col("_before") + F.col("_greater") + 1).cast("bigint").alias(out))
+    return _joined(df, ranks, [*within, value]).select(*df.columns, out)

@@ -49,8 +49,8 @@ def classify(max_difficulty: int = 50) -> Column:
 def quick_wins_mart(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rank by traffic, number by position, class and expected gain per keyword and date.
 
-    A date holds a large share of all rows, so both rankings are counted over range partitions
-    instead of a window per date. Equal positions are numbered by keyword.
+    A date holds a large share of all rows, so neither ranking has a window per date: ranks come from the counts of
+    distinct traffic values, numbers from counts per range. Equal positions are numbered by keyword.
     """
     keywords = tables["dim_keyword"].select("keyword_id", "keyword_text", "search_intent", "category")
     facts = stage_performance(tables["fact_keyword_performance"]).drop("fact_id")
@@ -58,13 +58,10 @@ def quick_wins_mart(tables: Mapping[str, DataFrame]) -> DataFrame:
     ranked = rank_rows(
         facts.join(keywords.select("keyword_id"), "keyword_id", "left_semi"),
         "estimated_traffic",
-        [F.asc("keyword_id")],
         "traffic_rank",
         within=["date_id"],
     )
-    ranked = number_rows(
-        ranked, [F.asc_nulls_first("current_position"), F.asc("keyword_id")], "position_rank", within=["date_id"]
-    )
+    ranked = number_rows(ranked, ["current_position", "keyword_id"], "position_rank", within=["date_id"])
     gain = F.col("estimated_traffic") * GROWTH - F.col("estimated_traffic")
     return ranked.join(keywords, "keyword_id").select(
         "keyword_id",
