@@ -1,12 +1,13 @@
 """Quality checks. Each yields rows ``check``, ``status`` (PASS or FAIL) and ``violations``.
 
-Row-level rules of a table share one pass over it; keys are counted with partial aggregation, so a
-value that makes up much of a table does not end up in one task.
+Rules, keys and references of a table share one pass over it and are counted with partial aggregation, so a value that
+makes up much of a table does not end up in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,24 +108,69 @@ def load_checks(star: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def _declared(name: str, table: Table) -> dict[str, Column]:
+    """The rules on single rows that a table declares."""
+    rules = not_null(name, [table.key, *table.required])
+    for column, values in table.allowed.items():
+        rules |= accepted_values(name, column, values)
+    for column, (low, high) in table.ranges.items():
+        rules |= in_range(name, column, low, high)
+    return rules
+
+
+def _table_constraints(name: str, table: Table, star: Mapping[str, DataFrame]) -> DataFrame:
+    """All declared constraints of a table in one pass over it.
+
+    Rows are grouped by every key, by every reference to a parent, and by the set of rules they break, as grouping sets of one
+    aggregation. Of what it yields only repeated keys, references and sets of rules go on, meet the keys of all parents in one
+    join, and are added up.
+    """
+    rules = _declared(name, table)
+    uniques = list(dict.fromkeys([(table.key,), *table.unique]))
+    parents = {key: parent for key, parent in table.parents.items() if parent in star}
+    broken = F.lit(0).cast("bigint")
+    for i, bad in enumerate(rules.values()):
+        broken = broken + F.when(bad, F.lit(1 << i)).otherwise(F.lit(0))
+    sets = list(dict.fromkeys([*uniques, *((key,) for key in parents), ("_broken",)]))
+    columns = list(dict.fromkeys(c for one in sets for c in one))
+
+    def is_set(one: Sequence[str]) -> Column:
+        # grouping_id has a bit for every column, the first the highest, that the set does not have.
+        return F.col("_set") == sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in one)
+
+    def either(conditions: Sequence[Column]) -> Column:
+        return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+    rows = star[name].withColumn("_broken", broken).select(*columns)
+    grouped = rows.groupingSets(sets, *columns).agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_n"))
+    repeated = either([is_set(one) & (F.col("_n") > 1) & ~either([F.col(c).isNull() for c in one]) for one in uniques])
+    refers = either([is_set((key,)) & F.col(key).isNotNull() for key in parents])
+    kept = grouped.filter(repeated | refers | is_set(("_broken",)))
+    if parents:
+        # What is no reference gets a key of its own, so that it does not pile up under NULL.
+        key = F.coalesce(*[F.when(is_set((k,)), F.col(k).cast("string")) for k in parents], F.xxhash64(*columns).cast("string"))
+        known = union_all(
+            [
+                star[parent].select(F.lit(k).alias("_of"), F.col(k).cast("string").alias("_key")).distinct()
+                for k, parent in parents.items()
+            ]
+        ).withColumn("_known", F.lit(True))
+        of = F.coalesce(*[F.when(is_set((k,)), F.lit(k)) for k in parents], F.lit(""))
+        kept = kept.withColumns({"_of": of, "_key": key}).join(known, ["_of", "_key"], "left")
+    counts = {check: F.sum(F.when(is_set(("_broken",)) & ((F.col("_broken").bitwiseAND(F.lit(1 << i))) != 0), F.col("_n"))) for i, check in enumerate(rules)}
+    for one in uniques:
+        of_key = is_set(one) & (F.col("_n") > 1) & ~either([F.col(c).isNull() for c in one])
+        counts[f"{name}.{'+'.join(one)} unique"] = F.count_if(of_key)
+    for k in parents:
+        counts[f"{name}.{k} has parent"] = F.sum(F.when(is_set((k,)) & F.col(k).isNotNull() & F.col("_known").isNull(), F.col("_n")))
+    totals = kept.agg(*[F.coalesce(total, F.lit(0)).cast("bigint").alias(f"_{i}") for i, total in enumerate(counts.values())])
+    report = [F.struct(F.lit(check).alias("check"), F.col(f"_{i}").alias("violations")) for i, check in enumerate(counts)]
+    return _report(totals.select(F.inline(F.array(*report))))
+
+
 def constraint_checks(star: Mapping[str, DataFrame], tables: Mapping[str, Table] = STAR) -> DataFrame:
     """All declared constraints of the tables present: keys, required columns, values, ranges, parents."""
-    reports = []
-    for name, table in tables.items():
-        if name not in star:
-            continue
-        df = star[name]
-        rules = not_null(name, [table.key, *table.required])
-        for column, values in table.allowed.items():
-            rules |= accepted_values(name, column, values)
-        for column, (low, high) in table.ranges.items():
-            rules |= in_range(name, column, low, high)
-        reports.append(row_checks(df, rules))
-        reports += [unique(df, name, columns) for columns in ((table.key,), *table.unique)]
-        reports += [
-            referential(df, star[parent], key, name) for key, parent in table.parents.items() if parent in star
-        ]
-    return union_all(reports)
+    return union_all([_table_constraints(name, table, star) for name, table in tables.items() if name in star])
 
 
 def mart_checks(mart: DataFrame, keys: Sequence[str] = ("keyword_id", "date_id")) -> DataFrame:
