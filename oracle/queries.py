@@ -371,6 +371,66 @@ SELECT 'fact_technical_issue', (SELECT count(DISTINCT url) FROM valid_positions
   + (SELECT count(*) FROM valid_positions WHERE position > 0 AND position - previous_position >= 5)
 UNION ALL
 SELECT 'etl_run_log', 1""",
+    "read_keywords_export": """
+SELECT keyword, category, search_intent, monthly_search_volume, keyword_difficulty, 'batch-1' AS load_id
+FROM raw_keywords""",
+    "read_pages_export": """
+SELECT url, title, coalesce(h1, '') AS h1, word_count, indexable, page_speed_score, 'batch-1' AS load_id
+FROM raw_pages""",
+    "quarantine_without_pages": f"""
+{quarantine("keywords", "keyword", "checked_keywords")}
+UNION ALL
+SELECT 'positions', keyword || ' @ ' || url, CASE WHEN errors <> '' THEN errors
+  WHEN keyword NOT IN (SELECT keyword FROM valid_keywords) THEN 'orphan, unknown keyword: ' || keyword
+  ELSE 'orphan, unknown URL: ' || url END
+FROM checked_positions""",
+    "loaded_sites": """
+SELECT * FROM (VALUES (CAST(1 AS bigint), 'tienda-demo.com', 'Tienda Demo', 'es', 'ES', 1),
+  (2, 'blog-demo.com', 'Blog Demo', 'es', 'MX', 1)) s(site_id, domain, site_name, language, country, is_active)""",
+    "loaded_keywords": "SELECT * FROM loaded_keyword",
+    "loaded_pages": "SELECT * REPLACE (coalesce(h1, '') AS h1) FROM loaded_page",
+    "loaded_positions": "SELECT * FROM loaded_position",
+    "loaded_issues": "SELECT * FROM loaded_issue",
+    "loaded_run_log": """
+SELECT run_id, 'success' AS status, extracted AS rows_extracted,
+  CASE WHEN run_id = 1 THEN (SELECT count(*) FROM loaded_keyword) + (SELECT count(*) FROM loaded_page)
+    + (SELECT count(*) FROM loaded_position) + (SELECT count(*) FROM loaded_issue) ELSE 0 END AS rows_loaded,
+  'exports batch-' || run_id || '; rejected ' || rejected || ', failed checks 0' AS message, true AS ended
+FROM (SELECT (SELECT count(*) FROM raw_keywords) + (SELECT count(*) FROM raw_pages)
+        + (SELECT count(*) FROM raw_positions) AS extracted,
+        (SELECT count(*) FROM checked_keywords WHERE errors <> '') + (SELECT count(*) FROM checked_pages WHERE errors <> '')
+        + (SELECT count(*) FROM marked_positions WHERE errors <> '') AS rejected) c,
+  (VALUES (CAST(1 AS bigint)), (2)) r(run_id)""",
+    "loaded_top5": f"""
+SELECT CAST(row_number() OVER (ORDER BY {half_up(SCORE)} DESC, keyword_id, page_id) AS int) AS place, keyword, url,
+  position
+FROM loaded_position f JOIN loaded_keyword USING (keyword_id) JOIN loaded_page USING (page_id)
+WHERE position BETWEEN 4 AND 30
+  AND snapshot_date = (SELECT max(g.snapshot_date) FROM loaded_position g
+                       WHERE g.keyword_id = f.keyword_id AND g.page_id = f.page_id)
+QUALIFY place <= 5""",
+    "refreshed_counts": """
+SELECT 'dim_keyword' AS "table", count(*) AS rows, count(*) AS greatest FROM loaded_keyword
+UNION ALL SELECT 'dim_page', count(*), count(*) FROM loaded_page
+UNION ALL SELECT 'fact_keyword_position', 0, NULL
+UNION ALL SELECT 'etl_run_log', 1, 1""",
+    "staged_load_keywords": """
+SELECT new_id AS keyword_id, keyword, category, search_intent, monthly_search_volume, keyword_difficulty,
+  CAST(NULL AS varchar) AS current_url_target
+FROM staged_keyword""",
+    "staged_load_pages": """
+SELECT new_id AS page_id, CAST(1 AS bigint) AS site_id, url, title, CAST(NULL AS varchar) AS meta_description, h1,
+  coalesce(word_count, 0) AS word_count, coalesce(indexable, 1) AS indexable, page_speed_score,
+  coalesce(substr(loaded_at, 1, 10), '2002-01-31') AS last_crawled_at
+FROM staged_page""",
+    "staged_load_positions": """
+SELECT *, CAST(0 AS bigint) AS clicks_30d, CAST(0 AS bigint) AS impressions_30d, CAST(NULL AS double) AS ctr_30d
+FROM staged_fact""",
+    "staged_load_issues": """
+SELECT issue_id, CAST(1 AS bigint) AS site_id, page_id, issue_type, severity, CAST(0 AS bigint) AS traffic_at_risk,
+  detected_at, CAST(NULL AS varchar) AS resolved_at, 'open' AS status
+FROM staged_issue""",
+    "mart_built": "SELECT * FROM mart",
     "quality_report": LOAD_CHECKS,
     "constraint_report": CONSTRAINT_CHECKS,
     "mart_report": union(

@@ -160,10 +160,11 @@ SELECT lower({strip('keyword')}) AS keyword, {strip('category')} AS category,
 FROM (SELECT *, CASE WHEN monthly_search_volume = '' THEN 0 ELSE {integer('monthly_search_volume')} END AS v,
         CASE WHEN keyword_difficulty = '' THEN 50 ELSE {integer('keyword_difficulty')} END AS d
       FROM raw_keywords) r""",
-    "valid_keywords": """
-SELECT * EXCLUDE (errors, src_key) FROM (
+    "first_keywords": """
+SELECT * EXCLUDE (errors) FROM (
   SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY src_key) AS copy FROM checked_keywords WHERE errors = '')
 WHERE copy = 1""",
+    "valid_keywords": "SELECT * EXCLUDE (src_key) FROM first_keywords",
     "checked_pages": f"""
 SELECT {strip('url')} AS url, title, h1, CAST(w AS int) AS word_count, CAST(i AS int) AS indexable,
   CAST(s AS int) AS page_speed_score,
@@ -179,10 +180,11 @@ FROM (SELECT *, CASE WHEN word_count = '' THEN 0 ELSE {integer('word_count')} EN
         CASE WHEN indexable = '' THEN 0 ELSE {integer('indexable')} END AS i,
         {integer('page_speed_score')} AS s
       FROM raw_pages) r""",
-    "valid_pages": """
-SELECT * EXCLUDE (errors, feed, src_key) FROM (
+    "first_pages": """
+SELECT * EXCLUDE (errors) FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY feed, src_key) AS copy FROM checked_pages WHERE errors = '')
 WHERE copy = 1""",
+    "valid_pages": "SELECT * EXCLUDE (feed, src_key) FROM first_pages",
     "checked_positions": f"""
 SELECT lower({strip('keyword')}) AS keyword, {strip('url')} AS url, {strip('snapshot_date')} AS snapshot_date,
   CAST(p AS int) AS position, CAST({integer('previous_position')} AS int) AS previous_position,
@@ -201,11 +203,76 @@ SELECT * REPLACE (CASE WHEN errors <> '' THEN errors
 FROM checked_positions""",
     "valid_positions": """
 SELECT keyword, url, snapshot_date, position, previous_position, greatest(clicks_30d, 0) AS clicks_30d,
-  greatest(impressions_30d, clicks_30d, 0) AS impressions_30d
+  greatest(impressions_30d, clicks_30d, 0) AS impressions_30d, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  l_extendedprice
 FROM (SELECT *, row_number() OVER (PARTITION BY keyword, url, snapshot_date
                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS copy
       FROM marked_positions WHERE errors = '')
 WHERE copy = 1""",
+    # A store after a load of the exports: ids in the order of the exports.
+    "loaded_keyword": """
+SELECT row_number() OVER (ORDER BY src_key) AS keyword_id, keyword, category, search_intent, monthly_search_volume,
+  keyword_difficulty, CAST(NULL AS varchar) AS current_url_target
+FROM first_keywords""",
+    "loaded_page": """
+SELECT row_number() OVER (ORDER BY feed, src_key) AS page_id, CAST(1 AS bigint) AS site_id, url, title,
+  CAST(NULL AS varchar) AS meta_description, h1, word_count, indexable, page_speed_score,
+  '2002-01-31' AS last_crawled_at
+FROM first_pages""",
+    "loaded_position": """
+SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS position_id,
+  keyword_id, page_id, snapshot_date, position, previous_position, clicks_30d, impressions_30d,
+  CASE WHEN impressions_30d <> 0 THEN CAST(clicks_30d AS double) / impressions_30d END AS ctr_30d
+FROM valid_positions JOIN (SELECT keyword_id, keyword FROM loaded_keyword) USING (keyword)
+JOIN (SELECT page_id, url FROM loaded_page) USING (url)""",
+    "loaded_noindex": """
+SELECT row_number() OVER (ORDER BY page_id) AS issue_id, page_id
+FROM (SELECT page_id FROM loaded_page WHERE indexable = 0
+      INTERSECT SELECT page_id FROM loaded_position WHERE position > 0)""",
+    "loaded_issue": """
+SELECT issue_id, CAST(1 AS bigint) AS site_id, page_id, 'noindex' AS issue_type, 'critical' AS severity,
+  CAST(0 AS bigint) AS traffic_at_risk, '2002-01-31' AS detected_at, CAST(NULL AS varchar) AS resolved_at,
+  'open' AS status
+FROM loaded_noindex
+UNION ALL
+SELECT (SELECT count(*) FROM loaded_noindex) + row_number() OVER (ORDER BY page_id, keyword_id, snapshot_date), 1, page_id,
+  'content_decay', CASE WHEN position - previous_position >= 8 THEN 'high' ELSE 'medium' END, 0, '2002-01-31', NULL, 'open'
+FROM loaded_position WHERE position > 0 AND position - previous_position >= 5""",
+    # A store after two loads of staging tables: the early positions, then all of them.
+    "staged_keyword": """
+SELECT row_number() OVER (ORDER BY keyword) AS new_id, keyword_id, keyword,
+  CASE WHEN p_type = 'SMALL' THEN 'informativo' ELSE category END AS category,
+  CASE WHEN p_type = 'LARGE' THEN 'informational' ELSE search_intent END AS search_intent,
+  CASE WHEN p_size > 5 THEN monthly_search_volume ELSE 0 END AS monthly_search_volume,
+  CASE WHEN p_size < 45 THEN p_size * 2 ELSE 50 END AS keyword_difficulty
+FROM dim_keyword JOIN part ON p_partkey = keyword_id""",
+    "staged_page": """
+SELECT row_number() OVER (ORDER BY url) AS new_id, s.*, d.page_id FROM staging_pages s LEFT JOIN dim_page d USING (url)""",
+    "staged_fact": """
+SELECT row_number() OVER (ORDER BY snapshot_date > '1999-12-31', k.keyword, p.url, snapshot_date) AS position_id,
+  k.new_id AS keyword_id, p.new_id AS page_id, snapshot_date, position,
+  CASE WHEN snapshot_date > '1999-12-31'
+       THEN (SELECT max_by(e.position, e.snapshot_date) FROM staged_positions e
+             WHERE e.keyword_id = s.keyword_id AND e.page_id = s.page_id AND e.snapshot_date <= '1999-12-31') END
+    AS previous_position
+FROM staged_positions s JOIN staged_keyword k ON k.keyword_id = s.keyword_id
+JOIN staged_page p ON p.page_id = s.page_id""",
+    "staged_noindex": """
+SELECT page_id, min(run) AS run FROM (
+  SELECT f.page_id, CASE WHEN snapshot_date > '1999-12-31' THEN 2 ELSE 1 END AS run
+  FROM staged_fact f JOIN staged_page p ON p.new_id = f.page_id
+  WHERE position > 0 AND coalesce(indexable, 1) = 0) n
+GROUP BY page_id""",
+    "staged_issue": """
+SELECT row_number() OVER (ORDER BY run, kind, page_id, keyword_id, snapshot_date) AS issue_id, page_id, issue_type,
+  severity, CASE run WHEN 1 THEN '2002-01-31' ELSE '2002-02-07' END AS detected_at
+FROM (SELECT run, 1 AS kind, page_id, 0 AS keyword_id, '' AS snapshot_date, 'noindex' AS issue_type,
+        'critical' AS severity
+      FROM staged_noindex
+      UNION ALL
+      SELECT 2, 2, page_id, keyword_id, snapshot_date, 'content_decay',
+        CASE WHEN position - previous_position >= 8 THEN 'high' ELSE 'medium' END
+      FROM staged_fact WHERE position > 0 AND position - previous_position >= 5) i""",
     "stored_keywords": """
 SELECT * FROM dim_keyword
 WHERE keyword_id IN (SELECT l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-07-01')""",

@@ -6,7 +6,8 @@ Loading the same batch again yields nothing new.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ranktide.functions.text import keyword_key, url_host, url_key
 from ranktide.operators.cleaning import click_rate
 from ranktide.operators.numbering import with_ids
-from ranktide.operators.snapshots import PAIR, stage_against_history
+from ranktide.operators.snapshots import PAIR, split_by_latest, stage_against_history, stage_against_latest
 from ranktide.schemas import DEFAULT_SITES, DIM_KEYWORD, DIM_PAGE, DIM_SITE, FACT_BACKLINK, FACT_POSITION
 
 DEFAULT_SITE_ID = 1
@@ -27,7 +28,9 @@ def seed_sites(stored: DataFrame, sites: Sequence[tuple] = DEFAULT_SITES) -> Dat
     return seeds.filter(present == 0)
 
 
-def new_keywords(stored: DataFrame, batch: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
+def new_keywords(
+    stored: DataFrame, batch: DataFrame, order_by: Sequence[str] | None = None, greatest: int | None = None
+) -> DataFrame:
     """Keywords of the batch that are not stored, with ids. Stored keywords never change.
 
     ``batch`` is unique by its normalised ``keyword``; ``order_by`` gives the order of the ids, the
@@ -35,11 +38,11 @@ def new_keywords(stored: DataFrame, batch: DataFrame, order_by: Sequence[Column]
     """
     known = stored.select(keyword_key(F.col("keyword")).alias("keyword"))
     fresh = batch.join(known, "keyword", "left_anti")
-    numbered = with_ids(fresh, stored, "keyword_id", order_by or [F.asc("keyword")])
+    numbered = with_ids(fresh, stored, "keyword_id", order_by or ["keyword"], greatest)
     return numbered.withColumn("current_url_target", F.lit(None).cast("string")).select(*DIM_KEYWORD.names)
 
 
-def upsert_keywords(stored: DataFrame, batch: DataFrame, order_by: Sequence[Column] | None = None) -> DataFrame:
+def upsert_keywords(stored: DataFrame, batch: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """The keyword dimension after the batch."""
     return stored.select(*DIM_KEYWORD.names).unionByName(new_keywords(stored, batch, order_by))
 
@@ -69,12 +72,13 @@ def new_pages(
     batch: DataFrame,
     sites: DataFrame,
     run_date: str,
-    order_by: Sequence[Column] | None = None,
+    order_by: Sequence[str] | None = None,
     default_site: int = DEFAULT_SITE_ID,
+    greatest: int | None = None,
 ) -> DataFrame:
     """Pages of the batch that are not stored, with site and id. ``batch`` is unique by ``url``."""
     fresh = site_of(batch.join(stored.select("url"), "url", "left_anti"), sites, default_site)
-    numbered = with_ids(fresh, stored, "page_id", order_by or [F.asc("url")])
+    numbered = with_ids(fresh, stored, "page_id", order_by or ["url"], greatest)
     return (
         numbered.withColumn("meta_description", F.lit(None).cast("string"))
         .withColumn("word_count", F.coalesce("word_count", F.lit(0)))
@@ -90,10 +94,10 @@ def _crawl_day(batch: DataFrame, run_date: str) -> Column:
     return F.coalesce(day, F.lit(run_date))
 
 
-def updated_pages(stored: DataFrame, batch: DataFrame, mode: str = "coalesce") -> DataFrame:
-    """Stored pages with the batch's values. ``overwrite`` takes them as they are and leaves the crawl
-    day; ``coalesce`` keeps the stored value where the batch has none. Id, site, URL and description
-    never change."""
+def _met_pages(
+    stored: DataFrame, batch: DataFrame, mode: str, how: str
+) -> tuple[DataFrame, list[str], Callable[[str], Column]]:
+    """Stored pages beside the batch's, the columns that can change, and what becomes of a column."""
     if mode not in ("coalesce", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
     taken = ["title", "h1", "word_count", "indexable", "page_speed_score"]
@@ -109,7 +113,23 @@ def updated_pages(stored: DataFrame, batch: DataFrame, mode: str = "coalesce") -
             return F.when(F.col("_hit"), F.col(f"_{column}")).otherwise(F.col(column)).alias(column)
         return F.coalesce(f"_{column}", column).alias(column)
 
-    return stored.join(fresh, "url", "left").select(*[value(c) for c in DIM_PAGE.names])
+    return stored.join(fresh, "url", how), taken, value
+
+
+def updated_pages(stored: DataFrame, batch: DataFrame, mode: str = "coalesce") -> DataFrame:
+    """Stored pages with the batch's values. ``overwrite`` takes them as they are and leaves the crawl
+    day; ``coalesce`` keeps the stored value where the batch has none. Id, site, URL and description
+    never change."""
+    met, _, value = _met_pages(stored, batch, mode, "left")
+    return met.select(*[value(c) for c in DIM_PAGE.names])
+
+
+def changed_pages(stored: DataFrame, batch: DataFrame, mode: str = "coalesce") -> DataFrame:
+    """Those of them in which the batch changes a value, and no others."""
+    asked = stored.join(batch.select("url"), "url", "left_semi")
+    met, taken, value = _met_pages(asked, batch, mode, "inner")
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(value(c)) for c in taken])
+    return met.filter(differs).select(*[value(c) for c in DIM_PAGE.names])
 
 
 def upsert_pages(
@@ -118,7 +138,7 @@ def upsert_pages(
     sites: DataFrame,
     run_date: str,
     mode: str = "coalesce",
-    order_by: Sequence[Column] | None = None,
+    order_by: Sequence[str] | None = None,
     default_site: int = DEFAULT_SITE_ID,
 ) -> DataFrame:
     """The page dimension after the batch: known pages updated, new ones added."""
@@ -126,7 +146,9 @@ def upsert_pages(
     return updated_pages(stored, batch, mode).unionByName(added)
 
 
-def new_backlinks(stored: DataFrame, batch: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def new_backlinks(
+    stored: DataFrame, batch: DataFrame, pages: DataFrame, greatest: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Backlinks of the batch that are not stored, with ids, and in report form those of unknown pages."""
     known = batch.withColumn("url", url_key(F.col("url"))).withColumn("referring_domain", keyword_key(F.col("referring_domain")))
     resolved = known.join(pages.select("page_id", "url"), "url", "left")
@@ -137,7 +159,7 @@ def new_backlinks(stored: DataFrame, batch: DataFrame, pages: DataFrame) -> tupl
         F.concat_ws(" @ ", "referring_domain", "url").alias("key"),
         F.array(F.concat(F.lit("orphan, unknown URL: "), F.coalesce("url", F.lit("")))).alias("errors"),
     )
-    numbered = with_ids(fresh, stored, "backlink_id", [F.asc("url"), F.asc("referring_domain")])
+    numbered = with_ids(fresh, stored, "backlink_id", ["url", "referring_domain"], greatest)
     return numbered.select(*FACT_BACKLINK.names), unknown
 
 
@@ -153,29 +175,34 @@ def new_positions(
     keywords: DataFrame,
     pages: DataFrame,
     previous: str = "history",
-    order_by: Sequence[Column] | None = None,
+    order_by: Sequence[str] | None = None,
+    latest: DataFrame | None = None,
+    greatest: int | None = None,
 ) -> DataFrame:
     """Positions of the batch that are not stored, with ids.
 
     ``batch`` is unique by keyword, URL and date. ``previous`` says where the previous position comes
     from: ``history`` looks up the pair's last stored position before the date and sets the traffic
-    figures to none, as the staging path does; ``export`` takes both from the batch.
+    figures to none, as the staging path does; ``export`` takes both from the batch. With ``latest``, each pair's
+    newest stored row, history is read only for rows that are not newer.
     """
     resolved = resolve_names(batch, keywords, pages)
     if previous == "history":
-        fresh = (
-            stage_against_history(stored, resolved.select(*PAIR, "snapshot_date", "position", "keyword", "url"))
-            .withColumn("clicks_30d", F.lit(0).cast("bigint"))
-            .withColumn("impressions_30d", F.lit(0).cast("bigint"))
-        )
+        staged = resolved.select(*PAIR, "snapshot_date", "position", "keyword", "url")
+        found = stage_against_history(stored, staged) if latest is None else stage_against_latest(latest, stored, staged)
+        none = F.lit(0).cast("bigint")
+        fresh = found.withColumns({"clicks_30d": none, "impressions_30d": none})
     elif previous == "export":
-        # Only stored rows of the batch's dates matter; the semi join lets the scan skip all other dates' folders.
-        same_days = stored.select(*PAIR, "snapshot_date").join(
-            batch.select("snapshot_date").distinct(), "snapshot_date", "left_semi"
-        )
-        fresh = resolved.join(same_days, [*PAIR, "snapshot_date"], "left_anti")
+        ahead, late = (None, resolved) if latest is None else split_by_latest(latest, resolved)
+        # Only stored rows of these rows' dates matter; by the bounds, and by the semi join, the scan skips other dates' folders.
+        first, last = (late.agg(f("snapshot_date").alias("day")).scalar() for f in (F.min, F.max))
+        same_days = stored.select(*PAIR, "snapshot_date").filter(F.col("snapshot_date").between(first, last))
+        same_days = same_days.join(late.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
+        fresh = late.join(same_days, [*PAIR, "snapshot_date"], "left_anti")
+        fresh = fresh if ahead is None else ahead.drop("_before").unionByName(fresh)
     else:
         raise ValueError(f"unknown source of the previous position {previous!r}")
     rate = click_rate(F.col("clicks_30d"), F.col("impressions_30d"))
-    order = order_by or [F.asc("keyword"), F.asc("url"), F.asc("snapshot_date")]
-    return with_ids(fresh.withColumn("ctr_30d", rate), stored, "position_id", order).select(*FACT_POSITION.names)
+    order = order_by or ["keyword", "url", "snapshot_date"]
+    numbered = with_ids(fresh.withColumn("ctr_30d", rate), stored, "position_id", order, greatest)
+    return numbered.select(*FACT_POSITION.names)

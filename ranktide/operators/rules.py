@@ -10,6 +10,7 @@ from ranktide.operators.snapshots import comparable
 from ranktide.schemas import ACTIVE_STATUSES, FACT_ISSUE
 
 NOINDEX, CONTENT_DECAY = "noindex", "content_decay"
+MIN_DROP = 5
 
 
 def _open_issue(issue_type: str, severity: Column, run_date: str) -> dict[str, Column]:
@@ -23,9 +24,18 @@ def _open_issue(issue_type: str, severity: Column, run_date: str) -> dict[str, C
     }
 
 
-def noindex_candidates(pages: DataFrame, fact: DataFrame, issues: DataFrame) -> DataFrame:
-    """Pages closed to indexing that rank in some snapshot and have no active ``noindex`` issue."""
-    ranking = fact.filter("position > 0").select("page_id").distinct()
+def ranked_pages(fact: DataFrame) -> DataFrame:
+    """Pages that rank in some snapshot."""
+    return fact.filter("position > 0").select("page_id").distinct()
+
+
+def fallen_positions(fact: DataFrame, min_drop: int = MIN_DROP) -> DataFrame:
+    """All rows in which the content rule can find something, as long as it asks for no smaller drop."""
+    return fact.filter((F.col("position") > 0) & (F.col("position") - F.col("previous_position") >= min_drop))
+
+
+def noindex_candidates(pages: DataFrame, ranking: DataFrame, issues: DataFrame) -> DataFrame:
+    """Pages closed to indexing that are among the ``ranking`` ones and have no active ``noindex`` issue."""
     reported = issues.filter(
         (F.col("issue_type") == NOINDEX) & F.col("status").isin(*ACTIVE_STATUSES)
     ).select("page_id")
@@ -37,10 +47,12 @@ def noindex_candidates(pages: DataFrame, fact: DataFrame, issues: DataFrame) ->
     )
 
 
-def noindex_issues(pages: DataFrame, fact: DataFrame, issues: DataFrame, run_date: str) -> DataFrame:
+def noindex_issues(
+    pages: DataFrame, ranking: DataFrame, issues: DataFrame, run_date: str, greatest: int | None = None
+) -> DataFrame:
     """A critical issue for each such page."""
-    found = noindex_candidates(pages, fact, issues)
-    numbered = with_ids(found, issues, "issue_id", [F.asc("page_id")])
+    found = noindex_candidates(pages, ranking, issues)
+    numbered = with_ids(found, issues, "issue_id", ["page_id"], greatest)
     return numbered.withColumns(_open_issue(NOINDEX, F.lit("critical"), run_date)).select(*FACT_ISSUE.names)
 
 
@@ -50,7 +62,7 @@ def decay_candidates(
     issues: DataFrame,
     run_date: str,
     suppress: str = "open",
-    min_drop: int = 5,
+    min_drop: int = MIN_DROP,
     severe_drop: int = 8,
     latest_only: bool = False,
     zero_is_unranked: bool = False,
@@ -81,10 +93,12 @@ def decay_candidates(
 
 
 def decay_issues(
-    pages: DataFrame, fact: DataFrame, issues: DataFrame, run_date: str, **options: object
+    pages: DataFrame, fact: DataFrame, issues: DataFrame, run_date: str, greatest: int | None = None, **options: object
 ) -> DataFrame:
-    """A content issue for each such snapshot."""
+    """A content issue for each such snapshot.
+
+    ``fact`` may be the fallen positions only.
+    """
     found = decay_candidates(pages, fact, issues, run_date, **options)
-    order = [F.asc("page_id"), F.asc("keyword_id"), F.asc("snapshot_date")]
-    numbered = with_ids(found, issues, "issue_id", order)
+    numbered = with_ids(found, issues, "issue_id", ["page_id", "keyword_id", "snapshot_date"], greatest)
     return numbered.withColumns(_open_issue(CONTENT_DECAY, F.col("severity"), run_date)).select(*FACT_ISSUE.names)

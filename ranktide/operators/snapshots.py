@@ -41,6 +41,43 @@ def comparable(position: Column, zero_is_unranked: bool) -> Column:
     return F.when(position == 0, F.lit(UNRANKED_AS)).otherwise(position) if zero_is_unranked else position
 
 
+def _of_pairs(rows: DataFrame, some: DataFrame) -> DataFrame:
+    """Rows of the pairs that ``some`` has. A batch's pairs are few beside all pairs, so that these are not shuffled."""
+    return rows.join(some.select(*PAIR).distinct(), list(PAIR), "left_semi")
+
+
+def newer_positions(latest: DataFrame, written: DataFrame) -> DataFrame:
+    """What a run's rows change in the table of each pair's newest row."""
+    known = _of_pairs(latest, written).select(*PAIR, F.col("snapshot_date").alias("_last"))
+    newer = F.coalesce(F.col("_last") < F.col("snapshot_date"), F.lit(True))
+    return latest_per_pair(written).join(known, list(PAIR), "left").filter(newer).select(*written.columns)
+
+
+def split_by_latest(latest: DataFrame, staged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Staged rows that are newer than all that is stored of their pair, and the others.
+
+    The former can be stored by no earlier load; they come with the pair's last stored position as ``_before``.
+    """
+    newest = _of_pairs(latest, staged).select(
+        *PAIR, F.col("snapshot_date").alias("_last"), F.col("position").alias("_before")
+    )
+    met = staged.join(newest, list(PAIR), "left")
+    ahead = F.coalesce(F.col("_last") < F.col("snapshot_date"), F.lit(True))
+    return met.filter(ahead).drop("_last"), met.filter(~ahead).drop("_last", "_before")
+
+
+def stage_against_latest(latest: DataFrame, stored: DataFrame, staged: DataFrame) -> DataFrame:
+    """As ``stage_against_history``, by the table of each pair's newest row.
+
+    History is read for back-dated rows only, and only up to the last of their dates: where there are none, the
+    scan of ``stored`` prunes to nothing.
+    """
+    ahead, late = split_by_latest(latest, staged)
+    until = late.agg(F.max("snapshot_date").alias("until")).scalar()
+    found = stage_against_history(stored.filter(F.col("snapshot_date") <= until), late)
+    return ahead.withColumnRenamed("_before", "previous_position").unionByName(found)
+
+
 def stage_against_history(stored: DataFrame, staged: DataFrame) -> DataFrame:
     """Staged rows whose pair and date are not stored yet, with the pair's last stored position before
     that date in ``previous_position``.

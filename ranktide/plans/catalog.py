@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 from ranktide.operators import cleaning, loading, quality, rules
 from ranktide.operators.numbering import number_rows
 from ranktide.operators.snapshots import PAIR, stage_against_history
-from ranktide.plans import analyses, mart, views
+from ranktide.plans import analyses, loaded, mart, views
 from ranktide.plans.batch import load_exports
-from ranktide.schemas import EXPORT_COLUMNS
 from ranktide.session import application_folder
 from ranktide.sources import trade
-from ranktide.sources.exports import read_export, tag_batch
 from ranktide.sources.legacy import copy_tables
 from ranktide.sources.store import Store
 from ranktide.sources.trade import FEED_ORDER, POSITION_ORDER, Trade
@@ -82,33 +80,15 @@ def dedupe_positions(spark: SparkSession, folder: str) -> DataFrame:
     return first.select("keyword", "url", "snapshot_date", "position", "clicks_30d", "impressions_30d")
 
 
-def write_export(df: DataFrame, folder: str, entity: str) -> None:
-    """An export as CSV, its rows in the order of ``df``."""
-    columns = df.select(*EXPORT_COLUMNS[entity])
-    columns.write.options(
-        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(f"{folder}/{entity}.csv")
-
-
 def batch_load(spark: SparkSession, folder: str) -> DataFrame:
     """A whole run: the raw exports as CSV, loaded into a new store; its tables are counted."""
-    t, where = Trade(spark, folder), _scratch(spark)
-    write_export(trade.raw_keywords(t).orderBy(*FEED_ORDER), where, "keywords")
-    write_export(trade.raw_pages(t).orderBy(*FEED_ORDER), where, "pages")
-    write_export(trade.raw_positions(t).orderBy(*POSITION_ORDER), where, "positions")
+    where = _scratch(spark)
+    loaded.write_exports(spark, folder, where)
     store = Store(spark, f"{where}/store")
     load_exports(store, where, LATE_RUN_DAY, "batch-1")
     return analyses.table_counts(store.tables())
 
 
-def read_positions_export(spark: SparkSession, folder: str) -> DataFrame:
-    """The raw positions written as CSV, read back as an export and tagged with a batch."""
-    where = _scratch(spark)
-    write_export(trade.raw_positions(Trade(spark, folder)), where, "positions")
-    staged = tag_batch(read_export(spark, where, "positions"), "batch-1", "2002-01-07T08:00:00Z")
-    return staged.select(*EXPORT_COLUMNS["positions"], "load_id")
-
-
 def copy_trade_tables(spark: SparkSession, folder: str) -> DataFrame:
     return copy_tables(spark, folder, _scratch(spark), [f"{name}.parquet" for name in trade.TABLES])
 
@@ -146,14 +126,13 @@ def insert_positions(spark: SparkSession, folder: str) -> DataFrame:
 def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Numbers for all fact rows by date, keyword and page."""
     keys = trade.positions(Trade(spark, folder)).select("snapshot_date", "keyword_id", "page_id")
-    return number_rows(keys, [F.asc("snapshot_date"), F.asc("keyword_id"), F.asc("page_id")], "row_id")
+    return number_rows(keys, ["snapshot_date", "keyword_id", "page_id"], "row_id")
 
 
 def rule_noindex(spark: SparkSession, folder: str) -> DataFrame:
     s = trade.star(spark, folder)
-    return rules.noindex_issues(
-        s["dim_page"], s["fact_keyword_position"], s["fact_technical_issue"], LATE_RUN_DAY
-    )
+    ranking = rules.ranked_pages(s["fact_keyword_position"])
+    return rules.noindex_issues(s["dim_page"], ranking, s["fact_technical_issue"], LATE_RUN_DAY)
 
 
 def _rule_decay(suppress: str) -> Query:
@@ -193,7 +172,6 @@ QUERIES: dict[str, Query] = {
     "mart_quick_wins": _over_performance(mart.quick_wins_mart),
     "mart_class_summary": _over_performance(mart.class_summary),
     # sources
-    "read_positions_export": read_positions_export,
     "copy_tables": copy_trade_tables,
     # cleaning
     "contract_keywords": contract_keywords,
@@ -221,4 +199,6 @@ QUERIES: dict[str, Query] = {
     "run_alerts": _over_star(lambda s: quality.run_alerts(s["etl_run_log"])),
     "active_tier_limit": _over_star(lambda s: quality.active_tier_limit(views.quick_wins(s))),
     "drop_alerts": _over_star(lambda s: quality.drop_alerts(views.position_changes(s))),
+    # whole loads
+    **loaded.QUERIES,
 }

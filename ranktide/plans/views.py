@@ -53,7 +53,8 @@ def mean(total: str, count: str) -> Column:
 
 def quick_wins(star: Star, lowest: int = 4, highest: int = 30) -> DataFrame:
     """Opportunities by ICE: each pair's newest row, kept when it stands at ``lowest``..``highest``."""
-    fact = latest_per_pair(star["fact_keyword_position"]).filter(F.col("position").between(lowest, highest))
+    newest = star["latest_position"] if "latest_position" in star else latest_per_pair(star["fact_keyword_position"])
+    fact = newest.filter(F.col("position").between(lowest, highest))
     keywords = star["dim_keyword"].select(
         "keyword_id", "keyword", "category", "monthly_search_volume", "keyword_difficulty"
     )

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings a run needs to behave well on a large cluster; none depends on the size of the machine.
 SETTINGS = {
@@ -68,6 +72,34 @@ def application_folder(spark: SparkSession, kind: str) -> str:
     return "/".join([shared_folder(spark).rstrip("/"), spark.sparkContext.applicationId, kind, uuid.uuid4().hex])
 
 
+def observed(seen: Observation, column: str) -> int:
+    """A count that a write has observed; 0 where the optimizer found that there was nothing to run, and nothing to observe."""
+    try:
+        return int(seen.get[column])
+    except Py4JJavaError as error:
+        if "AssertionError" in error.java_exception.getClass().getName():  # an empty row of figures
+            return 0
+        raise
+
+
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """What ``freeze`` writes inside goes when the block ends; by then whoever reads it must have written its own result."""
+    from ranktide.sources.files import remove
+
+    written: list[str] = []
+    token = _passing.set(written)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for path in written:
+            remove(spark, path)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -75,5 +107,8 @@ def freeze(df: DataFrame) -> DataFrame:
     an intermediate result should be known to the planner. Losing executors afterwards loses nothing.
     """
     path = application_folder(df.sparkSession, "frozen")
+    passing = _passing.get()
+    if passing is not None:
+        passing.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -21,14 +21,14 @@ def test_numbers_follow_the_order_without_gaps(spark):
     rng = random.Random(1)
     keys = [f"https://x.example/{rng.random()}" for _ in range(5000)]
     frame = spark.createDataFrame([(k,) for k in keys], "k string").repartition(7)
-    got = {r.k: r.n for r in number_rows(frame, [F.asc("k")], "n", start=100).collect()}
+    got = {r.k: r.n for r in number_rows(frame, ["k"], "n", start=100).collect()}
     assert got == {k: 101 + i for i, k in enumerate(sorted(keys))}
 
 
 def test_numbers_start_anew_within_groups_one_of_which_is_large(spark):
     rows = [(("hot" if i % 3 else f"g{i % 17}"), i * 37 % 3001) for i in range(3001)] + [(None, 5), (None, 4)]
     frame = spark.createDataFrame(rows, "g string, v int").repartition(5)
-    got = number_rows(frame, [F.desc("v")], "n", within=["g"]).collect()
+    got = number_rows(frame, [-F.col("v")], "n", within=["g"]).collect()
     expected = {}
     for g in {g for g, _ in rows}:
         for n, v in enumerate(sorted((v for h, v in rows if h == g), reverse=True), 1):
@@ -39,16 +39,16 @@ def test_numbers_start_anew_within_groups_one_of_which_is_large(spark):
 def test_rank_shares_numbers_between_equal_values(spark):
     rows = [(i % 2, 0 if i % 3 else i % 11, i) for i in range(900)]
     frame = spark.createDataFrame(rows, "g int, v int, id int").repartition(6)
-    got = {r.id: r.rank for r in rank_rows(frame, "v", [F.asc("id")], "rank", within=["g"]).collect()}
+    got = {r.id: r.rank for r in rank_rows(frame, "v", "rank", within=["g"]).collect()}
     assert got == {i: 1 + sum(1 for h, w, _ in rows if h == g and w > v) for g, v, i in rows}
 
 
 def test_ids_go_on_from_the_greatest(spark):
     stored = spark.createDataFrame([(4,), (9,)], "id bigint")
     new = spark.createDataFrame([("b",), ("a",)], "k string")
-    assert sorted((r.k, r.id) for r in with_ids(new, stored, "id", [F.asc("k")]).collect()) == [("a", 10), ("b", 11)]
-    assert with_ids(new.limit(0), stored, "id", [F.asc("k")]).count() == 0
-    assert {r.id for r in with_ids(new, stored.limit(0), "id", [F.asc("k")]).collect()} == {1, 2}
+    assert sorted((r.k, r.id) for r in with_ids(new, stored, "id", ["k"]).collect()) == [("a", 10), ("b", 11)]
+    assert with_ids(new.limit(0), stored, "id", ["k"]).count() == 0
+    assert {r.id for r in with_ids(new, stored.limit(0), "id", ["k"]).collect()} == {1, 2}
 
 
 def keyword_table(spark, rows):
