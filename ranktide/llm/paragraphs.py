@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.runtime import BATCH_ROWS, documents, ready, slices, table, to_batches
+from ranktide.llm.runtime import BATCH_ROWS, documents, ready, slices, table, to_batches, written
 from ranktide.llm.textscan import LOWER, STEP, find_words, mix, runs_of, span_hashes
 from ranktide.session import freeze
 
@@ -351,7 +351,7 @@ def pairs_by_hubs(met: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     others = placed.where(F.col("node") != F.col("hub")).select("token", "node", "bits")
     later = others.withColumnsRenamed({"node": "node_b", "bits": "bits_b"})
     second = others.join(later, "token").where((F.col("node") < F.col("node_b")) & _close(percent, "bits", "bits_b"))
-    return freeze(first.union(second.select(F.col("node").alias("a"), F.col("node_b").alias("b"))).distinct())
+    return written(first.union(second.select(F.col("node").alias("a"), F.col("node_b").alias("b"))).distinct())
 
 
 def similar_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -381,20 +381,20 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     postings = listed.select("node", F.explode(F.array(*names)).alias("token"))
     buckets = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("_other"))
     met = postings.join(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"), "token").distinct()
-    met = freeze(met)
+    met = written(met)
     bits = listed.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("bits"))
-    bits = freeze(bits)
+    bits = written(bits)
     pairs = pairs_by_hubs(met, bits, percent)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     places = listed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*DOCUMENT, "start")).alias("at"))
     sets = _with_texts(docs, places.select("node", "at.*"), "node", "start").mapInArrow(_at_places(_set_rows, SETS_SCHEMA, size), schema=SETS)
-    grouped = components(similar_pairs(pairs, freeze(sets.dropDuplicates(["node"])), percent))
+    grouped = components(similar_pairs(pairs, written(sets.dropDuplicates(["node"])), percent))
 
     # The first place of each paragraph that comes again, and of its component.
     place = F.struct(*DOCUMENT, "start")
     firsts = listed.groupBy("node").agg(F.min(place).alias("_kept"), F.max(place).alias("_last"))
     placed = firsts.join(freeze(grouped), "node", "left").where(F.col("component").isNotNull() | (F.col("_kept") != F.col("_last")))
-    placed = freeze(placed)
+    placed = written(placed)
     of_component = placed.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("_kept").alias("_first"))
     classes = placed.join(of_component, "component", "left").select(
         "node", F.coalesce("component", "node").alias("component"), F.coalesce("_first", "_kept").alias("kept")
@@ -403,7 +403,7 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     classes = freeze(classes.select("node", "component", *kept_at))
     same = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("version") == F.col("kept_version"))
     removable = listed.select(*DOCUMENT, "start", "node").join(classes, "node").where(~same | (F.col("start") >= F.col("kept_start") + PASSAGE))
-    removable = freeze(removable.drop("node"))
+    removable = written(removable.drop("node"))
     classes = classes.select("component", "kept_doc_id", "kept_version", "kept_start").distinct()
 
     # The words around the first copies of the paragraphs at the ends of each stretch.
@@ -423,7 +423,7 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     contexts = _with_texts(docs, first_copies, "start", "component").mapInArrow(
         _at_places(_context_rows, CONTEXTS_SCHEMA, size), schema="component long, before binary, after binary"
     )
-    around = ends.join(freeze(contexts.dropDuplicates(["component"])), "component").select(*DOCUMENT, "start", "before", "after")
+    around = ends.join(written(contexts.dropDuplicates(["component"])), "component").select(*DOCUMENT, "start", "before", "after")
     placed = removable.select(*DOCUMENT, "start", "kept_doc_id", "kept_start").join(around, [*DOCUMENT, "start"], "left")
     texts = _with_texts(docs, placed, "start", "kept_doc_id", "kept_start", "before", "after")
     return texts.mapInArrow(_at_places(_span_rows, SPANS_SCHEMA, size), schema=SPANS).distinct()

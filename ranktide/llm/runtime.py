@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranktide.session import prepare
+from ranktide.session import freeze, prepare
 
 # Rows that one Arrow batch carries to a Python worker, and bytes of text that are worked on at once.
 BATCH_ROWS = 1000
@@ -29,6 +29,13 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` frozen, and the shuffle files behind it dropped: Spark's cleaner removes them once the driver has collected its garbage."""
+    kept = freeze(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return kept
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
