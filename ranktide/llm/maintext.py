@@ -54,7 +54,7 @@ BLOCK = frozenset(
 )
 # Elements whose content is never part of an article, and words in a class or id that say the same unless of a wrapper.
 OUTSIDE = frozenset(
-    "head nav aside button select option svg math canvas object audio video map dialog menu script style "
+    "head nav aside button select option svg canvas object audio video map dialog menu script style "
     "textarea title noscript template iframe".split()
 )
 OUTSIDE_WORDS = frozenset(
@@ -64,8 +64,18 @@ OUTSIDE_WORDS = frozenset(
     "recommended recommendations comment comments commentlist discussion replies reply disqus login search form "
     "pagination pager toolbar copyright disclaimer".split()
 )
+# Of these the ones that say so inside an article as a part of a longer class too; the others do as a whole class only, as
+# "section-header" or "side-note" name parts of the text.
+OUTSIDE_PARTS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies newsletter "
+    "subscribe subscription share sharing related recommended recommendations comment comments commentlist replies disqus".split()
+)
 GOLD = frozenset(("article", "main"))
-BOXES = BLOCK - GOLD - {"html", "body"}
+# Blocks that hold the text itself are never passed over for their class.
+CONTENT = frozenset(
+    "blockquote dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr legend li p pre table tbody td tfoot th thead tr".split()
+)
+BOXES = BLOCK - GOLD - CONTENT - {"html", "body"}
 
 DEFAULT_WORD, DEFAULT_LINK, DEFAULT_TAG = 1.0, -1.0, 0.3
 
@@ -130,9 +140,13 @@ class Boxes:
         return result
 
 
-def _says_outside(rest: str) -> bool:
+def _says_outside(rest: str, in_article: bool) -> bool:
+    """Whether a class, id or role says that a box is no part of an article."""
     for found in MARKS.finditer(rest):
-        words = re.findall(r"[a-z]+", (found[1] or found[2] or found[3] or "").lower())
+        classes = (found[1] or found[2] or found[3] or "").lower()
+        words = set(re.findall(r"[a-z]+", classes))
+        if in_article:
+            words = words.intersection(OUTSIDE_PARTS).union(classes.split())
         if OUTSIDE_WORDS.intersection(words):
             return True
     return False
@@ -195,7 +209,8 @@ def read_page(source: str) -> Page:
             if name in GOLD and not outside and gold < 0:
                 gold = len(boxes.gold_in)
                 boxes.gold_in.append(box)
-            if not outside and (name == "form" or (name in BOXES and _says_outside(found["rest"]))):
+            boxed = name in BOXES and (name != "header" or gold < 0)
+            if not outside and (name == "form" or (boxed and _says_outside(found["rest"], gold >= 0))):
                 boxes.parent.append(box)
                 boxes.in_gold.append(gold)
                 box = len(boxes.parent) - 1

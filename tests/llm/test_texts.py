@@ -287,6 +287,44 @@ def test_wrappers_are_not_passed_over(opening, closing):
     assert maintext.read_page(source).gold_elements == (("<article" in opening) or ("<main" in opening))
 
 
+@pytest.mark.parametrize(
+    ("block", "text"),
+    [
+        ('<header class="entry-header"><h1>The title</h1></header>', "The title"),
+        ('<h2 class="section-header">The title</h2>', "The title"),
+        ('<table class="side-by-side"><tr><td>The title</td></tr></table>', "The title"),
+        ('<p class="side-note">The title</p>', "The title"),
+        ("<p>The <math><mi>x</mi></math> title</p>", "The x title"),
+        ('<div class="section-header"><h2>The title</h2></div>', "The title"),
+        ('<blockquote class="related">The title</blockquote>', "The title"),
+        ('<div class="related-posts"><p>Read this</p></div>', ""),
+        ('<div class="post banner">Buy</div>', ""),
+        ('<form class="x"><input>Your name</form>', ""),
+    ],
+)
+def test_class_words_inside_an_article(block, text):
+    words = " ".join(f"word{i}" for i in range(30))
+    found = maintext.main_text(f"<html><body><nav><a>x</a></nav><article><p>{words}</p>{block}<p>{words}</p></article></body></html>", maintext.Weights())
+    assert found == "\n\n".join(x for x in (words, text, words) if x)
+
+
+@needs_tables
+def test_main_text_of_a_table_is_its_articles(spark):
+    """A plain reading of the pages, whose articles are marked: their blocks but for adverts, forms and what is no text."""
+    import html as entities
+
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in maintext.extract(pages, maintext.train(pages)).collect()}
+    for row in pages.collect():
+        inner = regex.search(r"(?s)<article>(.*)</article>", row["html"])[1]
+        inner = regex.sub(r"(?s)<!--.*?-->|<(script|style)\b.*?</\1>", "", inner)
+        inner = regex.sub(r"(?s)<(nav|aside|form|footer)\b.*?</\1>|<div class=\"ad\">.*?</div>", "<p>", inner)
+        blocks = regex.split(r"</?(?:p|h[1-6]|ul|ol|li|div|blockquote|table|tr|td|th|tbody|pre|section|header)\b[^>]*>", inner)
+        plain = [entities.unescape(regex.sub(r"<[^>]*>", "", regex.sub(r"<br\b[^>]*>", " ", b))) for b in blocks]
+        texts = [" ".join(t.split()) for t in plain]
+        assert got[row["page_id"]] == "\n\n".join(t for t in texts if t)
+
+
 def test_large_comments_beside_the_article_are_passed_over():
     comments = '<div id="comments">' + "<p>a remark of a reader</p>" * 30 + "</div>"
     wrapped = f'<div class="with-sidebar"><article><p>Many words stand here in a row</p></article></div>{comments}'
