@@ -49,6 +49,7 @@ KMER = 16
 BLOCK_BYTES = 3_500_000
 BUCKET_BYTES = 8 << 20
 HOT_POSITIONS = 1 << 16
+COMPARED = 1 << 15  # strings that are compared at a time
 BATCH_ROWS = 8  # blocks in an Arrow batch
 
 BLOCK_DDL = "block long, doc_ids array<long>, bounds binary, content binary"
@@ -293,11 +294,37 @@ def _received(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return np.cumsum(steps, dtype=np.int64), lengths.astype(np.int64), ids, np.frombuffer(raw, np.uint8, offset=at + 16 * n)
 
 
+def _smallest(order: np.ndarray, fresh: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The id of the first of each group, for positions in order; ``fresh`` says where a group begins."""
+    result = np.empty(len(order), dtype=np.int64)
+    result[order] = ids[order[fresh]][np.cumsum(fresh) - 1]
+    return result
+
+
 def earliest(data: np.ndarray, positions: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each position the smallest id among the positions whose next LENGTH bytes are the same.
 
-    The positions are ordered by those bytes, and by id within equal strings; the first of each group has the smallest id.
+    The positions are ordered by a hash of those bytes, and by id within equal ones; the first of each group has the smallest id.
+    Neighbours in a group are compared as bytes, some at a time; should a hash stand for two strings, all are ordered by bytes.
     """
+    if not len(positions):
+        return np.zeros(0, dtype=np.int64)
+    names = span_hashes(data, positions, positions + LENGTH)
+    order = np.lexsort((ids, names))
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = names[order[1:]] != names[order[:-1]]
+    del names
+    within = np.arange(LENGTH)
+    for start in range(1, len(order), COMPARED):
+        again = np.flatnonzero(~fresh[start : start + COMPARED]) + start
+        one, other = positions[order[again - 1]], positions[order[again]]
+        if (data[one[:, None] + within] != data[other[:, None] + within]).any():
+            return earliest_by_bytes(data, positions, ids)
+    return _smallest(order, fresh, ids)
+
+
+def earliest_by_bytes(data: np.ndarray, positions: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The same, by the order of the strings themselves."""
     words = np.zeros(max(len(data) - 7, 0), dtype=np.uint64)
     for j in range(8):
         words = words << np.uint64(8) | data[j : j + len(words)]
@@ -309,10 +336,7 @@ def earliest(data: np.ndarray, positions: np.ndarray, ids: np.ndarray) -> np.nda
     for key in keys:
         ranked = key[order]
         fresh[1:] |= ranked[1:] != ranked[:-1]
-    group = np.cumsum(fresh) - 1
-    result = np.empty(len(order), dtype=np.int64)
-    result[order] = ids[order][np.flatnonzero(fresh)][group]
-    return result
+    return _smallest(order, fresh, ids)
 
 
 def _matched(bucket: pa.Table) -> pa.Table:

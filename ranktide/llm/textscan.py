@@ -41,7 +41,8 @@ class Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = 1 << int(n - 1).bit_length()
+            # Somewhat more than asked for, so that a little longer slices do not begin anew each time.
+            size = max(n, min(len(self.up) * 5 // 4, len(self.up) + (1 << 20)))
             up, down = np.full(size, BASE), np.full(size, UNBASE)
             up[0] = down[0] = 1
             self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)

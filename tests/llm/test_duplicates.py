@@ -225,6 +225,25 @@ def test_substring_dedup_of_awkward_rows(spark):
     assert paragraphs.without_copies(odd, repeated).columns == odd.columns
 
 
+def test_earliest_by_hash_and_by_bytes(monkeypatch):
+    draw = random.Random(12)
+    data = np.frombuffer("".join(draw.choices("ab", k=40)).encode() * 6 + bytes(draw.choices(b"abc", k=400)), dtype=np.uint8)
+    positions = np.array([draw.randrange(len(data) - substrings.LENGTH) for _ in range(500)])
+    ids = np.array([draw.randrange(50) for _ in positions])
+    monkeypatch.setattr(substrings, "COMPARED", 7)
+    strings = [data[p : p + substrings.LENGTH].tobytes() for p in positions]
+    least = {}
+    for text, i in zip(strings, ids.tolist(), strict=True):
+        least[text] = min(i, least.get(text, i))
+    expected = [least[text] for text in strings]
+    assert substrings.earliest(data, positions, ids).tolist() == expected
+    assert substrings.earliest_by_bytes(data, positions, ids).tolist() == expected
+    # One hash for all strings: the bytes decide.
+    monkeypatch.setattr(substrings, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), dtype=np.uint64))
+    assert substrings.earliest(data, positions, ids).tolist() == expected
+    assert substrings.earliest(data, positions[:0], ids[:0]).tolist() == []
+
+
 def plain_removal(data):
     first: dict[bytes, int] = {}
     contents = sorted((d, (t or "").encode()) for d, t in data)
