@@ -238,20 +238,22 @@ def parities(sets: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduce(cells, axis=1).view(np.int64)
 
 
-CONTEXTS_SCHEMA = pa.schema([("component", pa.int64()), ("before", pa.binary()), ("after", pa.binary())])
+CONTEXTS_SCHEMA = pa.schema([("component", pa.int64()), ("side", pa.string()), ("words", pa.binary())])
 
 
 def _around(hashes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The words of a paragraph backwards and on before it, and forwards and on behind it."""
+    """The words of a paragraph backwards and on before it, and forwards and on behind it, as 32 bits of their hashes."""
     reach = WINDOW + WORDS
-    return hashes[max(start - reach, 0) : start + PASSAGE][::-1], hashes[start : start + PASSAGE + reach]
+    some = (hashes[max(start - reach, 0) : start + PASSAGE + reach] >> np.uint64(32)).astype(np.uint32)
+    at = min(start, reach)
+    return some[: at + PASSAGE][::-1], some[at:]
 
 
 def _context_rows(row: dict, text: bytes, starts: np.ndarray, hashes: np.ndarray) -> list[tuple]:
     found = []
     for p in row["places"]:
         before, after = _around(hashes, p["start"])
-        found.append((p["component"], before.tobytes(), after.tobytes()))
+        found += [(p["component"], "before", before.tobytes()), (p["component"], "after", after.tobytes())]
     return found
 
 
@@ -263,7 +265,7 @@ def _beyond(own: np.ndarray, other: bytes | None) -> int:
     """
     if other is None:
         return 0
-    there, best = np.frombuffer(other, dtype=np.uint64), (-1, 0, np.zeros(0, dtype=bool))
+    there, best = np.frombuffer(other, dtype=np.uint32), (-1, 0, np.zeros(0, dtype=bool))
     for shift in (0, 1, -1, 2, -2):
         mine, kept = own[max(shift, 0) :], there[max(-shift, 0) :]
         n = min(len(mine), len(kept))
@@ -297,13 +299,14 @@ def stretches(starts: list[int]) -> list[tuple[int, int]]:
 
 
 def _span_rows(row: dict, text: bytes, starts: np.ndarray, hashes: np.ndarray) -> list[tuple]:
-    places = sorted(row["places"], key=lambda p: p["start"])
+    places = sorted((p for p in row["places"] if p["side"] is None), key=lambda p: p["start"])
+    around = {(p["start"], p["side"]): p["words"] for p in row["places"] if p["side"] is not None}
     spans: list[list[int]] = []
     before = None
     for first, last in stretches([p["start"] for p in places]):
         head, tail = places[first], places[last]
-        start = head["start"] - _beyond(_around(hashes, head["start"])[0], head["before"])
-        end = tail["start"] + PASSAGE + _beyond(_around(hashes, tail["start"])[1], tail["after"])
+        start = head["start"] - _beyond(_around(hashes, head["start"])[0], around.get((head["start"], "before")))
+        end = tail["start"] + PASSAGE + _beyond(_around(hashes, tail["start"])[1], around.get((tail["start"], "after")))
         # A few words between go with their sides if these stand in one text, about as far from each other.
         shift = before is not None and (head["start"] - before["start"]) - (head["kept_start"] - before["kept_start"])
         of_one = before is not None and head["kept_doc_id"] == before["kept_doc_id"] and abs(shift) <= GAP
@@ -392,8 +395,8 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
 
     # The first place of each paragraph that comes again, and of its component.
     place = F.struct(*DOCUMENT, "start")
-    firsts = listed.groupBy("node").agg(F.min(place).alias("_kept"), F.max(place).alias("_last"))
-    placed = firsts.join(freeze(grouped), "node", "left").where(F.col("component").isNotNull() | (F.col("_kept") != F.col("_last")))
+    firsts = listed.groupBy("node").agg(F.min(place).alias("_kept"), F.count("*").alias("_places"))
+    placed = firsts.join(freeze(grouped), "node", "left").where(F.col("component").isNotNull() | (F.col("_places") > 1))
     placed = written(placed)
     of_component = placed.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("_kept").alias("_first"))
     classes = placed.join(of_component, "component", "left").select(
@@ -409,23 +412,29 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     # The words around the first copies of the paragraphs at the ends of each stretch.
     at = F.array_sort(F.collect_list(F.struct("start", "component")))
     ordered = removable.groupBy(*DOCUMENT).agg(at.alias("at"))
-    gap = F.lit(PASSAGE)
-    ends = F.filter(
-        "at",
-        lambda p, i: (i == 0) | (i == F.size("at") - 1)
-        | (p["start"] > F.get("at", i - 1)["start"] + gap) | (F.get("at", i + 1)["start"] > p["start"] + gap),
-    )
-    ends = ordered.select(*DOCUMENT, F.explode(ends).alias("end")).select(*DOCUMENT, "end.*")
+
+    def ends_of(side: str):
+        """The paragraphs that have none before them, or behind them, in their stretch."""
+        if side == "before":
+            alone = lambda p, i: (i == 0) | (p["start"] > F.get("at", i - 1)["start"] + PASSAGE)
+        else:
+            alone = lambda p, i: (i == F.size("at") - 1) | (F.get("at", i + 1)["start"] > p["start"] + PASSAGE)
+        return F.transform(F.filter("at", alone), lambda p: F.struct(p["start"], p["component"], F.lit(side).alias("side")))
+
+    ends = ordered.select(*DOCUMENT, F.explode(F.concat(ends_of("before"), ends_of("after"))).alias("end"))
+    ends = written(ends.select(*DOCUMENT, "end.*"))
     wanted = ends.select("component").distinct()
     first_copies = classes.join(wanted, "component", "left_semi").select(
         F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), F.col("kept_start").alias("start"), "component"
     )
     contexts = _with_texts(docs, first_copies, "start", "component").mapInArrow(
-        _at_places(_context_rows, CONTEXTS_SCHEMA, size), schema="component long, before binary, after binary"
+        _at_places(_context_rows, CONTEXTS_SCHEMA, size), schema="component long, side string, words binary"
     )
-    around = ends.join(written(contexts.dropDuplicates(["component"])), "component").select(*DOCUMENT, "start", "before", "after")
-    placed = removable.select(*DOCUMENT, "start", "kept_doc_id", "kept_start").join(around, [*DOCUMENT, "start"], "left")
-    texts = _with_texts(docs, placed, "start", "kept_doc_id", "kept_start", "before", "after")
+    contexts = written(contexts.dropDuplicates(["component", "side"]))
+    around = ends.join(contexts, ["component", "side"]).select(*DOCUMENT, "start", "side", "words")
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("side", "string"), ("words", "binary"))]
+    here = removable.select(*DOCUMENT, "start", "kept_doc_id", "kept_start", *nothing)
+    texts = _with_texts(docs, here.unionByName(around, allowMissingColumns=True), "start", "kept_doc_id", "kept_start", "side", "words")
     return texts.mapInArrow(_at_places(_span_rows, SPANS_SCHEMA, size), schema=SPANS).distinct()
 
 
