@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.runtime import BATCH_ROWS, documents, ready, slices, table, to_batches, written
+from ranktide.llm.runtime import BATCH_ROWS, documents, drop, ready, slices, table, to_batches, written
 from ranktide.llm.textscan import LOWER, STEP, find_words, mix, runs_of, span_hashes
 from ranktide.session import freeze
 
@@ -378,25 +378,30 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     count, rows = bands or tune_bands(percent / 100)
     names = [f"band_{i}" for i in range(count)]
     ddl = "doc_id long, version long, start long, node long, bits long" + "".join(f", {n} long" for n in names)
-    listed = freeze(docs.mapInArrow(_signed(count, rows, size), schema=ddl))
+    signed = freeze(docs.mapInArrow(_signed(count, rows, size), schema=ddl))
+    listed = freeze(signed.drop(*names))
 
     # Bands in which different nodes meet; equal ones are one node.
-    postings = listed.select("node", F.explode(F.array(*names)).alias("token"))
+    postings = signed.select("node", F.explode(F.array(*names)).alias("token"))
     buckets = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("_other"))
     met = postings.join(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"), "token").distinct()
     met = written(met)
+    drop(signed)
     bits = listed.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("bits"))
     bits = written(bits)
     pairs = pairs_by_hubs(met, bits, percent)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     places = listed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*DOCUMENT, "start")).alias("at"))
     sets = _with_texts(docs, places.select("node", "at.*"), "node", "start").mapInArrow(_at_places(_set_rows, SETS_SCHEMA, size), schema=SETS)
-    grouped = components(similar_pairs(pairs, written(sets.dropDuplicates(["node"])), percent))
+    sets = written(sets.dropDuplicates(["node"]))
+    links = similar_pairs(pairs, sets, percent)
+    drop(met, bits, pairs, sets)
+    grouped = written(components(links))
 
     # The first place of each paragraph that comes again, and of its component.
     place = F.struct(*DOCUMENT, "start")
     firsts = listed.groupBy("node").agg(F.min(place).alias("_kept"), F.count("*").alias("_places"))
-    placed = firsts.join(freeze(grouped), "node", "left").where(F.col("component").isNotNull() | (F.col("_places") > 1))
+    placed = firsts.join(grouped, "node", "left").where(F.col("component").isNotNull() | (F.col("_places") > 1))
     placed = written(placed)
     of_component = placed.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("_kept").alias("_first"))
     classes = placed.join(of_component, "component", "left").select(
@@ -407,6 +412,7 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     same = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("version") == F.col("kept_version"))
     removable = listed.select(*DOCUMENT, "start", "node").join(classes, "node").where(~same | (F.col("start") >= F.col("kept_start") + PASSAGE))
     removable = written(removable.drop("node"))
+    drop(listed, placed)
     classes = classes.select("component", "kept_doc_id", "kept_version", "kept_start").distinct()
 
     # The words around the first copies of the paragraphs at the ends of each stretch.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.session import freeze, prepare
+from ranktide.sources.files import remove
 
 # Rows that one Arrow batch carries to a Python worker, and bytes of text that are worked on at once.
 BATCH_ROWS = 1000
@@ -32,10 +34,18 @@ def ready(spark: SparkSession) -> SparkSession:
 def written(df: DataFrame) -> DataFrame:
     """``df`` frozen, and the shuffle files behind it dropped: Spark's cleaner removes them once the driver has collected its garbage."""
     kept = freeze(df)
+    gc.collect()  # Python's references to plans of the JVM
     df.sparkSession.sparkContext._jvm.System.gc()
     return kept
 
 
+def drop(*tables: DataFrame) -> None:
+    """Removes the files of frozen tables that no later step reads."""
+    for kept in tables:
+        for folder in {os.path.dirname(file) for file in kept.inputFiles()}:
+            remove(kept.sparkSession, folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
