@@ -92,6 +92,12 @@ class Pretokenizer:
         ends = np.append(starts[1:], len(points))
         return mix((total[ends] - total[starts]) * down[starts])
 
+    def named(self, words: list[str]) -> np.ndarray:
+        """The names that the words have as pieces."""
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        lengths = np.array([len(w) for w in words], dtype=np.int64)
+        return self.names(points, np.cumsum(lengths) - lengths)
+
     def distinct(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pieces, their names, the number of its distinct piece for each piece, and the bounds by text."""
         points, _, starts, by_text = self.cut(texts)

@@ -54,6 +54,27 @@ def test_both_forms_of_merges_equal_the_library(spark, library):
         assert bpe.encode(empty(spark), merges=merges).count() == 0
 
 
+def test_queries_merge_by_the_fold(spark, library, monkeypatch):
+    import corpus_pipeline
+
+    text = "zxqvian blorptastic zxqvian hello world"
+    df = spark.createDataFrame([(1, text), (2, f"{text} once")], "doc_id long, text string")
+    for known in (bpe.KNOWN, 0):  # all words folded for all documents, or each in its task
+        monkeypatch.setattr(bpe.frequent_words, "__defaults__", (known,))
+        stage = corpus_pipeline.byte_bpe(spark, df, "")
+        assert "aggregate(" in stage._jdf.queryExecution().optimizedPlan().toString()
+        expected = {i: np.array(library.encode_ordinary(t), "<u4").tobytes() for i, t in df.collect()}
+        assert {r.doc_id: bytes(r.ids) for r in stage.collect()} == expected
+    docs = bpe.documents(df)
+    table = bpe.rank_table(bpe.joins(bpe.read_ranks(bpe.vocabulary_path())))
+    assert not len(bpe.frequent_words(docs, bpe.vocabulary_path(), table, 0).names)
+    found = bpe.frequent_words(docs, bpe.vocabulary_path(), table, 100)
+    fold = [" zxqvian", " blorptastic", " absent"]
+    first, second, absent = found.places(Pretokenizer().named(fold))
+    assert absent == -1 and first >= 0 and second >= 0
+    assert [found.ids(p).tolist() for p in (first, second)] == [library._encode_single_piece(w.encode()) for w in fold[:2]]
+
+
 def test_long_words_merge_alike(library):
     ranks, draw = bpe.read_ranks(bpe.vocabulary_path()), random.Random(1)
     for _ in range(200):
