@@ -258,6 +258,22 @@ def test_ranges_are_even_and_numbers_do_not_change(spark):
     assert Counter(map(tuple, numbered.collect())) == Counter(map(tuple, number_rows(frame.repartition(3), ["k", "id"], "n").collect()))
 
 
+def test_ranges_are_found_in_generated_code_and_groups_need_no_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.range(5000).selectExpr("id", "id % 7 AS g", "id % 50 AS v")
+        for df in (number_rows(frame, ["v", "id"], "n", within=["g"]), with_ranges(frame, ["v", "id"], 32)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            main = plan.split("Subqueries")[0]
+            assert "SortMergeJoin" not in main and "transform(" not in main
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    places = {r.id: r._range for r in with_ranges(frame, ["v", "id"], 32).collect()}
+    ordered = sorted(places, key=lambda i: (i % 50, i))
+    ranges = [places[i] for i in ordered]
+    assert ranges == sorted(ranges) and len(set(ranges)) > 20
+
+
 def test_numbers_of_few_rows_nulls_and_ties(spark):
     frame = spark.createDataFrame([(None, 1), ("b", 2), ("a", 3), (None, 0)], "k string, id int")
     assert {r.id: r.n for r in number_rows(frame, ["k", "id"], "n").collect()} == {0: 1, 1: 2, 3: 3, 2: 4}
