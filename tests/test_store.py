@@ -188,6 +188,34 @@ def test_a_load_reads_no_positions_of_earlier_dates(spark, history, tmp_path):
         assert previous == "export" or all(r.previous_position is not None for r in got)
 
 
+def counting(rows):
+    """The same rows, counted by an accumulator whenever they are made."""
+    made = rows.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(count, rows.schema), made
+
+
+@pytest.mark.parametrize("previous", ["history", "export"])
+@pytest.mark.parametrize("with_latest", [False, True])
+def test_a_batch_of_positions_is_made_once(spark, history, previous, with_latest):
+    store = history[0]
+    rows = cleaning.staged_positions(many(spark, ["2026-01-19", "2026-02-02"])["positions"], ORDER["positions"])
+    rows = rows.withColumns({"previous_position": F.lit(None).cast("int"), "clicks_30d": F.lit(1).cast("bigint"), "impressions_30d": F.lit(2).cast("bigint")})
+    rows, made = counting(rows)
+    fresh = loading.new_positions(
+        store.read("fact_keyword_position"), rows, store.read("dim_keyword"), store.read("dim_page"), previous,
+        latest=store.read("latest_position") if with_latest else None,
+    )
+    got = fresh.collect()
+    assert {r.snapshot_date for r in got} == {"2026-02-02"} and len(got) == 6
+    assert made.value == 12
+
+
 def test_vacuum_removes_what_no_visible_run_names(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(storage, "COMPACT_AFTER", 1)
     store = Store(spark, str(tmp_path / "s"))
