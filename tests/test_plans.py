@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from ranktide.operators import quality
 from ranktide.plans import loaded
 from ranktide.plans.catalog import QUERIES
 from ranktide.sources import trade
@@ -85,3 +86,13 @@ def test_fact_is_read_once_for_counts_and_rows(large_tables):
     df = entry_points.queries()["cannibalization"](large_tables, FOLDER)
     df.collect()
     assert "ReusedExchange" in plan_of(df)
+
+
+def test_constraints_have_small_partitions_and_other_queries_do_not(spark):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    report = entry_points.queries()["constraint_report"](spark, FOLDER)
+    assert report.sparkSession.conf.get(size) != before == spark.conf.get(size)
+    initial = int(report.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    assert initial > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(report.collect()) == set(quality.constraint_checks(trade.star(spark, FOLDER)).collect())
