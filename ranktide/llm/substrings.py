@@ -177,18 +177,16 @@ def _shared(bucket: pa.Table, hot_positions: int) -> pa.Table:
     digests = [np.frombuffer(x, dtype="<u4") for x in bucket.column("digests").to_pylist()]
     several = bucket.column("several").to_pylist()
     marks = [np.unpackbits(np.frombuffer(s, dtype=np.uint8), count=len(d)).astype(bool) for s, d in zip(several, digests, strict=True)]
-    every = np.sort(np.concatenate([np.unique(d) for d in digests]))
-    twice = every[1:][every[1:] == every[:-1]]
-    within = [d[m] for d, m in zip(digests, marks, strict=True)]
-    # Two anchors of one block with the same digest count as shared too.
-    doubled = [np.sort(d) for d in digests]
-    doubled = [d[1:][d[1:] == d[:-1]] for d in doubled]
-    common = np.unique(np.concatenate([twice, *within, *doubled]))
-    # By digest, so that every block decides alike.
-    found, number = np.unique(np.concatenate(digests), return_inverse=True)
+    # By digest, so that every block decides alike. Two anchors of one block with the same digest count as shared too.
+    every, marked = np.concatenate(digests), np.concatenate(marks)
+    found, number = np.unique(every, return_inverse=True)
+    common = np.bincount(number, minlength=len(found)) > 1
+    common[number[marked]] = True
     sizes = np.concatenate([np.frombuffer(_unpack(x), dtype="<u2") for x in bucket.column("sizes").to_pylist()])
-    hot = found[np.bincount(number, weights=sizes, minlength=len(found)) > hot_positions]
-    flags = [np.packbits(np.isin(d, common)).tobytes() + np.packbits(np.isin(d, hot)).tobytes() for d in digests]
+    hot = np.bincount(number, weights=sizes, minlength=len(found)) > hot_positions
+    cuts = np.cumsum([0, *map(len, digests)])
+    own = [number[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    flags = [np.packbits(common[o]).tobytes() + np.packbits(hot[o]).tobytes() for o in own]
     return pa.table(
         {"block": bucket.column("block"), "bucket": bucket.column("bucket"), "flags": pa.array(flags, pa.binary())},
         schema=pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("flags", pa.binary())]),
@@ -389,10 +387,10 @@ def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for row in _rows(batches):
         block = Block(row)
         n = len(block.data)
-        change = np.zeros(n + 1, dtype=np.int64)
-        for packed in row["ranges"] or []:
-            low, high = np.frombuffer(_unpack(packed), dtype="<u4").reshape(2, -1).astype(np.int64)
-            change += np.bincount(low, minlength=n + 1) - np.bincount(high, minlength=n + 1)
+        # The ranges of all buckets at once: a block has some from most buckets, whose number grows with the input.
+        ranges = [np.frombuffer(_unpack(packed), dtype="<u4").reshape(2, -1) for packed in row["ranges"] or []]
+        low, high = np.concatenate([np.zeros((2, 0), dtype="<u4"), *ranges], axis=1).astype(np.int64)
+        change = np.bincount(low, minlength=n + 1) - np.bincount(high, minlength=n + 1)
         gone = np.cumsum(change[:-1]) > 0
         before = np.concatenate([[False], gone[:-1]]) if n else gone
         after = np.concatenate([gone[1:], [False]]) if n else gone

@@ -293,6 +293,71 @@ def test_suffix_dedup_with_hot_anchors(spark, monkeypatch):
     assert digests(spark.createDataFrame(data, "doc_id long, text string").repartition(4)) == plain_removal(data)
 
 
+class Counting:
+    """numpy, with the items that some functions have made or read."""
+
+    def __init__(self):
+        self.items = 0
+
+    def __getattr__(self, name):
+        function = getattr(np, name)
+        if name not in ("bincount", "isin"):
+            return function
+
+        def counted(values, *args, **kwargs):
+            result = function(values, *args, **kwargs)
+            self.items += len(result) + (len(args[0]) if name == "isin" else 0)
+            return result
+
+        return counted
+
+
+def test_suffix_dedup_does_not_work_through_a_block_for_each_bucket(monkeypatch):
+    def block(n_buckets):
+        text = np.full(10_000, 65, dtype=np.uint8)
+        bounds = np.array([0, len(text)], dtype="<i8").tobytes()
+        ranges = [substrings._pack(np.array([[60 * i], [60 * i + 50]], dtype="<u4").tobytes()) for i in range(n_buckets)]
+        columns = [[0], [[1]], [bounds], [substrings._pack(text.tobytes())], [ranges]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["block", "doc_ids", "bounds", "content", "ranges"])
+
+    def bucket(n_blocks):  # of 4096 anchors, half of them in two blocks
+        digests = np.arange(4096, dtype="<u4") // 2 if n_blocks > 1 else np.arange(4096, dtype="<u4")
+        parts = [digests[i::n_blocks] for i in range(n_blocks)]
+        sizes = [substrings._pack(np.ones(len(p), dtype="<u2").tobytes()) for p in parts]
+        several = [np.packbits(np.zeros(len(p), dtype=bool)).tobytes() for p in parts]
+        columns = {"bucket": [0] * n_blocks, "block": list(range(n_blocks)), "digests": [p.tobytes() for p in parts]}
+        return pa.table(columns | {"several": several, "sizes": sizes})
+
+    items = {}
+    for n in (2, 128):
+        monkeypatch.setattr(substrings, "np", counting := Counting())
+        [batch] = substrings._remover(iter([block(n)]))
+        items["removed", n] = counting.items
+        spans = batch.column("spans")[0].as_py()
+        assert spans == [{"start": 60 * i, "end": 60 * i + 50} for i in range(n)]
+        monkeypatch.setattr(substrings, "np", counting := Counting())
+        substrings._shared(bucket(n), 1 << 16)
+        items["shared", n] = counting.items
+    assert items["removed", 128] == items["removed", 2] and items["shared", 128] <= 2 * items["shared", 2]
+
+
+def test_shared_anchors_by_block():
+    def flags(*blocks):
+        """Of blocks of (digest, whether in several documents, size): which are shared and which hot."""
+        columns = {"bucket": [3] * len(blocks), "block": list(range(len(blocks)))}
+        columns["digests"] = [np.array([d for d, _, _ in b], dtype="<u4").tobytes() for b in blocks]
+        columns["several"] = [np.packbits(np.array([m for _, m, _ in b])).tobytes() for b in blocks]
+        columns["sizes"] = [substrings._pack(np.array([n for _, _, n in b], dtype="<u2").tobytes()) for b in blocks]
+        found = substrings._shared(pa.table(columns), 10).column("flags").to_pylist()
+        split = [(f[: len(f) // 2], f[len(f) // 2 :]) for f in found]
+        bits = lambda x, n: np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=n).tolist()
+        return [(bits(x, len(b)), bits(y, len(b))) for (x, y), b in zip(split, blocks, strict=True)]
+
+    # 5 is in two blocks and hot by both, 7 in several documents of its block, 9 twice in its block, 8 and 6 in none of these ways.
+    first, second = [(5, False, 6), (7, True, 1), (8, False, 1)], [(5, False, 6), (9, False, 1), (9, False, 1), (6, False, 11)]
+    assert flags(first, second) == [([1, 1, 0], [1, 0, 0]), ([1, 1, 1, 0], [1, 0, 0, 1])]
+
+
 def test_an_anchor_of_all_documents_spreads_over_buckets():
     """What a bucket gets, by plain exchanges: no bucket has much more than its share."""
     data, buckets = between_lines(1200), 40
