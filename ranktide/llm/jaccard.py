@@ -6,7 +6,8 @@ for every l; each document chooses the l that costs least by the estimated frequ
 has more postings, but a pair must then meet l times before it is verified. A pair needs as many shared prefix
 shingles as the smaller of its two numbers l.
 
-Work that would grow with the square of a group is avoided in three steps. Equal sets are one node. Within the
+Work that would grow with the square of a group is avoided in steps. Equal sets are one node. Shingles that stand in the
+same nodes' prefixes, such as those of a passage that some texts share, are one token with a weight. Within the
 documents that share a prefix shingle and a size class, each is first compared with a few that stand for its shingles;
 the links found are joined to components. Only then, pairs of different components that share a prefix shingle are
 compared, all of them, so that no link between components is lost; pairs within a component can't change the result.
@@ -33,9 +34,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.runtime import documents, ready, slices, table, to_batches
+from ranktide.llm.runtime import documents, drop, ready, slices, table, to_batches, written
 from ranktide.llm.textscan import LOWER, find_words, mix, runs_of, shingles, span_hashes, utf8
-from ranktide.session import freeze
+from ranktide.session import application_folder, freeze, passing_tables
 
 CELLS = 1 << 22
 CELLS_PER_ROW = 1 << 16
@@ -253,13 +254,13 @@ def _fits(percent: int, x: str, y: str):
 def pairs_with_hubs(placed: DataFrame) -> DataFrame:
     """Pairs (a < b or not) of a node with members of other components that stand for tokens it has.
 
-    ``placed`` has token, size class, node, matches and component. A token and class is stood for by the smallest node of
+    ``placed`` has token, weight, size class, node, matches and component. A token and class is stood for by the smallest node of
     its smallest component; of those a node meets, the HUBS with the most shared tokens are taken.
     """
     hubs = placed.groupBy("token", "_class").agg(F.min(F.struct("component", "node", "matches")).alias("hub"))
     met = placed.join(hubs, ["token", "_class"]).where(F.col("component") != F.col("hub.component"))
     pairs = met.groupBy("node", F.col("hub.node").alias("hub")).agg(
-        F.count("*").alias("_shared"), F.min(F.least("matches", "hub.matches")).alias("_needed")
+        F.sum("weight").alias("_shared"), F.min(F.least("matches", "hub.matches")).alias("_needed")
     )
     best = Window.partitionBy("node").orderBy(F.desc("_shared"), "hub")
     ranked = pairs.where(F.col("_shared") >= F.col("_needed")).withColumn("_place", F.row_number().over(best))
@@ -269,7 +270,7 @@ def pairs_with_hubs(placed: DataFrame) -> DataFrame:
 def pairs_between_components(placed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) of nodes of different components that share enough tokens.
 
-    ``placed`` has a row for each token of a node: token, node, n (size), matches, component and the small parities. The
+    ``placed`` has a row for each token of a node: token, weight, node, n (size), matches, component and the small parities. The
     largest component of a token is paired with the others, not with itself; pairs whose sizes or parities no similar pair
     can have are left out within the join.
     """
@@ -279,24 +280,49 @@ def pairs_between_components(placed: DataFrame, percent: int) -> DataFrame:
     open_ones = freeze(placed.join(main, "token"))
     columns = ("node", "n", "matches", "component", *PARITY)
     x = open_ones.where(F.col("component") != F.col("main")).select("token", *(F.col(c).alias(f"{c}_x") for c in columns))
-    y = open_ones.select("token", "main", *(F.col(c).alias(f"{c}_y") for c in columns))
+    y = open_ones.select("token", "weight", "main", *(F.col(c).alias(f"{c}_y") for c in columns))
     met = x.join(y, "token").where(
         (F.col("component_x") != F.col("component_y"))
         & ((F.col("node_x") < F.col("node_y")) | (F.col("component_y") == F.col("main")))
         & may_be_similar(percent, "x", "y")
     )
     pairs = met.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).agg(
-        F.count("*").alias("_shared"), F.min(F.least("matches_x", "matches_y")).alias("_needed")
+        F.sum("weight").alias("_shared"), F.min(F.least("matches_x", "matches_y")).alias("_needed")
     )
     return pairs.where(F.col("_shared") >= F.col("_needed")).select("a", "b")
 
 
+def one_for_equal_lists(lists: DataFrame) -> DataFrame:
+    """One token for all that stand in the same nodes, and as its ``weight`` how many these are.
+
+    ``lists`` has token, node, n and matches. A passage that a few texts share gives a token for each of its words, and every one of them
+    would make the same pairs anew. Lists are told apart by their lengths and the sums of two hashes of their nodes.
+    """
+    halves = []
+    for seed in (1, 2):
+        name = F.xxhash64(F.lit(seed), "node", "n", "matches")
+        halves += [F.sum(name.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftrightunsigned(name, 32))]
+    named = lists.groupBy("token").agg(F.count("*").alias("_n"), *(h.alias(f"_sum_{i}") for i, h in enumerate(halves)))
+    same = named.groupBy("_n", *(f"_sum_{i}" for i in range(len(halves))))
+    return same.agg(F.min("token").alias("token"), F.count("*").alias("weight")).select("token", "weight")
+
+
 def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``df``.
 
-    Documents of ``k``-word shingle similarity of ``percent`` % or more are linked; a component's id is its smallest.
+    Documents of ``k``-word shingle similarity of ``percent`` % or more are linked; a component's id is its smallest. The result
+    is written, and the tables behind it are removed.
     """
     spark = ready(df.sparkSession)
+    path = application_folder(spark, "frozen")
+    with passing_tables(spark):
+        found = _near_duplicates(df, k, percent)
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _near_duplicates(df: DataFrame, k: int, percent: int) -> DataFrame:
+    spark = df.sparkSession
     docs = documents(df)
     cells = spark.sparkContext.broadcast(count_sketch(docs, k))
     ddl = "doc_id long, n_shingles long, key_a long, key_b long, matches int, prefix array<long>, bits binary"
@@ -318,8 +344,10 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     shared = postings.groupBy("token").agg(F.min("node").alias("_first"), F.max("node").alias("_last"))
     shared = shared.where(F.col("_first") != F.col("_last")).select("token")
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
-    met = postings.join(shared, "token").withColumn("_class", size_class)
-    met = freeze(met.join(nodes.select("node", "n", *PARITY), ["node", "n"]))
+    lists = freeze(postings.join(shared, "token").withColumn("_class", size_class))
+    met = lists.join(one_for_equal_lists(lists), "token")
+    met = written(met.join(nodes.select("node", "n", *PARITY), ["node", "n"]))
+    drop(lists)
 
     texts = docs.withColumnRenamed("doc_id", "node")
     links = freeze(links)
@@ -345,7 +373,7 @@ def near_duplicates(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 def one_of_each(df: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``df`` with one document of each component, that of the smallest id; rows without an id stay."""
-    found = freeze(near_duplicates(df, k, percent))
+    found = near_duplicates(df, k, percent)
     others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     repeated = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
     kept = df.join(others, "doc_id", "left_anti").select(*df.columns)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ranktide.llm import catalog, contamination, jaccard, paragraphs, substrings
 from ranktide.llm.components import components
+from ranktide.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -58,6 +59,41 @@ def test_jaccard_join_equals_brute_force(spark, near, k, percent):
     assert kept == {near[c][0] for c in component}
 
 
+def _frozen(spark):
+    folder = os.path.join(shared_folder(spark).removeprefix("file:"), spark.sparkContext.applicationId, "frozen")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def test_a_shared_passage_makes_a_pair_once(spark, monkeypatch):
+    draw = random.Random(3)
+    own = lambda i: " ".join(f"o{i}x{draw.randrange(10**6)}" for _ in range(200))
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [f"{own(i)} {passage} {own(i)}" for i in range(12)] + [own(99)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # Every shingle is in the prefix, as if the passage were rarer than what surrounds it.
+    monkeypatch.setattr(jaccard, "choose_prefix", lambda frequency, least: (1, len(frequency)))
+    seen, pairs_between = [], jaccard.pairs_between_components
+
+    def recorded(placed, percent):
+        seen.append(placed.groupBy("token", "weight").agg(F.count("*").alias("n")).collect())
+        return pairs_between(placed, percent)
+
+    monkeypatch.setattr(jaccard, "pairs_between_components", recorded)
+    before = _frozen(spark)
+    found = jaccard.near_duplicates(df, 4, 85)
+    assert len(_frozen(spark) - before) == 1  # the result; what it was made from is gone
+    assert {r.component_id for r in found.collect()} == set(range(13))
+    assert [(r["weight"], r["n"]) for r in seen[0]] == [(57, 12)]
+
+
+def test_equal_lists_are_told_from_others(spark):
+    lists = {1: (10, 11), 2: (10, 11), 3: (10, 12), 4: (11, 12), 5: (10, 11, 12), 6: (12, 10)}
+    data = [(token, node, 30, 1) for token, nodes in lists.items() for node in nodes]
+    data += [(7, 10, 30, 1), (7, 11, 30, 2)]  # the same nodes, with another number of matches
+    found = jaccard.one_for_equal_lists(spark.createDataFrame(data, "token long, node long, n long, matches int"))
+    assert {(r.token, r.weight) for r in found.collect()} == {(1, 2), (3, 2), (4, 1), (5, 1), (7, 1)}
+
+
 def test_prefixes_share_enough_for_every_choice(monkeypatch):
     """Pairs at the threshold meet min(l) times whatever l each side chooses."""
     draw = random.Random(2)
