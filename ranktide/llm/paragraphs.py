@@ -210,7 +210,7 @@ def _at_places(work: Callable, schema: pa.Schema, size: int) -> Callable[[Iterat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows: list[tuple] = []
-            texts = [text.encode() for text in batch.column("text").to_pylist()]
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
             listed = batch.select(["doc_id", "version", "places"]).to_pylist()
             for row, text, (starts, hashes) in zip(listed, texts, _hashed(texts, size), strict=True):
                 rows += work(row, text, starts, hashes)
@@ -273,6 +273,8 @@ def _beyond(own: np.ndarray, other: bytes | None) -> int:
         agree = int(same[:PASSAGE].sum())
         if agree > best[0]:
             best = (agree, max(shift, 0), same)
+        if agree == PASSAGE:  # no shift agrees in more
+            break
     _, skipped, same = best
     at = min(PASSAGE - skipped, len(same))
     if at and same[at - 1]:
@@ -380,22 +382,27 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     ddl = "doc_id long, version long, start long, node long, bits long" + "".join(f", {n} long" for n in names)
     signed = freeze(docs.mapInArrow(_signed(count, rows, size), schema=ddl))
 
-    # Bands in which different nodes meet; equal ones are one node.
-    postings = signed.select("node", F.explode(F.array(*names)).alias("token"))
-    buckets = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("_other"))
-    met = postings.join(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"), "token").distinct()
-    met = written(met)
+    # Bands in which different nodes meet; equal ones are one node. One band after the other, so that the shuffles of one are gone
+    # when the next begins.
+    met = None
+    for name in names:
+        postings = signed.select("node", F.col(name).alias("token"))
+        buckets = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("_other"))
+        of_band = postings.join(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"), "token").distinct()
+        of_band = written(of_band)
+        met = of_band if met is None else met.union(of_band)
     listed = freeze(signed.drop(*names))
     drop(signed)
     bits = listed.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("bits"))
     bits = written(bits)
     pairs = pairs_by_hubs(met, bits, percent)
+    drop(met, bits)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     places = listed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*DOCUMENT, "start")).alias("at"))
     sets = _with_texts(docs, places.select("node", "at.*"), "node", "start").mapInArrow(_at_places(_set_rows, SETS_SCHEMA, size), schema=SETS)
     sets = written(sets.dropDuplicates(["node"]))
     links = similar_pairs(pairs, sets, percent)
-    drop(met, bits, pairs, sets)
+    drop(pairs, sets)
     grouped = written(components(links))
 
     # The first place of each paragraph that comes again, and of its component.

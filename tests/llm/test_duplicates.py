@@ -195,6 +195,26 @@ def test_substring_dedup_finds_all_long_repeats_and_nothing_else(spark, passages
     assert sum(map(any, got.values())) > 50
 
 
+def test_bands_meet_one_after_the_other(spark, monkeypatch):
+    text = " ".join(f"v{i}" for i in range(400))
+    texts = [text, text.replace("v7 ", "u7 ").replace("v200 ", "u200 "), text]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    steps, write, remove = [], paragraphs.written, paragraphs.drop
+
+    def written(table):
+        steps.append(tuple(table.columns))
+        return write(table)
+
+    monkeypatch.setattr(paragraphs, "written", written)
+    monkeypatch.setattr(paragraphs, "drop", lambda *tables: steps.extend(["dropped"] * len(tables)) or remove(*tables))
+    assert paragraphs.repeated_paragraphs(df, bands=(3, 2)).count()
+    band = ("token", "node", "hub")
+    assert steps[:3] == [band] * 3 and steps.count(band) == 3
+    # What only the pairs need goes before the texts are fetched.
+    at = steps.index(("a", "b"))
+    assert steps[at + 1 : at + 3] == ["dropped", "dropped"] and steps[at + 3] == ("node", "members")
+
+
 def test_near_paragraphs_are_linked_by_exact_similarity(spark):
     """Of two paragraphs of 20 words whose last word differs 15 of 17 shingles are the same; of others fewer than 80 %."""
     base = [f"b{i}" for i in range(20)]
