@@ -8,7 +8,7 @@ these are found from the classes of the characters without running the pattern.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -132,15 +132,17 @@ class Vocabulary:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[int, int] = {}
+        # The words' names in order, and the place of each; some 50 bytes a word with its ids.
+        self.names = np.zeros(0, dtype=np.uint64)
+        self.places = np.zeros(0, dtype=np.int32)
         self.offsets = np.zeros(1 << 16, dtype=np.int64)
-        self.lengths = np.zeros(1 << 16, dtype=np.int64)
+        self.lengths = np.zeros(1 << 16, dtype=np.int32)
         self.flat = np.zeros(1 << 18, dtype=np.uint32)
         self.used = 0
 
-    def _add(self, names: list[int], ids: list) -> None:
+    def _add(self, ids: list) -> None:
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        have, total = len(self.place), int(lengths.sum())
+        have, total = len(self.names), int(lengths.sum())
         while have + len(ids) > len(self.offsets):
             self.offsets, self.lengths = np.append(self.offsets, self.offsets * 0), np.append(self.lengths, self.lengths * 0)
         while self.used + total > len(self.flat):
@@ -150,25 +152,28 @@ class Vocabulary:
         if total:
             self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=total)
         self.used += total
-        self.place.update(zip(names, range(have, have + len(ids)), strict=True))
 
     def ids(self, texts: list[str], cutter: Pretokenizer) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where those of each text begin."""
         pieces, names, number, by_text = cutter.distinct(texts)
         if not pieces:
             return np.zeros(0, dtype=np.uint32), np.zeros(len(texts) + 1, dtype=np.int64)
-        if len(self.place) + len(pieces) > max(self.most, len(pieces)):
+        if len(self.names) + len(pieces) > max(self.most, len(pieces)):
             self.clear()
-        named = names.tolist()
-        # Places by name; -1 for new words, which are added at the end.
-        place = np.fromiter(map(self.place.get, named, repeat(-1)), dtype=np.int64, count=len(named))
-        new = np.flatnonzero(place < 0)
+        # Places by name; new words are added at the end. The names of a slice are in order, too.
+        at = np.searchsorted(self.names, names)
+        there = at < len(self.names)
+        there[there] = self.names[at[there]] == names[there]
+        place = np.empty(len(names), dtype=np.int64)
+        place[there] = self.places[at[there]]
+        new = np.flatnonzero(~there)
         if len(new):
-            place[new] = len(self.place) + np.arange(len(new))
-            which = new.tolist()
-            self._add([named[i] for i in which], self.encode([pieces[i] for i in which]))
+            place[new] = len(self.names) + np.arange(len(new))
+            self._add(self.encode([pieces[i] for i in new.tolist()]))
+            self.names = np.insert(self.names, at[new], names[new])
+            self.places = np.insert(self.places, at[new], place[new])
         place = place[number]
-        lengths = self.lengths[place]
+        lengths = self.lengths[place].astype(np.int64)
         total = np.zeros(len(place) + 1, dtype=np.int64)
         np.cumsum(lengths, out=total[1:])
         return gather(self.flat, self.offsets[place], lengths), total[by_text]

@@ -42,7 +42,7 @@ END_ID = 2
 FILE_BYTES, MOST_FILE_BYTES = 24 << 20, 1 << 30  # of text behind one file, and of the files of a large input
 FILE_ROWS = 250_000
 FILES = 4096  # that an input has before its files grow
-HELD_WORDS = 400_000
+HELD_WORDS = 1_500_000  # in each worker, about 50 bytes each
 LEVEL = 3
 
 # Fixed values of the zstandard frame and seekable formats.

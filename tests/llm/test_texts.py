@@ -16,7 +16,7 @@ from helpers import TEXTS, documents, empty, rows, words
 from pyspark.sql import functions as F
 
 from ranktide.llm import bpe, catalog, language, maintext, quality, tokenfile, toxicity
-from ranktide.llm.pretokens import Pretokenizer
+from ranktide.llm.pretokens import Pretokenizer, Vocabulary
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 FOLDER = "/root/testdata/sf0.01"
@@ -83,6 +83,27 @@ def test_long_words_merge_alike(library):
         assert bpe.merge_long(word, ranks) == expected == bpe.merge(word, ranks)
 
 
+def test_a_worker_meets_a_million_words_once():
+    asked, cutter = [], Pretokenizer()
+
+    def encode(pieces):
+        asked.extend(pieces)
+        return [[len(p)] * (1 + len(p) % 3) for p in pieces]
+
+    words = Vocabulary(encode, tokenfile.HELD_WORDS)
+    texts = ["".join(f" {i:x}z" for i in range(start, start + 100_000)) for start in range(0, 500_000, 100_000)]
+    ids = [words.ids([text, "", text[:700]], cutter) for text in texts]
+    met = len(asked)
+    for text, (flat, bounds) in zip(texts, ids, strict=True):
+        again, cuts = words.ids([text, "", text[:700]], cutter)
+        assert (again == flat).all() and (cuts == bounds).all()
+    assert len(asked) == met == len(set(asked))
+    expected = [n for piece in regex.findall(public_tokenizers.PATTERN, texts[1][:700]) for n in encode([piece])[0]]
+    assert ids[1][0][ids[1][1][2] :].tolist() == expected
+    held = words.names.nbytes + words.places.nbytes + words.offsets.nbytes + words.lengths.nbytes + words.flat.nbytes
+    assert held <= 64 * len(words.names)
+
+
 def test_token_files(spark, tmp_path, monkeypatch):
     from tokenizers import Tokenizer
 
