@@ -38,7 +38,7 @@ from ranktide.llm.tokencounts import frequent_from
 
 FOLD_BYTES = 48
 MOST_WORDS = 1_000_000
-KNOWN = 1 << 19  # words that are folded once for all documents, and broadcast
+KNOWN = 1 << 21  # words that are folded once for all documents, and broadcast, with some 30 bytes each
 BATCH_ROWS = 32  # rows of the assembled slices are large
 CUT_BYTES = 1 << 18  # of text in such a row
 NO_RANK = 0xFFFF
@@ -253,7 +253,7 @@ class Folded:
         order = np.argsort(names)
         self.names = names[order]
         ids = ids.take(pa.array(order))
-        self.offsets, self.flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.int32)
+        self.offsets, self.flat = ids.offsets.to_numpy(), ids.values.to_numpy()
 
     def places(self, names: np.ndarray) -> list[int]:
         """The place of each name, -1 for those that are not here."""
@@ -271,11 +271,12 @@ def frequent_words(docs: DataFrame, path: str, table: list[int], most: int = KNO
     counted = written(docs.mapInArrow(_lister(path), schema="word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     least = frequent_from(counted, most)
     spelled = counted.where(F.col("n") >= least).mapInArrow(_speller(path), schema="name long, ids array<long>")
-    ids = F.get(folded_words(F.array("ids"), table), F.lit(0)).alias("ids")
+    ids = F.get(folded_words(F.array("ids"), table), F.lit(0)).cast("array<int>").alias("ids")
     found = spelled.select("name", ids).toArrow().combine_chunks()  # at most `most` rows
     drop(counted)
     names = found.column("name").to_numpy().view(np.uint64)
-    return Folded(names, pa.concat_arrays([c.cast(pa.list_(pa.int64())) for c in found.column("ids").chunks] or [pa.array([], pa.list_(pa.int64()))]))
+    kind = pa.list_(pa.int32())
+    return Folded(names, pa.concat_arrays([c.cast(kind) for c in found.column("ids").chunks] or [pa.array([], kind)]))
 
 
 CUT = pa.schema(

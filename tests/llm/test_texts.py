@@ -75,6 +75,12 @@ def test_queries_merge_by_the_fold(spark, library, monkeypatch):
     assert [found.ids(p).tolist() for p in (first, second)] == [library._encode_single_piece(w.encode()) for w in fold[:2]]
 
 
+def test_words_of_several_tasks_are_folded_once(spark):
+    """A million words that come twice are among those that are folded for all documents."""
+    counted = spark.range(1_000_000).select(F.lit(2).cast("long").alias("n"))
+    assert bpe.frequent_from(counted, bpe.KNOWN) <= 2
+
+
 def test_long_words_merge_alike(library):
     ranks, draw = bpe.read_ranks(bpe.vocabulary_path()), random.Random(1)
     for _ in range(200):
