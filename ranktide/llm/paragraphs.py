@@ -24,6 +24,7 @@ doc_id and text are ignored by the search and passed on by ``without_copies``, w
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.runtime import BATCH_ROWS, documents, drop, ready, slices, table, to_batches, written
+from ranktide.llm.runtime import BATCH_ROWS, documents, drop, forget_shuffles, ready, slices, table, to_batches, written
 from ranktide.llm.textscan import LOWER, STEP, find_words, mix, runs_of, span_hashes
 from ranktide.session import freeze
 
@@ -44,6 +45,7 @@ GAP = 8
 RECALL = 0.88  # at the threshold; whole paragraphs above it share 15 of 17 shingles or all, and meet with 0.97 or always
 MOST_BANDS = 3
 SECTION_BYTES = 1 << 20
+TEXT_ROUNDS = 2  # in which texts are fetched, so that the shuffle of a round is gone when the next begins
 
 SHINGLES = PASSAGE - WORDS + 1
 AFTER = WINDOW + PASSAGE + WORDS  # words that a section has behind its own
@@ -337,6 +339,29 @@ def _with_texts(docs: DataFrame, places: DataFrame, *columns: str) -> DataFrame:
     return docs.join(listed, list(DOCUMENT)).select(*DOCUMENT, "text", "places")
 
 
+def in_round(table: DataFrame, number: int) -> DataFrame:
+    """The rows of a table of documents, or of places in them, that belong to one of ``TEXT_ROUNDS``."""
+    return table.where(F.pmod(F.xxhash64(*DOCUMENT), F.lit(TEXT_ROUNDS)) == number)
+
+
+def _sets(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """The set of shingles of every node, from the text of its place."""
+    found = _with_texts(docs, places, "node", "start").mapInArrow(_at_places(_set_rows, SETS_SCHEMA, size), schema=SETS)
+    return found.dropDuplicates(["node"])
+
+
+def _contexts(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """The words around the paragraphs of the components at some places."""
+    found = _with_texts(docs, places, "start", "component")
+    return found.mapInArrow(_at_places(_context_rows, CONTEXTS_SCHEMA, size), schema="component long, side string, words binary")
+
+
+def _spans(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """The passages to remove, from the removable paragraphs and what is around their first copies."""
+    found = _with_texts(docs, places, "start", "kept_doc_id", "kept_start", "side", "words")
+    return found.mapInArrow(_at_places(_span_rows, SPANS_SCHEMA, size), schema=SPANS).distinct()
+
+
 def _close(percent: int, x: str, y: str):
     """Whether the parities of two paragraphs allow them to be similar: a cell in which they differ has an unshared shingle."""
     differ = F.bit_count(F.col(x).bitwiseXOR(F.col(y)))
@@ -373,7 +398,7 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     """The passages that repeat an earlier one.
 
     ``doc_id``, ``version`` (the hash of its text), ``first_word`` and ``n_words``, ``first_char`` and ``n_chars`` (from its first
-    word to the word behind it) and ``kept_doc_id``, where its beginning stands first.
+    word to the word behind it) and ``kept_doc_id``, where its beginning stands first. Written, as its texts are fetched in rounds.
     """
     ready(df.sparkSession)
     docs = documents(df).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).withColumn("version", F.xxhash64("text"))
@@ -386,7 +411,8 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     # when the next begins.
     met = None
     for name in names:
-        postings = signed.select("node", F.col(name).alias("token"))
+        # The rows are dealt out once; the buckets are made where they then are.
+        postings = signed.select("node", F.col(name).alias("token")).repartition("token")
         buckets = postings.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("_other"))
         of_band = postings.join(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"), "token").distinct()
         of_band = written(of_band)
@@ -399,8 +425,11 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     drop(met, bits)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     places = listed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*DOCUMENT, "start")).alias("at"))
-    sets = _with_texts(docs, places.select("node", "at.*"), "node", "start").mapInArrow(_at_places(_set_rows, SETS_SCHEMA, size), schema=SETS)
-    sets = written(sets.dropDuplicates(["node"]))
+    places = freeze(places.select("node", "at.*"))
+    forget_shuffles(df.sparkSession)
+    parts = [written(_sets(in_round(docs, i), in_round(places, i), size)) for i in range(TEXT_ROUNDS)]
+    drop(places)
+    sets = reduce(DataFrame.union, parts)
     links = similar_pairs(pairs, sets, percent)
     drop(pairs, sets)
     grouped = written(components(links))
@@ -440,15 +469,17 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     first_copies = classes.join(wanted, "component", "left_semi").select(
         F.col("kept_doc_id").alias("doc_id"), F.col("kept_version").alias("version"), F.col("kept_start").alias("start"), "component"
     )
-    contexts = _with_texts(docs, first_copies, "start", "component").mapInArrow(
-        _at_places(_context_rows, CONTEXTS_SCHEMA, size), schema="component long, side string, words binary"
-    )
-    contexts = written(contexts.dropDuplicates(["component", "side"]))
+    first_copies = written(first_copies)
+    parts = [written(_contexts(in_round(docs, i), in_round(first_copies, i), size)) for i in range(TEXT_ROUNDS)]
+    contexts = written(reduce(DataFrame.union, parts).dropDuplicates(["component", "side"]))
+    drop(first_copies, *parts)
     around = ends.join(contexts, ["component", "side"]).select(*DOCUMENT, "start", "side", "words")
     nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("side", "string"), ("words", "binary"))]
     here = removable.select(*DOCUMENT, "start", "kept_doc_id", "kept_start", *nothing)
-    texts = _with_texts(docs, here.unionByName(around, allowMissingColumns=True), "start", "kept_doc_id", "kept_start", "side", "words")
-    return texts.mapInArrow(_at_places(_span_rows, SPANS_SCHEMA, size), schema=SPANS).distinct()
+    listed = here.unionByName(around, allowMissingColumns=True)
+    spans = [written(_spans(in_round(docs, i), in_round(listed, i), size)) for i in range(TEXT_ROUNDS)]
+    drop(contexts, ends, removable)
+    return reduce(DataFrame.union, spans)
 
 
 def without_copies(df: DataFrame, repeated: DataFrame) -> DataFrame:

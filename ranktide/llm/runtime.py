@@ -34,11 +34,16 @@ def ready(spark: SparkSession) -> SparkSession:
 def written(df: DataFrame) -> DataFrame:
     """``df`` frozen, and the shuffle files behind it dropped: Spark's cleaner removes them once the driver has collected its garbage."""
     kept = freeze(df)
-    gc.collect()  # Python's references to plans of the JVM
-    df.sparkSession.sparkContext._jvm.System.gc()
+    forget_shuffles(df.sparkSession)
     return kept
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Lets go of the shuffle files behind tables that no plan holds any more."""
+    gc.collect()  # Python's references to plans of the JVM
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop(*tables: DataFrame) -> None:
     """Removes the files of frozen tables that no later step reads."""
     for kept in tables:

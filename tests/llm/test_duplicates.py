@@ -215,6 +215,26 @@ def test_bands_meet_one_after_the_other(spark, monkeypatch):
     assert steps[at + 1 : at + 3] == ["dropped", "dropped"] and steps[at + 3] == ("node", "members")
 
 
+def test_texts_are_fetched_in_rounds(spark, monkeypatch):
+    """No shuffle holds the texts of all documents."""
+    shared = " ".join(f"v{i}" for i in range(300))
+    texts = [f"{' '.join(f'o{i}x{j}' for j in range(60))} {shared.replace('v7 ', f'u{i} ')}" for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    calls, fetch = [], paragraphs._with_texts
+
+    def fetched(docs, places, *columns):
+        calls.append((columns, {r["doc_id"] for r in docs.collect()}, {r["doc_id"] for r in places.collect()}))
+        return fetch(docs, places, *columns)
+
+    monkeypatch.setattr(paragraphs, "_with_texts", fetched)
+    found = paragraphs.repeated_paragraphs(df, bands=(3, 2)).collect()
+    assert {r["doc_id"] for r in found} == set(range(1, 30)) and {r["kept_doc_id"] for r in found} == {0}
+    for columns in {c for c, _, _ in calls}:
+        rounds = [(docs, places) for c, docs, places in calls if c == columns]
+        assert len(rounds) == paragraphs.TEXT_ROUNDS > 1 and all(places <= docs for docs, places in rounds)
+        assert sorted(i for docs, _ in rounds for i in docs) == list(range(30)) and all(len(docs) < 30 for docs, _ in rounds)
+
+
 def test_near_paragraphs_are_linked_by_exact_similarity(spark):
     """Of two paragraphs of 20 words whose last word differs 15 of 17 shingles are the same; of others fewer than 80 %."""
     base = [f"b{i}" for i in range(20)]
