@@ -24,7 +24,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranktide.llm.pretokens import Pretokenizer, Vocabulary, gather
+from ranktide.llm.pretokens import Numbers, Pretokenizer, Vocabulary, gather
 from ranktide.llm.runtime import documents, drop, ready, slices, table, to_batches, written
 from ranktide.llm.tokencounts import frequent_from
 
@@ -40,9 +40,11 @@ FOLD_BYTES = 48
 MOST_WORDS = 1_000_000
 KNOWN = 1 << 21  # words that are folded once for all documents, and broadcast, with some 30 bytes each
 BATCH_ROWS = 32  # rows of the assembled slices are large
-CUT_BYTES = 1 << 18  # of text in such a row
+CUT_BYTES = 1 << 18  # of text in such a row, and of text whose words are counted at once
 NO_RANK = 0xFFFF
-EDGE = 0xFFFF  # before and behind the ids of a word; the id of no token
+EDGE = 0xFFFF  # before and behind the ids of a word, where it gives every pair a neighbour; the id of no token, joins with nothing
+BELOW = 1 << 16  # taken from the ranks that stand between ids, which makes them negative
+SENT_ROWS = 1 << 16  # words that a worker passes on in one batch
 MULTIPLIERS = (1_000_003, 998_244_353)  # of the two hash functions; products of pairs stay below 2 ** 63
 
 
@@ -100,18 +102,18 @@ def _named(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def folded(word: Column, table: Column, half: int) -> Column:
-    """The ids of a word, given as the ids of its bytes, by a fold that joins one pair in each step.
+    """The ids of a word, given as ``begun`` gives it, by a fold that joins one pair in each step.
 
-    The fold keeps the ranks of all pairs beside the ids, so that a step looks up the two pairs that it changes only.
-    ``EDGE`` at either end joins with nothing and gives every pair a neighbour on both sides.
+    Ids and the ranks of the pairs between them stand in one array, ranks lowered by ``BELOW``, so that its least value is the
+    lowest rank. A step looks up the two pairs that it changes only.
     """
-    none = F.lit(NO_RANK).cast("long")
+    none = F.lit(NO_RANK - BELOW).cast("long")
 
     def rank(left: Column, right: Column) -> Column:
         def found(pair: Column) -> Column:
             first = F.get(table, (pair * MULTIPLIERS[0] % half).cast("int"))
             second = F.get(table, (pair * MULTIPLIERS[1] % (half + 2) + half).cast("int"))
-            value = lambda slot: slot.bitwiseAND(0xFFFF)
+            value = lambda slot: slot.bitwiseAND(0xFFFF) - BELOW
             return (
                 F.when(F.shiftright(first, 16) == pair, value(first))
                 .when(F.shiftright(second, 16) == pair, value(second))
@@ -120,32 +122,19 @@ def folded(word: Column, table: Column, half: int) -> Column:
 
         return _named(left * 65536 + right, found)
 
-    def state(ids: Column, ranks: Column) -> Column:
-        return _named(ranks, lambda r: F.struct(ids.alias("ids"), r.alias("ranks"), F.array_min(r).alias("low")))
+    def step(state: Column, low: Column) -> Column:
+        def joined(at: Column) -> Column:  # the place of the pair's rank, from 1
+            both = low + BELOW
+            changed = F.array(rank(F.get(state, at - 4), both), both, rank(both, F.get(state, at + 2)))
+            return F.concat(F.slice(state, F.lit(1), at - 3), changed, F.slice(state, at + 3, F.size(state)))
 
-    def step(s: Column) -> Column:
-        ids, ranks, low = s["ids"], s["ranks"], s["low"]
-
-        def joined(at: Column) -> Column:  # the place of the pair, from 1
-            changed = F.array(rank(F.get(ids, at - 2), low), rank(low, F.get(ids, at + 1)))
-            return state(
-                F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low), F.slice(ids, at + 2, F.size(ids))),
-                F.concat(F.slice(ranks, F.lit(1), at - 2), changed, F.slice(ranks, at + 2, F.size(ranks))),
-            )
-
-        return _named(F.array_position(ranks, low).cast("int"), joined)
-
-    edge = F.array(F.lit(EDGE).cast("long"))
-
-    def begun(ids: Column) -> Column:
-        pairs = F.sequence(F.lit(0), F.size(ids) - 2)
-        return state(ids, F.transform(pairs, lambda j: rank(F.get(ids, j), F.get(ids, j + 1))))
+        return _named(F.array_position(state, low).cast("int"), joined)
 
     return F.aggregate(
-        F.sequence(F.lit(2), F.greatest(F.size(word), F.lit(2))),
-        _named(F.concat(edge, word, edge), begun),
-        lambda s, _: F.when(s["low"] == none, s).otherwise(step(s)),
-        lambda s: F.slice(s["ids"], F.lit(2), F.size(s["ids"]) - 2),
+        F.sequence(F.lit(7), F.greatest(F.size(word), F.lit(7)), F.lit(2)),  # one step less than bytes, at least one
+        word,
+        lambda state, _: _named(F.array_min(state), lambda low: F.when(low == none, state).otherwise(step(state, low))),
+        lambda state: _named(F.filter(state, lambda x: x >= 0), lambda ids: F.slice(ids, F.lit(2), F.size(ids) - 2)),
     )
 
 
@@ -198,80 +187,118 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 LISTED = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-SPELLED = pa.schema([("name", pa.int64()), ("ids", pa.list_(pa.int64()))])
+SPELLED = pa.schema([("name", pa.int64()), ("word", pa.list_(pa.int64()))])
 
 
 def _lister(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The words to fold, with their occurrences."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, cutter, total = None, None, {}
-        for batch in _gathered(batches):
+        ranks, cutter, numbers, words, total = None, None, Numbers(), [], np.zeros(0, dtype=np.int64)
+        for batch in _gathered(batches, CUT_BYTES):
             if ranks is None:
                 ranks, cutter = read_ranks(path), Pretokenizer()
-            pieces, _, number, _ = cutter.distinct([t or "" for t in batch.column("text").to_pylist()])
-            for piece, n in zip(pieces, np.bincount(number, minlength=len(pieces)).tolist(), strict=True):
-                total[piece] = total.get(piece, 0) + n
-            if len(total) > MOST_WORDS:
-                yield _to_fold(total, ranks)
-                total = {}
-        if total:
-            yield _to_fold(total, ranks)
+            spell, names, number, _ = cutter.spelled_later([t or "" for t in batch.column("text").to_pylist()])
+            place, new = numbers.of(names)
+            words += [_to_fold(piece, ranks) for piece in spell(new)]
+            total = np.append(total, np.zeros(len(new), dtype=np.int64))
+            total[place] += np.bincount(number, minlength=len(names))
+            if len(words) > MOST_WORDS:
+                yield from _counted(words, total)
+                numbers, words, total = Numbers(), [], total[:0]
+        yield from _counted(words, total)
 
     return listed
 
 
-def _to_fold(total: dict[str, int], ranks: dict[bytes, int]) -> pa.RecordBatch:
-    words = {piece.encode("utf-8", "surrogatepass"): n for piece, n in total.items()}
-    words = {word: n for word, n in words.items() if len(word) <= FOLD_BYTES and word not in ranks}
-    return to_batches({"word": list(words), "n": list(words.values())}, LISTED)
+def _to_fold(piece: str, ranks: dict[bytes, int]) -> bytes | None:
+    """The bytes of a piece, if the fold is to merge them."""
+    word = piece.encode("utf-8", "surrogatepass")
+    return word if len(word) <= FOLD_BYTES and word not in ranks else None
+
+
+def _counted(words: list[bytes | None], total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(words), SENT_ROWS):
+        some = pa.array(words[start : start + SENT_ROWS], pa.binary())
+        batch = pa.RecordBatch.from_arrays([some, pa.array(total[start : start + SENT_ROWS])], schema=LISTED)
+        yield batch.filter(some.is_valid())
 
 
 def _speller(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Names of words, as the cutter gives them, and the ids of their bytes."""
+    """Names of words, as the cutter gives them, and the words as the fold takes them."""
 
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, cutter = None, None
+        begin, cutter = None, None
         for batch in batches:
-            if single is None:
-                single, cutter = _single(read_ranks(path)), Pretokenizer()
+            if begin is None:
+                begin, cutter = Begin(read_ranks(path)), Pretokenizer()
             words = batch.column("word").to_pylist()
             names = cutter.named([w.decode("utf-8", "surrogatepass") for w in words])
-            yield to_batches({"name": names.view(np.int64), "ids": [single[list(w)].tolist() for w in words]}, SPELLED)
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), begin.words(words)], schema=SPELLED)
 
     return spelled
 
 
-def _single(ranks: dict[bytes, int]) -> np.ndarray:
-    return np.array([ranks.get(bytes([b]), NO_RANK) for b in range(256)], dtype=np.int64)
+class Begin:
+    """What the fold begins with: a word's byte ids, the ranks of their pairs between them, and an edge at either end."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        single = [ranks.get(bytes([b]), NO_RANK) for b in range(256)]
+        self.single = np.array(single, dtype=np.int64)
+        pairs = [ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)]
+        self.pairs = np.array(pairs, dtype=np.int64) - BELOW
+        # Bytes that are no tokens join with nothing.
+        alone = self.single == NO_RANK
+        self.pairs[(alone[:, None] | alone).ravel()] = NO_RANK - BELOW
+
+    def words(self, words: list[bytes]) -> pa.Array:
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ends = np.zeros(len(words) + 1, dtype=np.int64)
+        np.cumsum(2 * lengths + 3, out=ends[1:])
+        flat = np.full(ends[-1], NO_RANK - BELOW, dtype=np.int64)
+        flat[ends[:-1]] = flat[ends[1:] - 1] = EDGE
+        data = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64)
+        first = np.cumsum(lengths) - lengths
+        place = 2 * np.arange(len(data)) + np.repeat(ends[:-1] + 2 - 2 * first, lengths)
+        flat[place] = self.single[data]
+        inside = np.ones(len(data), dtype=bool)
+        inside[first + lengths - 1] = False
+        left = np.flatnonzero(inside)
+        flat[place[left] + 1] = self.pairs[data[left] * 256 + data[left + 1]]
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
 
 class Folded:
-    """Ids of words by the words' names."""
+    """Ids of words by the words' names, in some 20 bytes a word."""
 
     def __init__(self, names: np.ndarray, ids: pa.ListArray) -> None:
         order = np.argsort(names)
         self.names = names[order]
         ids = ids.take(pa.array(order))
-        self.offsets, self.flat = ids.offsets.to_numpy(), ids.values.to_numpy()
+        self.offsets, self.flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.uint16)
 
-    def places(self, names: np.ndarray) -> list[int]:
+    def places(self, names: np.ndarray) -> np.ndarray:
         """The place of each name, -1 for those that are not here."""
         at = np.searchsorted(self.names, names)
         there = at < len(self.names)
         there[there] = self.names[at[there]] == names[there]
-        return np.where(there, at, -1).tolist()
+        return np.where(there, at, -1)
 
     def ids(self, place: int) -> np.ndarray:
         return self.flat[self.offsets[place] : self.offsets[place + 1]]
 
+    def all_ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of several words, one after the other, and how many each has."""
+        lengths = (self.offsets[places + 1] - self.offsets[places]).astype(np.int64)
+        return gather(self.flat, self.offsets[places].astype(np.int64), lengths), lengths
+
 
 def frequent_words(docs: DataFrame, path: str, table: list[int], most: int = KNOWN) -> Folded:
     """The ids of at most ``most`` words, the most frequent ones of all documents, each folded once."""
     counted = written(docs.mapInArrow(_lister(path), schema="word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     least = frequent_from(counted, most)
-    spelled = counted.where(F.col("n") >= least).mapInArrow(_speller(path), schema="name long, ids array<long>")
-    ids = F.get(folded_words(F.array("ids"), table), F.lit(0)).cast("array<int>").alias("ids")
+    spelled = counted.where(F.col("n") >= least).mapInArrow(_speller(path), schema="name long, word array<long>")
+    ids = F.get(folded_words(F.array("word"), table), F.lit(0)).cast("array<int>").alias("ids")
     found = spelled.select("name", ids).toArrow().combine_chunks()  # at most `most` rows
     drop(counted)
     names = found.column("name").to_numpy().view(np.uint64)
@@ -279,73 +306,68 @@ def frequent_words(docs: DataFrame, path: str, table: list[int], most: int = KNO
     return Folded(names, pa.concat_arrays([c.cast(kind) for c in found.column("ids").chunks] or [pa.array([], kind)]))
 
 
+# Where the ids of a new word come from, in the order in which a row has them.
+KNOWN_BEFORE, MADE_HERE, TO_FOLD = 0, 1, 2
 CUT = pa.schema(
     [
         ("doc_ids", pa.list_(pa.int64())),
         ("bounds", pa.binary()),  # of each document's pieces
         ("pieces", pa.binary()),  # number of the word of each piece
         ("cleared", pa.bool_()),  # words are numbered from 0 again
-        ("known", pa.binary()),  # for each new word: 1 if its ids are in ``ready``, 0 if it is to be folded
-        ("ready", pa.list_(pa.list_(pa.int32()))),
-        ("words", pa.list_(pa.list_(pa.int64()))),  # the ids of the bytes of the words to fold
+        ("kinds", pa.binary()),  # of each new word
+        ("lengths", pa.binary()),  # of the ids that are there, those of words known before first
+        ("ready", pa.binary()),  # these ids
+        ("words", pa.list_(pa.list_(pa.int64()))),  # the others, as the fold takes them
     ]
 )
+CUT_SCHEMA = (
+    "doc_ids array<long>, bounds binary, pieces binary, cleared boolean, kinds binary, lengths binary, ready binary, words array<array<long>>"
+)
 
 
 def _cutter(path: str, frequent: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, cutter, numbers = None, None, {}
+        ranks, cutter, numbers = None, None, Numbers()
         for batch in _gathered(batches, CUT_BYTES):
             if ranks is None:
                 ranks, cutter, once = read_ranks(path), Pretokenizer(), frequent.value
-                single = _single(ranks)
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            pieces, names, number, by_text = cutter.distinct(texts)
-            cleared = len(numbers) + len(pieces) > MOST_WORDS
+                begin = Begin(ranks)
+            spell, names, number, by_text = cutter.spelled_later([t or "" for t in batch.column("text").to_pylist()])
+            cleared = len(numbers) + len(names) > MOST_WORDS
             if cleared:
-                numbers = {}
-            known, finished, words = bytearray(), [], []
-            named = names.tolist()
-            place = np.fromiter(map(numbers.get, named, repeat(-1)), dtype=np.int64, count=len(named))
-            new = np.flatnonzero(place < 0)
-            place[new] = len(numbers) + np.arange(len(new))
-            for i, at in zip(new.tolist(), once.places(names[new]), strict=True):
-                numbers[named[i]] = len(numbers)
-                word = pieces[i].encode("utf-8", "surrogatepass")
+                numbers = Numbers()
+            place, new = numbers.of(names)
+            at = once.places(names[new])
+            kinds = np.full(len(new), KNOWN_BEFORE, dtype=np.uint8)
+            made, words, others = [], [], np.flatnonzero(at < 0)
+            for i, piece in zip(others.tolist(), spell(new[others]), strict=True):
+                word = piece.encode("utf-8", "surrogatepass")
                 whole = ranks.get(word)
-                known.append(whole is not None or at >= 0 or len(word) > FOLD_BYTES)
-                if whole is not None:
-                    finished.append([whole])
-                elif at >= 0:
-                    finished.append(once.ids(at))
-                elif known[-1]:
-                    finished.append(merge_long(word, ranks))
-                else:
+                if whole is None and len(word) <= FOLD_BYTES:
+                    kinds[i] = TO_FOLD
                     words.append(word)
-            place = place.astype(np.uint32)
+                else:
+                    kinds[i] = MADE_HERE
+                    made.append(merge_long(word, ranks) if whole is None else [whole])
+            ready, lengths = once.all_ids(at[at >= 0])
+            ready = np.append(ready, np.fromiter(chain.from_iterable(made), dtype=np.uint16))
+            lengths = np.append(lengths, np.fromiter(map(len, made), dtype=np.int64, count=len(made)))
             row = {
                 "doc_ids": [batch.column("doc_id").to_pylist()],
                 "bounds": [by_text.astype("<i8").tobytes()],
                 "pieces": [place[number].astype("<u4").tobytes()],
                 "cleared": [cleared],
-                "known": [bytes(known)],
-                "ready": [finished],
+                "kinds": [kinds.tobytes()],
+                "lengths": [lengths.astype("<u4").tobytes()],
+                "ready": [ready.astype("<u2").tobytes()],
                 "words": [None],
             }
-            yield to_batches(row, CUT).set_column(CUT.names.index("words"), CUT.field("words"), _byte_ids(words, single))
+            listed = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), begin.words(words))
+            yield to_batches(row, CUT).set_column(CUT.names.index("words"), CUT.field("words"), listed)
 
     return cut
 
 
-def _byte_ids(words: list[bytes], single: np.ndarray) -> pa.Array:
-    """One list of all words, each a list of the ids of its bytes."""
-    ends = np.zeros(len(words) + 1, dtype=np.int32)
-    np.cumsum([len(w) for w in words], out=ends[1:])
-    ids = single[np.frombuffer(b"".join(words), dtype=np.uint8)]
-    each = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int64()))
-    return pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), each)
-
-
 def _gathered(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` bytes of text, over the borders of batches."""
     held: list[pa.RecordBatch] = []
@@ -383,7 +405,7 @@ def _assembler(path: str, digests: bool) -> Callable[[Iterator[pa.RecordBatch]],
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = None
         used = count = 0
-        flat, offsets, lengths = np.zeros(1 << 20, np.uint32), np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        flat, offsets, lengths = np.zeros(1 << 20, np.uint16), np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int32)
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {name: batch.column(name)[r] for name in batch.schema.names}
@@ -391,26 +413,21 @@ def _assembler(path: str, digests: bool) -> Callable[[Iterator[pa.RecordBatch]],
                     pieces = Pieces(read_ranks(path))
                 if row["cleared"].as_py():
                     used = count = 0
-                known = np.frombuffer(row["known"].as_py(), dtype=np.uint8).astype(bool)
-                sizes = np.zeros(len(known), dtype=np.int64)
-                content = []
-                for there, name in ((known, "ready"), (~known, "folded")):
-                    words = row[name].values  # a list of ids for each word
-                    bounds = words.offsets.to_numpy()
-                    sizes[there] = np.diff(bounds)
-                    content.append(words.values.to_numpy()[bounds[0] : bounds[-1]].astype(np.uint32))
-                both = np.concatenate(content)
-                starts = np.empty(len(known), dtype=np.int64)
-                starts[known] = np.cumsum(sizes[known]) - sizes[known]
-                starts[~known] = len(content[0]) + np.cumsum(sizes[~known]) - sizes[~known]
+                kinds = np.frombuffer(row["kinds"].as_py(), dtype=np.uint8)
+                words = row["folded"].values  # a list of ids for each word
+                bounds = words.offsets.to_numpy()
+                ids = words.values.to_numpy()[bounds[0] : bounds[-1]].astype(np.uint16)
+                both = np.append(np.frombuffer(row["ready"].as_py(), dtype="<u2"), ids)
+                sizes = np.append(np.frombuffer(row["lengths"].as_py(), dtype="<u4").astype(np.int64), np.diff(bounds))
                 while used + len(both) > len(flat):
                     flat = np.append(flat, flat)
-                while count + len(known) > len(offsets):
+                while count + len(kinds) > len(offsets):
                     offsets, lengths = np.append(offsets, offsets), np.append(lengths, lengths)
                 flat[used : used + len(both)] = both
-                offsets[count : count + len(known)] = used + starts
-                lengths[count : count + len(known)] = sizes
-                used, count = used + len(both), count + len(known)
+                order = count + np.argsort(kinds, kind="stable")
+                offsets[order] = used + np.cumsum(sizes) - sizes
+                lengths[order] = sizes
+                used, count = used + len(both), count + len(kinds)
                 place = np.frombuffer(row["pieces"].as_py(), dtype="<u4")
                 cuts = np.frombuffer(row["bounds"].as_py(), dtype="<i8")
                 total = np.zeros(len(place) + 1, dtype=np.int64)
@@ -465,10 +482,7 @@ def _encoded(df: DataFrame, path: str | None, merges: str, digests: bool, schema
     ranks = rank_table(joins(read_ranks(path)))
     frequent = spark.sparkContext.broadcast(frequent_words(docs, path, ranks))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    cut_schema = (
-        "doc_ids array<long>, bounds binary, pieces binary, cleared boolean, known binary, ready array<array<int>>, words array<array<long>>"
-    )
-    cut = docs.mapInArrow(_cutter(path, frequent), schema=cut_schema)
+    cut = docs.mapInArrow(_cutter(path, frequent), schema=CUT_SCHEMA)
     words = cut.withColumn("folded", folded_words("words", ranks)).drop("words")
     return words.mapInArrow(_assembler(path, digests), schema=schema)
 

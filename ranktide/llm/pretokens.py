@@ -8,6 +8,7 @@ these are found from the classes of the characters without running the pattern.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -23,8 +24,9 @@ ONE_LETTER = ("s", "t", "m", "d")
 TWO_LETTERS = ("re", "ve", "ll")
 
 
+@cache
 def _classes() -> np.ndarray:
-    """The class of every code point."""
+    """The class of every code point; made once in a worker, whose tasks share it."""
     table = np.zeros(0x110000, dtype=np.uint8)
     for low, high in ((0, 0xD800), (0xE000, 0x110000)):
         every = "".join(map(chr, range(low, high)))
@@ -100,9 +102,14 @@ class Pretokenizer:
 
     def distinct(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pieces, their names, the number of its distinct piece for each piece, and the bounds by text."""
+        spell, names, number, by_text = self.spelled_later(texts)
+        return spell(np.arange(len(names))), names, number, by_text
+
+    def spelled_later(self, texts: list[str]) -> tuple[Callable[[np.ndarray], list[str]], np.ndarray, np.ndarray, np.ndarray]:
+        """As ``distinct``, with a function that gives those pieces whose numbers are asked for; the names are in order."""
         points, _, starts, by_text = self.cut(texts)
         if not len(starts):
-            return [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), by_text
+            return lambda wanted: [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), by_text
         named = self.names(points, starts)
         order = np.argsort(named)
         ranked = named[order]
@@ -113,8 +120,12 @@ class Pretokenizer:
         number[order] = np.cumsum(fresh) - 1
         whole = "".join(texts)
         ends = np.append(starts[1:], len(points))
-        pieces = [whole[s:e] for s, e in zip(starts[example].tolist(), ends[example].tolist(), strict=True)]
-        return pieces, names, number, by_text
+
+        def spell(wanted: np.ndarray) -> list[str]:
+            at = example[wanted]
+            return [whole[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+
+        return spell, names, number, by_text
 
 
 def gather(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -124,6 +135,30 @@ def gather(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.nda
     return flat[np.repeat(offsets - before, lengths) + np.arange(total)]
 
 
+class Numbers:
+    """Numbers of names in the order in which these come, with 12 bytes for each."""
+
+    def __init__(self) -> None:
+        self.names = np.zeros(0, dtype=np.uint64)
+        self.numbers = np.zeros(0, dtype=np.int32)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def of(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each of some names, given in order and each once, and which of them are new."""
+        at = np.searchsorted(self.names, names)
+        there = at < len(self.names)
+        there[there] = self.names[at[there]] == names[there]
+        found = np.empty(len(names), dtype=np.int64)
+        found[there] = self.numbers[at[there]]
+        new = np.flatnonzero(~there)
+        found[new] = len(self.names) + np.arange(len(new))
+        self.names = np.insert(self.names, at[new], names[new])
+        self.numbers = np.insert(self.numbers, at[new], found[new])
+        return found, new
+
+
 class Vocabulary:
     """Ids of words, kept between slices up to a number of words; ``encode`` gives those of new words, a sequence each."""
 

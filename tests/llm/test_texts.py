@@ -16,7 +16,7 @@ from helpers import TEXTS, documents, empty, rows, words
 from pyspark.sql import functions as F
 
 from ranktide.llm import bpe, catalog, language, maintext, quality, tokenfile, toxicity
-from ranktide.llm.pretokens import Pretokenizer, Vocabulary
+from ranktide.llm.pretokens import Numbers, Pretokenizer, Vocabulary
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 FOLDER = "/root/testdata/sf0.01"
@@ -81,6 +81,33 @@ def test_words_of_several_tasks_are_folded_once(spark):
     assert bpe.frequent_from(counted, bpe.KNOWN) <= 2
 
 
+def test_a_fold_begins_with_the_ranks_of_byte_pairs(spark, library):
+    """A word reaches the fold as one array, so that a step has one array to cut."""
+    ranks, draw = bpe.read_ranks(bpe.vocabulary_path()), random.Random(4)
+    words = [bytes(draw.choices(range(256), k=draw.randint(1, 48))) for _ in range(100)]
+    words += [bytes(draw.choices(b"abcdeth  in", k=draw.randint(1, 48))) for _ in range(100)]
+    states = bpe.Begin(ranks).words(words).to_pylist()
+    assert [len(s) for s in states] == [2 * len(w) + 3 for w in words]
+    for word, state in zip(words, states, strict=True):
+        assert state[2:-2:2] == [ranks[word[i : i + 1]] for i in range(len(word))]
+        below = [ranks.get(word[i : i + 2], bpe.NO_RANK) - bpe.BELOW for i in range(len(word) - 1)]
+        assert state[1::2] == [bpe.NO_RANK - bpe.BELOW, *below, bpe.NO_RANK - bpe.BELOW]
+    table = bpe.rank_table(bpe.joins(ranks))
+    df = spark.createDataFrame(list(enumerate(states)), "n int, word array<long>")
+    got = df.select("n", bpe.folded_words(F.array("word"), table)[0].alias("ids")).collect()
+    assert [r.ids for r in sorted(got)] == [library._encode_single_piece(w) for w in words]
+
+
+def test_numbers_go_on_from_slice_to_slice():
+    numbers, known, draw = Numbers(), {}, random.Random(5)
+    for _ in range(30):
+        names = sorted({draw.randrange(200) for _ in range(20)})
+        found, new = numbers.of(np.array(names, dtype=np.uint64))
+        assert [names[i] for i in new] == [n for n in names if n not in known]
+        known |= {names[i]: len(known) + k for k, i in enumerate(new)}
+        assert found.tolist() == [known[n] for n in names]
+
+
 def test_long_words_merge_alike(library):
     ranks, draw = bpe.read_ranks(bpe.vocabulary_path()), random.Random(1)
     for _ in range(200):
