@@ -42,7 +42,7 @@ CELLS = 1 << 22
 CELLS_PER_ROW = 1 << 16
 HUBS = 3  # smaller members with which a document is compared before components are formed
 MOST_MATCHES = 4
-PARITY = tuple(f"parity_{i}" for i in range(4))  # columns of the small parity table
+PARITY = tuple(f"parity_{i}" for i in range(16))  # columns of the small parity table, 64 cells each
 VERIFY_COST = 20.0  # of a candidate, in postings read
 
 
@@ -233,10 +233,11 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 
 
 def small_parities(hashes: np.ndarray, owner: np.ndarray, n: int) -> dict[str, np.ndarray]:
-    """For each of ``n`` sets the parities of 256 cells, in four long columns."""
-    cell = owner * 256 + (hashes >> np.uint64(7) & np.uint64(255)).astype(np.int64)
-    odd = (np.bincount(cell, minlength=n * 256) & 1).astype(bool).reshape(n, 256)
-    packed = np.packbits(odd, axis=1, bitorder="little").view("<i8").reshape(n, 4)
+    """For each of ``n`` sets the parities of 64 cells in each of the columns of ``PARITY``."""
+    cells = 64 * len(PARITY)
+    cell = owner * cells + ((hashes >> np.uint64(7)) % np.uint64(cells)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * cells) & 1).astype(bool).reshape(n, cells)
+    packed = np.packbits(odd, axis=1, bitorder="little").view("<i8").reshape(n, len(PARITY))
     return {name: packed[:, i] for i, name in enumerate(PARITY)}
 
 

@@ -86,6 +86,26 @@ def test_a_shared_passage_makes_a_pair_once(spark, monkeypatch):
     assert [(r["weight"], r["n"]) for r in seen[0]] == [(57, 12)]
 
 
+def test_small_parities_tell_sets_below_the_threshold(spark):
+    """Of pairs of 400 members nearly all at 0.8 are left out, those of 1,200 that share little too, and none from 0.85 on."""
+    draw = np.random.default_rng(6)
+
+    def pairs(size: int, shared: int, count: int) -> list[tuple]:
+        found = []
+        for _ in range(count):
+            values = draw.integers(0, 2**64, 2 * size - shared, dtype=np.uint64)
+            sides = (values[:size], values[size - shared :])
+            tables = [jaccard.small_parities(s, np.zeros(size, dtype=np.int64), 1) for s in sides]
+            found.append((size, size, *(int(t[name][0]) for t in tables for name in jaccard.PARITY)))
+        return found
+
+    names = ["n_x", "n_y", *(f"{name}_{side}" for side in "xy" for name in jaccard.PARITY)]
+    passing = lambda rows: spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names)).where(jaccard.may_be_similar(85, "x", "y")).count()
+    assert passing(pairs(400, 356, 50)) <= 10  # 356 of 444
+    assert passing(pairs(1200, 100, 50)) == 0
+    assert passing(pairs(400, 368, 50)) == passing(pairs(1200, 1103, 50)) == 50  # 85.2 and 85.0 %
+
+
 def test_equal_lists_are_told_from_others(spark):
     lists = {1: (10, 11), 2: (10, 11), 3: (10, 12), 4: (11, 12), 5: (10, 11, 12), 6: (12, 10)}
     data = [(token, node, 30, 1) for token, nodes in lists.items() for node in nodes]
