@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.pretokens import Numbers, Pretokenizer, Vocabulary, gather
-from ranktide.llm.runtime import documents, drop, ready, slices, table, to_batches, written
+from ranktide.llm.runtime import documents, drop, give_back, lean, ready, slices, table, to_batches, written
 from ranktide.llm.tokencounts import frequent_from
 
 FOLD_BYTES = 48
@@ -295,9 +295,9 @@ class Folded:
 
 def frequent_words(docs: DataFrame, path: str, table: list[int], most: int = KNOWN) -> Folded:
     """The ids of at most ``most`` words, the most frequent ones of all documents, each folded once."""
-    counted = written(docs.mapInArrow(_lister(path), schema="word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    counted = written(docs.mapInArrow(lean(_lister(path)), schema="word binary, n long").groupBy("word").agg(F.sum("n").alias("n")))
     least = frequent_from(counted, most)
-    spelled = counted.where(F.col("n") >= least).mapInArrow(_speller(path), schema="name long, word array<long>")
+    spelled = counted.where(F.col("n") >= least).mapInArrow(lean(_speller(path)), schema="name long, word array<long>")
     ids = F.get(folded_words(F.array("word"), table), F.lit(0)).cast("array<int>").alias("ids")
     found = spelled.select("name", ids).toArrow().combine_chunks()  # at most `most` rows
     drop(counted)
@@ -481,10 +481,11 @@ def _encoded(df: DataFrame, path: str | None, merges: str, digests: bool, schema
     path, docs = path or vocabulary_path(), documents(df)
     ranks = rank_table(joins(read_ranks(path)))
     frequent = spark.sparkContext.broadcast(frequent_words(docs, path, ranks))
+    give_back()  # the driver has passed the words through
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    cut = docs.mapInArrow(_cutter(path, frequent), schema=CUT_SCHEMA)
+    cut = docs.mapInArrow(lean(_cutter(path, frequent)), schema=CUT_SCHEMA)
     words = cut.withColumn("folded", folded_words("words", ranks)).drop("words")
-    return words.mapInArrow(_assembler(path, digests), schema=schema)
+    return words.mapInArrow(lean(_assembler(path, digests)), schema=schema)
 
 
 def encode(df: DataFrame, path: str | None = None, merges: str = "fold") -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.runtime import documents, drop, ready, slices, table, to_batches, written
+from ranktide.llm.runtime import documents, drop, lean, ready, slices, table, to_batches, written
 from ranktide.llm.textscan import LOWER, find_words, mix, runs_of, shingles, span_hashes, utf8
 from ranktide.session import application_folder, freeze, passing_tables
 
@@ -82,7 +82,7 @@ def _add_up(parts: pa.Table) -> pa.Table:
 def count_sketch(docs: DataFrame, k: int) -> np.ndarray:
     """Counters of the shingles of all documents, by hash."""
     # Tasks' counters are added in two steps, so that no task gets those of all tasks.
-    partial = docs.select("text").mapInArrow(_sketcher(k), schema="part int, counts binary")
+    partial = docs.select("text").mapInArrow(lean(_sketcher(k)), schema="part int, counts binary")
     some = partial.withColumn("_some", F.spark_partition_id() % 16).groupBy("part", "_some").applyInArrow(_add_up, schema="part int, counts binary")
     rows = some.groupBy("part").applyInArrow(_add_up, schema="part int, counts binary").collect()
     cells = np.zeros(CELLS, dtype=np.int64)
@@ -202,7 +202,7 @@ def possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
         sides = sides.join(own, side)
     sides = sides.where(_fits(percent, "n_a", "n_b")).select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    return freeze(sides.mapInArrow(_possible(percent), schema="a long, b long").distinct())
+    return freeze(sides.mapInArrow(lean(_possible(percent)), schema="a long, b long").distinct())
 
 
 def _similar(k: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -229,7 +229,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     texts = texts.join(nodes, "node", "left_semi")
     sides = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
     sides = sides.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b").select("a", "b", "text_a", "text_b")
-    return freeze(sides.mapInArrow(_similar(k, percent), schema="a long, b long").distinct())
+    return freeze(sides.mapInArrow(lean(_similar(k, percent)), schema="a long, b long").distinct())
 
 
 def small_parities(hashes: np.ndarray, owner: np.ndarray, n: int) -> dict[str, np.ndarray]:
@@ -328,7 +328,7 @@ def _near_duplicates(df: DataFrame, k: int, percent: int) -> DataFrame:
     cells = spark.sparkContext.broadcast(count_sketch(docs, k))
     ddl = "doc_id long, n_shingles long, key_a long, key_b long, matches int, prefix array<long>, bits binary"
     ddl += "".join(f", {name} long" for name in PARITY)
-    sets = freeze(docs.mapInArrow(_set_maker(k, percent, cells), schema=ddl))
+    sets = freeze(docs.mapInArrow(lean(_set_maker(k, percent, cells)), schema=ddl))
 
     known = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     key = ["key_a", "key_b", "n_shingles"]

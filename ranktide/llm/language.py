@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ranktide.llm.linear import Leader, softmax
-from ranktide.llm.runtime import documents, ready, slices, table, to_batches
+from ranktide.llm.linear import Example, Leader, softmax
+from ranktide.llm.runtime import documents, give_back, lean, ready, slices, table, to_batches
 from ranktide.llm.textscan import mix
 
 FEATURES = 1 << 14
@@ -33,7 +33,7 @@ ORDERS = (2, 3)
 PER_LANGUAGE = 500
 EPOCHS = 4
 UNKNOWN = "und"
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 32  # a row takes 128 KB of counts, and some tables of half that size beside them
 
 
 def remainder(modulus: int) -> Column:
@@ -144,7 +144,7 @@ def train(df: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
     cutoffs = _cutoffs(labelled, per_language)
     if not cutoffs:
         return None
-    partial = labelled.select("text").mapInArrow(_document_frequencies, schema="feature int, df long")
+    partial = labelled.select("text").mapInArrow(lean(_document_frequencies), schema="feature int, df long")
     frequency = {r["feature"]: r["df"] for r in partial.groupBy("feature").agg(F.sum("df").alias("df")).collect()}
     rows = frequency.pop(-1)
     df_of = np.zeros(FEATURES)
@@ -153,7 +153,7 @@ def train(df: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
 
     chosen = labelled.join(F.broadcast(df.sparkSession.createDataFrame(cutoffs, "lang string, _cut long")), "lang")
     chosen = chosen.where(F.col("_hash") <= F.col("_cut")).select("doc_id", "text", "lang")
-    packed = chosen.mapInArrow(_sparse_counts, schema="doc_id long, lang string, features binary, counts binary")
+    packed = chosen.mapInArrow(lean(_sparse_counts), schema="doc_id long, lang string, features binary, counts binary")
     sample = packed.select(F.xxhash64(F.col("doc_id").cast("string")).alias("_hash"), "*").collect()
     # Ties of the hash, as repeated ids make them, could exceed the bound; the content then decides.
     sample.sort(key=lambda r: (r["_hash"], r["lang"], bytes(r["features"]), bytes(r["counts"])))
@@ -163,28 +163,33 @@ def train(df: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
         taken[row["lang"]] = taken.get(row["lang"], 0) + 1
         if taken[row["lang"]] <= per_language:
             bounded.append(row)
-    return _fit([lang for lang, _ in cutoffs], idf, bounded)
+    model = _fit([lang for lang, _ in cutoffs], idf, bounded)
+    del sample, bounded
+    give_back()
+    return model
 
 
 def _fit(languages: list[str], idf: np.ndarray, sample: list) -> LanguageModel:
-    examples = []
-    for row in sample:
+    def vector(row) -> tuple[Example, int]:
         index = np.frombuffer(bytes(row["features"]), dtype="<u2").astype(np.int64)
         values = np.log1p(np.frombuffer(bytes(row["counts"]), dtype="<u4").astype(np.float64)) * idf[index]
-        examples.append(((index, values / max(np.linalg.norm(values), 1e-9)), languages.index(row["lang"])))
-    kept_back = examples[::5] if len(examples) >= 50 else examples
-    training = [e for i, e in enumerate(examples) if i % 5] if len(examples) >= 50 else examples
+        return (index, values / max(np.linalg.norm(values), 1e-9)), languages.index(row["lang"])
+
+    # Vectors are made anew each time, as they take several times what the packed rows do.
+    kept_back = sample[::5] if len(sample) >= 50 else sample
+    training = [row for i, row in enumerate(sample) if i % 5] if len(sample) >= 50 else sample
     leader = Leader(FEATURES, len(languages), rate=0.5, smooth=1.0, l1=0.02, l2=0.01)
     for _ in range(EPOCHS):
-        for example, label in training:
+        for example, label in map(vector, training):
             index, values = leader.extend(example)
             weights = leader.rows(index)
             error = softmax(values @ weights)
             error[label] -= 1
             leader.step(index, weights, np.outer(values, error))
     weights, intercept = leader.weights()
-    scores = np.array([v @ weights[i] + intercept for (i, v), _ in kept_back])
-    return LanguageModel(languages, idf, weights, intercept, _temperature(scores, np.array([c for _, c in kept_back])))
+    scores = np.array([v @ weights[i] + intercept for (i, v), _ in map(vector, kept_back)])
+    truth = np.array([languages.index(row["lang"]) for row in kept_back])
+    return LanguageModel(languages, idf, weights, intercept, _temperature(scores, truth))
 
 
 def _scorer(model: LanguageModel | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -212,7 +217,7 @@ def identify(df: DataFrame, model: LanguageModel | None) -> DataFrame:
     ready(df.sparkSession)
     typed = df.drop("lang_pred", "score").withColumn("text", F.col("text").cast("string"))
     added = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return typed.mapInArrow(_scorer(model), schema=T.StructType(typed.schema.fields + added.fields))
+    return typed.mapInArrow(lean(_scorer(model)), schema=T.StructType(typed.schema.fields + added.fields))
 
 
 def accepted(df: DataFrame, model: LanguageModel | None, min_score: float = 0.35) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,6 +19,8 @@ from ranktide.sources.files import remove
 BATCH_ROWS = 1000
 SLICE_BYTES = 1 << 20
 
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -80,6 +83,29 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             yield batch.slice(start)
 
 
+def lean(work: Work) -> Work:
+    """``work``, after which a Python worker gives the memory that it no longer uses back to the system.
+
+    Spark keeps workers and deals tasks out to them in turn, so that each would go on holding what its largest task took.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Returns memory that is free in this process, but still held by Arrow or the C library, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def to_batches(arrays: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     """Arrays, by column name, as a batch of the schema."""
     return pa.RecordBatch.from_arrays([pa.array(arrays[f.name], type=f.type) for f in schema], schema=schema)

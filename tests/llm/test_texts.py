@@ -5,17 +5,19 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 import regex
 from helpers import TEXTS, documents, empty, rows, words
 from pyspark.sql import functions as F
 
-from ranktide.llm import bpe, catalog, language, maintext, quality, tokenfile, toxicity
+from ranktide.llm import bpe, catalog, language, maintext, quality, runtime, tokenfile, toxicity
 from ranktide.llm.pretokens import Numbers, Pretokenizer, Vocabulary
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -209,6 +211,58 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in language.identify(documents(spark), None).collect()} == {"und"}
 
 
+def test_language_tables_stay_small(monkeypatch):
+    """A worker holds the counts of few texts at once, whatever the rows of a batch."""
+    model = language.LanguageModel(["xx", "yy"], np.ones(language.FEATURES, np.float32), np.eye(language.FEATURES, 2, dtype=np.float32), np.zeros(2, np.float32))
+    texts = [f"text number {i}" for i in range(1000)]
+    sizes, count = [], language.counts
+
+    def counted(some):
+        table = count(some)
+        sizes.append(table.nbytes)
+        return table
+
+    monkeypatch.setattr(language, "counts", counted)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": texts, "lang": ["xx"] * 1000})
+    assert sum(b.num_rows for b in language._scorer(model)([batch])) == 1000
+    frequency = {f: n for b in language._document_frequencies([batch]) for f, n in zip(*b.to_pydict().values(), strict=True)}
+    assert frequency[-1] == 1000 and sum(b.num_rows for b in language._sparse_counts([batch])) == 1000
+    assert max(sizes) <= 8 << 20
+
+
+def test_training_holds_few_vectors():
+    """The driver keeps the sample packed, and makes the vectors of its rows one after the other."""
+    features, ones = np.arange(2000).astype("<u2").tobytes(), np.ones(2000).astype("<u4").tobytes()
+    sample = [{"features": features, "counts": ones, "lang": "xy"[i % 2]} for i in range(1000)]
+    tracemalloc.start()
+    try:
+        language._fit(["x", "y"], np.ones(language.FEATURES, np.float32), sample)
+        assert tracemalloc.get_traced_memory()[1] < 10 << 20
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/statm"), reason="memory can't be read here")
+def test_a_task_gives_its_memory_back():
+    """What a task has freed goes to the system when it ends, also below what is still in use."""
+    pinned = []
+
+    def held():
+        with open("/proc/self/statm") as figures:
+            return int(figures.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    def work(batches):
+        blocks = [bytearray(100_000) for _ in range(3000)]
+        pinned.append(bytearray(100_000))
+        assert held() > before + (200 << 20)
+        del blocks
+        yield from batches
+
+    before = held()
+    assert list(runtime.lean(work)([1, 2])) == [1, 2]
+    assert pinned and held() < before + (100 << 20)
+
+
 @needs_tables
 def test_held_out_languages(spark):
     found = catalog.QUERIES["op4_language_id"](spark, FOLDER).where("held_out")
