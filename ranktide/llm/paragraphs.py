@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.runtime import BATCH_ROWS, documents, drop, forget_shuffles, ready, slices, table, to_batches, written
+from ranktide.llm.runtime import BATCH_ROWS, documents, drop, forget_shuffles, lean, ready, slices, table, to_batches, written
 from ranktide.llm.textscan import LOWER, STEP, find_words, mix, runs_of, span_hashes
 from ranktide.session import freeze
 
@@ -346,20 +346,20 @@ def in_round(table: DataFrame, number: int) -> DataFrame:
 
 def _sets(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
     """The set of shingles of every node, from the text of its place."""
-    found = _with_texts(docs, places, "node", "start").mapInArrow(_at_places(_set_rows, SETS_SCHEMA, size), schema=SETS)
+    found = _with_texts(docs, places, "node", "start").mapInArrow(lean(_at_places(_set_rows, SETS_SCHEMA, size)), schema=SETS)
     return found.dropDuplicates(["node"])
 
 
 def _contexts(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
     """The words around the paragraphs of the components at some places."""
     found = _with_texts(docs, places, "start", "component")
-    return found.mapInArrow(_at_places(_context_rows, CONTEXTS_SCHEMA, size), schema="component long, side string, words binary")
+    return found.mapInArrow(lean(_at_places(_context_rows, CONTEXTS_SCHEMA, size)), schema="component long, side string, words binary")
 
 
 def _spans(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
     """The passages to remove, from the removable paragraphs and what is around their first copies."""
     found = _with_texts(docs, places, "start", "kept_doc_id", "kept_start", "side", "words")
-    return found.mapInArrow(_at_places(_span_rows, SPANS_SCHEMA, size), schema=SPANS).distinct()
+    return found.mapInArrow(lean(_at_places(_span_rows, SPANS_SCHEMA, size)), schema=SPANS).distinct()
 
 
 def _close(percent: int, x: str, y: str):
@@ -405,7 +405,7 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     count, rows = bands or tune_bands(percent / 100)
     names = [f"band_{i}" for i in range(count)]
     ddl = "doc_id long, version long, start long, node long, bits long" + "".join(f", {n} long" for n in names)
-    signed = freeze(docs.mapInArrow(_signed(count, rows, size), schema=ddl))
+    signed = freeze(docs.mapInArrow(lean(_signed(count, rows, size)), schema=ddl))
 
     # Bands in which different nodes meet; equal ones are one node. One band after the other, so that the shuffles of one are gone
     # when the next begins.
@@ -417,26 +417,29 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
         of_band = postings.join(buckets.where(F.col("hub") != F.col("_other")).select("token", "hub"), "token").distinct()
         of_band = written(of_band)
         met = of_band if met is None else met.union(of_band)
-    listed = freeze(signed.drop(*names))
-    drop(signed)
-    bits = listed.join(met.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("bits").alias("bits"))
-    bits = written(bits)
-    pairs = pairs_by_hubs(met, bits, percent)
-    drop(met, bits)
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    places = listed.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(*DOCUMENT, "start")).alias("at"))
-    places = freeze(places.select("node", "at.*"))
+    listed = signed.drop(*names)
+
+    # Of each node that meets another or comes again its first place and how often it comes; the rows of all others are read no more
+    # than once by a step that follows.
+    place = F.struct(*DOCUMENT, "start")
+    nodes = listed.groupBy("node").agg(F.min(place).alias("_kept"), F.count("*").alias("_places"), F.first("bits").alias("bits"))
+    meeting = met.select("node").distinct().withColumn("_meets", F.lit(True))
+    nodes = nodes.join(meeting, "node", "left").where(F.col("_meets") | (F.col("_places") > 1))
+    nodes = written(nodes.drop("_meets"))
+    pairs = pairs_by_hubs(met, nodes.select("node", "bits"), percent)
+    paired = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    firsts = nodes.drop("bits").join(paired.withColumn("_paired", F.lit(True)), "node", "left")
+    firsts = freeze(firsts.where(F.col("_paired") | (F.col("_places") > 1)))
+    drop(met, nodes)
     forget_shuffles(df.sparkSession)
+    places = firsts.where("_paired").select("node", "_kept.*")
     parts = [written(_sets(in_round(docs, i), in_round(places, i), size)) for i in range(TEXT_ROUNDS)]
-    drop(places)
     sets = reduce(DataFrame.union, parts)
     links = similar_pairs(pairs, sets, percent)
     drop(pairs, sets)
     grouped = written(components(links))
 
     # The first place of each paragraph that comes again, and of its component.
-    place = F.struct(*DOCUMENT, "start")
-    firsts = listed.groupBy("node").agg(F.min(place).alias("_kept"), F.count("*").alias("_places"))
     placed = firsts.join(grouped, "node", "left").where(F.col("component").isNotNull() | (F.col("_places") > 1))
     placed = written(placed)
     of_component = placed.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("_kept").alias("_first"))
@@ -448,7 +451,7 @@ def repeated_paragraphs(df: DataFrame, percent: int = PERCENT, bands: tuple[int,
     same = (F.col("doc_id") == F.col("kept_doc_id")) & (F.col("version") == F.col("kept_version"))
     removable = listed.select(*DOCUMENT, "start", "node").join(classes, "node").where(~same | (F.col("start") >= F.col("kept_start") + PASSAGE))
     removable = written(removable.drop("node"))
-    drop(listed, placed)
+    drop(signed, firsts, placed)
     classes = classes.select("component", "kept_doc_id", "kept_version", "kept_start").distinct()
 
     # The words around the first copies of the paragraphs at the ends of each stretch.

@@ -235,6 +235,19 @@ def test_bands_meet_one_after_the_other(spark, monkeypatch):
     assert steps[at + 1 : at + 3] == ["dropped", "dropped"] and steps[at + 3] == ("node", "members")
 
 
+def test_paragraphs_that_stand_alone_are_written_once(spark, monkeypatch):
+    """Of most paragraphs neither a copy nor a similar one is there; no table behind the first has their rows."""
+    shared = " ".join(f"s{i}" for i in range(80))
+    texts = [" ".join(f"o{i}x{j}" for j in range(600)) + f" {shared.replace('s7 ', f'u{i} ')}" * (i < 3) for i in range(10)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sizes = []
+    for name in ("freeze", "written"):
+        write = getattr(paragraphs, name)
+        monkeypatch.setattr(paragraphs, name, lambda table, write=write: sizes.append((kept := write(table)).count()) or kept)
+    assert {r["doc_id"] for r in paragraphs.repeated_paragraphs(df).collect()} == {1, 2}
+    assert sizes[0] > 100 and max(sizes[1:]) < sizes[0] / 3
+
+
 def test_texts_are_fetched_in_rounds(spark, monkeypatch):
     """No shuffle holds the texts of all documents."""
     shared = " ".join(f"v{i}" for i in range(300))
