@@ -17,6 +17,10 @@ anchors, with more than HOT_POSITIONS positions over all blocks, are not sent as
 per block and with its smallest doc_id, to a bucket by its own hash, so that equal strings still meet while one anchor
 spreads over all buckets.
 
+Disk is bounded by steps: digests are let go when the shared anchors are found, and the buckets meet in ROUNDS rounds, so that only
+the runs of one round are on disk. Strings of KMER bytes are long enough that prose seldom repeats one by chance, however much of it
+there is; shorter ones would have most runs sent in the end, longer ones cut the text into more runs.
+
 Documents travel in compressed blocks of about BLOCK_BYTES. The number of buckets grows with the input, for about
 BUCKET_BYTES of text each; beyond that a bucket can get an anchor of up to HOT_POSITIONS, and of one hot string one copy per
 block. Blocks, digests and ranges are joined by block, so a document is never gathered with others than those of its block.
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +45,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.pretokens import gather
-from ranktide.llm.runtime import documents, input_bytes, ready, slices, table, to_batches
+from ranktide.llm.runtime import documents, forget_shuffles, give_back, input_bytes, lean, ready, slices, table, to_batches
 from ranktide.llm.textscan import BYTE_VALUES, POWERS, mix, owners, per_text, span_hashes, utf8
 from ranktide.session import freeze
 
 LENGTH = 50
-KMER = 16
+KMER = 24
 BLOCK_BYTES = 3_500_000
 BUCKET_BYTES = 8 << 20
 HOT_POSITIONS = 1 << 16
+ROUNDS = 2
 COMPARED = 1 << 15  # strings that are compared at a time
 BATCH_ROWS = 8  # blocks in an Arrow batch
 
@@ -217,7 +223,8 @@ def _copies(data: np.ndarray, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray
     return stands, np.flatnonzero(stands == np.arange(len(at)))
 
 
-def _sender(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sender(buckets: int, turn: int, rounds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sends the runs of every ``rounds``-th bucket, from number ``turn`` on."""
     schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("runs", pa.binary()), ("ranges", pa.binary())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,7 +243,8 @@ def _sender(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 shared[own] = np.unpackbits(flags[: len(flags) // 2], count=len(own)).astype(bool)
                 hot[own] = np.unpackbits(flags[len(flags) // 2 :], count=len(own)).astype(bool)
             ids = np.array([0 if d is None else d for d in block.doc_ids], dtype=np.int64)[owner]
-            kept = np.flatnonzero(shared[number])
+            # Strings of hot anchors go by hashes of their own, so that each round looks at all of them.
+            kept = np.flatnonzero((shared & (hot | (bucket % rounds == turn)))[number])
             decided = [np.zeros((2, 0), dtype=np.int64)]
 
             def first_ones(at: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -261,6 +269,7 @@ def _sender(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 ids_of = np.concatenate([ids_of, single_ids])
                 to = np.concatenate([to, ((names >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)])
             by = np.lexsort((at, to))
+            by = by[to[by] % rounds == turn]
             at, sizes, ids_of, to = at[by], sizes[by], ids_of[by], to[by]
             cuts = np.searchsorted(to, np.arange(buckets + 1))
             filled = np.flatnonzero(np.diff(cuts))
@@ -337,6 +346,14 @@ def earliest_by_bytes(data: np.ndarray, positions: np.ndarray, ids: np.ndarray)
     return _smallest(order, fresh, ids)
 
 
+def _met(bucket: pa.Table) -> pa.Table:
+    """``_matched``, after which memory goes back to the system."""
+    try:
+        return _matched(bucket)
+    finally:
+        give_back()
+
+
 def _matched(bucket: pa.Table) -> pa.Table:
     """For each block of a bucket the byte ranges that have an earlier match."""
     schema = pa.schema([("block", pa.int64()), ("ranges", pa.binary())])
@@ -415,25 +432,45 @@ def _remover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, schema=REMOVED)
 
 
+def _flags(blocks: DataFrame, buckets: int) -> DataFrame:
+    """For each block and bucket, which anchors are shared and which hot; written, so that the digests can go."""
+    hot_positions = HOT_POSITIONS
+    digests = blocks.mapInArrow(
+        lean(_digester(buckets)), schema="bucket int, block long, digests binary, several binary, sizes binary"
+    )
+    flags = digests.groupBy("bucket").applyInArrow(
+        lambda bucket: _shared(bucket, hot_positions), schema="block long, bucket int, flags binary"
+    )
+    return freeze(flags)
+
+
+def _ranges(blocks: DataFrame, flags: DataFrame, buckets: int, turn: int, rounds: int) -> DataFrame:
+    """For each block the byte ranges that the buckets of a round have found; written, so that their runs can go."""
+    by_block = flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("shared"))  # bounded by the block
+    sent = blocks.join(by_block, "block").mapInArrow(
+        lean(_sender(buckets, turn, rounds)), schema="bucket int, block long, runs binary, ranges binary"
+    )
+    return freeze(sent.groupBy("bucket").applyInArrow(_met, schema="block long, ranges binary"))
+
+
 def without_repeats(df: DataFrame) -> DataFrame:
     """``doc_id``, ``n_bytes``, the removed ``spans`` (bytes from start up to end) and the ``kept`` bytes of every row."""
     spark = ready(df.sparkSession)
     docs = documents(df)
     buckets = max(1, -(-input_bytes(docs) // BUCKET_BYTES))
-    blocks = freeze(docs.mapInArrow(_to_blocks, schema=BLOCK_DDL))
+    blocks = freeze(docs.mapInArrow(lean(_to_blocks), schema=BLOCK_DDL))
     # From here on rows are blocks; the setting also holds for the returned plan.
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    hot_positions = HOT_POSITIONS
-    digests = blocks.mapInArrow(_digester(buckets), schema="bucket int, block long, digests binary, several binary, sizes binary")
-    flags = digests.groupBy("bucket").applyInArrow(
-        lambda bucket: _shared(bucket, hot_positions), schema="block long, bucket int, flags binary"
-    )
-    by_block = flags.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("shared"))  # bounded by the block
-    sent = blocks.join(by_block, "block").mapInArrow(_sender(buckets), schema="bucket int, block long, runs binary, ranges binary")
-    ranges = sent.groupBy("bucket").applyInArrow(_matched, schema="block long, ranges binary")
-    ranges = freeze(ranges.groupBy("block").agg(F.collect_list("ranges").alias("ranges")))
+    flags = _flags(blocks, buckets)
+    forget_shuffles(spark)
+    rounds, found = min(ROUNDS, buckets), []
+    for turn in range(rounds):
+        found.append(_ranges(blocks, flags, buckets, turn, rounds))
+        forget_shuffles(spark)
+    ranges = reduce(DataFrame.unionByName, found)
+    ranges = ranges.groupBy("block").agg(F.collect_list("ranges").alias("ranges"))
     ddl = "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
-    return blocks.join(ranges, "block", "left").mapInArrow(_remover, schema=ddl)
+    return blocks.join(ranges, "block", "left").mapInArrow(lean(_remover), schema=ddl)
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

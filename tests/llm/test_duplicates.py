@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import os
 import random
+import time
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -402,6 +404,43 @@ def test_suffix_dedup_with_hot_anchors(spark, monkeypatch):
     assert digests(spark.createDataFrame(data, "doc_id long, text string").repartition(4)) == plain_removal(data)
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files that the session has on disk."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name for top in folders for _, _, names in os.walk(top) for name in names if name.endswith(".data")}
+
+
+def test_suffix_dedup_lets_go_of_what_its_steps_have_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 15_000)
+    df = spark.createDataFrame(between_lines(400), "doc_id long, text string").repartition(4)
+    before = shuffle_files(spark)
+    found = substrings.without_repeats(df)
+    until = time.monotonic() + 30  # Spark's cleaner works beside the driver
+    while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
+    assert found.count() == 400
+
+
+def test_suffix_dedup_sends_each_run_in_one_round(monkeypatch):
+    monkeypatch.setattr(substrings, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rows = pa.RecordBatch.from_pylist([{"doc_id": i, "text": text} for i, text in between_lines(300)])
+    [block] = substrings._to_blocks(iter([rows]))
+    buckets = 9
+    [digests] = substrings._digester(buckets)(iter([block]))
+    parts = [substrings._shared(digests.slice(i, 1), 200) for i in range(digests.num_rows)]
+    shared = [{name: part[name][0].as_py() for name in ("bucket", "flags")} for part in parts]
+    row = pa.RecordBatch.from_pylist([block.to_pylist()[0] | {"shared": shared}])
+
+    def sent(turn, rounds):
+        return [r for batch in substrings._sender(buckets, turn, rounds)(iter([row])) for r in batch.to_pylist() if r["runs"]]
+
+    whole, parted = sent(0, 1), [sent(turn, 3) for turn in range(3)]
+    assert sorted((r["bucket"], r["runs"]) for rows in parted for r in rows) == sorted((r["bucket"], r["runs"]) for r in whole)
+    assert all(r["bucket"] % 3 == turn for turn, rows in enumerate(parted) for r in rows)
+    assert max(sum(len(r["runs"]) for r in rows) for rows in parted) < 0.6 * sum(len(r["runs"]) for r in whole)
+
+
 class Counting:
     """numpy, with the items that some functions have made or read."""
 
