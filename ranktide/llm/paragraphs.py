@@ -32,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.components import components
-from ranktide.llm.runtime import BATCH_ROWS, documents, drop, forget_shuffles, lean, ready, slices, table, to_batches, written
+from ranktide.llm.runtime import BATCH_ROWS, documents, drop, lean, ready, slices, table, to_batches, written
 from ranktide.llm.textscan import LOWER, STEP, find_words, mix, runs_of, span_hashes
-from ranktide.session import freeze
+from ranktide.session import forget_shuffles, freeze
 
 WORDS = 5
 PERCENT = 80

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import os
-import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -13,13 +11,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranktide.session import freeze, prepare
+from ranktide.session import forget_shuffles, freeze, prepare
 from ranktide.sources.files import remove
 
 # Rows that one Arrow batch carries to a Python worker, and bytes of text that are worked on at once.
 BATCH_ROWS = 1000
 SLICE_BYTES = 1 << 20
-TOLD_S = 10.0  # how long the JVM may take to hear of objects that Python no longer holds
 
 Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -43,19 +40,6 @@ def written(df: DataFrame) -> DataFrame:
     return kept
 
 
-def forget_shuffles(spark: SparkSession) -> None:
-    """Lets go of the shuffle files behind tables that no plan holds any more."""
-    spark.sql("SELECT 1").collect()  # the end of the query before is what Spark's listeners hold until there is another one
-    gc.collect()  # Python's references to plans of the JVM
-    # A thread beside this one tells the JVM of them, in turn; what it has not come to would outlive the collection.
-    told = getattr(spark.sparkContext._gateway._gateway_client, "finalizer_deque", None)
-    until = time.monotonic() + TOLD_S
-    while told and time.monotonic() < until:
-        time.sleep(0.01)
-    time.sleep(0.05)  # the last one is on its way when the queue is empty
-    spark.sparkContext._jvm.System.gc()
-
-
 def drop(*tables: DataFrame) -> None:
     """Removes the files of frozen tables that no later step reads."""
     for kept in tables:

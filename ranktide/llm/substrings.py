@@ -45,9 +45,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranktide.llm.pretokens import gather
-from ranktide.llm.runtime import documents, forget_shuffles, give_back, input_bytes, lean, ready, slices, table, to_batches
+from ranktide.llm.runtime import documents, give_back, input_bytes, lean, ready, slices, table, to_batches
 from ranktide.llm.textscan import BYTE_VALUES, POWERS, mix, owners, per_text, span_hashes, utf8
-from ranktide.session import freeze
+from ranktide.session import forget_shuffles, freeze
 
 LENGTH = 50
 KMER = 24

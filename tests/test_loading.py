@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from ranktide.operators import loading
+from ranktide.operators import loading, rules
 from ranktide.operators.numbering import number_rows, rank_rows, with_ids
 from ranktide.operators.snapshots import stage_against_history
-from ranktide.plans import analyses, batch, views
-from ranktide.schemas import DIM_KEYWORD, DIM_PAGE, FACT_POSITION, STAR
+from ranktide.plans import analyses, batch, loaded, views
+from ranktide.schemas import DIM_KEYWORD, DIM_PAGE, EXPORT_COLUMNS, FACT_POSITION, SOURCE_ORDER, STAR
+from ranktide.session import application_folder, shared_folder
+from ranktide.sources import files, trade
+from ranktide.sources.exports import read_export
 from ranktide.sources.legacy import copy_tables
 from ranktide.sources.store import Store
 from sample import sample_star
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def test_numbers_follow_the_order_without_gaps(spark):
     rng = random.Random(1)
@@ -335,3 +342,57 @@ def test_backlinks_are_loaded_once(spark, tmp_path):
     assert batch.load_backlinks(store, links, "l2").loaded == {"fact_backlink": 0}
     assert [tuple(r)[:3] for r in store.read("fact_backlink").collect()] == [(1, 1, "a.example")]
     assert store.read("dim_page").count() == 1
+
+
+def test_an_export_is_written_compressed_and_in_order(spark):
+    loaded.write_exports(spark, SMALL, where := application_folder(spark, "scratch"), "positions")
+    names = [path.rsplit("/", 1)[1] for path in files.listed(spark, f"{where}/positions.csv/part-*")]
+    assert names and all(name.endswith(".csv.lz4") for name in names)
+    t = trade.Trade(spark, SMALL)
+    columns = EXPORT_COLUMNS["positions"]
+    expected = trade.raw_positions(t).orderBy(*trade.POSITION_ORDER).select(*columns).collect()
+    read = read_export(spark, where, "positions").orderBy(*SOURCE_ORDER).select(*columns).collect()
+    assert len(read) > 1000 and read == expected
+
+
+def test_a_load_keeps_no_copies_of_its_positions_while_the_rules_run(spark, tmp_path, monkeypatch):
+    folder = f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/frozen/*"
+    before, seen, new_positions, ranked_pages = [], [], loading.new_positions, rules.ranked_pages
+
+    def begins(*args):
+        before.extend(files.listed(spark, folder))
+        return new_positions(*args)
+
+    def ended(fact):
+        seen.append(set(files.listed(spark, folder)) - set(before))
+        return ranked_pages(fact)
+
+    monkeypatch.setattr(loading, "new_positions", begins)
+    monkeypatch.setattr(rules, "ranked_pages", ended)
+    exports = write_exports(tmp_path / "w1", "2026-01-05", [("zeta", "https://shop.example/1", 9, 3)])
+    outcome = batch.load_exports(Store(spark, str(tmp_path / "store")), exports, "2026-01-06", "w1")
+    assert outcome.loaded["fact_keyword_position"] == 1 and seen == [set()]
+    assert not files.listed(spark, str(tmp_path / "store" / "checked_positions" / "load_id=*"))
+    assert files.listed(spark, str(tmp_path / "store" / "stg_positions_raw" / "load_id=*"))
+
+
+def test_shuffles_of_a_load_go_when_its_positions_are_written(spark, tmp_path, monkeypatch):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {name for top in folders for _, _, names in os.walk(top) for name in names if name.endswith(".data")}
+
+    seen, newer_positions = [], batch.newer_positions
+
+    def spied(latest, written):
+        until = time.monotonic() + 30  # Spark's cleaner works beside the driver
+        while (left := shuffled() - before) and time.monotonic() < until:
+            time.sleep(0.2)
+        seen.append(left)
+        return newer_positions(latest, written)
+
+    monkeypatch.setattr(batch, "newer_positions", spied)
+    exports = write_exports(tmp_path / "w1", "2026-01-05", [("zeta", "https://shop.example/1", 9, 3)])
+    before = shuffled()
+    batch.load_exports(Store(spark, str(tmp_path / "store")), exports, "2026-01-06", "w1")
+    assert seen == [set()]
